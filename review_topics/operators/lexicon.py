@@ -33,7 +33,7 @@ def _count_in(words: Column, wanted: list[str]) -> Column:
 
 def sentence_rows(df: DataFrame, column: str = "Review") -> DataFrame:
     """One row per non-empty sentence, numbered in order."""
-    sentences = F.filter(F.transform(F.split(F.col(column), SENTENCE_END), F.trim), lambda s: s != "")
+    sentences = F.filter(F.transform(F.split(F.col(column), SENTENCE_END), lambda s: F.trim(s)), lambda s: s != "")
     return df.select("id", F.posexplode(sentences).alias("sentence", "text_summary"))
 
 
