@@ -10,32 +10,41 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _rows(vectors: pd.Series, width: int) -> np.ndarray:
-    """Batch as a matrix; a missing vector becomes zeros."""
+def _matrix(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Batch as a matrix and the mask of its known rows; a missing vector is a row of zeros."""
+    known = np.asarray(vectors.is_valid())
     out = np.zeros((len(vectors), width))
-    for i, vector in enumerate(vectors.array):
-        if vector is not None:
-            out[i] = vector
-    return out
+    out[known] = np.asarray(vectors.flatten()).reshape(-1, width)
+    return out, known
+
+
+def _lists(matrix: np.ndarray, known: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(known * matrix.shape[1])]).astype(np.int32)
+    values = pa.array(np.ascontiguousarray(matrix[known]).ravel(), pa.float64())
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(~known))
+
+
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; a row of zeros stays zero."""
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 1e-12)
 
 
 def centred(vec: Column, mean: np.ndarray) -> Column:
     """Subtract the corpus mean and scale to length one. A null vector stays null."""
 
-    @F.pandas_udf("array<double>")
-    def shift(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def shift(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
-            moved = _rows(vectors, len(mean)) - mean
-            norms = np.linalg.norm(moved, axis=1, keepdims=True)
-            unit = np.divide(moved, norms, out=np.zeros_like(moved), where=norms > 1e-12)
-            yield pd.Series([u if v is not None else None for u, v in zip(unit, vectors.array)], dtype=object)
+            rows, known = _matrix(vectors, len(mean))
+            yield _lists(_unit(rows - mean), known)
 
     return shift(vec)
 
@@ -43,11 +52,11 @@ def centred(vec: Column, mean: np.ndarray) -> Column:
 def projected(vec: Column, matrix: np.ndarray) -> Column:
     """Vector times a ``width x k`` matrix. A null vector stays null."""
 
-    @F.pandas_udf("array<double>")
-    def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def project(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
-            low = _rows(vectors, matrix.shape[0]) @ matrix
-            yield pd.Series([u if v is not None else None for u, v in zip(low, vectors.array)], dtype=object)
+            rows, known = _matrix(vectors, matrix.shape[0])
+            yield _lists(rows @ matrix, known)
 
     return project(vec)
 
@@ -59,18 +68,15 @@ def best_match(vec: Column, ids: list[int], matrix: np.ndarray) -> Column:
     Rows of zeros (documents without a vector) score 0 everywhere.
     """
     ids = np.asarray(ids, dtype=np.int64)
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 1e-12)
+    topics = _unit(matrix)
 
-    @F.pandas_udf("struct<id: long, score: double>")
-    def match(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<id: long, score: double>")
+    def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
-            x = _rows(vectors, unit.shape[1])
-            lengths = np.linalg.norm(x, axis=1, keepdims=True)
-            x = np.divide(x, lengths, out=np.zeros_like(x), where=lengths > 1e-12)
-            scores = np.round(x @ unit.T, 12)
+            rows, _ = _matrix(vectors, topics.shape[1])
+            scores = np.round(_unit(rows) @ topics.T, 12)
             best = scores.argmax(axis=1)
-            yield pd.DataFrame({"id": ids[best], "score": scores[np.arange(len(x)), best]})
+            yield pa.StructArray.from_arrays([pa.array(ids[best]), pa.array(scores[np.arange(len(rows)), best])], ["id", "score"])
 
     return match(vec)
 

@@ -51,7 +51,7 @@ def extract_intents_lexicon(
     polarity = POLARITY if polarity is None else polarity
     words = F.col("_words")
     rows = sentence_rows(df, column).withColumn("_words", T.tokens(F.col("text_summary")))
-    named = F.array(*[F.when(_count_in(words, terms) > 0, F.lit(name)) for name, terms in aspects.items()])
+    named = F.array(*[F.when(F.arrays_overlap(words, F.array(*[F.lit(t) for t in terms])), F.lit(name)) for name, terms in aspects.items()])
     values = sorted(set(polarity.values()))
     weights = [_count_in(words, [w for w, p in polarity.items() if p == value]) * value for value in values]
     score = reduce(lambda a, b: a + b, weights, F.lit(0))

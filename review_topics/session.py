@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MAX_TOPICS = 10_000
 # Keys that own more than 1/HOT_SHARE of all rows are "hot"; there can be at most HOT_SHARE of them.
 HOT_SHARE = 1_000
+# Partitions-to-be of one hot key.
+SALTS = 4_096
 # So few rows fit one task even if they all share a key.
 ONE_TASK_ROWS = 200_000
 
@@ -82,22 +84,27 @@ def collect_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> list:
 
 
 def hot_lookup(
-    left: DataFrame, right: DataFrame, on: list[str], matches: str, how: str = "inner", rows: int | None = None
+    left: DataFrame, right: DataFrame, on: list[str], matches: str, rows: int | None = None
 ) -> DataFrame:
-    """Equi join of ``left`` with a unique-key ``right`` that survives hot keys.
+    """Inner equi join of ``left`` with a unique-key ``right`` that survives hot keys.
 
     ``right[matches]`` says how many ``left`` rows carry the key, so the keys holding more than
     1/HOT_SHARE of all rows are known without another pass over ``left`` and number at most HOT_SHARE.
-    Those few are broadcast and joined in place; all other keys take the shuffled join.
-    ``left`` is read twice and should be a materialised stage. When its number of ``rows`` is known and fits one
-    task anyway, a plain join does.
+    Their rows pass the shuffled join under a salt that spreads them over many partitions and matches nothing
+    there, and get their values from a broadcast of the few hot keys instead. ``left`` is read once. When its
+    number of ``rows`` is known and fits one task anyway, a plain join does.
     """
     if rows is not None and rows <= ONE_TASK_ROWS:
-        return left.join(right.drop(matches), on, how)
+        return left.join(right.drop(matches), on)
     total = right.agg(F.sum(matches)).scalar()
     is_hot: Column = F.col(matches) * F.lit(HOT_SHARE) > total
-    hot = F.broadcast(right.where(is_hot).drop(matches))
-    cold = right.where(~is_hot).drop(matches)
-    placed = left.join(hot, on, "inner")
-    rest = left.join(F.broadcast(right.where(is_hot).select(*on)), on, "left_anti").join(cold, on, how)
-    return placed.unionByName(rest)
+    values = [c for c in right.columns if c not in on and c != matches]
+    packed = F.struct(*values) if values else F.lit(True)
+    hot = right.where(is_hot).select(*on, packed.alias("_hot"))
+    cold = right.where(~is_hot).select(*on, F.lit(0).alias("_salt"), packed.alias("_cold"))
+    marks = F.broadcast(hot.select(*on, F.lit(True).alias("_is_hot")))
+    salt = F.when(F.col("_is_hot"), 1 + F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    spread = left.join(marks, on, "left").withColumn("_salt", salt).drop("_is_hot")
+    met = spread.join(cold, [*on, "_salt"], "left").join(F.broadcast(hot), on, "left")
+    found = met.withColumn("_value", F.coalesce("_cold", "_hot")).where(F.col("_value").isNotNull())
+    return found.select(*left.columns, *[F.col(f"_value.{c}").alias(c) for c in values])
