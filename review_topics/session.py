@@ -29,6 +29,7 @@ def build_session(cores: str = "*", app: str = "review_topics", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
