@@ -27,6 +27,15 @@ def doc_terms(docs: DataFrame) -> DataFrame:
     )
 
 
+def term_lists(docs: DataFrame) -> DataFrame:
+    """``(doc_id, terms)``: the term counts of a document in one row.
+
+    The form in which term counts are kept: later joins on ``doc_id`` move and sort one row per document, and terms
+    are spread out only behind them.
+    """
+    return doc_terms(docs).groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("terms"))
+
+
 class HashedEncoder:
     """Hashed, log-scaled term frequencies of unit length. Needs no model and no vocabulary."""
 

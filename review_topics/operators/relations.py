@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.operators.components import components
-from review_topics.session import collect_checked, cut_lineage
+from review_topics.session import broadcast_checked, collect_checked, cut_lineage
 
 # The similarity of topics is a table of topics squared; this keeps a task's partial matrix within 50 MB.
 MAX_COMPARED_TOPICS = 2_500
@@ -83,8 +83,8 @@ def merge_steps(similarity: DataFrame) -> DataFrame:
     groups = cut_lineage(ends.withColumn("component", F.col("node")))
     tree = None
     while True:
-        left = F.broadcast(groups.select(F.col("node").alias("left"), F.col("component").alias("group_l")))
-        right = F.broadcast(groups.select(F.col("node").alias("right"), F.col("component").alias("group_r")))
+        left = broadcast_checked(groups.select(F.col("node").alias("left"), F.col("component").alias("group_l")))
+        right = broadcast_checked(groups.select(F.col("node").alias("right"), F.col("component").alias("group_r")))
         across = pairs.join(left, "left").join(right, "right").where(F.col("group_l") != F.col("group_r"))
         edge = F.struct("distance", "left", "right")
         nearest = across.select(F.explode(F.array("group_l", "group_r")).alias("g"), edge.alias("edge"))

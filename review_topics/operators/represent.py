@@ -20,13 +20,13 @@ CANDIDATES = 30
 
 
 def representative_docs(
-    doc_terms: DataFrame, assignments: DataFrame, weights: DataFrame, n: int = V.LABEL_DOCUMENTS
+    lists: DataFrame, assignments: DataFrame, weights: DataFrame, n: int = V.LABEL_DOCUMENTS
 ) -> DataFrame:
     """``(topic_id, rank, doc_id, score)``: documents whose terms are closest to their topic's c-TF-IDF.
 
-    ``doc_terms`` and ``weights`` are materialised stages.
+    ``lists`` holds the documents' term counts; a word that a large topic uses everywhere is a hot key of the join.
     """
-    placed = doc_terms.join(assignments.select("doc_id", "topic_id"), "doc_id")
+    placed = lists.join(assignments.select("doc_id", "topic_id"), "doc_id").select("doc_id", "topic_id", F.inline("terms"))
     pairs = hot_lookup(placed, weights.select("topic_id", "term", "weight", "doc_freq"), ["topic_id", "term"], "doc_freq")
     sums = pairs.groupBy("doc_id", "topic_id").agg(
         F.sum(F.col("tf") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("doc_norm")

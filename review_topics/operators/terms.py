@@ -11,13 +11,15 @@ from review_topics.session import broadcast_checked, stage
 PLACES = 9
 
 
-def topic_terms(terms: DataFrame, assignments: DataFrame) -> DataFrame:
-    """``(topic_id, term, tf, doc_freq)`` from ``(doc_id, term, tf)`` and ``(doc_id, topic_id)``.
+def topic_terms(lists: DataFrame, assignments: DataFrame) -> DataFrame:
+    """``(topic_id, term, tf, doc_freq)`` from the documents' term lists and ``(doc_id, topic_id)``.
 
-    Written once: topic totals, hot keys and weights all read it, and it is far smaller than the text.
+    Each task adds up its own documents before the shuffle. Written once: topic totals, hot keys and weights all
+    read it, and it is far smaller than the text.
     """
     counts = (
-        terms.join(assignments.select("doc_id", "topic_id"), "doc_id")
+        lists.join(assignments.select("doc_id", "topic_id"), "doc_id")
+        .select("topic_id", F.inline("terms"))
         .groupBy("topic_id", "term")
         .agg(F.sum("tf").alias("tf"), F.count("*").alias("doc_freq"))
     )

@@ -44,7 +44,7 @@ def number_topics(united: DataFrame, labels: DataFrame | None = None) -> DataFra
     if labels is None:
         return table.withColumn("label", F.lit(None).cast("string")).select("topic_id", "kind", "source", "label", "size")
     names = labels.select(F.lit("predefined").alias("kind"), F.col("idx").cast("string").alias("source"), "label")
-    return table.join(F.broadcast(names), ["kind", "source"], "left").select("topic_id", "kind", "source", "label", "size")
+    return table.join(broadcast_checked(names), ["kind", "source"], "left").select("topic_id", "kind", "source", "label", "size")
 
 
 def combine_topics(zero_shot: DataFrame, clusters: DataFrame, labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

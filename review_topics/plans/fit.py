@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from review_topics.functions import vectors as X
 from review_topics.operators import density, distribution, embedding, neighbours, reduction, represent, terms, topics, zeroshot
 from review_topics.plans.model import FitParams, TopicModel
-from review_topics.session import stage
+from review_topics.session import broadcast_checked, stage
 
 
 def discover_clusters(vecs: DataFrame, params: FitParams, dims: int) -> DataFrame:
@@ -60,7 +60,7 @@ def fit_topics(
         encoder_id=encoder.encoder_id,
         mean=mean,
         topics=table,
-        prototypes=stage(prototypes.join(F.broadcast(used), "idx").select("topic_id", "vec"), "used"),
+        prototypes=stage(prototypes.join(broadcast_checked(used), "idx").select("topic_id", "vec"), "used"),
         centroids=centroids,
         ctfidf=None,
         terms=None,
@@ -82,12 +82,12 @@ def update_topics(
 
     Predefined labels stay. Generated aspects of the earlier model are kept unless ``aspects`` makes them again.
     """
-    doc_terms = model.extra.get("doc_terms")
-    doc_terms = stage(embedding.doc_terms(docs), "doc-terms") if doc_terms is None else doc_terms
-    weights = stage(terms.ctfidf(terms.topic_terms(doc_terms, assignments)), "ctfidf")
+    lists = model.extra.get("term_lists")
+    lists = stage(embedding.term_lists(docs), "term-lists") if lists is None else lists
+    weights = stage(terms.ctfidf(terms.topic_terms(lists, assignments)), "ctfidf")
     candidates = stage(terms.top_terms(weights, max(represent.CANDIDATES, model.params.top_n)), "candidates")
     main = candidates.where(F.col("rank") <= model.params.top_n)
-    chosen = represent.representative_docs(doc_terms, assignments, weights, model.params.label_docs)
+    chosen = stage(represent.representative_docs(lists, assignments, weights, model.params.label_docs), "chosen")
     representative = stage(represent.with_documents(chosen, docs), "representative")
     described = represent.run_aspects(candidates, aspects) if aspects else candidates
     described = main.unionByName(described.where(F.col("aspect") != "Main"))
@@ -103,7 +103,7 @@ def update_topics(
         labels=stage(topics.topic_labels(represent.default_labels(main), table), "labels"),
         representative=representative,
         assignments=assignments,
-        extra={**model.extra, "doc_terms": doc_terms},
+        extra={**model.extra, "term_lists": lists},
     )
 
 

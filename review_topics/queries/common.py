@@ -85,7 +85,7 @@ class HashProvider:
 ENCODER = embedding.HashedEncoder(256)
 SCALE = 0.4
 
-doc_terms = shared("doc-terms", lambda spark, sf: embedding.doc_terms(documents(spark, sf)))
+term_lists = shared("term-lists", lambda spark, sf: embedding.term_lists(documents(spark, sf)))
 raw_vectors = shared("raw-vectors", lambda spark, sf: embedding.embed(documents(spark, sf), ENCODER))
 centred_vectors = shared(
     "centred-vectors",
@@ -131,11 +131,11 @@ def source_topics(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.substring("source", 4, 9).cast("int").alias("topic_id"))
 
 
-source_counts = shared("source-counts", lambda spark, sf: terms.topic_terms(doc_terms(spark, sf), source_topics(spark, sf)))
+source_counts = shared("source-counts", lambda spark, sf: terms.topic_terms(term_lists(spark, sf), source_topics(spark, sf)))
 source_weights = shared("source-weights", lambda spark, sf: terms.ctfidf(source_counts(spark, sf)))
 language_weights = shared(
     "language-weights",
-    lambda spark, sf: terms.ctfidf(terms.topic_terms(doc_terms(spark, sf), language_topics(spark, sf))),
+    lambda spark, sf: terms.ctfidf(terms.topic_terms(term_lists(spark, sf), language_topics(spark, sf))),
 )
 
 # ---------------------------------------------------------------------------------------------- SQL fragments

@@ -23,7 +23,7 @@ SOURCE_RANKED = f"{SOURCE_WEIGHTS}, {C.RANKED}"
 
 @query(f"WITH {C.DOC_TERMS}, {C.SOURCE_TOPICS}, {C.ctfidf_sql('st')} SELECT topic_id, term, tf, doc_freq FROM tt")
 def f1_term_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return terms.topic_terms(C.doc_terms(spark, sf), C.source_topics(spark, sf))
+    return terms.topic_terms(C.term_lists(spark, sf), C.source_topics(spark, sf))
 
 
 source_candidates = shared("source-candidates", lambda spark, sf: terms.top_terms(C.source_weights(spark, sf), represent.CANDIDATES))
@@ -51,7 +51,7 @@ rd AS (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(score,
 
 
 def source_representative(spark: SparkSession, sf: str) -> DataFrame:
-    return represent.representative_docs(C.doc_terms(spark, sf), C.source_topics(spark, sf), C.source_weights(spark, sf))
+    return represent.representative_docs(C.term_lists(spark, sf), C.source_topics(spark, sf), C.source_weights(spark, sf))
 
 
 @query(f"WITH {SOURCE_WEIGHTS}, {_REPRESENTATIVE} SELECT topic_id, CAST(rank AS INT) AS rank, doc_id, round(score, 6) AS score FROM rd WHERE rank <= 5")
@@ -122,7 +122,7 @@ def f9_count(spark: SparkSession, sf: str) -> DataFrame:
 def f10_aspect_chain(spark: SparkSession, sf: str) -> DataFrame:
     start = source_candidates(spark, sf)
     chosen = source_representative(spark, sf)
-    texts = represent.with_documents(chosen, C.documents(spark, sf)).select("topic_id", "rank", "document")
+    texts = represent.with_documents(stage(chosen, "chosen"), C.documents(spark, sf)).select("topic_id", "rank", "document")
 
     def label(diverse: DataFrame) -> DataFrame:
         return represent.llm_labels(represent.label_prompts(diverse, texts), C.HashProvider(), backoff=None)
@@ -527,7 +527,7 @@ ur AS (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(weight,
 SELECT topic_id, 'Main' AS aspect, CAST(rank AS INT) AS rank, term, round(weight, 9) AS weight FROM ur WHERE rank <= 10"""
 )
 def e12_update_topics(spark: SparkSession, sf: str) -> DataFrame:
-    weights = terms.ctfidf(terms.topic_terms(C.doc_terms(spark, sf), reassigned(spark, sf)))
+    weights = terms.ctfidf(terms.topic_terms(C.term_lists(spark, sf), reassigned(spark, sf)))
     return terms.top_terms(weights, 10).withColumn("weight", F.round("weight", 9))
 
 
@@ -572,7 +572,7 @@ dl AS (SELECT topic_id, string_agg('- ' || text, chr(10) ORDER BY rank) AS docs
 SELECT topic_id, {_sql_text(_PROMPT_HEAD)} || docs || {_sql_text(_PROMPT_MIDDLE)} || words || {_sql_text(_PROMPT_TAIL)} AS prompt FROM kw JOIN dl USING (topic_id)"""
 )
 def d7_label_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    texts = represent.with_documents(source_representative(spark, sf), C.documents(spark, sf))
+    texts = represent.with_documents(stage(source_representative(spark, sf), "chosen"), C.documents(spark, sf))
     return represent.label_prompts(source_terms(spark, sf), texts)
 
 
@@ -607,6 +607,6 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     weights = C.language_weights(spark, sf)
     main = stage(terms.top_terms(weights, 10), "main")
     assigned = C.language_topics(spark, sf)
-    chosen = represent.representative_docs(C.doc_terms(spark, sf), assigned, weights)
+    chosen = represent.representative_docs(C.term_lists(spark, sf), assigned, weights)
     fixed = C.first_of_language(spark, sf).select(F.col("idx").alias("topic_id"), "label")
     return topics.topic_info(assigned, topics.topic_labels(represent.default_labels(main), fixed), main, chosen)

@@ -140,7 +140,7 @@ def test_mmr_matches_brute_force(spark):
 def test_ctfidf_ranks_by_weight_and_counts_every_document(spark):
     docs = spark.createDataFrame([(1, "food food crew"), (2, "seat crew"), (3, "seat seat row")], "doc_id long, document string")
     assigned = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, topic_id int")
-    weights = terms.ctfidf(terms.topic_terms(embedding.doc_terms(docs), assigned))
+    weights = terms.ctfidf(terms.topic_terms(embedding.term_lists(docs), assigned))
     rows = {(r["topic_id"], r["term"]): r["weight"] for r in weights.collect()}
     mean = (3 + 5) / 2
     assert rows[0, "food"] == pytest.approx(2 / 3 * math.log(1 + mean / 2))
