@@ -69,8 +69,9 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
 class HashProvider:
     """Stand-in for a model: outcome and reply follow from a hash of the request."""
 
-    def __init__(self, failing: bool = False):
+    def __init__(self, failing: bool = False, plain: bool = False):
         self.failing = failing
+        self.plain = plain
 
     def complete(self, request_id: int, request: str, attempt: int) -> tuple[list[str], str | None]:
         digit = hashlib.md5(f"{request_id}:{attempt}".encode()).hexdigest()[0]
@@ -79,7 +80,7 @@ class HashProvider:
         if self.failing and digit == "4":
             raise ValueError("bad request")
         reply = hashlib.md5(request.encode()).hexdigest()
-        return ([reply], None) if request_id % 2 else ([], reply)
+        return ([], reply) if self.plain or request_id % 2 == 0 else ([reply], None)
 
 
 ENCODER = embedding.HashedEncoder(256)

@@ -125,7 +125,7 @@ def f10_aspect_chain(spark: SparkSession, sf: str) -> DataFrame:
     texts = represent.with_documents(stage(chosen, "chosen"), C.documents(spark, sf)).select("topic_id", "rank", "document")
 
     def label(diverse: DataFrame) -> DataFrame:
-        return represent.llm_labels(represent.label_prompts(diverse, texts), C.HashProvider(), backoff=None)
+        return represent.llm_labels(represent.label_prompts(diverse, texts), C.HashProvider(plain=True), backoff=None)
 
     rows = represent.run_aspects(
         start,
@@ -265,18 +265,21 @@ def e2_zero_shot_given_vectors(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------------------------------- clusters
 K, WIDTH, REACH2, MIN_PTS, MIN_SIZE = 3, 0.15, 2, 10, 10
 
-_LOW = f"""
+def _low_sql(vectors: str) -> str:
+    return f"""
 sg AS (SELECT c, b, CASE WHEN ('0x' || substr(md5('42:' || c || ':' || b), 1, 1))::INT < 8 THEN 1 ELSE -1 END / sqrt({K}) AS s
        FROM (SELECT unnest(range({K})) AS c) CROSS JOIN (SELECT unnest(range(256)) AS b)),
-lw AS (SELECT doc_id, c, sum(x * s) AS v FROM cv JOIN sg USING (b) GROUP BY doc_id, c)"""
+lw AS (SELECT doc_id, c, sum(x * s) AS v FROM {vectors} JOIN sg USING (b) GROUP BY doc_id, c)"""
 
-_CELLS = f"""{C.CENTRED}, {_LOW},
+
+_LOW = _low_sql("cv")
+_GRID = f"""
 gp AS (SELECT doc_id, {", ".join(f"max(CASE WHEN c = {i} THEN CAST(floor(round(v, 6) / {WIDTH}) AS INT) END) AS c{i}" for i in range(K))} FROM lw GROUP BY doc_id),
 ce AS (SELECT c0, c1, c2, min(doc_id) AS cell_id, count(*) AS weight FROM gp GROUP BY c0, c1, c2),
 al AS (SELECT a.cell_id AS src, b.cell_id AS dst, CAST((a.c0-b.c0)*(a.c0-b.c0) + (a.c1-b.c1)*(a.c1-b.c1) + (a.c2-b.c2)*(a.c2-b.c2) AS INT) AS d2, b.weight
        FROM ce a JOIN ce b ON (a.c0-b.c0)*(a.c0-b.c0) + (a.c1-b.c1)*(a.c1-b.c1) + (a.c2-b.c2)*(a.c2-b.c2) <= {REACH2})"""
 
-_CLUSTERS = f"""{_CELLS},
+_DENSE = f"""
 cu AS (SELECT src, d2, sum(sum(weight)) OVER (PARTITION BY src ORDER BY d2) AS seen FROM al GROUP BY src, d2),
 co AS (SELECT src AS cell_id, min(d2) AS core_d2 FROM cu WHERE seen >= {MIN_PTS} GROUP BY src),
 rc AS (SELECT cell_id AS node, cell_id AS reached FROM co
@@ -289,6 +292,10 @@ pl AS (SELECT doc_id, cluster, CASE WHEN cluster IS NULL THEN 0 ELSE greatest(0,
        FROM gp JOIN ce USING (c0, c1, c2) JOIN cl USING (cell_id))"""
 
 
+_CELLS = f"{C.CENTRED}, {_LOW}, {_GRID}"
+_CLUSTERS = f"{_CELLS}, {_DENSE}"
+
+
 @query(f"WITH {C.CENTRED}, {_LOW} SELECT doc_id, CAST(c AS INT) AS component, round(v, 6) AS value FROM lw")
 def e3_random_projection(spark: SparkSession, sf: str) -> DataFrame:
     low = reduction.reduce_dims(C.centred_vectors(spark, sf), K, "projection", 256)
@@ -342,7 +349,7 @@ clusters = shared(
     lambda spark, sf: density.label_points(grid_points(spark, sf), grid_cells(spark, sf), stage(dense_cells(spark, sf), "found"), K, REACH2),
 )
 
-_UNITED = f"""{_CLUSTERS}, {C.ZERO_SHOT[len(C.CENTRED) + 1:]},
+_NUMBERED = """
 un AS (SELECT zs.doc_id, CASE WHEN idx IS NOT NULL THEN 'predefined' WHEN cluster IS NOT NULL THEN 'cluster' ELSE 'outlier' END AS kind,
        CAST(coalesce(idx, cluster) AS VARCHAR) AS source,
        CASE WHEN idx IS NOT NULL THEN similarity WHEN cluster IS NOT NULL THEN pl.probability ELSE 0 END AS probability
@@ -353,6 +360,9 @@ tp AS (SELECT CAST(row_number() OVER (ORDER BY kind = 'cluster', CASE WHEN kind
        UNION ALL SELECT -1, kind, source, size FROM us WHERE kind = 'outlier')"""
 
 
+_UNITED = f"{C.ZERO_SHOT}, {_LOW}, {_GRID}, {_DENSE}, {_NUMBERED}"
+
+
 @query(f"WITH RECURSIVE {_UNITED} SELECT doc_id, kind, source, round(probability, 6) AS probability FROM un")
 def c9_unite_assignments(spark: SparkSession, sf: str) -> DataFrame:
     rows = topics.unite_assignments(C.zero_shot(spark, sf), clusters(spark, sf))
@@ -565,41 +575,68 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-@query(
-    f"""WITH {SOURCE_RANKED}, {_REPRESENTATIVE},
+_PROMPTS = f"""{SOURCE_RANKED}, {_REPRESENTATIVE},
 kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS words FROM rk WHERE rank <= 10 GROUP BY topic_id),
-dl AS (SELECT topic_id, string_agg('- ' || text, chr(10) ORDER BY rank) AS docs FROM rd JOIN documents USING (doc_id) WHERE rank <= 5 GROUP BY topic_id)
-SELECT topic_id, {_sql_text(_PROMPT_HEAD)} || docs || {_sql_text(_PROMPT_MIDDLE)} || words || {_sql_text(_PROMPT_TAIL)} AS prompt FROM kw JOIN dl USING (topic_id)"""
-)
+dl AS (SELECT topic_id, string_agg('- ' || text, chr(10) ORDER BY rank) AS docs FROM rd JOIN documents USING (doc_id) WHERE rank <= 5 GROUP BY topic_id),
+pm AS (SELECT topic_id, {_sql_text(_PROMPT_HEAD)} || docs || {_sql_text(_PROMPT_MIDDLE)} || words || {_sql_text(_PROMPT_TAIL)} AS prompt FROM kw JOIN dl USING (topic_id))"""
+
+
+@query(f"WITH {_PROMPTS} SELECT topic_id, prompt FROM pm")
 def d7_label_prompts(spark: SparkSession, sf: str) -> DataFrame:
     texts = represent.with_documents(stage(source_representative(spark, sf), "chosen"), C.documents(spark, sf))
     return represent.label_prompts(source_terms(spark, sf), texts)
 
 
-@query()
+@query(f"WITH {_PROMPTS} SELECT topic_id, 'AI_Generated' AS aspect, 1 AS rank, md5(prompt) AS term FROM pm")
 def d7_llm_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return represent.llm_labels(d7_label_prompts(spark, sf), C.HashProvider(), backoff=None).select("topic_id", "aspect", "rank", "term")
+    return represent.llm_labels(d7_label_prompts(spark, sf), C.HashProvider(plain=True), backoff=None).select("topic_id", "aspect", "rank", "term")
 
 
-def fitted(spark: SparkSession, sf: str, hierarchical: bool = False):
+def fitted(spark: SparkSession, sf: str, **settings):
     """A model fitted on all documents; the first document of each language describes a predefined topic."""
     docs = C.documents(spark, sf)
     chosen = C.first_of_language(spark, sf).join(C.raw_vectors(spark, sf), "doc_id").select("idx", "label", "vec")
-    params = FitParams(min_similarity=C.SCALE, min_topic_size=10, predict_similarity=0.1, hierarchical=hierarchical)
+    params = FitParams(min_similarity=C.SCALE, min_topic_size=MIN_SIZE, predict_similarity=0.1, **settings)
     return fit.fit_topics(docs, C.ENCODER, params=params, vecs=C.raw_vectors(spark, sf), prototypes=chosen)
 
 
-@query()
+def fitted_by_projection(spark: SparkSession, sf: str):
+    """The reduction that SQL can follow."""
+    return fitted(spark, sf, components=K, reduction="projection", width=WIDTH, reach2=REACH2, min_pts=MIN_PTS)
+
+
+# Clusters are sought among the documents that no predefined topic took.
+_FIT = f"""{C.ZERO_SHOT}, ov AS (SELECT cv.* FROM cv JOIN zs USING (doc_id) WHERE idx IS NULL), {_low_sql("ov")}, {_GRID}, {_DENSE}, {_NUMBERED},
+fa AS (SELECT doc_id, topic_id, un.kind, probability FROM un JOIN tp ON un.kind = tp.kind AND un.source IS NOT DISTINCT FROM tp.source)"""
+
+
+@query(f"WITH RECURSIVE {_FIT} SELECT doc_id, topic_id, round(probability, 6) AS probability FROM fa")
 def e10_fit_topics(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted(spark, sf).assignments
+    return fitted_by_projection(spark, sf).assignments.withColumn("probability", F.round("probability", 6))
 
 
 @query()
+def e10_fit_topics_pca(spark: SparkSession, sf: str) -> DataFrame:
+    return fitted(spark, sf).assignments
+
+
+@query(
+    f"""WITH RECURSIVE {_FIT},
+fc AS (SELECT topic_id, b, avg(x) AS x FROM cv JOIN fa USING (doc_id) WHERE fa.kind = 'cluster' GROUP BY topic_id, b),
+fu AS (SELECT topic_id, b, x / sqrt(sum(x * x) OVER (PARTITION BY topic_id)) AS x FROM fc),
+fp AS (SELECT topic_id, b, x FROM tp JOIN pv ON tp.kind = 'predefined' AND tp.source = CAST(pv.idx AS VARCHAR)),
+fs AS (SELECT doc_id, topic_id, round(sum(cv.x * fp.x), 12) AS s, 0 AS o, {C.SCALE} AS least FROM cv JOIN fp USING (b) GROUP BY doc_id, topic_id
+       UNION ALL SELECT doc_id, topic_id, round(sum(cv.x * fu.x), 12), 1, 0.1 FROM cv JOIN fu USING (b) GROUP BY doc_id, topic_id),
+fr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY o, s DESC, topic_id) AS r FROM fs WHERE round(s, 6) >= least)
+SELECT d.doc_id, coalesce(topic_id, -1) AS topic_id, round(coalesce(s, 0), 6) AS probability
+FROM documents d LEFT JOIN (SELECT * FROM fr WHERE r = 1) f ON f.doc_id = d.doc_id"""
+)
 def a8_model_store(spark: SparkSession, sf: str) -> DataFrame:
     """Fit, save, load, predict the training documents with the loaded model."""
     path = scratch_path(spark, "model")
-    model_store.save_model(fitted(spark, sf), path)
-    return predict.predict(model_store.load_model(spark, path), C.documents(spark, sf), C.ENCODER)
+    model_store.save_model(fitted_by_projection(spark, sf), path)
+    rows = predict.predict(model_store.load_model(spark, path), C.documents(spark, sf), C.ENCODER)
+    return rows.withColumn("probability", F.round("probability", 6))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
