@@ -36,9 +36,10 @@ def number_topics(united: DataFrame, labels: DataFrame | None = None) -> DataFra
     Ordered without a partition, which is fine for a table of topics; the documents never take part.
     """
     sizes = united.groupBy("kind", "source").agg(F.count("*").alias("size"))
-    rank = F.when(F.col("kind") == "predefined", F.struct(F.lit(0).alias("a"), F.col("source").cast("long").alias("b"), F.lit(0).cast("long").alias("c")))
-    rank = rank.otherwise(F.struct(F.lit(1).alias("a"), (-F.col("size")).alias("b"), F.col("source").cast("long").alias("c")))
-    topics = sizes.where(F.col("kind") != "outlier").withColumn("topic_id", (F.row_number().over(Window.orderBy(rank)) - 1).cast("int"))
+    listed = F.col("kind") == "predefined"
+    # Length before text puts numbers in numeric order and works for ids of any type.
+    rank = [~listed, F.when(listed, F.col("source").try_cast("long")).otherwise(-F.col("size")), F.length("source"), F.col("source")]
+    topics = sizes.where(F.col("kind") != "outlier").withColumn("topic_id", (F.row_number().over(Window.orderBy(*rank)) - 1).cast("int"))
     outliers = sizes.where(F.col("kind") == "outlier").withColumn("topic_id", F.lit(-1))
     table = topics.unionByName(outliers)
     if labels is None:
@@ -62,6 +63,11 @@ def topic_labels(generated: DataFrame, topics: DataFrame) -> DataFrame:
     return generated.join(fixed, "topic_id", "left").select("topic_id", F.coalesce("fixed", "label").alias("label"))
 
 
+def aspect_labels(terms: DataFrame, aspect: str = "AI_Generated") -> DataFrame:
+    """``(topic_id, label)``: the first term of one aspect, such as the generated label."""
+    return terms.where((F.col("aspect") == aspect) & (F.col("rank") == 1)).select("topic_id", F.col("term").alias("label"))
+
+
 def set_topic_labels(labels: DataFrame, custom: DataFrame) -> DataFrame:
     """Custom ``(topic_id, label)`` over the given ones; topic -1 always gets the fixed outlier label."""
     own = custom.select("topic_id", F.col("label").alias("own"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics.functions import vectors as X
-from review_topics.operators import density, distribution, embedding, neighbours, reduction, represent, terms, topics, zeroshot
+from review_topics.operators import density, distribution, embedding, neighbours, reduction, relations, represent, terms, topics, zeroshot
 from review_topics.plans.model import FitParams, TopicModel
 from review_topics.session import broadcast_checked, stage
 
@@ -107,6 +109,24 @@ def update_topics(
     )
 
 
+def reduce_topics(model: TopicModel, docs: DataFrame, encoder, n: int) -> TopicModel:
+    """The model with its most similar topics merged until ``n`` are left; outliers stay outliers.
+
+    A merged topic keeps the smallest of its ids. Its centroid is the mean of the old ones weighted by their sizes.
+    """
+    merges = stage(relations.merge_steps(relations.topic_similarity(model.ctfidf)), "merges")
+    merged = broadcast_checked(stage(topics.merge_map(merges, model.topics, n), "merged"))
+    weighted = model.centroids.join(model.topics.select("topic_id", F.col("size").cast("double").alias("size")), "topic_id")
+    centroids = (
+        weighted.join(merged, "topic_id")
+        .groupBy(F.col("merged_id").alias("topic_id"))
+        .agg(vector_to_array(Summarizer.mean(array_to_vector("vec"), F.col("size"))).alias("vec"))
+    )
+    prototypes = model.prototypes.join(merged, "topic_id").select(F.col("merged_id").alias("topic_id"), "vec")
+    moved = model.with_tables(centroids=stage(centroids, "centroids"), prototypes=stage(prototypes, "used"))
+    return update_topics(moved, docs, encoder, stage(topics.reduce_topics(model.assignments, merged), "assignments"))
+
+
 def reduce_outliers(model: TopicModel, docs: DataFrame, threshold: float = 0.0) -> DataFrame:
     """New assignments in which outliers follow their own word windows; only outliers are looked at."""
     outliers = model.assignments.where(F.col("topic_id") == -1).select("doc_id")

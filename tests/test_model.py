@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.operators import represent, topics
-from review_topics.plans import fit, predict
+from review_topics.operators import embedding
+from review_topics.plans import fit, label, predict
+from review_topics.plans.model import FitParams
 from review_topics.queries import common as C
 from review_topics.queries import topic_queries as Q
 from review_topics.session import scratch_path
@@ -89,6 +91,38 @@ def test_aspects_are_kept_by_an_update(spark, sf, model, docs):
         assert {r["aspect"] for r in stage.terms.select("aspect").distinct().collect()} == {"Main", "MMR", "AI_Generated"}
 
 
+def test_topics_are_merged_to_the_wanted_number(model, docs):
+    before = {r["topic_id"] for r in model.topics.collect() if r["topic_id"] >= 0}
+    merged = fit.reduce_topics(model, docs, C.ENCODER, 2)
+    rows = merged.topics.collect()
+    left = {r["topic_id"] for r in rows if r["topic_id"] >= 0}
+    assert len(before) > 2 and len(left) == 2 and left <= before and sum(r["size"] for r in rows) == docs.count()
+    assert {r["topic_id"] for r in merged.centroids.collect()} - {-1} == left
+    outliers = lambda m: {r["doc_id"] for r in m.assignments.where("topic_id = -1").collect()}
+    assert outliers(merged) == outliers(model)
+    assert {r["topic_id"] for r in predict.predict(merged, docs, C.ENCODER).collect()} <= left | {-1}
+
+
+def test_intents_become_the_labelled_table(spark):
+    subjects = {"Seating comfort": "the seat was cramped row", "Food quality": "the meal was cold food", "Baggage issue": "my bag was lost baggage"}
+    rows = [(i, "Air", "5", "t", "r", "{}", name, f"{text} {i % 4}{'x' * (i % 3)} case", "Negative", ["A"]) for i, (name, text) in enumerate(list(subjects.items()) * 20)]
+    rows += [rows[0]] * 30 + [(99, "Air", "5", "t", "r", "{}", None, "no intent", "Neutral", [])]
+    names = "id long, Airline_Name string, Overall_Rating string, Review_Title string, Review string, llm_response string, intent string, text_summary string, sentiment string, named_entities array<string>"
+    labels = embedding.label_table(spark, ["seat cramped row seating comfort", "meal cold food quality"])
+    params = FitParams(min_similarity=0.3, min_topic_size=5, min_pts=3, components=2, width=0.3)
+    labelled, model = label.label_intents(spark.createDataFrame(rows, names), C.ENCODER, C.HashProvider(plain=True), labels, params, backoff=None)
+    out = labelled.collect()
+    assert len(out) == 90 and labelled.columns == ["topic_id", "probability", "topic_name", "llm_topic_name", "document"]
+    by_name = {r["document"].split(":")[0]: set() for r in out}
+    for r in out:
+        by_name[r["document"].split(":")[0]].add((r["topic_id"], r["topic_name"]))
+    assert by_name["Seating comfort"] == {(0, "seat cramped row seating comfort")}
+    assert by_name["Food quality"] == {(1, "meal cold food quality")}
+    assert {t for t, _ in by_name["Baggage issue"]} == {2}
+    assert all(r["llm_topic_name"] for r in out)
+    assert {r["aspect"] for r in model.terms.select("aspect").distinct().collect()} == {"Main", "AI_Generated", "KeyBERT"}
+
+
 def test_labels_table_is_written_once(spark, model, docs):
     names = model.labels
     rows = topics.labelled_result(model.assignments, docs, names, names)
