@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_topics.session import cut_lineage, hot_lookup
+from review_topics.session import ONE_TASK_ROWS, cut_lineage, hot_lookup
 
 
 def _large_star(edges: DataFrame, rows: int) -> DataFrame:
@@ -40,7 +40,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if before[0] == 0:
         return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        current = cut_lineage(_small_star(cut_lineage(_large_star(current, before[0])), before[0]))
+        linked = _large_star(current, before[0])
+        linked = cut_lineage(linked) if before[0] > ONE_TASK_ROWS else linked
+        current = cut_lineage(_small_star(linked, before[0]))
         after = _fingerprint(current)
         if after == before:
             roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

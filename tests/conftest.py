@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("4", "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = build_session("8", "tests", **{"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "2"})
     yield session
     session.stop()
 
