@@ -108,6 +108,7 @@ def fit_model(samples: dict[str, list[str]]) -> LanguageModel:
         table = suffix_automaton(line.tolist(), size)
         again = np.where(table[0] < 0, 0, table[0])
         steps = np.where(table < 0, again[None, :] * 2 * size + 1, table * 2 * size).astype(np.int32)
+        steps[0] |= 1  # the start is left only by the first character of a phrase
         steps[:, size - 1] = np.arange(len(steps)) * 2 * size  # the filler behind a text changes nothing
         model.steps.append(steps.reshape(-1))
         model.trained.append(len(line))
@@ -141,7 +142,7 @@ def entropies(model: LanguageModel, texts: pa.Array) -> tuple[np.ndarray, np.nda
     used = np.maximum(length, 1)
     out = np.zeros((len(texts), len(model.languages)))
     for k, steps in enumerate(model.steps):
-        phrases = np.ones(len(owner), np.int64)
+        phrases = np.zeros(len(owner), np.int64)
         state = np.zeros(len(owner), np.int32)
         for symbol in matrix:
             step = np.take(steps, state + symbol)
