@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard
+from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard, packing, pii
 from review_topics.session import stage
 
 # More bits a character than this is not running text of a known language: phrases of under two characters.
@@ -32,10 +32,24 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with personal data in their texts replaced by its kind."""
+    return pii.masked(docs, pii.train(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with the sequence each goes to and its place there."""
+    pieces = packing.token_pieces(docs, packing.byte_bpe_50k())
+    placed = packing.best_fit(pieces).join(pieces.select("length", "task", "nth", "ids"), ["length", "task", "nth"])
+    return placed.select("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
+
+
 STAGES = [
     ("language_id", known_language),
     ("ngram_jaccard_join", one_of_each_group),
     ("benchmark_decontamination", without_benchmark),
+    ("personal_data", without_personal_data),
+    ("best_fit_packing", packed),
 ]
 
 ORACLE_SQL = None

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard
+from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard, packing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +35,35 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op6_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    found = pii.personal_data(documents, pii.train(documents))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(kind).__eq__)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def _id_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("ids")
+        flat, ends = np.asarray(ids.flatten()).astype("<u4"), np.concatenate(([0], np.cumsum(np.asarray(ids.value_lengths()))))
+        digests = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("length", "task", "nth")), pa.array(digests, pa.int64())], names=["length", "task", "nth", "ids_crc32"])
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf, "documents"), packing.byte_bpe_50k())
+    digests = pieces.select("length", "task", "nth", "ids").mapInArrow(_id_digests, "length int, task int, nth long, ids_crc32 long")
+    placed = packing.best_fit(pieces).join(digests, ["length", "task", "nth"])
+    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard.jaccard_links(table(spark, sf, "documents"))
