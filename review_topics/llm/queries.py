@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard, packing, pii
+from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii
+from review_topics.session import hot_lookup, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,20 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+@query
+def op2_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op2_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -69,6 +84,22 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard.jaccard_links(table(spark, sf, "documents"))
 
 
+@query
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("record"), "url", F.col("html").alias("payload"))
+    legacy, modern = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    archives.write_arc(pages, legacy)
+    archives.convert(spark, legacy, modern)
+    found = archives.read_warc(spark, modern)
+    # Identifiers lead from a revisit to its response.
+    responses = found.where("warc_type = 'response'").select(F.col("warc_id").alias("refers_to"), F.col("record").alias("response"))
+    pointing = found.where("warc_type = 'revisit'").groupBy("refers_to").agg(F.count("*").alias("matches"))
+    named = responses.join(pointing, "refers_to")
+    columns = [F.col("record").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type")]
+    revisits = hot_lookup(found.where("warc_type = 'revisit'").drop("payload"), named, ["refers_to"], "matches").select(*columns, F.col("response").alias("refers_to"))
+    return found.where("warc_type = 'response'").select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(revisits)
+
+
 @query
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
