@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics.llm import words
+from review_topics.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
@@ -267,7 +268,8 @@ def train(documents: DataFrame, limit: int = TRAIN_ISLANDS) -> SemiMarkovField:
     """Field fitted on the islands of at most ``limit`` documents, the first with a digit or at-sign by their hash."""
     shown = documents.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
     around = F.expr("regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,60}', 0)")
-    rows = shown.select("h", F.slice(around, 1, 4).alias("parts")).orderBy("h").limit(limit).collect()
+    # The executors merge their first rows; only ``limit`` of them reach the driver.
+    rows = stage(shown.select("h", F.slice(around, 1, 4).alias("parts")).orderBy("h").limit(limit), "pii-sample").collect()
     samples = []
     for row in rows:
         for part in row["parts"]:

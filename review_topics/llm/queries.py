@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii
+from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, token_counts, toxicity
 from review_topics.session import hot_lookup, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,14 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = token_counts.read_sentencepiece(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf, "documents"), vocabulary)
+
+
 @query
 def op2_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return exact_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -50,6 +58,15 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    scorer = toxicity.train(documents, table(spark, sf, "labels").where(remainder(5) != 0))
+    score = toxicity.scored(documents, scorer)
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
+    return score.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
