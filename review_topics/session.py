@@ -14,8 +14,6 @@ MAX_TOPICS = 10_000
 HOT_SHARE = 1_000
 # Partitions-to-be of one hot key.
 SALTS = 4_096
-# So few rows fit one task even if they all share a key.
-ONE_TASK_ROWS = 200_000
 
 
 def build_session(cores: str = "*", app: str = "review_topics", **conf: str) -> SparkSession:
@@ -58,17 +56,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of the executors that made them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a stage to Parquet in the shared folder and read it back (columnar, prunable)."""
+    """Write a stage to Parquet in the shared folder and read it back (columnar, prunable).
+
+    The table survives the loss of the executors that made it, and the plan that reads it starts anew: nothing of the old
+    plan, its constraints included, is carried on. ``unstage`` deletes it.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete stages that nothing reads any more."""
+    for df in staged:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same rows without the plan that made them; for the steps of a loop."""
+    return stage(df, "step")
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> DataFrame:
@@ -84,19 +95,14 @@ def collect_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> list:
     return rows
 
 
-def hot_lookup(
-    left: DataFrame, right: DataFrame, on: list[str], matches: str, rows: int | None = None
-) -> DataFrame:
+def hot_lookup(left: DataFrame, right: DataFrame, on: list[str], matches: str) -> DataFrame:
     """Inner equi join of ``left`` with a unique-key ``right`` that survives hot keys.
 
     ``right[matches]`` says how many ``left`` rows carry the key, so the keys holding more than
     1/HOT_SHARE of all rows are known without another pass over ``left`` and number at most HOT_SHARE.
     Their rows pass the shuffled join under a salt that spreads them over many partitions and matches nothing
-    there, and get their values from a broadcast of the few hot keys instead. ``left`` is read once. When its
-    number of ``rows`` is known and fits one task anyway, a plain join does.
+    there, and get their values from a broadcast of the few hot keys instead. ``left`` is read once.
     """
-    if rows is not None and rows <= ONE_TASK_ROWS:
-        return left.join(right.drop(matches), on)
     total = right.agg(F.sum(matches)).scalar()
     is_hot: Column = F.col(matches) * F.lit(HOT_SHARE) > total
     values = [c for c in right.columns if c not in on and c != matches]

@@ -39,7 +39,6 @@ GRAPHS = {
 )
 def test_components_match_union_find(spark, monkeypatch, name, split_hubs):
     if split_hubs:
-        monkeypatch.setattr(session, "ONE_TASK_ROWS", 0)
         monkeypatch.setattr(session, "HOT_SHARE", 4)
     edges = [(a, b) for a, b in GRAPHS[name]]
     out = CC.components(spark.createDataFrame(edges, "u long, v long")).collect()
