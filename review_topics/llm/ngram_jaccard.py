@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from review_topics.llm import words
 from review_topics.operators.components import components
-from review_topics.session import hot_lookup, stage
+from review_topics.session import hot_lookup, stage, unstage
 
 BLOCK_ROWS = 256
 BLOCK_GRAMS = 2_000_000
@@ -184,40 +184,37 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
     banded = stage(signed.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
     buckets = banded.groupBy("band", "bucket").agg(F.min("node").alias("lead"), F.count("*").alias("members"))
     met = stage(hot_lookup(banded, buckets.where("members > 1"), ["band", "bucket"], "members"), "met")
-    candidates = components(met.select(F.col("node").alias("u"), F.col("lead").alias("v")))
-
-    # Blocks of bounded rows and n-grams. Classes of one first band fall into one block.
-    sized = candidates.join(
-        signed.groupBy("node").agg(
-            F.sum("copies").alias("copies"), F.max("n_grams").alias("n_grams"), F.min(F.element_at("bands", 1)).alias("first_band")
-        ),
-        "node",
-    )
-    per_group = sized.groupBy("component").agg(F.count("*").alias("members"), F.sum("n_grams").alias("grams"))
+
+    # Blocks of bounded rows and n-grams. A class goes with the smallest lead of its buckets, so copies of one text share
+    # a block; where a bucket spans blocks, each pair of these is verified too. No pair that meets in a bucket is left out.
+    homes = met.groupBy("node").agg(F.min("lead").alias("home"))
+    sized = homes.join(signed.groupBy("node").agg(F.sum("copies").alias("copies"), F.max("n_grams").alias("n_grams")), "node")
+    per_home = sized.groupBy("home").agg(F.count("*").alias("members"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("long")
-    per_group = per_group.select("component", "members", blocks.alias("blocks"))
-    placed = hot_lookup(sized, per_group, ["component"], "members")
-    placed = stage(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "blocks")
-    seen = met.join(placed.where("blocks > 1").select("node", "component", "block"), "node")
-    seen = seen.select("band", "bucket", "component", "block").distinct()
-    other = seen.select("band", "bucket", F.col("block").alias("other"))
-    across = seen.join(other, ["band", "bucket"]).where("block < other").select("component", "block", "other").distinct()
-    left = across.select("component", "block", F.struct("block", "other", F.lit(0).alias("side")).alias("unit"))
-    right = across.select("component", F.col("other").alias("block"), F.struct("block", "other", F.lit(1).alias("side")).alias("unit"))
-    units = left.unionByName(right).groupBy("component", "block").agg(F.collect_list("unit").alias("units"))
-    own_unit = F.array(F.struct("block", F.col("block").alias("other"), F.lit(-1).alias("side")))
-    members = placed.join(units, ["component", "block"], "left").select(
-        F.col("node").alias("doc_id"), "component", "copies", F.concat(own_unit, F.coalesce("units", F.array().cast("array<struct<block:long,other:long,side:int>>"))).alias("units")
+    placed = hot_lookup(sized, per_home.select("home", "members", blocks.alias("blocks")), ["home"], "members")
+    block = F.struct("home", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("part")).alias("block")
+    placed = stage(placed.select("node", "copies", block), "blocks")
+    seen = met.join(placed.select("node", "block"), "node").groupBy("band", "bucket").agg(F.collect_set("block").alias("blocks"))
+    seen = seen.where(F.size("blocks") > 1).select(F.sort_array("blocks").alias("blocks")).distinct()
+    one = seen.select("blocks", F.posexplode("blocks").alias("at", "block"))
+    across = one.select("block", F.explode(F.slice("blocks", F.col("at") + 2, F.greatest(F.lit(0), F.size("blocks")))).alias("other")).distinct()
+    left = across.select("block", F.struct("block", "other", F.lit(0).alias("side")).alias("unit"))
+    right = across.select(F.col("other").alias("block"), F.struct("block", "other", F.lit(1).alias("side")).alias("unit"))
+    units = left.unionByName(right).groupBy("block").agg(F.collect_list("unit").alias("units"))
+    unit = "array<struct<block:struct<home:long,part:long>,other:struct<home:long,part:long>,side:int>>"
+    own_unit = F.array(F.struct("block", F.col("block").alias("other"), F.lit(-1).alias("side"))).cast(unit)
+    members = placed.join(units, "block", "left").select(
+        F.col("node").alias("doc_id"), "copies", F.concat(own_unit, F.coalesce(F.col("units").cast(unit), F.array().cast(unit))).alias("units")
     )
     sets = docs.join(members, "doc_id").mapInArrow(
-        _gram_sets(n), "doc_id long, component long, copies long, units array<struct<block:long,other:long,side:int>>, grams binary"
+        _gram_sets(n), f"doc_id long, copies long, units {unit}, grams binary"
     )
-    work = sets.select(F.col("doc_id").alias("node"), "component", "copies", "grams", F.explode("units").alias("unit"))
-    work = work.select("node", "copies", "grams", "component", "unit.*").withColumn("side", F.col("side").cast("int"))
+    work = sets.select(F.col("doc_id").alias("node"), "copies", "grams", F.explode("units").alias("unit")).select("node", "copies", "grams", "unit.*")
     found = stage(
-        work.groupBy("component", "block", "other").applyInArrow(_verify(threshold), "node long, root long, links long, documents long"),
+        work.groupBy("block", "other").applyInArrow(_verify(threshold), "node long, root long, links long, documents long"),
         "links",
     )
+    unstage(banded, met, placed)
     grouped = components(found.where("root <> node").select(F.col("node").alias("u"), F.col("root").alias("v")))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("documents").alias("documents"))
 
