@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_topics.llm import words
+from review_topics.llm import bloom, words
 from review_topics.session import hot_lookup, stage
 
 MASKS = ((0, 2, 5, 6, 7), (0, 5, 6, 7, 8), (0, 1, 2, 4, 7), (0, 1, 5, 6, 8))
@@ -24,7 +24,6 @@ SHORTEST = min(m[-1] for m in MASKS) + 1
 MIN_WORDS = 13
 SHARE = 0.8
 CONTEXT = 64
-FILTER_BITS = 1 << 23
 
 
 def _salt(mask: tuple[int, ...]) -> np.uint64:
@@ -69,27 +68,11 @@ def _benchmark_seeds(masks: list[tuple[int, ...]]):
     return run
 
 
-def _probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    bits = np.uint64(FILTER_BITS - 1)
-    return (seeds & bits).astype(np.int64), ((seeds >> np.uint64(32)) & bits).astype(np.int64)
-
-
-def _filter_words(seeds: DataFrame) -> np.ndarray:
-    """Bloom filter of the benchmark's seeds: FILTER_BITS bits whatever the benchmark's size."""
-    low, high = F.col("seed").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(FILTER_BITS - 1))
-    bit = seeds.select(F.explode(F.array(low, high)).alias("bit"))
-    rows = bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS >> 5, np.uint32)
-    for row in rows:
-        out[row["word"]] = row["bits"]
-    return out
-
-
-def _training_runs(masks: list[tuple[int, ...]], bloom):
+def _training_runs(masks: list[tuple[int, ...]], sent):
     """Runs of positions that pass the filter, with the words around them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bloom.value
+        table = sent.value
         names = ["doc_id", "run", "first", "words", "seeds", "places"]
         for batch in batches:
             for part in words.sub_batches(batch, "text", 1 << 20):
@@ -97,10 +80,7 @@ def _training_runs(masks: list[tuple[int, ...]], bloom):
                 found, places = [], []
                 for mask in masks:
                     seeds = seed_hashes(hashes, mask)
-                    one, two = _probes(seeds)
-                    hit = np.flatnonzero((table[one >> 5] >> (one & 31).astype(np.uint32)) & 1)
-                    other = two[hit]
-                    hit = hit[((table[other >> 5] >> (other & 31).astype(np.uint32)) & 1) > 0]
+                    hit = bloom.passing(table, seeds)
                     doc = np.searchsorted(offsets, hit, "right") - 1
                     hit = hit[hit + mask[-1] < offsets[doc + 1]]
                     found.append(seeds[hit])
@@ -181,9 +161,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, min_words: int = MI
     items = stage(items.mapInArrow(_benchmark_words, "item_id long, n int, words binary").where("n > 0").dropDuplicates(), "passages")
     masks = masks_for([r["n"] for r in items.where(F.col("n") < SHORTEST).select("n").distinct().collect()])
     seeds = stage(items.mapInArrow(_benchmark_seeds(masks), "seed long, item_id long, at int"), "passage-seeds")
-    bloom = documents.sparkSession.sparkContext.broadcast(_filter_words(seeds))
+    sent = documents.sparkSession.sparkContext.broadcast(bloom.build(seeds.select("seed")))
     runs = stage(
-        docs.mapInArrow(_training_runs(masks, bloom), "doc_id long, run int, first int, words binary, seeds array<long>, places array<int>"),
+        docs.mapInArrow(_training_runs(masks, sent), "doc_id long, run int, first int, words binary, seeds array<long>, places array<int>"),
         "runs",
     )
     hits = runs.select("doc_id", "run", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(

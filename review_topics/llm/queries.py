@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, token_counts, toxicity
+from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
 from review_topics.session import hot_lookup, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,13 @@ WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf, "documents"))
+    removed = (F.col("n_bytes") - F.length("kept")).alias("n_removed")
+    return found.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
