@@ -4,58 +4,81 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics import schemas
-from review_topics.session import scratch_path
+from review_topics.session import path_exists, scratch_path, stage, unstage
+
+# Requests of one slice: what a run that was cut off may have to ask again.
+SLICE_ROWS = 10_000
 
 
 class RateLimited(Exception):
-    """Raised by a provider when the call may be tried again later."""
+    """Raised by a provider when the call may be tried again later; ``wait`` is the provider's hint in seconds."""
+
+    def __init__(self, wait: float | None = None):
+        super().__init__(wait)
+        self.wait = wait
 
 
 class Provider(Protocol):
-    """Picklable client. One copy lives in each task."""
+    """Picklable client. One copy lives in each task; its calls may come from several threads."""
 
-    def complete(self, request_id: int, request: str, attempt: int) -> tuple[list[str], str | None]:
+    def complete(self, request_id, request: str, attempt: int) -> tuple[list[str], str | None]:
         """Arguments of the tool calls, and the plain content."""
 
 
+def _call(provider: Provider, request_id, request: str, attempt: int, longest: float) -> tuple:
+    try:
+        tool_args, content = provider.complete(request_id, request, attempt)
+        return (request_id, attempt, "ok", tool_args, content)
+    except RateLimited as limited:
+        if limited.wait:
+            time.sleep(min(limited.wait, longest))
+        return (request_id, attempt, "rate_limited", [], None)
+    except Exception as error:  # an outcome to report, not a reason to lose the other rows
+        return (request_id, attempt, "error", [], f"{type(error).__name__}: {error}")
+
+
 def infer(
     requests: DataFrame,
     provider: Provider,
     attempt: int = 1,
     max_in_flight: int = V.MAX_IN_FLIGHT,
     backoff: tuple[float, float] | None = V.BACKOFF_SECONDS,
+    calls_per_task: int = 1,
 ) -> DataFrame:
-    """One reply row per ``(id, request)`` row, whatever the outcome of the call.
+    """One reply row per ``(id, request)`` row, whatever the outcome of the call; ids keep their type.
 
-    The number of partitions bounds how many calls run at once; every call is sequential within its task.
+    At most ``max_in_flight`` calls run at once: ``calls_per_task`` in each of as many tasks as that allows. In a later
+    attempt each task waits once, before its first call, and otherwise only as long as the provider asks.
     """
+    if not 1 <= calls_per_task <= max_in_flight:
+        raise ValueError("calls_per_task must be from 1 to max_in_flight")
+    schema = schemas.reply_schema(requests.schema["id"].dataType)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for request_id, request in zip(batch["id"], batch["request"]):
-                if attempt > 1 and backoff is not None:
-                    low, high = backoff
+        low, high = backoff or (0.0, 0.0)
+        waited = attempt == 1 or backoff is None
+        with ThreadPoolExecutor(calls_per_task) as slots:
+            for batch in batches:
+                if not waited and len(batch):
                     time.sleep(random.uniform(low, min(high, low * 2**attempt)))
-                try:
-                    tool_args, content = provider.complete(int(request_id), request, attempt)
-                    rows.append((request_id, attempt, "ok", tool_args, content))
-                except RateLimited:
-                    rows.append((request_id, attempt, "rate_limited", [], None))
-                except Exception as error:  # an outcome to report, not a reason to lose the other rows
-                    rows.append((request_id, attempt, "error", [], f"{type(error).__name__}: {error}"))
-            yield pd.DataFrame(rows, columns=schemas.REPLY.names)
+                    waited = True
+                ask = partial(_call, provider, attempt=attempt, longest=high)
+                rows = list(slots.map(ask, batch["id"].tolist(), batch["request"].tolist()))
+                yield pd.DataFrame(rows, columns=schema.names)
 
-    return requests.select("id", "request").repartition(max_in_flight).mapInPandas(call, schemas.REPLY)
+    return requests.select("id", "request").repartition(max_in_flight // calls_per_task).mapInPandas(call, schema)
 
 
 def infer_with_retries(
@@ -65,40 +88,49 @@ def infer_with_retries(
     attempts: int = V.MAX_ATTEMPTS,
     max_in_flight: int = V.MAX_IN_FLIGHT,
     backoff: tuple[float, float] | None = V.BACKOFF_SECONDS,
-    slices: int = 1,
+    slice_rows: int = SLICE_ROWS,
+    calls_per_task: int = 1,
 ) -> DataFrame:
     """Call until every request has succeeded, failed for good or used its attempts; returns the ledger.
 
-    Each round is written to the ledger before anything reads it, because a model call is neither free nor
-    repeatable. A round only sends requests without a finished call and with attempts left, so a run that was cut
-    off can simply be started again with the same ledger. ``slices`` splits a large job by id hash: what a slice
-    has written is never called again.
+    Requests without a finished call and with attempts left are written once, in slices of about ``slice_rows``. Slices
+    follow each other, so the number of tasks grows with the data while the calls in flight stay bounded. Every attempt
+    of a slice is committed to a folder of its own before anything reads it, because a model call is neither free nor
+    repeatable: a run that was cut off is started again with the same ledger and repeats one attempt of one slice.
     """
     spark = requests.sparkSession
     ledger = ledger or scratch_path(spark, "ledger")
-    spark.createDataFrame([], schemas.REPLY).write.mode("append").parquet(ledger)
+    schema = schemas.reply_schema(requests.schema["id"].dataType)
+
+    def read(path: str) -> DataFrame:
+        rows = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+        return rows.select(*schema.names)
+
+    seen = read(ledger).groupBy("id").agg(
+        F.max("attempt").alias("last_attempt"), F.bool_or(F.col("status") != "rate_limited").alias("finished")
+    )
+    last = F.coalesce("last_attempt", F.lit(0))
+    wanted = requests.select("id", "request").join(seen, "id", "left").where(~F.coalesce("finished", F.lit(False)) & (last < attempts))
+    wanted = stage(wanted.select("id", "request", last.alias("last_attempt")), "requests")
+    slices = max(1, -(-wanted.count() // slice_rows))
+    sliced = scratch_path(spark, "slices")
+    numbered = wanted.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+    numbered.repartition(slices, "slice").write.partitionBy("slice").parquet(sliced)
+    unstage(wanted)
     for part in range(slices):
-        wanted = requests.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == part)
-        for _ in range(attempts):
-            seen = spark.read.schema(schemas.REPLY).parquet(ledger).groupBy("id")
-            seen = seen.agg(
-                F.max("attempt").alias("last_attempt"), F.bool_or(F.col("status") != "rate_limited").alias("finished")
-            )
-            open_ids = wanted.select("id").join(seen, "id", "left")
-            open_ids = open_ids.where(
-                ~F.coalesce("finished", F.lit(False)) & (F.coalesce("last_attempt", F.lit(0)) < attempts)
-            )
-            rounds = [r["n"] for r in open_ids.select(_next()).distinct().limit(attempts).collect()]
-            for attempt in sorted(rounds):
-                due = wanted.join(open_ids.where(_next() == attempt).select("id"), "id", "left_semi")
-                infer(due, provider, attempt, max_in_flight, backoff).write.mode("append").parquet(ledger)
-            if not rounds:
-                break
-    return spark.read.schema(schemas.REPLY).parquet(ledger)
-
-
-def _next() -> Column:
-    return (F.coalesce("last_attempt", F.lit(0)) + 1).alias("n")
+        folder = f"{sliced}/slice={part}"
+        if not path_exists(spark, folder):
+            continue
+        own = spark.read.schema(wanted.schema).parquet(folder)
+        again = None  # what the attempt before left open
+        for attempt in range(1, attempts + 1):
+            due = own.where(F.col("last_attempt") == attempt - 1)
+            if again is not None:
+                due = due.unionByName(own.join(again, "id", "left_semi"))
+            path = f"{ledger}/round={uuid.uuid4().hex}"
+            infer(due, provider, attempt, max_in_flight, backoff, calls_per_task).write.parquet(path)
+            again = read(path).where("status = 'rate_limited'").select("id")
+    return read(ledger)
 
 
 def latest_replies(ledger: DataFrame) -> DataFrame:

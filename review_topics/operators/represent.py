@@ -67,11 +67,10 @@ def mmr(
 ) -> DataFrame:
     """Diversified keywords: each next term weighs its relevance against its likeness to those already chosen.
 
-    ``candidates`` holds at most ``CANDIDATES`` ranked terms per topic, so each group is a few rows by construction.
+    All ranked ``candidates`` of a topic are weighed, so the caller's ``top_terms`` bounds a group.
     Relevance is the weight relative to the topic's best.
     """
-    ranked = candidates.where(F.col("rank") <= CANDIDATES)
-    with_vectors = embed_terms(ranked, encoder, trigram_text)
+    with_vectors = embed_terms(candidates, encoder, trigram_text)
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rank").reset_index(drop=True)
@@ -100,7 +99,7 @@ def keybert_terms(
     ``representative_vecs`` is ``(topic_id, vec)``, a few rows per topic.
     """
     means = X.group_means(representative_vecs, "topic_id").withColumnRenamed("vec", "topic_vec")
-    terms_in = embed_terms(candidates.where(F.col("rank") <= CANDIDATES).drop("weight", "rank", "aspect"), encoder)
+    terms_in = embed_terms(candidates.drop("weight", "rank", "aspect"), encoder)
     scored = terms_in.join(means, "topic_id").withColumn("weight", X.cosine(F.col("vec"), F.col("topic_vec")))
     scored = scored.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     best = terms.ranked(scored, "weight", top_n, "term")

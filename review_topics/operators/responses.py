@@ -100,4 +100,4 @@ def na_drop(df: DataFrame, mode: str = "strict") -> DataFrame:
 
 def to_intents_schema(df: DataFrame) -> DataFrame:
     """Project, rename and cast by name to the intents table."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.INTENTS_TABLE.fields])
+    return df.select(*schemas.intents_columns(df))

@@ -13,7 +13,7 @@ from review_topics.session import stage
 def extract_intents(
     table: DataFrame,
     provider,
-    sample: int | None = 1_000,
+    sample: int | None = None,
     seed: int = 42,
     min_chars: int = 1,
     max_chars: int | None = None,
@@ -21,11 +21,12 @@ def extract_intents(
     ledger: str | None = None,
     max_in_flight: int = V.MAX_IN_FLIGHT,
     backoff: tuple[float, float] | None = V.BACKOFF_SECONDS,
-    slices: int = 1,
+    slice_rows: int = inference.SLICE_ROWS,
+    calls_per_task: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(intents, rejects)`` of a review table with ``id`` and ``Review``.
+    """``(intents, rejects)`` of a review table with ``id`` and ``Review``; ids keep their type.
 
-    Every accepted review id ends in one of the two: rejects say why a review, a reply or an intent was left out.
+    All reviews are read unless ``sample`` asks for some. Every review id ends in one of the two: rejects say why a review, a reply or an intent was left out.
     """
     picked = reviews.sample_n(table, sample, "id", seed) if sample else table
     checked = stage(reviews.prefilter_reviews(picked, min_chars, max_chars), "reviews")
@@ -33,7 +34,7 @@ def extract_intents(
     refused = checked.where(F.col("reject_reason").isNotNull()).select("id", F.lit("review").alias("stage"), F.col("reject_reason").alias("reason"))
 
     requests = prompts.chat_request(prompts.render_prompt(accepted), tools=V.TOOLS).select("id", "request")
-    replies = inference.infer_with_retries(requests, provider, ledger, V.MAX_ATTEMPTS, max_in_flight, backoff, slices)
+    replies = inference.infer_with_retries(requests, provider, ledger, V.MAX_ATTEMPTS, max_in_flight, backoff, slice_rows, calls_per_task)
     last = inference.latest_replies(replies)
     failed = last.where(F.col("status") != "ok").select("id", F.lit("call").alias("stage"), F.col("status").alias("reason"))
 

@@ -79,13 +79,16 @@ def update_topics(
     encoder,
     assignments: DataFrame,
     aspects: dict[str, list[Callable[[DataFrame], DataFrame]]] | None = None,
+    term_lists: DataFrame | None = None,
 ) -> TopicModel:
     """Describe the topics of ``assignments`` anew: term weights, keywords, representative documents, labels.
 
-    Predefined labels stay. Generated aspects of the earlier model are kept unless ``aspects`` makes them again.
+    ``term_lists`` passes the terms of ``docs``; they are kept for the next call with the same frame. Predefined labels stay. Generated aspects of the earlier model are kept unless ``aspects`` makes them again.
     """
-    lists = model.extra.get("term_lists")
-    lists = stage(embedding.term_lists(docs), "term-lists") if lists is None else lists
+    if term_lists is None:
+        same = model.extra.get("described") is docs
+        term_lists = model.extra["term_lists"] if same else stage(embedding.term_lists(docs), "term-lists")
+    lists = term_lists
     weights = stage(terms.ctfidf(terms.topic_terms(lists, assignments)), "ctfidf")
     candidates = stage(terms.top_terms(weights, max(represent.CANDIDATES, model.params.top_n)), "candidates")
     main = candidates.where(F.col("rank") <= model.params.top_n)
@@ -105,7 +108,7 @@ def update_topics(
         labels=stage(topics.topic_labels(represent.default_labels(main), table), "labels"),
         representative=representative,
         assignments=assignments,
-        extra={**model.extra, "term_lists": lists},
+        extra={**model.extra, "term_lists": lists, "described": docs},
     )
 
 

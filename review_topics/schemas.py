@@ -1,5 +1,7 @@
 """Explicit schemas at every stage boundary."""
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INTENT = T.StructType(
@@ -11,6 +13,7 @@ INTENT = T.StructType(
     ]
 )
 
+
 INTENTS_TABLE = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -42,3 +45,16 @@ LABELLED = T.StructType(
         T.StructField("document", T.StringType()),
     ]
 )
+
+
+def intents_columns(rows: DataFrame) -> list[Column]:
+    """Columns of ``rows`` cast to the intents table; ids that are text stay text."""
+    text_id = isinstance(rows.schema["id"].dataType, T.StringType)
+    return [
+        F.col(f.name) if f.name == "id" and text_id else F.col(f.name).cast(f.dataType).alias(f.name) for f in INTENTS_TABLE.fields
+    ]
+
+
+def reply_schema(id_type: T.DataType) -> T.StructType:
+    """The ledger's columns for requests whose ids have this type."""
+    return T.StructType([T.StructField("id", id_type), *REPLY.fields[1:]])

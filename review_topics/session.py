@@ -77,6 +77,12 @@ def unstage(*staged: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(context._jsc.hadoopConfiguration()).exists(found)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows without the plan that made them; for the steps of a loop."""
     return stage(df, "step")

@@ -33,7 +33,7 @@ def read_reviews(spark: SparkSession, name_or_path: str, mapping: dict[str, str]
 def read_intents(spark: SparkSession, name_or_path: str) -> DataFrame:
     """Intents table with its ten typed columns."""
     table = read_table(spark, name_or_path)
-    return table.select(*[F.col(field.name).cast(field.dataType) for field in schemas.INTENTS_TABLE.fields])
+    return table.select(*schemas.intents_columns(table))
 
 
 def _write(df: DataFrame, target: str, mode: str, table_format: str, partition_by: list[str] | None) -> None:

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from review_topics.session import path_exists
 
-def save_vectors(vecs: DataFrame, path: str, encoder_id: str, mode: str = "append") -> None:
-    """Append ``(doc_id, vec)`` as floats, one folder per encoder."""
-    vecs.select("doc_id", F.col("vec").cast("array<float>").alias("vec"), F.lit(encoder_id).alias("encoder_id")).write.mode(
-        mode
+
+def save_vectors(vecs: DataFrame, path: str, encoder_id: str) -> None:
+    """Add ``(doc_id, vec)`` as floats, one folder per encoder; an id that the encoder has a vector for keeps it."""
+    rows = vecs.dropDuplicates(["doc_id"])
+    if path_exists(vecs.sparkSession, path):
+        saved = load_vectors(vecs.sparkSession, path, encoder_id)
+        rows = rows.join(saved.select("doc_id"), "doc_id", "left_anti")
+    rows.select("doc_id", F.col("vec").cast("array<float>").alias("vec"), F.lit(encoder_id).alias("encoder_id")).write.mode(
+        "append"
     ).partitionBy("encoder_id").parquet(path)
 
 

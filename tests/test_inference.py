@@ -1,12 +1,13 @@
 import json
 import os
 import sys
+import time
 
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
-from review_topics.operators import inference
+from review_topics.operators import inference, reviews
 from review_topics.plans.extract import extract_intents
 from review_topics.session import scratch_path
 
@@ -54,15 +55,57 @@ def test_retries_stop_at_three_and_never_repeat_a_success(spark, tmp_path):
 
 def test_a_second_run_on_the_same_ledger_calls_nothing(spark, tmp_path):
     ledger = scratch_path(spark, "ledger")
-    inference.infer_with_retries(requests(spark, 10), Flaky(str(tmp_path)), ledger, backoff=None, slices=3)
+    inference.infer_with_retries(requests(spark, 10), Flaky(str(tmp_path)), ledger, backoff=None, slice_rows=4)
     before = calls(tmp_path)
     inference.infer_with_retries(requests(spark, 15), Flaky(str(tmp_path)), ledger, backoff=None)
     assert before == expected(10) and calls(tmp_path) == expected(15)
 
 
-def test_concurrency_is_bounded_by_partitions(spark, tmp_path):
-    out = inference.infer(requests(spark, 40), Flaky(str(tmp_path)), max_in_flight=3)
-    assert out.select(F.spark_partition_id().alias("p")).distinct().count() <= 3
+class Overlapping:
+    """Notes when each call began and ended."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def complete(self, request_id, request, attempt):
+        began = time.time()
+        time.sleep(0.01)
+        with open(os.path.join(self.folder, f"{os.urandom(8).hex()}"), "w") as f:
+            f.write(f"{began} {time.time()} {os.getpid()}")
+        return ["{}"], None
+
+
+def test_calls_in_flight_stay_bounded_while_slices_grow(spark, tmp_path):
+    ledger = scratch_path(spark, "ledger")
+    out = inference.infer_with_retries(requests(spark, 300), Overlapping(str(tmp_path)), ledger, max_in_flight=4, backoff=None, slice_rows=50, calls_per_task=2)
+    assert out.count() == 300
+    spans = [tuple(map(float, open(os.path.join(tmp_path, name)).read().split()[:2])) for name in os.listdir(tmp_path)]
+    assert len(spans) == 300
+    most = max(sum(a <= begin < b for a, b in spans) for begin, _ in spans)
+    assert 1 < most <= 4
+    with_replies = [name for name in os.listdir(ledger.removeprefix("file://")) if name.startswith("round=")]
+    assert len(with_replies) >= 6
+
+
+def test_later_attempts_wait_once_a_task(spark, tmp_path):
+    began = time.time()
+    inference.infer(requests(spark, 60), Flaky(str(tmp_path)), attempt=2, max_in_flight=3, backoff=(0.5, 0.6)).collect()
+    assert time.time() - began < 10
+
+
+def test_generated_row_ids_reach_the_intents(spark):
+    rows = [("Air", "5", "t", f"review {i % 7}") for i in range(20)]
+    table = spark.createDataFrame(rows, "Airline_Name string, Overall_Rating string, Review_Title string, Review string")
+    numbered = reviews.with_row_id(table).withColumnRenamed("row_id", "id")
+    intents, rejects = extract_intents(numbered, Always(), backoff=None)
+    found = {r["id"] for r in intents.select("id").collect()} | {r["id"] for r in rejects.collect()}
+    assert found == {r["id"] for r in numbered.collect()} and len(found) == 20
+
+
+class Always:
+    def complete(self, request_id, request, attempt):
+        assert isinstance(request_id, str)
+        return [], json.dumps(V.EXAMPLE_OUTPUT)
 
 
 class Extractor:

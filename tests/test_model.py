@@ -57,13 +57,30 @@ def test_stream_gives_the_batch_predictions(spark, model, docs, predicted):
     source, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     docs.select("doc_id", "document").repartition(3).write.parquet(source)
     stream = spark.readStream.schema("doc_id long, document string").option("maxFilesPerTrigger", 1).parquet(source)
-    query = predict_stream(model, stream, C.ENCODER, target)
+    query = predict_stream(model, stream, C.ENCODER, target, scratch_path(spark, "checkpoint"))
     query.awaitTermination()
     rows = spark.read.parquet(target).collect()
     assert {r["doc_id"]: (r["topic_id"], round(r["probability"], 6)) for r in rows} == predicted
     assert len({r["batch_id"] for r in rows}) == 3
 
 
+def test_two_streams_into_one_target_keep_all_rows(spark, model, docs):
+    target = scratch_path(spark, "stream-out")
+    for name, condition in (("a", "doc_id < 60"), ("b", "doc_id >= 60 and doc_id < 100")):
+        source, checkpoint = scratch_path(spark, name), scratch_path(spark, f"checkpoint-{name}")
+        docs.select("doc_id", "document").where(condition).write.parquet(source)
+        stream = spark.readStream.schema("doc_id long, document string").parquet(source)
+        for _ in range(2):  # started again, a stream has nothing left to do
+            predict_stream(model, stream, C.ENCODER, target, checkpoint).awaitTermination()
+    assert sorted(r["doc_id"] for r in spark.read.parquet(target).collect()) == list(range(100))
+
+
+def test_changed_texts_are_described(model, docs):
+    other = docs.withColumn("document", F.concat(F.lit("zebra stripes "), F.col("document")))
+    updated = fit.update_topics(model, other, C.ENCODER, model.assignments)
+    assert updated.ctfidf.where("term = 'zebra'").count() > 0 and model.ctfidf.where("term = 'zebra'").count() == 0
+
+
 def test_outliers_shrink_and_representations_follow(model, docs):
     new = fit.reduce_outliers(model, docs)
     before = {r["doc_id"]: r["topic_id"] for r in model.assignments.collect()}
@@ -156,9 +173,10 @@ def test_vectors_round_trip_as_floats(spark):
     vecs = spark.createDataFrame([(1, [0.5, 0.25])], "doc_id long, vec array<double>")
     vector_store.save_vectors(vecs, path, "a")
     vector_store.save_vectors(vecs.withColumn("doc_id", F.lit(2)), path, "b")
-    assert [r["doc_id"] for r in vector_store.load_vectors(spark, path, "a").collect()] == [1]
+    vector_store.save_vectors(vecs.unionByName(vecs.withColumn("doc_id", F.lit(3).cast("long"))), path, "a")
+    assert sorted(r["doc_id"] for r in vector_store.load_vectors(spark, path, "a").collect()) == [1, 3]
     docs = spark.range(1, 4).withColumnRenamed("id", "doc_id")
-    assert {r["doc_id"] for r in vector_store.missing_vectors(docs, vector_store.load_vectors(spark, path, "a")).collect()} == {2, 3}
+    assert {r["doc_id"] for r in vector_store.missing_vectors(docs, vector_store.load_vectors(spark, path, "b")).collect()} == {1, 3}
 
 
 def test_probe_sentences_are_scored(spark, model):
