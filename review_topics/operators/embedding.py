@@ -1,11 +1,13 @@
-"""Document embedding: a built-in hashed encoder in plain SQL, and a seam for a real model."""
+"""Document embedding: a built-in hashed encoder, and a seam for a real model. Both work where a document is read."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,27 +15,43 @@ from review_topics.functions import text as T
 from review_topics.functions import vectors as X
 
 
-def doc_terms(docs: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)``: how often each document uses each term.
+def _batch_counts(tokens: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """``(distinct terms, row, term number, tf)`` of a batch of token lists; by row, then by first use of the term."""
+    encoded = tokens.flatten().dictionary_encode()
+    lengths = np.asarray(tokens.value_lengths().fill_null(0))
+    row = np.repeat(np.arange(len(tokens)), lengths)
+    width = max(1, len(encoded.dictionary))
+    key, tf = np.unique(row * width + np.asarray(encoded.indices), return_counts=True)
+    return encoded.dictionary, key // width, key % width, tf
 
-    The text is moved once, by ``doc_id``; every per-document aggregation after it stays within its partition.
-    """
-    return (
-        docs.select("doc_id", "document")
-        .repartition("doc_id")
-        .select("doc_id", F.explode(T.tokens(F.col("document"))).alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+
+def _term_column(names: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, rows: int) -> pa.ListArray:
+    entries = pa.StructArray.from_arrays([names.take(pa.array(term)), pa.array(tf.astype(np.int64))], ["term", "tf"])
+    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), entries)
+
+
+def _tokens(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", T.tokens(F.col("document")).alias("tokens"))
+
+
+_TERMS = "array<struct<term:string,tf:long>>"
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
-    """``(doc_id, terms)``: the term counts of a document in one row.
+    """``(doc_id, terms)``: the terms of each document that has any, with their counts, in one row.
 
-    The form in which term counts are kept: later joins on ``doc_id`` move and sort one row per document, and terms
+    A document is counted where it is read; nothing moves. Later joins on ``doc_id`` move one row per document, and terms
     are spread out only behind them.
     """
-    return doc_terms(docs).groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("terms"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = _batch_counts(batch.column("tokens"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _term_column(*counted, batch.num_rows)], names=["doc_id", "terms"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _tokens(docs).mapInArrow(run, f"doc_id {kind}, terms {_TERMS}").where(F.size("terms") > 0)
 
 
 class HashedEncoder:
@@ -43,30 +61,32 @@ class HashedEncoder:
         self.dims = dims
         self.encoder_id = f"hashed-tf-{dims}"
 
-    def sparse(self, terms: DataFrame) -> DataFrame:
-        """``(doc_id, bucket, weight)`` before scaling; one row per bucket a document touches."""
-        bucket = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long"), F.lit(self.dims)).cast("int")
-        return terms.groupBy("doc_id", bucket.alias("bucket")).agg(F.sum(1 + F.log("tf")).alias("weight"))
+    def terms_and_vectors(self, docs: DataFrame) -> DataFrame:
+        """``(doc_id, terms, vec)`` of every document, where it is read; ``vec`` is null for one without a term."""
+        dims = self.dims
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                names, row, term, tf = _batch_counts(batch.column("tokens"))
+                n = batch.num_rows
+                digests = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims for t in names.to_pylist()]
+                place = row * dims + np.array(digests, np.int64)[term] if len(row) else row
+                matrix = np.bincount(place, 1 + np.log(tf), n * dims).reshape(n, dims)
+                length = np.sqrt((matrix * matrix).sum(1))
+                empty = length == 0
+                matrix = matrix / np.where(empty, 1.0, length)[:, None]
+                ends = pa.array(np.arange(0, n * dims + 1, dims, dtype=np.int32))
+                vecs = pa.ListArray.from_arrays(ends, pa.array(matrix.reshape(-1)), mask=pa.array(empty))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), _term_column(names, row, term, tf, n), vecs], names=["doc_id", "terms", "vec"]
+                )
+
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        return _tokens(docs).mapInArrow(run, f"doc_id {kind}, terms {_TERMS}, vec array<double>")
 
     def vectors(self, docs: DataFrame) -> DataFrame:
-        """``(doc_id, vec)``. A document without a term has no row here; ``embed`` adds it back."""
-        entries = self.sparse(doc_terms(docs)).groupBy("doc_id")
-        rows = entries.agg(
-            F.array_sort(F.collect_list(F.struct("bucket", "weight"))).alias("s"),
-            F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"),
-        )
-        # Zeros between consecutive buckets, then the weight; zeros after the last one.
-        filled = F.transform(
-            "s",
-            lambda x, i: F.concat(
-                F.array_repeat(
-                    F.lit(0.0), x["bucket"] - 1 - F.when(i == 0, F.lit(-1)).otherwise(F.col("s")[i - 1]["bucket"])
-                ),
-                F.array(x["weight"] / F.col("length")),
-            ),
-        )
-        tail = F.array_repeat(F.lit(0.0), F.lit(self.dims - 1) - F.element_at("s", -1)["bucket"])
-        return rows.select("doc_id", F.concat(F.flatten(filled), tail).alias("vec"))
+        """``(doc_id, vec)`` of every document."""
+        return self.terms_and_vectors(docs).select("doc_id", "vec")
 
 
 class BatchEncoder:
@@ -82,17 +102,20 @@ class BatchEncoder:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                matrix = np.asarray(encode(batch["document"].tolist()), dtype=float)
-                yield pd.DataFrame({"doc_id": batch["doc_id"], "vec": list(matrix)})
+                vecs = pd.Series([None] * len(batch), dtype=object)
+                present = np.flatnonzero(batch["document"].notna())
+                if len(present):
+                    matrix = np.asarray(encode(batch["document"].iloc[present].tolist()), dtype=float)
+                    vecs.iloc[present] = pd.Series(list(matrix), index=present)
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "vec": vecs})
 
         kind = docs.schema["doc_id"].dataType.simpleString()
-        present = docs.select("doc_id", "document").where(F.col("document").isNotNull())
-        return present.mapInPandas(run, f"doc_id {kind}, vec array<double>")
+        return docs.select("doc_id", "document").mapInPandas(run, f"doc_id {kind}, vec array<double>")
 
 
 def embed(docs: DataFrame, encoder) -> DataFrame:
     """``(doc_id, vec)`` for every document; ``vec`` is null where the text gives none."""
-    return docs.select("doc_id").join(encoder.vectors(docs), "doc_id", "left")
+    return encoder.vectors(docs)
 
 
 def centre(vecs: DataFrame, mean: np.ndarray) -> DataFrame:

@@ -41,7 +41,14 @@ def fit_topics(
     encoder, or ready-made as ``prototypes(idx, label, vec)`` of raw vectors.
     """
     params = params or FitParams()
-    raw = stage(embedding.embed(docs, encoder) if vecs is None else docs.select("doc_id").join(vecs, "doc_id", "left"), "raw")
+    lists = None
+    if vecs is not None:
+        raw = stage(docs.select("doc_id").join(vecs, "doc_id", "left"), "raw")
+    elif isinstance(encoder, embedding.HashedEncoder):  # the texts are read once for both
+        both = stage(encoder.terms_and_vectors(docs), "raw")
+        raw, lists = both.select("doc_id", "vec"), both.select("doc_id", "terms").where(F.size("terms") > 0)
+    else:
+        raw = stage(embedding.embed(docs, encoder), "raw")
     mean = X.mean_vector(raw)
     centred = stage(embedding.centre(raw, mean), "centred")
     if prototypes is None:
@@ -70,7 +77,7 @@ def fit_topics(
         representative=None,
         assignments=assignments,
     )
-    return update_topics(model, docs, encoder, assignments, aspects)
+    return update_topics(model, docs, encoder, assignments, aspects, lists)
 
 
 def update_topics(

@@ -225,7 +225,7 @@ def a7_vector_store(spark: SparkSession, sf: str) -> DataFrame:
     part = docs.where(F.col("lang") != "de").select("doc_id")
     vector_store.save_vectors(vecs.join(part, "doc_id", "left_semi"), path, C.ENCODER.encoder_id)
     missing = vector_store.missing_vectors(docs, vector_store.load_vectors(spark, path, C.ENCODER.encoder_id))
-    vector_store.save_vectors(C.ENCODER.vectors(missing), path, C.ENCODER.encoder_id)
+    vector_store.save_vectors(C.ENCODER.vectors(missing).where("vec is not null"), path, C.ENCODER.encoder_id)
     rows = vector_store.load_vectors(spark, path, C.ENCODER.encoder_id)
     return rows.select("doc_id", F.size(F.filter("vec", lambda x: x != 0)).cast("long").alias("n_buckets"), F.lit(C.ENCODER.encoder_id).alias("encoder"))
 

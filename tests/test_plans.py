@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from review_topics.operators import reviews, terms, zeroshot
+from review_topics.operators import embedding, reviews, terms, zeroshot
 from review_topics.queries import common as C
 from review_topics.queries import review_queries, topic_queries
 from review_topics.sources import tables
@@ -42,9 +42,9 @@ def test_ranking_keeps_the_best_before_the_shuffle(spark, sf):
     assert text.index("WindowGroupLimit") < text.index("Exchange") or text.count("WindowGroupLimit") >= 2
 
 
-def test_embedding_moves_the_text_once(spark, sf):
-    text = plan(C.ENCODER.vectors(C.documents(spark, sf)))
-    assert text.split("\n\n\n")[0].count("Exchange") == 1
+def test_terms_and_vectors_move_nothing(spark, sf):
+    for rows in (C.ENCODER.terms_and_vectors(C.documents(spark, sf)), embedding.embed(C.documents(spark, sf), C.ENCODER), embedding.term_lists(C.documents(spark, sf))):
+        assert "Exchange" not in plan(rows)
 
 
 LAZY = [
