@@ -9,7 +9,6 @@ SYSTEM_MESSAGE = (
     "You are a helpful analyst for a major airline. "
     "You help anayze customer reviews and extrarct insights."
 )
-MODEL_NAME = "meta-llama-3-1-70b-instruct"
 MAX_TOKENS = 500
 TEMPERATURE = 0.1
 MAX_ATTEMPTS = 3

@@ -33,8 +33,8 @@ def render_prompt(
 
 def chat_request(
     df: DataFrame,
+    model: str,
     system: str = V.SYSTEM_MESSAGE,
-    model: str = V.MODEL_NAME,
     max_tokens: int = V.MAX_TOKENS,
     temperature: float = V.TEMPERATURE,
     tools: list | None = None,

@@ -13,6 +13,7 @@ from review_topics.session import stage
 def extract_intents(
     table: DataFrame,
     provider,
+    model: str,
     sample: int | None = None,
     seed: int = 42,
     min_chars: int = 1,
@@ -33,7 +34,7 @@ def extract_intents(
     accepted = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     refused = checked.where(F.col("reject_reason").isNotNull()).select("id", F.lit("review").alias("stage"), F.col("reject_reason").alias("reason"))
 
-    requests = prompts.chat_request(prompts.render_prompt(accepted), tools=V.TOOLS).select("id", "request")
+    requests = prompts.chat_request(prompts.render_prompt(accepted), model, tools=V.TOOLS).select("id", "request")
     replies = inference.infer_with_retries(requests, provider, ledger, V.MAX_ATTEMPTS, max_in_flight, backoff, slice_rows, calls_per_task)
     last = inference.latest_replies(replies)
     failed = last.where(F.col("status") != "ok").select("id", F.lit("call").alias("stage"), F.col("status").alias("reason"))

@@ -14,11 +14,17 @@ from review_topics.session import stage
 
 
 def intent_documents(intents: DataFrame) -> DataFrame:
-    """``(doc_id, document)``: one document per intent; an intent without text has none and is left out."""
+    """``(doc_id, document)``: one document per intent; an intent without text has none (see ``intents_without_text``)."""
     texts = intents.select(T.doc_text(F.col("intent"), F.col("text_summary")).alias("document")).where(F.col("document").isNotNull())
     return reviews.with_row_id(texts).select(F.col("row_id").alias("doc_id"), "document")
 
 
+def intents_without_text(intents: DataFrame) -> DataFrame:
+    """The intents that give no document, with a reason."""
+    reason = F.when(F.col("intent").isNull(), "null_intent").when(F.col("text_summary").isNull(), "null_text_summary")
+    return intents.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def generated_aspects(docs: DataFrame, model: TopicModel, encoder, provider, backoff=V.BACKOFF_SECONDS) -> dict:
     """Keyword diversification, then a generated label; and keywords by similarity to compare with."""
     texts = model.representative.select("topic_id", "rank", "document")
@@ -35,10 +41,10 @@ def generated_aspects(docs: DataFrame, model: TopicModel, encoder, provider, bac
 
 def label_intents(
     intents: DataFrame, encoder, provider, labels: DataFrame, params: FitParams | None = None, backoff=V.BACKOFF_SECONDS
-) -> tuple[DataFrame, TopicModel]:
-    """``(labelled, model)`` of an intents table; ``labelled`` has one row per intent with text."""
+) -> tuple[DataFrame, TopicModel, DataFrame]:
+    """``(labelled, model, rejects)`` of an intents table: every intent is a row of ``labelled`` or of ``rejects``."""
     docs = stage(intent_documents(intents), "documents")
     model = fit.fit_topics(docs, encoder, labels, params)
     model = fit.update_topics(model, docs, encoder, model.assignments, generated_aspects(docs, model, encoder, provider, backoff))
     model = fit.update_topics(model, docs, encoder, fit.reduce_outliers(model, docs))
-    return topics.labelled_result(model.assignments, docs, model.labels, topics.aspect_labels(model.terms)), model
+    return topics.labelled_result(model.assignments, docs, model.labels, topics.aspect_labels(model.terms)), model, intents_without_text(intents)

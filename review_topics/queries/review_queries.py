@@ -48,6 +48,10 @@ SELECT doc_id AS id, source AS Airline_Name, CAST(n_chars AS VARCHAR) AS Overall
 FROM documents"""
 
 
+# The test requests' model.
+MODEL = "some-model"
+
+
 def _flat(df: DataFrame) -> DataFrame:
     return df.withColumn("entities", F.array_join("named_entities", ",")).drop("named_entities")
 
@@ -59,9 +63,9 @@ def a2_read_intents(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(tables.read_intents(spark, path))
 
 
-@query("SELECT doc_id AS id, text AS Review FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 1000")
+@query("SELECT doc_id AS id, text AS Review FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 137")
 def a3_sample_n(spark: SparkSession, sf: str) -> DataFrame:
-    return R.sample_n(C.reviews(spark, sf), 1000, "id", 42).select("id", "Review")
+    return R.sample_n(C.reviews(spark, sf), 137, "id", 42).select("id", "Review")
 
 
 @query(
@@ -130,14 +134,13 @@ def b5_render_prompt(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-SELECT conv_id, turn, CAST(to_json({{'model': {quoted(V.MODEL_NAME)}, 'messages': [
+SELECT conv_id, turn, CAST(to_json({{'model': {quoted(MODEL)}, 'messages': [
          {{'role': 'system', 'content': {quoted(V.SYSTEM_MESSAGE)}}}, {{'role': 'user', 'content': text}}],
          'max_tokens': {V.MAX_TOKENS}, 'temperature': {V.TEMPERATURE}::DOUBLE}}) AS VARCHAR) AS request
-FROM conversations WHERE role = 'user'"""
+FROM conversations"""
 )
 def b6_chat_request(spark: SparkSession, sf: str) -> DataFrame:
-    asked = C.table(spark, sf, "conversations").where(F.col("role") == "user")
-    return prompts.chat_request(asked, column="text").select("conv_id", "turn", "request")
+    return prompts.chat_request(C.table(spark, sf, "conversations"), MODEL, column="text").select("conv_id", "turn", "request")
 
 
 # Replies as a model might give them, from whole documents; the same text in both engines.

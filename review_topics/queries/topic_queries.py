@@ -216,7 +216,7 @@ def d6_embed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where(F.col("value") != 0).withColumn("value", F.round("value", 6))
 
 
-@query(f"WITH {C.RAW_VECTORS} SELECT doc_id, count(*) AS n_buckets, 'hashed-tf-256' AS encoder FROM rv GROUP BY doc_id")
+@query(f"WITH {C.RAW_VECTORS} SELECT doc_id, CAST(b AS INT) AS bucket, round(CAST(w AS FLOAT)::DOUBLE, 6) AS value FROM rv")
 def a7_vector_store(spark: SparkSession, sf: str) -> DataFrame:
     """Save vectors of every document but the German ones, find what is missing, add it, reload."""
     path = scratch_path(spark, "vectors")
@@ -227,7 +227,8 @@ def a7_vector_store(spark: SparkSession, sf: str) -> DataFrame:
     missing = vector_store.missing_vectors(docs, vector_store.load_vectors(spark, path, C.ENCODER.encoder_id))
     vector_store.save_vectors(C.ENCODER.vectors(missing).where("vec is not null"), path, C.ENCODER.encoder_id)
     rows = vector_store.load_vectors(spark, path, C.ENCODER.encoder_id)
-    return rows.select("doc_id", F.size(F.filter("vec", lambda x: x != 0)).cast("long").alias("n_buckets"), F.lit(C.ENCODER.encoder_id).alias("encoder"))
+    values = rows.select("doc_id", F.posexplode("vec").alias("bucket", "value")).where("value <> 0")
+    return values.withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {C.CENTRED}, {C.PROTOTYPES} SELECT idx, label, CAST(b AS INT) AS dim, round(x, 6) AS value FROM pv JOIN pt USING (idx)")

@@ -33,22 +33,30 @@ def build_session(cores: str = "*", app: str = "review_topics", **conf: str) ->
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+def local_scratch(spark: SparkSession) -> None:
+    """Give a local session, whose executors all share this machine, a folder that goes when the session ends.
 
-    A temporary folder is used only in local mode, where all executors share this machine.
+    Nothing happens where a folder is named already, and on a cluster none is made up.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and context.getCheckpointDir() is None and not context.master.startswith("local"):
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not context.master.startswith("local["):
+        return
+    folder = tempfile.mkdtemp(prefix="review-topics-")
+    context.setCheckpointDir(folder)
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.getCheckpointDir() is None:
-        folder = folder or tempfile.mkdtemp(prefix="review-topics-")
-        context.setCheckpointDir(folder)
-    return folder or context.getCheckpointDir()
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -97,7 +97,7 @@ def test_generated_row_ids_reach_the_intents(spark):
     rows = [("Air", "5", "t", f"review {i % 7}") for i in range(20)]
     table = spark.createDataFrame(rows, "Airline_Name string, Overall_Rating string, Review_Title string, Review string")
     numbered = reviews.with_row_id(table).withColumnRenamed("row_id", "id")
-    intents, rejects = extract_intents(numbered, Always(), backoff=None)
+    intents, rejects = extract_intents(numbered, Always(), "m", backoff=None)
     found = {r["id"] for r in intents.select("id").collect()} | {r["id"] for r in rejects.collect()}
     assert found == {r["id"] for r in numbered.collect()} and len(found) == 20
 
@@ -124,11 +124,11 @@ class Extractor:
 def test_every_sampled_review_ends_in_intents_or_rejects(spark):
     rows = [(i, "Air", "5", "t", "" if i == 0 else f"review {i}") for i in range(20)]
     table = spark.createDataFrame(rows, "id long, Airline_Name string, Overall_Rating string, Review_Title string, Review string")
-    intents, rejects = extract_intents(table, Extractor(), sample=15, backoff=None)
+    intents, rejects = extract_intents(table, Extractor(), "m", sample=15, backoff=None)
     kept, refused = {r["id"] for r in intents.collect()}, {r["id"]: r["reason"] for r in rejects.collect()}
     assert len(kept | set(refused)) == 15 and not kept & set(refused)
     assert all(r == "invalid_json" for i, r in refused.items() if i % 4 == 1)
     assert all(r == "null_named_entities" for i, r in refused.items() if i % 4 == 2)
     assert intents.columns == ["id", "Airline_Name", "Overall_Rating", "Review_Title", "Review", "llm_response", "intent", "text_summary", "sentiment", "named_entities"]
-    required, _ = extract_intents(table, Extractor(), sample=15, backoff=None, mode="required")
+    required, _ = extract_intents(table, Extractor(), "m", sample=15, backoff=None, mode="required")
     assert {r["id"] for r in required.collect()} == kept | {i for i in refused if i % 4 == 2}

@@ -59,7 +59,7 @@ def test_prompt_survives_markup_in_reviews(spark):
 
 def test_chat_request_is_json(spark):
     df = spark.createDataFrame([(1, 'say "hi"\n')], "id long, prompt string")
-    row = prompts.chat_request(df, tools=V.TOOLS).first()
+    row = prompts.chat_request(df, "m", tools=V.TOOLS).first()
     body = json.loads(row["request"])
     assert body["messages"][1] == {"role": "user", "content": 'say "hi"\n'}
     assert body["tools"] == V.TOOLS and body["max_tokens"] == 500 and body["temperature"] == 0.1
