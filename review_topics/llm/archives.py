@@ -73,7 +73,7 @@ def arc_records(versions: tuple[int, ...]):
 
 def _write(records: DataFrame, path: str, end: str) -> None:
     text = records.select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", end).option("compression", "gzip").text(path)
+    text.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_arc(pages: DataFrame, path: str, versions: tuple[int, ...] = (1, 2)) -> None:
