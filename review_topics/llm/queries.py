@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
-from review_topics.session import hot_lookup, scratch_path
+from review_topics.session import hot_lookup, scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,13 +114,13 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     legacy, modern = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     archives.write_arc(pages, legacy)
     archives.convert(spark, legacy, modern)
-    found = archives.read_warc(spark, modern)
+    found = stage(archives.read_warc(spark, modern).drop("payload"), "warc-records")
     # Identifiers lead from a revisit to its response.
     responses = found.where("warc_type = 'response'").select(F.col("warc_id").alias("refers_to"), F.col("record").alias("response"))
     pointing = found.where("warc_type = 'revisit'").groupBy("refers_to").agg(F.count("*").alias("matches"))
     named = responses.join(pointing, "refers_to")
     columns = [F.col("record").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type")]
-    revisits = hot_lookup(found.where("warc_type = 'revisit'").drop("payload"), named, ["refers_to"], "matches").select(*columns, F.col("response").alias("refers_to"))
+    revisits = hot_lookup(found.where("warc_type = 'revisit'"), named, ["refers_to"], "matches").select(*columns, F.col("response").alias("refers_to"))
     return found.where("warc_type = 'response'").select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(revisits)
 
 
