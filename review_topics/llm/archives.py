@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -213,6 +214,19 @@ def read_arc(spark, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(_read_arc, schema)
 
 
+def _payloads(packed: bool):
+    """Payloads packed, or unpacked again: what a shuffle carries is text that packs well."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = zstandard.ZstdCompressor(level=1).compress if packed else zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            at = batch.schema.get_field_index("payload")
+            payloads = [change(p.as_buffer()) for p in batch.column("payload")]
+            yield batch.set_column(at, "payload", pa.array(payloads, pa.binary()))
+
+    return run
+
+
 def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     columns = ("record", "url", "ip", "date", "kind", "head", "payload", "digest", "first", "first_url", "first_date")
     for batch in batches:
@@ -259,8 +273,10 @@ def convert(spark, arc_path: str, warc_path: str, revisit_from: int = 0) -> None
     marks = revisits.dropDuplicates(["record", "same"]).withColumnRenamed("record", "number")
     # Records without a number match nothing; the digest spreads them.
     number = F.coalesce(F.col("record"), F.xxhash64("same", "url", "date"))
-    decided = records.withColumn("number", number).join(marks.withColumn("record", F.col("number")), ["number", "record", "same"], "left")
-    _write(decided.mapInArrow(_warc_records, "value binary"), warc_path, WARC_END)
+    moved = records.mapInArrow(_payloads(True), records.schema).withColumn("number", number)
+    decided = moved.join(marks.withColumn("record", F.col("number")), ["number", "record", "same"], "left")
+    whole = decided.mapInArrow(_payloads(False), decided.schema)
+    _write(whole.mapInArrow(_warc_records, "value binary"), warc_path, WARC_END)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
