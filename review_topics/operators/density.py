@@ -53,50 +53,20 @@ def cluster_density(
     return measured.join(large.select("cell_id", F.col("component").alias("cluster")), "cell_id", "left")
 
 
-def cluster_hierarchical(
-    cells: DataFrame, edges: DataFrame, min_pts: int, reach2: int, min_size: int = V.MIN_TOPIC_SIZE
-) -> DataFrame:
-    """``(cell_id, weight, core_d2, cluster)``: clusters of varying density, chosen by excess of mass.
+def _excess_of_mass(parts: DataFrame, top: int, mass_per_document: list[float], open_root: bool = False) -> DataFrame:
+    """``(leaf, born)`` of the clusters kept from ``parts(level, component, size, parent)``; levels run from fine, 0, to ``top``.
 
-    The hierarchy is cut at the grid's own distances 0..reach2 instead of at every single distance, an
-    approximation that makes it one components job over all levels at once. A level's lambda is
-    1 / (1 + distance). Between levels a cluster either goes on (one large part is left), splits (several) or ends.
-    A cluster is kept unless the clusters it splits into hold more mass together.
+    Between levels a cluster goes on (one large part is left), splits (several) or ends; it is named by the part it was
+    born as, its ``leaf``. It is kept unless the clusters it splits into hold more mass together. With ``open_root`` a
+    single part that everything at the top belongs to is a cluster only if it never splits.
     """
-    measured = cut_lineage(core_distances(cells, edges, min_pts, reach2))
-    core = measured.where(F.col("core_d2").isNotNull())
-    levels = F.sequence(F.col("from_d2"), F.lit(reach2))
-    ends = core.select("cell_id", "core_d2")
-    linked = (
-        edges.join(ends.select(F.col("cell_id").alias("src"), F.col("core_d2").alias("core_a")), "src")
-        .join(ends.select(F.col("cell_id").alias("dst"), F.col("core_d2").alias("core_b")), "dst")
-        .withColumn("from_d2", F.greatest("d2", "core_a", "core_b"))
-    )
-
-    def node(cell: str) -> Column:
-        return F.struct("level", F.col(cell).alias("cell_id"))
-
-    per_level = linked.select("src", "dst", F.explode(levels).alias("level"))
-    found = components(per_level.select(node("src").alias("u"), node("dst").alias("v")))
-    members = core.select("cell_id", "weight", F.explode(F.sequence("core_d2", F.lit(reach2))).alias("level"))
-    members = members.withColumn("node", node("cell_id")).join(found, "node", "left")
-    members = cut_lineage(
-        members.select("cell_id", "weight", "level", F.coalesce(F.col("component.cell_id"), "cell_id").alias("component"))
-    )
-    parts = members.groupBy("level", "component").agg(F.sum("weight").alias("size")).where(F.col("size") >= min_size)
-    # The part one level coarser that holds the same cell; parts are named by a cell of their own.
-    above = members.select((F.col("level") - 1).alias("level"), F.col("cell_id").alias("component"), F.col("component").alias("parent"))
-    parts = cut_lineage(parts.join(above, ["level", "component"], "left"))
-
-    def gain(level: int) -> float:
-        finer, coarser = 1 / (1 + level**0.5), 1 / (1 + (level + 1) ** 0.5)
-        return finer - coarser if level < reach2 else finer
-
+    sole = open_root and parts.where(F.col("level") == top).limit(2).count() == 1
+    rooted = F.col("parent_leaf").isNull() & F.lit(sole) & (F.col("inner") > 0)
     # From coarse to fine: a part goes on with its parent's name when it is the parent's only large part.
-    named = parts.where(F.col("level") == reach2).select("level", "component", "size", F.col("component").alias("leaf"), F.lit(reach2).alias("born"))
+    named = parts.where(F.col("level") == top).select("level", "component", "size", F.col("component").alias("leaf"), F.lit(top).alias("born"))
     named = named.withColumn("parent_leaf", F.lit(None).cast(named.schema["leaf"].dataType)).withColumn("parent_born", F.lit(None).cast("int"))
     layer = named
-    for level in range(reach2 - 1, -1, -1):
+    for level in range(top - 1, -1, -1):
         here = parts.where(F.col("level") == level)
         rivals = here.groupBy("parent").agg(F.count("*").alias("rivals"))
         up = layer.select(
@@ -115,14 +85,14 @@ def cluster_hierarchical(
         layer = cut_lineage(layer)
         named = named.unionByName(layer)
     named = cut_lineage(named)
-    gains = F.element_at(F.array(*[F.lit(gain(d)) for d in range(reach2 + 1)]), F.col("level") + 1)
+    gains = F.element_at(F.array(*[F.lit(g) for g in mass_per_document]), F.col("level") + 1)
     clusters = named.groupBy("leaf", "born", "parent_leaf", "parent_born").agg(
         F.sum(F.col("size") * gains).alias("mass"), F.min("level").alias("last")
     )
     clusters = cut_lineage(clusters)
     # From fine to coarse: the better of a cluster's own mass and that of its parts.
     decided = None
-    for level in range(reach2 + 1):
+    for level in range(top + 1):
         own = clusters.where(F.col("last") == level)
         if decided is None:
             scored = own.withColumn("inner", F.lit(0.0))
@@ -131,17 +101,59 @@ def cluster_hierarchical(
             scored = own.join(inner, ["leaf", "born"], "left").withColumn("inner", F.coalesce("inner", F.lit(0.0)))
         scored = scored.select(
             "leaf", "born", "parent_leaf", "parent_born",
-            F.greatest("mass", "inner").alias("best"), (F.col("mass") >= F.col("inner")).alias("kept"),
+            F.greatest("mass", "inner").alias("best"), ((F.col("mass") >= F.col("inner")) & ~rooted).alias("kept"),
         )
         decided = cut_lineage(scored if decided is None else decided.unionByName(scored))
     # From coarse to fine: a kept cluster silences everything below it.
     live = decided.where(F.col("parent_leaf").isNull())
     chosen = live.where("kept")
-    for _ in range(reach2):
+    for _ in range(top):
         opened = live.where(~F.col("kept")).select(F.col("leaf").alias("parent_leaf"), F.col("born").alias("parent_born"))
         live = decided.join(opened, ["parent_leaf", "parent_born"], "left_semi")
         chosen = chosen.unionByName(live.where("kept").select(chosen.columns))
-    chosen = cut_lineage(chosen.select("leaf", "born"))
+    return cut_lineage(chosen.select("leaf", "born"))
+
+
+def cluster_hierarchical(
+    cells: DataFrame, edges: DataFrame, min_pts: int, reach2: int, min_size: int = V.MIN_TOPIC_SIZE
+) -> DataFrame:
+    """``(cell_id, weight, core_d2, cluster)``: clusters of varying density, chosen by excess of mass.
+
+    The hierarchy is cut at the grid's own distances 0..reach2 instead of at every single distance, an
+    approximation that makes it one components job over all levels at once. A level's lambda is
+    1 / (1 + distance). Between levels a cluster either goes on (one large part is left), splits (several) or ends.
+    A cluster is kept unless the clusters it splits into hold more mass together.
+    """
+    measured = cut_lineage(core_distances(cells, edges, min_pts, reach2))
+    core = measured.where(F.col("core_d2").isNotNull())
+    levels = F.sequence(F.col("from_d2"), F.lit(reach2))
+    ends = core.select("cell_id", "core_d2")
+    linked = (
+        edges.join(ends.select(F.col("cell_id").alias("src"), F.col("core_d2").alias("core_a")), "src")
+        .join(ends.select(F.col("cell_id").alias("dst"), F.col("core_d2").alias("core_b")), "dst")
+        .withColumn("from_d2", F.greatest("d2", "core_a", "core_b"))
+    )
+
+    def node(cell: str) -> Column:
+        return F.struct("level", F.col(cell).alias("cell_id"))
+
+    per_level = linked.select("src", "dst", F.explode(levels).alias("level"))
+    found = components(per_level.select(node("src").alias("u"), node("dst").alias("v")))
+    members = core.select("cell_id", "weight", F.explode(F.sequence("core_d2", F.lit(reach2))).alias("level"))
+    members = members.withColumn("node", node("cell_id")).join(found, "node", "left")
+    members = cut_lineage(
+        members.select("cell_id", "weight", "level", F.coalesce(F.col("component.cell_id"), "cell_id").alias("component"))
+    )
+    parts = members.groupBy("level", "component").agg(F.sum("weight").alias("size")).where(F.col("size") >= min_size)
+    # The part one level coarser that holds the same cell; parts are named by a cell of their own.
+    above = members.select((F.col("level") - 1).alias("level"), F.col("cell_id").alias("component"), F.col("component").alias("parent"))
+    parts = cut_lineage(parts.join(above, ["level", "component"], "left"))
+
+    def gain(level: int) -> float:
+        finer, coarser = 1 / (1 + level**0.5), 1 / (1 + (level + 1) ** 0.5)
+        return finer - coarser if level < reach2 else finer
+
+    chosen = _excess_of_mass(parts, reach2, [gain(d) for d in range(reach2 + 1)])
     # A cluster's cells are those of the part it was born as.
     birth = chosen.select(F.col("born").alias("level"), F.col("leaf").alias("component"))
     sizes = members.groupBy("level", "component").agg(F.count("*").alias("matches"))
@@ -149,6 +161,60 @@ def cluster_hierarchical(
     return measured.join(cells_of.select("cell_id", F.col("component").alias("cluster")), "cell_id", "left")
 
 
+def cluster_pyramid(
+    fine: DataFrame, k: int, levels: int, min_pts: int, reach2: int, min_size: int = V.MIN_TOPIC_SIZE
+) -> DataFrame:
+    """``(c0.., core_d2, cluster, weight)`` of the finest cells: clusters of any density, whatever the amount of data.
+
+    ``fine`` are the finest grid cells. Each level above has cells twice as wide, counted from those below, so texts are
+    counted once. A cell is core at a level when its reach there holds ``min_pts`` documents; connected core cells are a
+    part. A part lies within one part of the next level, and the excess of mass over inverse squared cell widths chooses among
+    them. With more data finer levels fill, so ``levels`` decides how close clusters may be, not how many there can be.
+    Steps of ``reach2`` at most 3 keep parts nested. A cluster is named by its smallest cell's document.
+    """
+    if not 1 <= reach2 <= 3:
+        raise ValueError("reach2 is from 1 to 3 in a pyramid")
+    columns = N.cell_columns(k)
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    spread = fine.select(level, *columns, "cell_id", "weight")
+    shifted = [F.expr(f"shiftright({c}, level)").alias(c) for c in columns]
+    cells = spread.select("level", *shifted, "cell_id", "weight").groupBy("level", *columns)
+    cells = cells.agg(F.min("cell_id").alias("first"), F.sum("weight").alias("weight"))
+    cells = cut_lineage(cells.select("level", *columns, F.struct("level", F.col("first").alias("doc")).alias("cell_id"), "weight"))
+    edges = cut_lineage(N.neighbour_edges(cells, k, reach2, ["level"]))
+    measured = cut_lineage(core_distances(cells, edges, min_pts, reach2))
+    core = measured.where(F.col("core_d2").isNotNull())
+    ends = core.select("cell_id")
+    links = edges.join(ends.withColumnRenamed("cell_id", "src"), "src", "left_semi").join(ends.withColumnRenamed("cell_id", "dst"), "dst", "left_semi")
+    found = components(links.select(F.col("src").alias("u"), F.col("dst").alias("v"))).withColumnRenamed("node", "cell_id")
+    members = core.join(found, "cell_id", "left").withColumn("component", F.coalesce("component", "cell_id"))
+    members = cut_lineage(members.join(cells.drop("weight"), "cell_id"))
+
+    parts = members.groupBy("level", "component").agg(F.sum("weight").alias("size")).where(F.col("size") >= min_size)
+    named = parts.join(members.select(F.col("cell_id").alias("component"), *columns), "component")
+    above = members.select((F.col("level") - 1).alias("level"), *[F.col(c).alias(f"up_{c}") for c in columns], F.col("component").alias("parent"))
+    upper = [F.expr(f"shiftright({c}, 1)").alias(f"up_{c}") for c in columns]
+    parts = named.select("level", "component", "size", *upper).join(above, ["level", *[f"up_{c}" for c in columns]], "left")
+    parts = cut_lineage(parts.select("level", "component", "size", "parent"))
+    lambdas = [4.0**-d for d in range(levels)] + [0.0]
+    chosen = _excess_of_mass(parts, levels - 1, [a - b for a, b in zip(lambdas, lambdas[1:])], open_root=True)
+
+    sizes = members.groupBy("component").agg(F.count("*").alias("matches"))
+    birth = chosen.select(F.col("leaf").alias("component")).join(sizes, "component")
+    kept = hot_lookup(members, birth, ["component"], "matches").select("level", *columns, "core_d2", F.col("component.doc").alias("cluster"))
+    keys = ["level", *columns]
+    placed = spread.select("cell_id", "level", *shifted).join(kept, keys).select("cell_id", "core_d2", "cluster")
+    return fine.join(placed, "cell_id", "left").select(*columns, "core_d2", "cluster", "weight")
+
+
+def label_pyramid(points: DataFrame, labelled: DataFrame, k: int, reach2: int) -> DataFrame:
+    """``(doc_id, cluster, probability)`` of each document from its finest cell; see ``label_points``."""
+    strength = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.sqrt(F.col("core_d2")) / F.lit(float(reach2) ** 0.5)))
+    strength = F.when(F.col("cluster").isNotNull(), strength).otherwise(F.lit(0.0)).alias("probability")
+    values = labelled.select(*N.cell_columns(k), "cluster", strength, "weight")
+    return hot_lookup(points, values, N.cell_columns(k), "weight").select("doc_id", "cluster", "probability")
+
+
 def label_points(points: DataFrame, cells: DataFrame, clustered: DataFrame, k: int, reach2: int) -> DataFrame:
     """``(doc_id, cluster, probability)`` from the cell each document lies in; outliers have null and 0.
 

@@ -40,20 +40,24 @@ def half_offsets(k: int, reach2: int) -> list[tuple[int, ...]]:
     return [s for s in steps if s > zero and sum(x * x for x in s) <= reach2]
 
 
-def neighbour_edges(cells: DataFrame, k: int, reach2: int) -> DataFrame:
-    """``(src, dst, d2)``: each pair of occupied cells within reach once, with its squared distance in cell widths."""
-    columns = cell_columns(k)
+def neighbour_edges(cells: DataFrame, k: int, reach2: int, within: list[str] | None = None) -> DataFrame:
+    """``(src, dst, d2)``: each pair of occupied cells within reach once, with its squared distance in cell widths.
+
+    Cells that differ in a column of ``within`` are no neighbours.
+    """
+    columns, within = cell_columns(k), within or []
     steps = F.array(
         *[
             F.struct(F.lit(sum(x * x for x in s)).alias("d2"), *[F.lit(x).alias(f"o{i}") for i, x in enumerate(s)])
             for s in half_offsets(k, reach2)
         ]
     )
-    probes = cells.select(F.col("cell_id").alias("src"), *columns, F.explode(steps).alias("o"))
+    probes = cells.select(F.col("cell_id").alias("src"), *within, *columns, F.explode(steps).alias("o"))
     probes = probes.select(
-        "src", F.col("o.d2").alias("d2"), *[(F.col(c) + F.col(f"o.o{i}")).alias(c) for i, c in enumerate(columns)]
+        "src", F.col("o.d2").alias("d2"), *within, *[(F.col(c) + F.col(f"o.o{i}")).alias(c) for i, c in enumerate(columns)]
     )
-    return probes.join(cells.select(*columns, F.col("cell_id").alias("dst")), columns).select("src", "dst", "d2")
+    found = cells.select(*within, *columns, F.col("cell_id").alias("dst"))
+    return probes.join(found, [*within, *columns]).select("src", "dst", "d2")
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

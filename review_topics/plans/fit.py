@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,13 +16,27 @@ from review_topics.plans.model import FitParams, TopicModel
 from review_topics.session import broadcast_checked, stage
 
 
+def pyramid_levels(documents: int, components: int) -> int:
+    """Levels until cells are sparse: five, and one more for each 2**components times 1,000 documents."""
+    return 5 + max(0, math.ceil(math.log2(max(documents, 1) / 1000) / components))
+
+
 def discover_clusters(vecs: DataFrame, params: FitParams, dims: int) -> DataFrame:
     """``(doc_id, cluster, probability)`` of centred vectors: reduce, round to a grid, cluster the cells."""
     low = reduction.reduce_dims(vecs, params.components, params.reduction, dims)
+    if params.clusters == "pyramid":
+        low = stage(low, "low")
+        levels = params.levels or pyramid_levels(low.count(), params.components)
+        points = stage(neighbours.grid_points(low, params.width / 2 ** (levels - 1), params.components), "points")
+        cells = stage(neighbours.grid_cells(points, params.components), "cells")
+        found = density.cluster_pyramid(cells, params.components, levels, params.min_pts, params.reach2, params.min_topic_size)
+        return density.label_pyramid(points, stage(found, "clusters"), params.components, params.reach2)
+    if params.clusters not in ("flat", "hierarchical"):
+        raise ValueError("clusters is 'pyramid', 'flat' or 'hierarchical'")
     points = stage(neighbours.grid_points(low, params.width, params.components), "points")
     cells = stage(neighbours.grid_cells(points, params.components), "cells")
     edges = stage(neighbours.neighbour_edges(cells, params.components, params.reach2), "edges")
-    cluster = density.cluster_hierarchical if params.hierarchical else density.cluster_density
+    cluster = density.cluster_hierarchical if params.clusters == "hierarchical" else density.cluster_density
     found = stage(cluster(cells, edges, params.min_pts, params.reach2, params.min_topic_size), "clusters")
     return density.label_points(points, cells, found, params.components, params.reach2)
 

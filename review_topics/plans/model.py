@@ -12,16 +12,21 @@ from review_topics import fixed_values as V
 
 @dataclass
 class FitParams:
-    """Settings of a fit. ``width`` is the grid cell in units of the reduced coordinates."""
+    """Settings of a fit.
+
+    ``clusters`` is ``pyramid`` (cell widths halved from ``width`` on, clusters chosen over all of them), ``flat`` or
+    ``hierarchical`` (one width). Without ``levels`` a pyramid has as many as the number of documents fills.
+    """
 
     min_similarity: float = V.MIN_SIMILARITY
     min_topic_size: int = V.MIN_TOPIC_SIZE
     components: int = 5
     reduction: str = "pca"
-    width: float = 0.1
+    clusters: str = "pyramid"
+    width: float = 0.4
+    levels: int | None = None
     reach2: int = 2
     min_pts: int = 10
-    hierarchical: bool = False
     top_n: int = 10
     label_docs: int = V.LABEL_DOCUMENTS
     predict_similarity: float | None = None
