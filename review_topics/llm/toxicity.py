@@ -1,6 +1,6 @@
 """Toxicity of texts whose writers hide words: restore first, then score.
 
-Suspicious stretches (letters mixed with digits or signs, single letters set apart, letters repeated) are seen as a noisy
+Suspicious stretches (letters mixed with digits or signs, single ASCII letters set apart, letters repeated) are seen as a noisy
 copy of a word. A lattice holds what each character may have stood for; a Viterbi pass picks the reading that a character
 model of the corpus finds likeliest. The restored words join the plain ones, and a logistic model over the words that
 labels speak about scores the text.
@@ -37,14 +37,80 @@ LOOKALIKES = {
 }
 _SIGNS = re.escape("".join(LOOKALIKES))
 _FILLERS = r" .\-_*~,'"
-_SUSPICIOUS = re.compile(
-    rf"(?<![^\W_])[^\W\d_](?:[{_FILLERS}](?:[^\W_]|[{_SIGNS}](?=[{_FILLERS}][^\W_]))(?![^\W_])){{2,}}"  # single characters set apart
-    rf"|[0-9@$!€£]+[^\W\d_][\w{_SIGNS}*]*|[^\W\d_]+[{_SIGNS}*_.\-]+[^\W_][\w{_SIGNS}*]*|[^\W\d_]+[{_SIGNS}](?![\w{_SIGNS}])"
-    r"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
+_SPACED = re.compile(rf"[A-Za-z](?:[{_FILLERS}](?:[A-Za-z0-9]|[{_SIGNS}](?=[{_FILLERS}][A-Za-z0-9]))(?![^\W_])){{2,}}")
+_DISGUISED = re.compile(
+    rf"[0-9@$!€£]+[^\W\d_][\w{_SIGNS}*]*|(?<![^\W\d_])[^\W\d_]++(?:[{_SIGNS}*_.\-]+[^\W_][\w{_SIGNS}*]*|[{_SIGNS}](?![\w{_SIGNS}]))"
+    r"|(?<![^\W\d_])(?=[^\W\d_]*?([^\W\d_])\1\1)[^\W\d_]++"
 )
 _COST_LOOKALIKE, _COST_FILLER, _COST_COLLAPSE = 0.5, 0.1, 0.3
 
 
+def _bytes_of(chars: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[ord(c) for c in chars if ord(c) < 128]] = True
+    return table
+
+
+_ALPHA = _bytes_of("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_ALPHA[128:] = True
+_DIGIT, _SIGN, _LEAD, _JOIN, _FILL = _bytes_of("0123456789"), _bytes_of("".join(LOOKALIKES)), _bytes_of("0123456789@$!"), _bytes_of("*_.-"), _bytes_of(" .-_*~,'")
+
+
+def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which disguised words, and single characters set apart, may be; few others."""
+    padded = np.zeros(len(data) + 3, np.uint8)
+    padded[1:-2] = data
+    alpha, sign = _ALPHA[padded], _SIGN[padded]
+    alnum = alpha | _DIGIT[padded]
+    now, ahead, beyond = slice(1, -2), slice(2, -1), slice(3, None)
+    spread = sign | _JOIN[padded]
+    hit = spread[now] & alnum[ahead] & (padded[:-3] > 32)
+    hit |= _LEAD[padded][now] & alpha[ahead]
+    hit |= alpha[now] & sign[ahead] & ~(alnum | sign)[beyond]
+    hit |= alpha[now] & (padded[now] == padded[ahead]) & (padded[now] == padded[beyond])
+    hit |= ((padded[now] == 0xC2) & (padded[ahead] == 0xA3)) | ((padded[now] == 0xE2) & (padded[ahead] == 0x82) & (padded[beyond] == 0xAC))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    before = alnum[:-3] & ~edge[:-1]
+    alone = (_ALPHA & ~(np.arange(256) > 127))[data] & ~before & _FILL[padded[ahead]] & (alnum | sign)[beyond]
+    return np.flatnonzero(hit), np.flatnonzero(alone)
+
+
+def stretches(texts: pa.Array) -> tuple[list[str], list[int]]:
+    """Suspicious stretches of texts, and the text of each: parts of one blank-free token, or ASCII letters set apart."""
+    data, offsets = words.text_buffer(texts)
+    data = data[: offsets[-1]]
+    hits, alone = _triggers(data, offsets)
+    blanks = np.flatnonzero(data <= 32)
+    limits = np.union1d(np.union1d(blanks, blanks + 1), offsets)
+    begin = limits[np.searchsorted(limits, hits, "right") - 1]
+    token, first = np.unique(begin, return_index=True)
+    end = limits[np.searchsorted(limits, hits[first], "right")] if len(hits) else hits
+    found: list[str] = []
+    of: list[int] = []
+    raw = data.tobytes()
+    owner = np.searchsorted(offsets, token, "right") - 1
+    for doc, lo, hi in zip(owner.tolist(), token.tolist(), end.tolist()):
+        for m in _DISGUISED.finditer(raw[lo:hi].decode("utf-8", "ignore")):
+            found.append(m[0])
+            of.append(doc)
+    floor = 0
+    for doc, at in zip((np.searchsorted(offsets, alone, "right") - 1).tolist(), alone.tolist()):
+        if at < floor:
+            continue
+        last, width = int(offsets[doc + 1]), 256
+        while True:
+            m = _SPACED.match(raw[at : min(last, at + width)].decode("utf-8", "ignore"))
+            if not m or at + width >= last or m.end() < width - 8:
+                break
+            width *= 4
+        if m:
+            found.append(m[0])
+            of.append(doc)
+            floor = at + len(m[0])
+    return found, of
+
+
 def fold(text: str) -> str:
     """Lower case without accents."""
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
@@ -160,11 +226,8 @@ class _Reader:
         """``(hash, text)``, plain words first."""
         hashes, offsets = words.word_hashes(texts)
         owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-        found, of = [], []
-        for k, text in enumerate(texts.to_pylist()):
-            for m in _SUSPICIOUS.finditer(text or ""):
-                found.append(self.restored(m[0]))
-                of.append(k)
+        found, of = stretches(texts)
+        found = [self.restored(s) for s in found]
         more, ends = words.word_hashes(pa.array(found, pa.string()))
         return np.concatenate((hashes, more)), np.concatenate((owner, np.repeat(np.array(of, np.int64), np.diff(ends))))
 
