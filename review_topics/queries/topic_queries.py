@@ -603,7 +603,7 @@ def fitted(spark: SparkSession, sf: str, **settings):
 
 def fitted_by_projection(spark: SparkSession, sf: str):
     """The reduction that SQL can follow."""
-    return fitted(spark, sf, components=K, reduction="projection", width=WIDTH, reach2=REACH2, min_pts=MIN_PTS)
+    return fitted(spark, sf, components=K, reduction="projection", clusters="flat", width=WIDTH, reach2=REACH2, min_pts=MIN_PTS)
 
 
 # Clusters are sought among the documents that no predefined topic took.

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from review_topics import session
 from review_topics.operators import components as CC
 from review_topics.operators import density, neighbours
+from review_topics.plans import fit
+from review_topics.plans.model import FitParams
+from review_topics.queries import common
 
 
 def find_components(edges):
@@ -158,3 +161,78 @@ def test_hierarchy_matches_brute_force(spark, seed):
         if r["cluster"] is not None:
             found[r["cluster"]].add(r["doc_id"])
     assert {frozenset(m) for m in found.values()} == brute_hierarchy(rows, 6, 4, 12)
+
+
+def nested_cells(seed):
+    """Two dense spots and a wide one, with noise."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(420):
+        x, y, spread = rng.choice([(40, 40, 2), (58, 40, 2), (200, 210, 14), (200, 210, 14)])
+        rows.append((i, int(rng.gauss(x, spread)), int(rng.gauss(y, spread))))
+    return rows + [(1000 + i, rng.randrange(256), rng.randrange(256)) for i in range(25)]
+
+
+def brute_pyramid(rows, levels, min_pts, reach2, min_size):
+    """Clusters by plain recursion over the levels' parts."""
+
+    def parts_at(level):
+        cells = defaultdict(set)
+        for doc, x, y in rows:
+            cells[x >> level, y >> level].add(doc)
+        near = {c: [d for d in cells if distance2(c, d) <= reach2] for c in cells}
+        core = {c for c in cells if sum(len(cells[d]) for d in near[c]) >= min_pts}
+        edges = [(c, d) for c in core for d in near[c] if d in core and c != d]
+        root = find_components([(min(cells[a]), min(cells[b])) for a, b in edges])
+        out = defaultdict(set)
+        for c in core:
+            out[root.get(min(cells[c]), min(cells[c]))] |= cells[c]
+        return [m for m in out.values() if len(m) >= min_size]
+
+    layers = [parts_at(level) for level in range(levels)]
+    gains = [4.0**-d - (4.0 ** -(d + 1) if d < levels - 1 else 0) for d in range(levels)]
+
+    def best(part, level):
+        mass, members, at = 0.0, part, level
+        while True:
+            mass += len(members) * gains[at]
+            inside = [m for m in layers[at - 1] if m <= members] if at else []
+            if len(inside) != 1:
+                break
+            members, at = inside[0], at - 1
+        inner = [best(m, at - 1) for m in inside]
+        total = sum(m for m, _ in inner)
+        sole = level == levels - 1 and len(layers[level]) == 1
+        if inner and (total > mass or sole):
+            return max(mass, total), [c for _, found in inner for c in found]
+        return max(mass, total), [part]
+
+    return {frozenset(c) for part in layers[levels - 1] for c in best(part, levels - 1)[1]}
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_pyramid_matches_brute_force(spark, seed):
+    rows, levels = nested_cells(seed), 7
+    points = spark.createDataFrame(rows, "doc_id long, c0 int, c1 int")
+    cells = session.cut_lineage(neighbours.grid_cells(points, 2))
+    found = session.cut_lineage(density.cluster_pyramid(cells, 2, levels, 8, 2, 15))
+    got = defaultdict(set)
+    for r in density.label_pyramid(points, found, 2, 2).collect():
+        if r["cluster"] is not None:
+            got[r["cluster"]].add(r["doc_id"])
+    want = brute_pyramid(rows, levels, 8, 2, 15)
+    assert len(want) >= 2 and {frozenset(m) for m in got.values()} == want
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_default_clusters_are_the_languages_at_any_size(spark, size):
+    folder = f"/root/testdata/{size}"
+    found = fit.discover_clusters(common.centred_vectors(spark, folder), FitParams(min_topic_size=30), 256)
+    languages = common.documents(spark, folder).select("doc_id", "lang")
+    counts = found.where("cluster is not null").join(languages, "doc_id").groupBy("cluster", "lang").count().collect()
+    clusters = defaultdict(Counter)
+    for r in counts:
+        clusters[r["cluster"]][r["lang"]] += r["count"]
+    large = [c for c in clusters.values() if sum(c.values()) >= 30]
+    assert len(large) >= 4 and {c.most_common(1)[0][0] for c in large} == {"en", "fr", "de", "es"}
+    assert all(c.most_common(1)[0][1] >= 0.95 * sum(c.values()) for c in large)

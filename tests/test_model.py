@@ -126,7 +126,7 @@ def test_intents_become_the_labelled_table(spark):
     rows += [rows[0]] * 30 + [(99, "Air", "5", "t", "r", "{}", None, "no intent", "Neutral", [])]
     names = "id long, Airline_Name string, Overall_Rating string, Review_Title string, Review string, llm_response string, intent string, text_summary string, sentiment string, named_entities array<string>"
     labels = embedding.label_table(spark, ["seat cramped row seating comfort", "meal cold food quality"])
-    params = FitParams(min_similarity=0.3, min_topic_size=5, min_pts=3, components=2, width=0.3)
+    params = FitParams(min_similarity=0.3, min_topic_size=5, min_pts=3, components=2, clusters="flat", width=0.3)
     labelled, model, rejects = label.label_intents(spark.createDataFrame(rows, names), C.ENCODER, C.HashProvider(plain=True), labels, params, backoff=None)
     out = labelled.collect()
     assert [(r["id"], r["reason"]) for r in rejects.collect()] == [(99, "null_intent")]
