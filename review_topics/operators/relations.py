@@ -29,13 +29,22 @@ def intertopic_map(topic_vecs: DataFrame, sizes: DataFrame, labels: DataFrame) -
     )
 
 
-def top_topics(assignments: DataFrame, terms: DataFrame, n: int = V.CHARTED_TOPICS, words: int = 5) -> DataFrame:
-    """``(place, topic_id, n_docs, rank, term, weight)`` of the ``n`` largest topics, outliers aside."""
+def top_topics(
+    assignments: DataFrame, terms: DataFrame, n: int = V.CHARTED_TOPICS, words: int = 5, labels: DataFrame | None = None
+) -> DataFrame:
+    """``(place, topic_id, n_docs, rank, term, weight)`` of the ``n`` largest topics, outliers aside.
+
+    With ``labels(topic_id, label)`` there is also a column ``label``.
+    """
     sizes = assignments.where(F.col("topic_id") >= 0).groupBy("topic_id").agg(F.count("*").alias("n_docs"))
     largest = sizes.orderBy(F.desc("n_docs"), "topic_id").limit(n)
     placed = largest.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n_docs"), "topic_id")))
     shown = terms.where((F.col("aspect") == "Main") & (F.col("rank") <= words))
-    return shown.join(F.broadcast(placed), "topic_id").select("place", "topic_id", "n_docs", "rank", "term", "weight")
+    columns = ["place", "topic_id", "n_docs", "rank", "term", "weight"]
+    if labels is not None:
+        placed = placed.join(labels.select("topic_id", "label"), "topic_id", "left")
+        columns.append("label")
+    return shown.join(F.broadcast(placed), "topic_id").select(columns)
 
 
 def topic_similarity(weights: DataFrame) -> DataFrame:

@@ -24,9 +24,12 @@ def extract_intents(
     backoff: tuple[float, float] | None = V.BACKOFF_SECONDS,
     slice_rows: int = inference.SLICE_ROWS,
     calls_per_task: int = 1,
+    chunk_words: int | None = None,
+    chunk_overlap: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """``(intents, rejects)`` of a review table with ``id`` and ``Review``; ids keep their type.
 
+    With ``chunk_words`` longer reviews are asked about in overlapping chunks; what comes back carries the review's id.
     All reviews are read unless ``sample`` asks for some. Every review id ends in one of the two: rejects say why a review, a reply or an intent was left out.
     """
     picked = reviews.sample_n(table, sample, "id", seed) if sample else table
@@ -34,9 +37,16 @@ def extract_intents(
     accepted = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     refused = checked.where(F.col("reject_reason").isNotNull()).select("id", F.lit("review").alias("stage"), F.col("reject_reason").alias("reason"))
 
-    requests = prompts.chat_request(prompts.render_prompt(accepted), model, tools=V.TOOLS).select("id", "request")
+    asked = accepted
+    if chunk_words is not None:
+        chunks = reviews.chunk_reviews(accepted.select("id", "Review"), chunk_words, chunk_overlap)
+        asked = chunks.select(F.concat_ws(":", "id", "chunk").alias("id"), F.col("chunk_text").alias("Review"))
+    requests = prompts.chat_request(prompts.render_prompt(asked), model, tools=V.TOOLS).select("id", "request")
     replies = inference.infer_with_retries(requests, provider, ledger, V.MAX_ATTEMPTS, max_in_flight, backoff, slice_rows, calls_per_task)
     last = inference.latest_replies(replies)
+    if chunk_words is not None:
+        whole_id = F.regexp_replace("id", ":[0-9]+$", "").cast(accepted.schema["id"].dataType)
+        last = last.withColumn("id", whole_id)
     failed = last.where(F.col("status") != "ok").select("id", F.lit("call").alias("stage"), F.col("status").alias("reason"))
 
     payloads = responses.response_payload(last.where(F.col("status") == "ok").select("id", "tool_args", "content"))

@@ -25,9 +25,16 @@ def intents_without_text(intents: DataFrame) -> DataFrame:
     return intents.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def generated_aspects(docs: DataFrame, model: TopicModel, encoder, provider, backoff=V.BACKOFF_SECONDS) -> dict:
-    """Keyword diversification, then a generated label; and keywords by similarity to compare with."""
+def generated_aspects(
+    docs: DataFrame, model: TopicModel, encoder, provider, backoff=V.BACKOFF_SECONDS, prompt_words: int | None = None
+) -> dict:
+    """Keyword diversification, then a generated label; and keywords by similarity to compare with.
+
+    ``prompt_words`` is the budget of each document in a label prompt; without it documents go in whole.
+    """
     texts = model.representative.select("topic_id", "rank", "document")
+    if prompt_words is not None:
+        texts = reviews.truncate_tokens(texts, prompt_words)
     vecs = encoder.vectors(model.representative.select("doc_id", "document")).join(model.representative, "doc_id")
 
     def generated(table: DataFrame) -> DataFrame:
@@ -40,11 +47,17 @@ def generated_aspects(docs: DataFrame, model: TopicModel, encoder, provider, bac
 
 
 def label_intents(
-    intents: DataFrame, encoder, provider, labels: DataFrame, params: FitParams | None = None, backoff=V.BACKOFF_SECONDS
+    intents: DataFrame,
+    encoder,
+    provider,
+    labels: DataFrame,
+    params: FitParams | None = None,
+    backoff=V.BACKOFF_SECONDS,
+    prompt_words: int | None = None,
 ) -> tuple[DataFrame, TopicModel, DataFrame]:
     """``(labelled, model, rejects)`` of an intents table: every intent is a row of ``labelled`` or of ``rejects``."""
     docs = stage(intent_documents(intents), "documents")
     model = fit.fit_topics(docs, encoder, labels, params)
-    model = fit.update_topics(model, docs, encoder, model.assignments, generated_aspects(docs, model, encoder, provider, backoff))
+    model = fit.update_topics(model, docs, encoder, model.assignments, generated_aspects(docs, model, encoder, provider, backoff, prompt_words))
     model = fit.update_topics(model, docs, encoder, fit.reduce_outliers(model, docs))
     return topics.labelled_result(model.assignments, docs, model.labels, topics.aspect_labels(model.terms)), model, intents_without_text(intents)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics.functions import vectors as X
-from review_topics.operators import embedding
+from review_topics.operators import embedding, represent
 from review_topics.operators.zeroshot import prototype_matrix
 from review_topics.plans.model import TopicModel
+from review_topics.session import broadcast_checked
 
 
 def predict_vectors(
@@ -39,3 +40,10 @@ def predict(model: TopicModel, docs: DataFrame, encoder) -> DataFrame:
     return predict_vectors(
         vecs, model.prototypes, model.centroids, model.params.min_similarity, model.params.predict_similarity
     )
+
+
+def predict_with_words(model: TopicModel, docs: DataFrame, encoder, n: int = 10) -> DataFrame:
+    """``(doc_id, topic_id, probability, words)``: prediction beside the topic's first ``n`` keywords; outliers have none."""
+    main = model.terms.where((F.col("aspect") == "Main") & (F.col("rank") <= n) & (F.col("topic_id") >= 0))
+    words = broadcast_checked(represent.topic_words(main))
+    return predict(model, docs, encoder).join(words, "topic_id", "left").select("doc_id", "topic_id", "probability", "words")

@@ -102,6 +102,25 @@ def test_generated_row_ids_reach_the_intents(spark):
     assert found == {r["id"] for r in numbered.collect()} and len(found) == 20
 
 
+class Echo:
+    """One intent for each call, which names the words that were asked about."""
+
+    def complete(self, request_id, request, attempt):
+        words = [w for w in json.loads(request)["messages"][1]["content"].split() if w.startswith("word")]
+        return [], json.dumps({"intents": [{"intent": "a", "text_summary": " ".join(words), "sentiment": "Positive", "named_entities": []}]})
+
+
+def test_long_reviews_are_asked_about_in_chunks(spark):
+    rows = [(7, "Air", "5", "t", " ".join(f"word{i}" for i in range(25))), (8, "Air", "5", "t", "word1 word2")]
+    table = spark.createDataFrame(rows, "id long, Airline_Name string, Overall_Rating string, Review_Title string, Review string")
+    intents, rejects = extract_intents(table, Echo(), "m", backoff=None, chunk_words=10, chunk_overlap=2)
+    found = {}
+    for r in intents.collect():
+        found.setdefault(r["id"], []).append(r["text_summary"].split())
+    assert rejects.count() == 0 and len(found[7]) == 3 and found[8] == [["word1", "word2"]]
+    assert {w for part in found[7] for w in part} == {f"word{i}" for i in range(25)} and max(map(len, found[7])) == 10
+
+
 class Always:
     def complete(self, request_id, request, attempt):
         assert isinstance(request_id, str)

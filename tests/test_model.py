@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
-from review_topics.operators import represent, topics
+from review_topics.operators import relations, represent, topics
 from review_topics.operators import embedding
 from review_topics.plans import fit, label, predict
 from review_topics.plans.model import FitParams
@@ -75,6 +75,19 @@ def test_two_streams_into_one_target_keep_all_rows(spark, model, docs):
     assert sorted(r["doc_id"] for r in spark.read.parquet(target).collect()) == list(range(100))
 
 
+def test_predictions_come_with_words(model, docs, predicted):
+    rows = predict.predict_with_words(model, docs, C.ENCODER, 3).collect()
+    words = {r["topic_id"]: r["words"] for r in represent.topic_words(model.terms.where("aspect = 'Main' and rank <= 3")).collect()}
+    assert {r["doc_id"]: r["topic_id"] for r in rows} == {d: t for d, (t, _) in predicted.items()}
+    assert all(r["words"] == (words[r["topic_id"]] if r["topic_id"] >= 0 else None) for r in rows)
+
+
+def test_largest_topics_carry_their_labels(model):
+    rows = relations.top_topics(model.assignments, model.terms, 2, 3, model.labels).collect()
+    names = {r["topic_id"]: r["label"] for r in model.labels.collect()}
+    assert rows and all(r["label"] == names[r["topic_id"]] for r in rows)
+
+
 def test_changed_texts_are_described(model, docs):
     other = docs.withColumn("document", F.concat(F.lit("zebra stripes "), F.col("document")))
     updated = fit.update_topics(model, other, C.ENCODER, model.assignments)
