@@ -39,7 +39,7 @@ _SIGNS = re.escape("".join(LOOKALIKES))
 _FILLERS = r" .\-_*~,'"
 _SPACED = re.compile(rf"[A-Za-z](?:[{_FILLERS}](?:[A-Za-z0-9]|[{_SIGNS}](?=[{_FILLERS}][A-Za-z0-9]))(?![^\W_])){{2,}}")
 _DISGUISED = re.compile(
-    rf"[0-9@$!€£]+[^\W\d_][\w{_SIGNS}*]*|(?<![^\W\d_])[^\W\d_]++(?:[{_SIGNS}*_.\-]+[^\W_][\w{_SIGNS}*]*|[{_SIGNS}](?![\w{_SIGNS}]))"
+    rf"(?<![0-9@$!€£])[0-9@$!€£]++[^\W\d_][\w{_SIGNS}*]*|(?<![^\W\d_])[^\W\d_]++(?:[{_SIGNS}*_.\-]+[^\W_][\w{_SIGNS}*]*|[{_SIGNS}](?![\w{_SIGNS}]))"
     r"|(?<![^\W\d_])(?=[^\W\d_]*?([^\W\d_])\1\1)[^\W\d_]++"
 )
 _COST_LOOKALIKE, _COST_FILLER, _COST_COLLAPSE = 0.5, 0.1, 0.3
@@ -58,31 +58,34 @@ _DIGIT, _SIGN, _LEAD, _JOIN, _FILL = _bytes_of("0123456789"), _bytes_of("".join(
 
 def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places at which disguised words, and single characters set apart, may be; few others."""
-    padded = np.zeros(len(data) + 3, np.uint8)
-    padded[1:-2] = data
+    padded = np.zeros(len(data) + 4, np.uint8)
+    padded[1:-3] = data
     alpha, sign = _ALPHA[padded], _SIGN[padded]
     alnum = alpha | _DIGIT[padded]
-    now, ahead, beyond = slice(1, -2), slice(2, -1), slice(3, None)
+    now, ahead, beyond, last = slice(1, -3), slice(2, -2), slice(3, -1), slice(4, None)
     spread = sign | _JOIN[padded]
-    hit = spread[now] & alnum[ahead] & (padded[:-3] > 32)
+    hit = spread[now] & alnum[ahead] & (padded[:-4] > 32)
     hit |= _LEAD[padded][now] & alpha[ahead]
     hit |= alpha[now] & sign[ahead] & ~(alnum | sign)[beyond]
     hit |= alpha[now] & (padded[now] == padded[ahead]) & (padded[now] == padded[beyond])
     hit |= ((padded[now] == 0xC2) & (padded[ahead] == 0xA3)) | ((padded[now] == 0xE2) & (padded[ahead] == 0x82) & (padded[beyond] == 0xAC))
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    before = alnum[:-3] & ~edge[:-1]
-    alone = (_ALPHA & ~(np.arange(256) > 127))[data] & ~before & _FILL[padded[ahead]] & (alnum | sign)[beyond]
+    before = alnum[:-4] & ~edge[:-1]
+    alone = (_ALPHA & ~(np.arange(256) > 127))[data] & ~before & _FILL[padded[ahead]] & (alnum | sign)[beyond] & ~alnum[last]
     return np.flatnonzero(hit), np.flatnonzero(alone)
 
 
 def stretches(texts: pa.Array) -> tuple[list[str], list[int]]:
     """Suspicious stretches of texts, and the text of each: parts of one blank-free token, or ASCII letters set apart."""
     data, offsets = words.text_buffer(texts)
-    data = data[: offsets[-1]]
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]  # a slice shares its batch's buffer
     hits, alone = _triggers(data, offsets)
-    blanks = np.flatnonzero(data <= 32)
-    limits = np.union1d(np.union1d(blanks, blanks + 1), offsets)
+    limit = np.zeros(len(data) + 1, bool)
+    limit[:-1] = data <= 32
+    limit[1:] |= limit[:-1].copy()
+    limit[offsets] = True
+    limits = np.flatnonzero(limit)
     begin = limits[np.searchsorted(limits, hits, "right") - 1]
     token, first = np.unique(begin, return_index=True)
     end = limits[np.searchsorted(limits, hits[first], "right")] if len(hits) else hits

@@ -100,7 +100,7 @@ def test_restoring_matches_enumeration():
     [("an 1d10t here", "1d10t"), ("you st*pid one", "st*pid"), ("so stuuuupid.", "stuuuupid"), ("m0r0n", "m0r0n"), ("i d i o t !", "i d i o t "), ("w.o.r.t.h", "w.o.r.t.h"), ("$cum", "$cum"), ("tra$h", "tra$h")],
 )
 def test_stretches_are_seen(text, stretch):
-    found, of = toxicity.stretches(pa.array(["", None, text, "b"]))
+    found, of = toxicity.stretches(pa.array(["m0r0n 1d10t", "", None, text, "b"]).slice(1))
     assert stretch.strip() in [s.strip() for s in found] and set(of) == {2}, found
 
 
