@@ -43,7 +43,7 @@ def local_scratch(spark: SparkSession) -> None:
     Nothing happens where a folder is named already, and on a cluster none is made up.
     """
     context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or not context.master.startswith("local["):
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or context.master.split("[")[0] != "local":
         return
     folder = tempfile.mkdtemp(prefix="review-topics-")
     context.setCheckpointDir(folder)
