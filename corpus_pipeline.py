@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard, packing, pii
-from review_topics.session import stage
+from review_topics.session import local_scratch, stage
 
 # More bits a character than this is not running text of a known language: phrases of under two characters.
 MAX_BITS = 7.0
 
 
+def _with_scratch(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in a session that may be local and name no shared folder."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        local_scratch(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_with_scratch
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that cross-parsing knows; texts without letters and far from every language go."""
     model = cross_parsing.train(docs)
-    found = cross_parsing.identify(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits") <= MAX_BITS)).select(docs.columns)
+    aside = {name: f"_own_{name}" for name in docs.columns if name in ("lang_pred", "score", "bits")}
+    found = cross_parsing.identify(docs.withColumnsRenamed(aside), model)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("bits") <= MAX_BITS))
+    return kept.select(*[F.col(aside.get(name, name)).alias(name) for name in docs.columns])
 
 
+@_with_scratch
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group of near duplicates; rows without doc_id stay."""
     groups = ngram_jaccard.jaccard_links(docs)
@@ -26,17 +44,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+@_with_scratch
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+@_with_scratch
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data in their texts replaced by its kind."""
     return pii.masked(docs, pii.train(docs))
 
 
+@_with_scratch
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with the sequence each goes to and its place there."""
     pieces = packing.token_pieces(docs, packing.byte_bpe_50k())
@@ -56,6 +77,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    local_scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
