@@ -1,6 +1,6 @@
 """Toxicity of texts whose writers hide words: restore first, then score.
 
-Suspicious stretches (letters mixed with digits or signs, single ASCII letters set apart, letters repeated) are seen as a noisy
+Suspicious stretches (letters mixed with digits or signs, single letters set apart, letters repeated) are seen as a noisy
 copy of a word. A lattice holds what each character may have stood for; a Viterbi pass picks the reading that a character
 model of the corpus finds likeliest. The restored words join the plain ones, and a logistic model over the words that
 labels speak about scores the text.
@@ -8,6 +8,7 @@ labels speak about scores the text.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
@@ -37,7 +38,7 @@ LOOKALIKES = {
 }
 _SIGNS = re.escape("".join(LOOKALIKES))
 _FILLERS = r" .\-_*~,'"
-_SPACED = re.compile(rf"[A-Za-z](?:[{_FILLERS}](?:[A-Za-z0-9]|[{_SIGNS}](?=[{_FILLERS}][A-Za-z0-9]))(?![^\W_])){{2,}}")
+_SPACED = re.compile(rf"[^\W\d_](?:[{_FILLERS}](?:[^\W_]|[{_SIGNS}](?=[{_FILLERS}][^\W_]))(?![^\W_])){{2,}}")
 _DISGUISED = re.compile(
     rf"(?<![0-9@$!€£])[0-9@$!€£]++[^\W\d_][\w{_SIGNS}*]*|(?<![^\W\d_])[^\W\d_]++(?:[{_SIGNS}*_.\-]+[^\W_][\w{_SIGNS}*]*|[{_SIGNS}](?![\w{_SIGNS}]))"
     r"|(?<![^\W\d_])(?=[^\W\d_]*?([^\W\d_])\1\1)[^\W\d_]++"
@@ -51,33 +52,58 @@ def _bytes_of(chars: str) -> np.ndarray:
     return table
 
 
+# A byte beyond ASCII may belong to a letter or to a sign: it counts where a letter is asked for, and never where one is ruled out.
 _ALPHA = _bytes_of("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _ALPHA[128:] = True
 _DIGIT, _SIGN, _LEAD, _JOIN, _FILL = _bytes_of("0123456789"), _bytes_of("".join(LOOKALIKES)), _bytes_of("0123456789@$!"), _bytes_of("*_.-"), _bytes_of(" .-_*~,'")
+_ALNUM = _ALPHA | _DIGIT
+_PLAIN = _ALNUM & (np.arange(256) < 128)
+_WIDTH = np.select([np.arange(256) < 0x80, np.arange(256) < 0xC0, np.arange(256) < 0xE0, np.arange(256) < 0xF0], [1, 0, 2, 3], 4)  # of the character a byte begins
+
+
+def _set_apart(data: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """First bytes of characters behind which two more stand, each behind one filler; the one before is no ASCII letter or digit."""
+    fill = np.flatnonzero(_FILL[data])
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    one, two = fill[:-1], fill[1:]
+    near = two - one < 6
+    one, two = one[near], two[near]
+    middle, third = padded[one + 1], padded[two + 1]
+    behind = two + 1 + _WIDTH[third]
+    near = (two - one - 1 == _WIDTH[middle]) & (_ALNUM | _SIGN)[middle] & (_ALNUM | _SIGN)[third] & (~_PLAIN[padded[behind]] | edge[behind]) & ~edge[one]
+    at = one[near] - 1
+    for _ in range(3):
+        at = at - ((data[at] & 0xC0) == 0x80)
+    return at[_ALPHA[data[at]] & (edge[at] | ~_PLAIN[data[at - 1]])]
 
 
 def _triggers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places at which disguised words, and single characters set apart, may be; few others."""
-    padded = np.zeros(len(data) + 4, np.uint8)
-    padded[1:-3] = data
+    """Places at which disguised words, and single characters set apart, may be: all of them, and few others."""
+    padded = np.zeros(len(data) + 3, np.uint8)
+    padded[1:-2] = data
     alpha, sign = _ALPHA[padded], _SIGN[padded]
-    alnum = alpha | _DIGIT[padded]
-    now, ahead, beyond, last = slice(1, -3), slice(2, -2), slice(3, -1), slice(4, None)
+    alnum = _ALNUM[padded]
+    now, ahead, beyond = slice(1, -2), slice(2, -1), slice(3, None)
+    edge = np.zeros(len(data) + 8, bool)
+    edge[offsets] = True
     spread = sign | _JOIN[padded]
-    hit = spread[now] & alnum[ahead] & (padded[:-4] > 32)
+    hit = spread[now] & alnum[ahead] & (padded[:-3] > 32)
     hit |= _LEAD[padded][now] & alpha[ahead]
-    hit |= alpha[now] & sign[ahead] & ~(alnum | sign)[beyond]
+    hit |= alpha[now] & sign[ahead] & (~(_PLAIN[padded] | sign)[beyond] | edge[2 : len(data) + 2])
     hit |= alpha[now] & (padded[now] == padded[ahead]) & (padded[now] == padded[beyond])
     hit |= ((padded[now] == 0xC2) & (padded[ahead] == 0xA3)) | ((padded[now] == 0xE2) & (padded[ahead] == 0x82) & (padded[beyond] == 0xAC))
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = alnum[:-4] & ~edge[:-1]
-    alone = (_ALPHA & ~(np.arange(256) > 127))[data] & ~before & _FILL[padded[ahead]] & (alnum | sign)[beyond] & ~alnum[last]
-    return np.flatnonzero(hit), np.flatnonzero(alone)
+    wide = np.flatnonzero(data >= 0xC0)  # letters of several bytes, three times the same
+    for width in (2, 3, 4):
+        at = wide[_WIDTH[data[wide]] == width]
+        at = at[at + 3 * width <= len(data)]
+        for k in range(width):
+            at = at[(data[at + k] == data[at + width + k]) & (data[at + k] == data[at + 2 * width + k])]
+        hit[at] = True
+    return np.flatnonzero(hit), _set_apart(data, edge)
 
 
 def stretches(texts: pa.Array) -> tuple[list[str], list[int]]:
-    """Suspicious stretches of texts, and the text of each: parts of one blank-free token, or ASCII letters set apart."""
+    """Suspicious stretches of texts, and the text of each: parts of one blank-free token, or letters set apart."""
     data, offsets = words.text_buffer(texts)
     data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]  # a slice shares its batch's buffer
     hits, alone = _triggers(data, offsets)
@@ -99,18 +125,19 @@ def stretches(texts: pa.Array) -> tuple[list[str], list[int]]:
             of.append(doc)
     floor = 0
     for doc, at in zip((np.searchsorted(offsets, alone, "right") - 1).tolist(), alone.tolist()):
-        if at < floor:
+        start, last, width = int(offsets[doc]), int(offsets[doc + 1]), 256
+        if at < floor or raw[max(start, at - 4) : at].decode("utf-8", "ignore")[-1:].isalnum():
             continue
-        last, width = int(offsets[doc + 1]), 256
         while True:
             m = _SPACED.match(raw[at : min(last, at + width)].decode("utf-8", "ignore"))
-            if not m or at + width >= last or m.end() < width - 8:
+            size = len(m[0].encode()) if m else 0
+            if not m or at + width >= last or size < width - 16:
                 break
             width *= 4
         if m:
             found.append(m[0])
             of.append(doc)
-            floor = at + len(m[0])
+            floor = at + size
     return found, of
 
 
@@ -168,14 +195,25 @@ def language_model(documents: DataFrame) -> np.ndarray:
     return np.log(np.maximum(chance, 1e-12)).astype(np.float32)
 
 
+def _folded(text: str) -> Iterator[tuple[str, str]]:
+    """Characters in lower case without accents, each with the one it comes from. Syllables that fold to several letters stay."""
+    for c in unicodedata.normalize("NFC", text.lower()):
+        plain = fold(c)
+        if len(plain) > 1:
+            yield from ((x, x) for x in (plain if plain.isascii() else c))
+        elif plain:
+            yield plain, c
+
+
 def lattice(stretch: str) -> list[list[tuple[str, float]]]:
-    """What each run of equal characters may stand for, with its cost. An empty reading drops the run."""
+    """What each run of characters equal but for accents may stand for, with its cost. An empty reading drops the run."""
     out = []
-    for m in re.finditer(r"(.)\1*", fold(stretch), re.S):
-        c, n = m[1], len(m[0])
+    for c, run in itertools.groupby(_folded(stretch), lambda pair: pair[0]):
+        own = [letter for _, letter in run]
+        n = len(own)
         if c.isalpha():
-            readings = [(c * n, 0.0)] if n < 3 else []
-            readings += [(c * k, _COST_COLLAPSE) for k in (1, 2) if k < n]
+            readings = [("".join(own), 0.0)] if n < 3 else []
+            readings += [("".join(own[:k]), _COST_COLLAPSE) for k in (1, 2) if k < n]
         elif c in LOOKALIKES:
             readings = [(letter * min(n, 2), _COST_LOOKALIKE) for letter in LOOKALIKES[c]] + [("", 4 * _COST_LOOKALIKE)]
         else:
@@ -185,8 +223,8 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(stretch: str, model: np.ndarray) -> str:
-    """Likeliest reading of a stretch; the state is the last three letters, so the search is exact. The first of equals wins."""
-    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else 27
+    """Likeliest reading of a stretch, accents kept; the state is the last three letters, so the search is exact. The first of equals wins."""
+    code = lambda c: ord(c[0]) - 96 if "a" <= (c := fold(c))[:1] <= "z" else 27
     states: dict[tuple[int, ...], tuple[float, str]] = {(0,) * (ORDER - 1): (0.0, "")}
     for readings in lattice(stretch):
         following: dict[tuple[int, ...], tuple[float, str]] = {}
@@ -231,6 +269,9 @@ class _Reader:
         owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
         found, of = stretches(texts)
         found = [self.restored(s) for s in found]
+        accents = [(k, plain) for k, text in enumerate(found) if not text.isascii() and (plain := fold(text)) != text]
+        of += [of[k] for k, _ in accents]
+        found += [plain for _, plain in accents]
         more, ends = words.word_hashes(pa.array(found, pa.string()))
         return np.concatenate((hashes, more)), np.concatenate((owner, np.repeat(np.array(of, np.int64), np.diff(ends))))
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -104,6 +105,39 @@ def test_stretches_are_seen(text, stretch):
     assert stretch.strip() in [s.strip() for s in found] and set(of) == {2}, found
 
 
+@pytest.mark.parametrize(
+    "text, stretch",
+    [("an i d i ö t here", "i d i ö t"), ("m é r d e !", "m é r d e"), ("т у п о й", "т у п о й"), ("Ö d e r", "Ö d e r"), ("an idiööööt.", "idiööööt"), ("идиооот", "идиооот"), ("𐐨𐐨𐐨", "𐐨𐐨𐐨"),
+     ("“f u c k”", "f u c k"), ("a—f u c k", "f u c k"), ("x\u00a0f u c k", "f u c k"), ("“shi+”", "shi+"), ("ö-" * 200 + "x yes", "ö-" * 200 + "x"), ("f u c k " + "т у п " * 60 + "а", "f u c k " + "т у п " * 60 + "а")],
+)
+def test_stretches_of_any_script_are_seen_whole(text, stretch):
+    found, of = toxicity.stretches(pa.array(["b", text, "é"]))
+    assert stretch in [s.strip() for s in found] and set(of) == {1}, found
+
+
+def test_a_sign_at_the_end_of_a_text_is_seen_before_another_text():
+    assert toxicity.stretches(pa.array(["shi+", "next"])) == (["shi+"], [0])
+
+
+@pytest.mark.parametrize("text", ["étés à la b", "naïve “A”, B", "слово и в доме", "———", "日本語。。。", "é"])
+def test_plain_text_of_any_script_is_left_alone(text):
+    assert toxicity.stretches(pa.array([text]))[0] == []
+
+
+def test_triggers_miss_nothing_that_the_patterns_find():
+    """Against the patterns run over whole texts."""
+    rng = random.Random(2)
+    spaced = re.compile(r"(?<![^\W_])" + toxicity._SPACED.pattern)
+    texts = ["".join(rng.choices("abé ö и й语𐐨 ..-_'1$@!€£“—\u00a0", k=rng.randrange(0, 40))) for _ in range(20_000)]
+    found, of = toxicity.stretches(pa.array(texts))
+    own = [[] for _ in texts]
+    for k, stretch in zip(of, found):
+        own[k].append(stretch)
+    for k, text in enumerate(texts):
+        want = [m[0] for token in re.split(r"[\x00-\x20]+", text) for m in toxicity._DISGUISED.finditer(token)] + [m[0] for m in spaced.finditer(text)]
+        assert own[k] == want, text
+
+
 @pytest.mark.parametrize("text", ["plain words, and more.", "said 12 of 30 (in 1987)", "A. B", "well-known", "the&&& and%%%"])
 def test_plain_text_is_left_alone(text):
     found, _ = toxicity.stretches(pa.array([text]))
@@ -149,6 +183,23 @@ def test_disguised_words_score_like_plain_ones(spark):
     assert [r["score"] >= 0.5 for r in sorted(out, key=lambda r: r["doc_id"])] == [True] * 5 + [False] * 3
 
 
+def test_disguised_words_of_any_script_score_like_plain_ones(spark):
+    rng = random.Random(9)
+    common = ["maison", "rivière", "дом", "река", "бумага", "письмо", "вода", "зима", "hiver", "eau"]
+    rows, labels = [], []
+    for i in range(600):
+        body = rng.choices(common, k=12)
+        if i % 4 == 0:
+            body[rng.randrange(12)] = rng.choice(["débile", "тупой", "идиот", "merde"])
+        rows.append((i, " ".join(body)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic long")
+    scorer = toxicity.train(docs, marks)
+    probes = ["вода т у п о й дом", "eau d é b i l e hiver", "m é r d e hiver", "“м”, идиооот", "“m e r d e”", "вода зима", "“eau”", "rivière"]
+    out = toxicity.scored(spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string"), scorer).collect()
+    assert [r["score"] >= 0.5 for r in sorted(out, key=lambda r: r["doc_id"])] == [True] * 5 + [False] * 3
+
+
 def test_nothing_to_learn_from(spark):
     docs, none = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic long")
     assert {r["score"] for r in toxicity.scored(docs, toxicity.train(docs, none)).collect()} == {0.5}
