@@ -25,7 +25,6 @@ from review_topics.llm import words
 from review_topics.session import stage
 
 TRAIN_DOCUMENTS = 20_000
-MAX_WORDS = 512
 MIN_DOCUMENTS = 10
 MIN_Z = 5.0
 ORDER = 4
@@ -297,33 +296,57 @@ def _features(language, hashes):
         reader = _Reader(language.value)
         for batch in batches:
             for part in words.sub_batches(batch, "text", 2 << 20):
-                seen = _seen(reader, part.column("text"), hashes.value)
-                at = [np.flatnonzero(row).astype(np.int32) for row in seen]
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(at, pa.list_(pa.int32()))], names=["toxic", "features"])
+                owner, at = _seen(reader, part.column("text"), hashes.value)
+                ends = np.searchsorted(owner, np.arange(len(part.column("text")) + 1)).astype(np.int32)
+                features = pa.ListArray.from_arrays(pa.array(ends), pa.array(at.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), features], names=["toxic", "features"])
 
     return run
 
 
-def _seen(reader: _Reader, texts: pa.Array, hashes: np.ndarray) -> np.ndarray:
-    """Which of the sorted ``hashes`` each text has."""
-    out = np.zeros((len(texts), len(hashes)), bool)
-    if len(hashes):
-        found, owner = reader.words(texts)
-        at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-        hit = hashes[at] == found
-        out[owner[hit], at[hit]] = True
-    return out
+def _seen(reader: _Reader, texts: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, place)``, sorted: the places in the sorted ``hashes`` of the words that each text has."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, owner = reader.words(texts)
+    at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+    hit = hashes[at] == found
+    return np.divmod(np.unique(owner[hit].astype(np.int64) * len(hashes) + at[hit]), len(hashes))
+
+
+def _solve(times, diagonal: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solution of a positive definite system by conjugate gradients, the diagonal as preconditioner."""
+    x, rest = np.zeros(len(right)), right.copy()
+    along = aim = rest / diagonal
+    size = rest @ aim
+    least = 1e-20 * size
+    for _ in range(10 * len(right)):
+        if size <= least:
+            break
+        image = times(along)
+        pace = size / (along @ image)
+        x += pace * along
+        rest -= pace * image
+        aim = rest / diagonal
+        size, before = rest @ aim, size
+        along = aim + size / before * along
+    return x
 
 
-def logistic(x: np.ndarray, y: np.ndarray, decay: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression with quadratic decay of the weights, by Newton steps."""
-    x = np.hstack((x, np.ones((len(x), 1))))
-    w = np.zeros(x.shape[1])
+def logistic(row: np.ndarray, column: np.ndarray, width: int, y: np.ndarray, decay: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression with quadratic decay of the weights, by Newton steps.
+
+    The table of features has ``width`` columns and holds 1 at each ``(row, column)``, 0 elsewhere; it is never filled in.
+    """
+    forward = lambda v: np.bincount(row, v[column], len(y)) + v[-1]
+    back = lambda u: np.append(np.bincount(column, u[row], width), u.sum())
+    w = np.zeros(width + 1)
     keep = np.full(len(w), decay)
     keep[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (y - p) - keep * w)
+        p = 1 / (1 + np.exp(-np.clip(forward(w), -30, 30)))
+        spread = p * (1 - p)
+        step = _solve(lambda v: back(spread * forward(v)) + keep * v, back(spread) + keep, back(y - p) - keep * w)
         w += step * min(1.0, 4 / max(1e-9, float(np.abs(step).max())))
         if np.abs(step).max() < 1e-6:
             break
@@ -334,8 +357,8 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS)
     """Scorer from ``documents(doc_id, text)`` and ``labels(doc_id, toxic)``.
 
     The character model counts all documents. Words are chosen and weighed on at most ``limit`` labelled documents, the
-    first by the hash of their number: words of MIN_DOCUMENTS documents or more whose share of toxic ones is MIN_Z standard
-    errors off, at most MAX_WORDS. Rows without label or doc_id do not count; of several labels the highest does.
+    first by the hash of their number: all words of MIN_DOCUMENTS documents or more whose share of toxic ones is MIN_Z
+    standard errors off. Rows without label or doc_id do not count; of several labels the highest does.
     """
     spark: SparkSession = documents.sparkSession
     language = language_model(documents)
@@ -351,13 +374,11 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCUMENTS)
     counted = sample.mapInArrow(_word_counts(sent), "word long, ones long, zeros long").groupBy("word").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     n = F.col("ones") + F.col("zeros")
     z = F.abs(F.col("ones") - n * share) / F.sqrt(n * share * (1 - share))
-    chosen = counted.where((n >= MIN_DOCUMENTS) & (z >= MIN_Z)).orderBy(z.desc(), "word").limit(MAX_WORDS).collect()
+    chosen = counted.where((n >= MIN_DOCUMENTS) & (z >= MIN_Z)).select("word").collect()
     hashes = np.sort(np.array([r["word"] for r in chosen], np.int64).view(np.uint64))
     rows = sample.mapInArrow(_features(sent, spark.sparkContext.broadcast(hashes)), "toxic int, features array<int>").toPandas()
-    x = np.zeros((len(rows), len(hashes)))
-    for k, own in enumerate(rows["features"]):
-        x[k, own] = 1
-    weights, bias = logistic(x, rows["toxic"].to_numpy(float))
+    row = np.repeat(np.arange(len(rows)), rows["features"].str.len().to_numpy(np.int64))
+    weights, bias = logistic(row, np.concatenate(rows["features"].to_list()).astype(np.int64), len(hashes), rows["toxic"].to_numpy(float))
     return Scorer(language, hashes, weights, bias)
 
 
@@ -373,7 +394,8 @@ def scored(documents: DataFrame, scorer: Scorer) -> DataFrame:
         reader = _Reader(own.language)
         for batch in batches:
             for part in words.sub_batches(batch, "text", 2 << 20):
-                value = _seen(reader, pc.fill_null(part.column("text"), ""), own.hashes) @ own.weights + own.bias
+                owner, at = _seen(reader, pc.fill_null(part.column("text"), ""), own.hashes)
+                value = np.bincount(owner, own.weights[at], part.num_rows) + own.bias
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(value, -500, 500))))], names=["doc_id", "score"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")

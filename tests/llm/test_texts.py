@@ -204,3 +204,25 @@ def test_nothing_to_learn_from(spark):
     docs, none = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic long")
     assert {r["score"] for r in toxicity.scored(docs, toxicity.train(docs, none)).collect()} == {0.5}
     assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), none)).count() == 0
+
+
+def test_all_telling_words_count(spark):
+    telling = [f"tell{chr(97 + k // 26)}{chr(97 + k % 26)}x" for k in range(620)]
+    rows = [(i, "plain words " + " ".join(telling[(20 * i + k) % 620] for k in range(20)), 1) for i in range(310)]
+    rows += [(i, "plain words of no kind", 0) for i in range(310, 1240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic long")
+    scorer = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    out = toxicity.scored(spark.createDataFrame([(-1, "plain"), *enumerate(telling)], "doc_id long, text string"), scorer).collect()
+    score = {r["doc_id"]: r["score"] for r in out}
+    clean = score.pop(-1)
+    assert len(score) == 620 and min(score.values()) > clean + 1e-3
+
+
+def test_sparse_fit_matches_the_dense_one():
+    rng = np.random.default_rng(4)
+    x = rng.random((300, 40)) < 0.2
+    y = (x[:, :5].sum(1) + rng.random(300) > 1.5).astype(float)
+    weights, bias = toxicity.logistic(*np.nonzero(x), 40, y)
+    p = 1 / (1 + np.exp(-(x @ weights + bias)))
+    assert np.abs(x.T @ (y - p) - weights).max() < 1e-5 and abs((y - p).sum() - 1e-3 * bias) < 1e-5
+    assert toxicity.logistic(np.zeros(0, int), np.zeros(0, int), 0, y)[1] == pytest.approx(np.log(y.mean() / (1 - y.mean())), abs=1e-3)
