@@ -26,6 +26,14 @@ def _with_scratch(function: Callable[[SparkSession, DataFrame, str], DataFrame])
     return run_stage
 
 
+def _with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a key of their own, written so that it stays, and the key's name: doc_ids may repeat or be missing."""
+    key = "_row"
+    while key in (name.lower() for name in docs.columns):
+        key += "_"
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
 @_with_scratch
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that cross-parsing knows; texts without letters and far from every language go."""
@@ -38,17 +46,20 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_with_scratch
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near duplicates; rows without doc_id stay."""
-    groups = ngram_jaccard.jaccard_links(docs)
-    gone = groups.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row, of those with the smallest doc_id, of each group of near duplicates; rows without doc_id count as the last."""
+    rows, key = _with_row_key(docs)
+    groups = ngram_jaccard.jaccard_links(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "class_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first")
+    kept = rows.select(key, "doc_id").join(groups, key).groupBy("class_id").agg(first).select(f"first.{key}")
+    return rows.join(kept, key, "left_semi").select(docs.columns)
 
 
 @_with_scratch
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no passage of the benchmark, row by row: also those without doc_id or with another's."""
+    rows, key = _with_row_key(docs)
+    hits = decontaminate.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.join(hits.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(docs.columns)
 
 
 @_with_scratch

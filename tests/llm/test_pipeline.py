@@ -71,3 +71,16 @@ def test_planted_passages_and_copies_leave_the_test_tables(spark, sf):
     assert decontaminate.contaminated(left, spark.read.parquet(f"{sf}/benchmark.parquet")).count() == 0
     assert left.groupBy(F.md5("text")).count().where("count > 1").count() == 0
     assert words.SLICE_BYTES > 0 and left.count() > 100
+
+
+def test_repeated_rows_and_rows_without_doc_id_are_examined(spark, tmp_path):
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    same, passage, other, clean = prose(40), prose(25), prose(40), prose(40)
+    spark.createDataFrame([(0, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, same), (1, same), (2, same), (None, same), (None, other), (None, other), (1, clean), (None, None), (None, "")], "doc_id long, text string")
+    left = stage_named("ngram_jaccard_join")(spark, docs, str(tmp_path)).collect()
+    assert sorted(left, key=str) == sorted([(1, same), (None, other), (1, clean), (None, None), (None, "")], key=str)
+    docs = spark.createDataFrame([(None, f"{other} {passage}"), (5, f"{passage} {same}"), (5, clean), (None, clean), (None, None)], "doc_id long, text string")
+    left = stage_named("benchmark_decontamination")(spark, docs, str(tmp_path)).collect()
+    assert sorted(left, key=str) == sorted([(5, clean), (None, clean), (None, None)], key=str)
