@@ -70,15 +70,15 @@ def _profiles(bands: int, rows: int, n: int):
                     own = np.unique(grams[offsets[i] : offsets[i + 1]])
                     keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                     sizes.append(len(own))
-                ids = part.column("doc_id").take(pa.array(has))
+                ids, texts = (part.column(c).take(pa.array(has)) for c in ("doc_id", "text_key"))
                 silent = part.column("doc_id").take(pa.array(np.flatnonzero(np.diff(offsets) == 0)))
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, bands * len(has) + 1, bands, dtype=np.int32)),
                     pa.array(np.asarray(band_rows, dtype=np.uint64).reshape(-1).view(np.int64)),
                 )
-                names = ["doc_id", "set_key", "n_grams", "bands"]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], names=names)
-                none = [pa.nulls(len(silent), kind) for kind in (pa.binary(), pa.int32(), lists.type)]
+                names = ["doc_id", "text_key", "set_key", "n_grams", "bands"]
+                yield pa.RecordBatch.from_arrays([ids, texts, pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), lists], names=names)
+                none = [pa.nulls(len(silent), kind) for kind in (pa.int64(), pa.binary(), pa.int32(), lists.type)]
                 yield pa.RecordBatch.from_arrays([silent, *none], names=names)
 
     return run
@@ -135,16 +135,17 @@ def _verify(threshold: float):
     share = Fraction(str(threshold))
 
     def run(table: pa.Table) -> pa.Table:
-        frame = table.select(["node", "side", "copies", "grams"]).to_pandas().drop_duplicates(["node", "side"]).sort_values("node")
+        frame = table.select(["node", "text_key", "side", "copies", "grams"]).to_pandas()
+        frame = frame.drop_duplicates(["node", "text_key", "side"]).sort_values(["node", "text_key"])
         sets = [np.frombuffer(g, np.uint64) for g in frame["grams"]]
-        side, node, copies = (frame[c].to_numpy() for c in ("side", "node", "copies"))
+        side, node, text, copies = (frame[c].to_numpy() for c in ("side", "node", "text_key", "copies"))
         left = np.flatnonzero(side <= 0)
         right = left if (side == -1).all() else np.flatnonzero(side == 1)
         common = common_grams([sets[i] for i in left], [sets[i] for i in right]) if len(left) and len(right) else np.zeros((len(left), len(right)), np.int64)
         size = np.array([len(s) for s in sets])
         either = size[left][:, None] + size[right][None, :] - common
         linked = (common * share.denominator >= either * share.numerator) & (common > 0)
-        linked &= node[left][:, None] != node[right][None, :]
+        linked &= (node[left][:, None] != node[right][None, :]) | (text[left][:, None] != text[right][None, :])
         links, documents = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
         links[left] += linked.sum(1)
         documents[left] += linked @ copies[right]
@@ -153,7 +154,7 @@ def _verify(threshold: float):
             documents[right] += copies[left] @ linked
         a, b = np.nonzero(linked)
         root = _roots(len(node), left[a], right[b])
-        return pa.table({"node": node, "root": node[root], "links": links, "documents": documents})
+        return pa.table({"node": node, "text_key": text, "root": node[root], "links": links, "documents": documents})
 
     return run
 
@@ -171,30 +172,32 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
     Rows without doc_id are left out. Other columns are ignored; an empty table gives an empty result.
     """
     bands, rows = choose_bands(threshold, recall)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")).where("doc_id is not null")
     profile = stage(
-        docs.mapInArrow(_profiles(bands, rows, n), "doc_id long, set_key binary, n_grams int, bands array<long>"), "profiles"
+        docs.mapInArrow(_profiles(bands, rows, n), "doc_id long, text_key long, set_key binary, n_grams int, bands array<long>"), "profiles"
     )
-    classes = profile.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.max("n_grams").alias("n_grams"))
-    classes = stage(classes, "classes")
+    # A class is named by its smallest doc_id, and by the text there, as one doc_id may lead several classes.
+    first = F.min(F.struct(F.col("doc_id").alias("node"), "text_key")).alias("first")
+    classes = profile.where("set_key is not null").groupBy("set_key").agg(first, F.count("*").alias("copies"), F.max("n_grams").alias("n_grams"))
+    classes = stage(classes.select("set_key", "first.*", "copies", "n_grams"), "classes")
 
     # Buckets with more than one class. A bucket is led by its smallest class; all others hang on that one.
     own_key = profile.select(F.col("doc_id").alias("node"), "set_key", "bands").dropDuplicates(["node", "set_key"])
-    signed = classes.join(own_key, ["node", "set_key"]).select("node", "copies", "n_grams", "bands")
-    banded = stage(signed.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
+    signed = classes.join(own_key, ["node", "set_key"]).select("node", "text_key", "copies", "n_grams", "bands")
+    banded = stage(signed.select("node", "text_key", F.posexplode("bands").alias("band", "bucket")), "bands")
     buckets = banded.groupBy("band", "bucket").agg(F.min("node").alias("lead"), F.count("*").alias("members"))
     met = stage(hot_lookup(banded, buckets.where("members > 1"), ["band", "bucket"], "members"), "met")
 
     # Blocks of bounded rows and n-grams. A class goes with the smallest lead of its buckets, so copies of one text share
     # a block; where a bucket spans blocks, each pair of these is verified too. No pair that meets in a bucket is left out.
-    homes = met.groupBy("node").agg(F.min("lead").alias("home"))
-    sized = homes.join(signed.groupBy("node").agg(F.sum("copies").alias("copies"), F.max("n_grams").alias("n_grams")), "node")
+    homes = met.groupBy("node", "text_key").agg(F.min("lead").alias("home"))
+    sized = homes.join(classes.select("node", "text_key", "copies", "n_grams"), ["node", "text_key"])
     per_home = sized.groupBy("home").agg(F.count("*").alias("members"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("long")
     placed = hot_lookup(sized, per_home.select("home", "members", blocks.alias("blocks")), ["home"], "members")
-    block = F.struct("home", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("part")).alias("block")
-    placed = stage(placed.select("node", "copies", block), "blocks")
-    seen = met.join(placed.select("node", "block"), "node").groupBy("band", "bucket").agg(F.collect_set("block").alias("blocks"))
+    block = F.struct("home", F.pmod(F.xxhash64("node", "text_key"), F.col("blocks")).alias("part")).alias("block")
+    placed = stage(placed.select("node", "text_key", "copies", block), "blocks")
+    seen = met.join(placed.select("node", "text_key", "block"), ["node", "text_key"]).groupBy("band", "bucket").agg(F.collect_set("block").alias("blocks"))
     seen = seen.where(F.size("blocks") > 1).select(F.sort_array("blocks").alias("blocks")).distinct()
     one = seen.select("blocks", F.posexplode("blocks").alias("at", "block"))
     across = one.select("block", F.explode(F.slice("blocks", F.col("at") + 2, F.greatest(F.lit(0), F.size("blocks")))).alias("other")).distinct()
@@ -204,21 +207,21 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
     unit = "array<struct<block:struct<home:long,part:long>,other:struct<home:long,part:long>,side:int>>"
     own_unit = F.array(F.struct("block", F.col("block").alias("other"), F.lit(-1).alias("side"))).cast(unit)
     members = placed.join(units, "block", "left").select(
-        F.col("node").alias("doc_id"), "copies", F.concat(own_unit, F.coalesce(F.col("units").cast(unit), F.array().cast(unit))).alias("units")
+        F.col("node").alias("doc_id"), "text_key", "copies", F.concat(own_unit, F.coalesce(F.col("units").cast(unit), F.array().cast(unit))).alias("units")
     )
-    sets = docs.join(members, "doc_id").mapInArrow(
-        _gram_sets(n), f"doc_id long, copies long, units {unit}, grams binary"
+    sets = docs.join(members, ["doc_id", "text_key"]).mapInArrow(
+        _gram_sets(n), f"doc_id long, text_key long, copies long, units {unit}, grams binary"
     )
-    work = sets.select(F.col("doc_id").alias("node"), "copies", "grams", F.explode("units").alias("unit")).select("node", "copies", "grams", "unit.*")
+    work = sets.select(F.col("doc_id").alias("node"), "text_key", "copies", "grams", F.explode("units").alias("unit")).select("node", "text_key", "copies", "grams", "unit.*")
     found = stage(
-        work.groupBy("block", "other").applyInArrow(_verify(threshold), "node long, root long, links long, documents long"),
+        work.groupBy("block", "other").applyInArrow(_verify(threshold), "node long, text_key long, root long, links long, documents long"),
         "links",
     )
     unstage(banded, met, placed)
     grouped = components(found.where("root <> node").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("documents").alias("documents"))
+    linked = found.groupBy("node", "text_key").agg(F.sum("links").alias("links"), F.sum("documents").alias("documents"))
 
-    described = classes.join(grouped, "node", "left").join(linked, "node", "left").select(
+    described = classes.join(grouped, "node", "left").join(linked, ["node", "text_key"], "left").select(
         "set_key",
         "copies",
         F.coalesce("component", "node").alias("class_id"),

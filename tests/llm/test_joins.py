@@ -105,6 +105,19 @@ def test_links_of_the_whole_query(spark, sf):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in out} == brute_links([tuple(r) for r in rows])
 
 
+@pytest.mark.parametrize("turn", [False, True])
+def test_links_of_each_text_of_a_doc_id_are_verified(spark, turn):
+    rng = random.Random(21)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(2)]
+    near = [t + " end" for t in texts]
+    mixed = " ".join([*texts[0].split()[:58], *texts[0].split()[58:], "more", "at", "end"])
+    rows = [(1, texts[0]), (1, texts[1]), (7, near[0]), (8, near[1]), (9, near[1]), (1, mixed)]
+    docs = spark.createDataFrame(rows[::-1] if turn else rows, "doc_id long, text string").coalesce(1)
+    out = sorted(tuple(r) for r in ngram_jaccard.jaccard_links(docs).collect())
+    assert {(r[0], r[1]) for r in out} == {(1, 1), (7, 1), (8, 1), (9, 1)}
+    assert out == [(1, 1, 1, 2, 1), (1, 1, 1, 2, 2), (1, 1, 1, 2, 2), (7, 1, 7, 2, 2), (8, 1, 8, 2, 1), (9, 1, 8, 2, 1)]
+
+
 def test_links_of_nothing(spark):
     assert ngram_jaccard.jaccard_links(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
