@@ -56,14 +56,15 @@ def _benchmark_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _benchmark_seeds(masks: list[tuple[int, ...]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, text in zip(batch.column("item_id"), batch.column("words").to_pylist()):
+            for item, key, text in zip(batch.column("item_id").to_pylist(), batch.column("item_key").to_pylist(), batch.column("words").to_pylist()):
                 own = np.frombuffer(text, np.uint64)
                 for mask in masks:
                     if len(mask) == mask[-1] + 1 and len(own) != len(mask):
                         continue
                     seeds = seed_hashes(own, mask).view(np.int64)
-                    items = pa.array([item.as_py()] * len(seeds), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(seeds), items, pa.array(np.arange(len(seeds), dtype=np.int32))], names=["seed", "item_id", "at"])
+                    items, keys = (pa.array([x] * len(seeds), pa.int64()) for x in (item, key))
+                    at = pa.array(np.arange(len(seeds), dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(seeds), items, keys, at], names=["seed", "item_id", "item_key", "at"])
 
     return run
 
@@ -73,7 +74,7 @@ def _training_runs(masks: list[tuple[int, ...]], sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
-        names = ["doc_id", "run", "first", "words", "seeds", "places"]
+        names = ["doc_id", "doc_key", "run", "first", "words", "seeds", "places"]
         for batch in batches:
             for part in words.sub_batches(batch, "text", 1 << 20):
                 hashes, offsets = words.word_hashes(part.column("text"))
@@ -93,15 +94,15 @@ def _training_runs(masks: list[tuple[int, ...]], sent):
                 doc = np.searchsorted(offsets, place, "right") - 1
                 new = np.concatenate(([True], (np.diff(doc) > 0) | (np.diff(place) > CONTEXT)))
                 edges = [*np.flatnonzero(new), len(place)]
-                ids = part.column("doc_id").to_pylist()
+                ids, keys = part.column("doc_id").to_pylist(), part.column("doc_key").to_pylist()
                 rows: list[list] = [[] for _ in names]
                 for a, b in zip(edges, edges[1:]):
                     lo, hi = offsets[doc[a]], offsets[doc[a] + 1]
                     begin, end = max(lo, place[a] - CONTEXT), min(hi, place[b - 1] + CONTEXT + 16)
-                    values = (ids[doc[a]], int(place[a] - lo), int(begin - lo), hashes[begin:end].tobytes(), seed[a:b].view(np.int64), (place[a:b] - lo).astype(np.int32))
+                    values = (ids[doc[a]], keys[doc[a]], int(place[a] - lo), int(begin - lo), hashes[begin:end].tobytes(), seed[a:b].view(np.int64), (place[a:b] - lo).astype(np.int32))
                     for column, value in zip(rows, values):
                         column.append(value)
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
 
     return run
@@ -154,31 +155,32 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, min_words: int = MI
 
     Passages of fewer than MIN_WORDS words are sure to be found only where all their words are equal.
     Null and empty texts and passages match nothing; rows without doc_id or item_id are left out; repeated rows give one
-    row; other columns are ignored; with an empty table the result is empty.
+    row, and an id with several texts the longest overlap of these; other columns are ignored; with an empty table the result is empty.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_key"), "text").where("doc_id is not null and text is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    items = stage(items.mapInArrow(_benchmark_words, "item_id long, n int, words binary").where("n > 0").dropDuplicates(), "passages")
+    items = items.mapInArrow(_benchmark_words, "item_id long, n int, words binary").where("n > 0").dropDuplicates()
+    items = stage(items.withColumn("item_key", F.xxhash64("words")), "passages")
     masks = masks_for([r["n"] for r in items.where(F.col("n") < SHORTEST).select("n").distinct().collect()])
-    seeds = stage(items.mapInArrow(_benchmark_seeds(masks), "seed long, item_id long, at int"), "passage-seeds")
+    seeds = stage(items.mapInArrow(_benchmark_seeds(masks), "seed long, item_id long, item_key long, at int"), "passage-seeds")
     sent = documents.sparkSession.sparkContext.broadcast(bloom.build(seeds.select("seed")))
     runs = stage(
-        docs.mapInArrow(_training_runs(masks, sent), "doc_id long, run int, first int, words binary, seeds array<long>, places array<int>"),
+        docs.mapInArrow(_training_runs(masks, sent), "doc_id long, doc_key long, run int, first int, words binary, seeds array<long>, places array<int>"),
         "runs",
     )
-    hits = runs.select("doc_id", "run", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(
-        "doc_id", "run", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place")
+    hits = runs.select("doc_id", "doc_key", "run", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(
+        "doc_id", "doc_key", "run", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place")
     )
-    entries = seeds.groupBy("seed").agg(F.collect_list(F.struct("item_id", "at")).alias("entries"))
+    entries = seeds.groupBy("seed").agg(F.collect_list(F.struct("item_id", "item_key", "at")).alias("entries"))
     counted = entries.join(hits.groupBy("seed").agg(F.count("*").alias("matches")), "seed")
-    met = hot_lookup(hits, counted, ["seed"], "matches").select("doc_id", "run", "place", F.explode("entries").alias("entry"))
-    diagonals = met.select("doc_id", "run", "entry.item_id", (F.col("place") - F.col("entry.at")).alias("shift")).distinct()
+    met = hot_lookup(hits, counted, ["seed"], "matches").select("doc_id", "doc_key", "run", "place", F.explode("entries").alias("entry"))
+    diagonals = met.select("doc_id", "doc_key", "run", "entry.item_id", "entry.item_key", (F.col("place") - F.col("entry.at")).alias("shift")).distinct()
     diagonals = stage(diagonals, "diagonals")
-    passages = items.groupBy("item_id").agg(F.max("words").alias("passage"))
-    passages = passages.join(diagonals.groupBy("item_id").agg(F.count("*").alias("matches")), "item_id")
-    pairs = hot_lookup(diagonals, passages, ["item_id"], "matches")
-    around = runs.select("doc_id", "run", "first", "words").dropDuplicates(["doc_id", "run"])
-    checked = pairs.join(around, ["doc_id", "run"]).mapInArrow(
+    passages = items.select("item_id", "item_key", F.col("words").alias("passage"))
+    passages = passages.join(diagonals.groupBy("item_id", "item_key").agg(F.count("*").alias("matches")), ["item_id", "item_key"])
+    pairs = hot_lookup(diagonals, passages, ["item_id", "item_key"], "matches")
+    around = runs.select("doc_id", "doc_key", "run", "first", "words").dropDuplicates(["doc_id", "doc_key", "run"])
+    checked = pairs.join(around, ["doc_id", "doc_key", "run"]).mapInArrow(
         _verify(min_words, Fraction(str(share))), "doc_id long, item_id long, n_words int, n_same int, doc_start int, item_start int"
     )
     best = F.max(F.struct("n_words", "n_same", (-F.col("doc_start")).alias("d"), (-F.col("item_start")).alias("i"))).alias("best")

@@ -196,6 +196,16 @@ def test_contamination_of_the_whole_query(spark, sf):
     assert whole and whole <= out
 
 
+def test_each_text_of_an_id_is_compared(spark):
+    rng = random.Random(31)
+    words_of = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    one, two, third, fourth = (words_of(20) for _ in range(4))
+    items = spark.createDataFrame([(0, one), (0, two), (1, third), (2, fourth)], "item_id long, text string")
+    rows = [(1, f"{words_of(5)} {one}"), (2, f"{words_of(5)} {two}"), (3, third), (3, fourth), (3, fourth)]
+    out = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted(tuple(r) for r in out) == [(1, 0, 20, 20, 5, 0), (2, 0, 20, 20, 5, 0), (3, 1, 20, 20, 0, 0), (3, 2, 20, 20, 0, 0)]
+
+
 def test_contamination_of_nothing(spark):
     none, one = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     assert decontaminate.contaminated(none, one.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
