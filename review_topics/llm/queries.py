@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
+from review_topics.llm import alignment, archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
 from review_topics.session import hot_lookup, scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,12 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = cross_parsing.train(documents.where(remainder(3) != 1))
     found = cross_parsing.identify(documents.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = alignment.byte_bpe_50k(), alignment.piece_bpe_32k()
+    aligned = alignment.align(table(spark, sf, "documents"), a, b)
+    found = alignment.link_scores(aligned, alignment.pair_counts(aligned), alignment.possible_pairs(a, b))
+    digest = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return found.withColumn("groups_sha256", digest).drop("groups")
