@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import alignment, archives, cross_parsing, decontaminate, exact_search, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
+from review_topics.llm import alignment, archives, cross_parsing, decontaminate, exact_search, hard_negatives, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
 from review_topics.session import hot_lookup, scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +133,27 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     a, b = alignment.byte_bpe_50k(), alignment.piece_bpe_32k()
