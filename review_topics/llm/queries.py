@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_topics.llm import alignment, archives, cross_parsing, decontaminate, exact_search, hard_negatives, ngram_jaccard, packing, pii, suffix_dedup, token_counts, toxicity
+from review_topics.llm import alignment, archives, cross_parsing, decontaminate, exact_search, hard_negatives, ngram_jaccard, packing, pii, ring, suffix_dedup, token_counts, toxicity
 from review_topics.session import hot_lookup, scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +133,47 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    found = ring.ring_shards(table(spark, sf, "documents"), 40)
+    return found.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+ORACLES["op11_sharding"] = """
+WITH RECURSIVE
+crc_table AS (SELECT list(v ORDER BY b) AS t FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) r(b))),
+sized AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+      lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc_table),
+placed AS (SELECT *, CAST('0x' || left(md5(coalesce(CAST(doc_id AS VARCHAR), 'text ' || text_crc32 || ' ' || size)), 15) AS BIGINT) AS position FROM sized),
+ring AS (SELECT CAST(row_number() OVER (ORDER BY position, shard) - 1 AS INTEGER) AS arc, shard, position
+  FROM (SELECT CAST(i % 40 AS INTEGER) AS shard, CAST('0x' || left(md5((i % 40) || ':' || (i // 40)), 15) AS BIGINT) AS position FROM range(4000) r(i))),
+numbered AS (SELECT p.*, coalesce(r.arc, 0) AS arc, row_number() OVER (PARTITION BY coalesce(r.arc, 0)
+    ORDER BY (p.position + text_crc32) % greatest(16, n // 10000000), p.position, doc_id NULLS FIRST, text_crc32, size) - 1 AS rank, n
+  FROM (SELECT *, count(*) OVER () AS n FROM placed) p ASOF LEFT JOIN ring r ON p.position <= r.position),
+orders AS (SELECT a.arc, r.shard, row_number() OVER (PARTITION BY a.arc ORDER BY min((r.arc - a.arc + 4000) % 4000)) AS turn
+  FROM (SELECT DISTINCT arc FROM numbered) a, ring r GROUP BY a.arc, r.shard),
+turns(turn, kind, arc, n, first, shard, base) AS (
+  SELECT 0::BIGINT, 'arc', arc, count(*), 0::BIGINT, NULL::INTEGER, NULL::BIGINT FROM numbered GROUP BY arc
+  UNION ALL SELECT 0, 'room', NULL, (SELECT count(*) FROM documents) // 40 + CAST(s < (SELECT count(*) FROM documents) % 40 AS BIGINT), 0, s, NULL FROM range(40) r(s)
+  UNION ALL
+  (WITH asked AS (SELECT t.turn + 1 AS turn, t.arc, t.n, t.first, o.shard, room.n AS free, room.first AS used,
+         coalesce(sum(t.n) OVER (PARTITION BY o.shard ORDER BY t.arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+       FROM turns t JOIN orders o ON t.kind = 'arc' AND o.arc = t.arc AND o.turn = t.turn + 1
+       JOIN turns room ON room.kind = 'room' AND room.shard = o.shard),
+     given AS (SELECT *, CAST(greatest(0, least(n, free - ahead)) AS BIGINT) AS taken FROM asked)
+   SELECT turn, 'arc', arc, n - taken, first + taken, NULL, NULL FROM given WHERE n > taken
+   UNION ALL SELECT turn, 'part', arc, taken, first, shard, CAST(used + ahead AS BIGINT) FROM given WHERE taken > 0
+   UNION ALL SELECT room.turn + 1, 'room', NULL, CAST(room.n - coalesce(g.taken, 0) AS BIGINT), CAST(room.first + coalesce(g.taken, 0) AS BIGINT), room.shard, NULL
+     FROM turns room LEFT JOIN (SELECT shard, sum(taken) AS taken FROM given GROUP BY shard) g ON g.shard = room.shard
+     WHERE room.kind = 'room' AND EXISTS (SELECT 1 FROM given)))
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, d.text_crc32, 'rows' AS law, t.shard, t.base + d.rank - t.first AS slot, NULL::INTEGER AS grown_shard
+FROM numbered d JOIN turns t ON t.kind = 'part' AND t.arc = d.arc AND d.rank >= t.first AND d.rank < t.first + t.n
+"""
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
