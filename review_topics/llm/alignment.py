@@ -10,6 +10,7 @@ no token left on either side are taken out of the state before the next step.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import re
 from collections import defaultdict
@@ -25,11 +26,11 @@ from review_topics.llm import words
 from review_topics.session import stage
 
 LANE_BYTES = 512
-SLICE_BYTES = 1 << 20
-SLICE_TOKENS = 1 << 20
+SLICE_BYTES = 1 << 19
+SLICE_LINKS = 1 << 20
 # Beyond these characters the rank file's pattern and the exact tokenizer may see other classes.
 _UNUSUAL = re.compile("[^\x00-ɏ‐-‧]")
-ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+COUNTED = "doc_id long, n_a long, n_b long, n_groups long"
 
 
 def byte_characters() -> dict[str, int]:
@@ -46,10 +47,11 @@ class ByteLevel:
     json_path: str
     ranks_path: str
     pattern: str
-    _tools: tuple | None = field(default=None, repr=False, compare=False)
+    _tools: object = field(default=None, repr=False, compare=False)
+    _exact: object = field(default=None, repr=False, compare=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"_tools": None}
+        return self.__dict__ | {"_tools": None, "_exact": None}
 
     def token_bytes(self) -> list[bytes]:
         with open(self.json_path, encoding="utf-8") as file:
@@ -62,15 +64,19 @@ class ByteLevel:
     def encode(self, texts: list[str]) -> list[list[int]]:
         if self._tools is None:
             import tiktoken
-            from tokenizers import Tokenizer
 
             with open(self.ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            exact = Tokenizer.from_file(self.json_path)
-            exact.encode_special_tokens = True
-            self._tools = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={}), exact
-        usual, exact = self._tools
-        return [exact.encode(f" {t}", add_special_tokens=False).ids if _UNUSUAL.search(t) else usual.encode_ordinary(f" {t}") for t in texts]
+            self._tools = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+        return [self._encode_exactly(f" {t}") if _UNUSUAL.search(t) else self._tools.encode_ordinary(f" {t}") for t in texts]
+
+    def _encode_exactly(self, text: str) -> list[int]:
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self.json_path)
+            self._exact.encode_special_tokens = True
+        return self._exact.encode(text, add_special_tokens=False).ids
 
 
 @dataclass
@@ -138,16 +144,55 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, edges: np.ndarray, lane_byt
     return found_a, found_b
 
 
+@dataclass
+class Groups:
+    """Tokens of some documents: ids and document borders of A and B, tokens a group of both, and the documents' group borders."""
+
+    ids: tuple[np.ndarray, np.ndarray]
+    borders: tuple[np.ndarray, np.ndarray]
+    sizes: tuple[np.ndarray, np.ndarray]
+    groups: np.ndarray
+
+    def links(self, width: int) -> np.ndarray:
+        """The linked ids, the last ones of each group, as ``a * width + b``."""
+        a, b = (ids[np.cumsum(sizes) - 1].astype(np.uint64) for ids, sizes in zip(self.ids, self.sizes))
+        return a * np.uint64(width) + b
+
+
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     borders = np.cumsum([0, *map(len, lists)])
     return np.fromiter((i for own in lists for i in own), np.int32, int(borders[-1])), borders
 
 
-def _listed(values: np.ndarray, borders: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(values.astype(np.int32)))
+def group_texts(part: Groups) -> pa.Array:
+    """``a1,a2|b1;a3|b2,b3`` for each document: decimal ids, groups behind each other; empty without tokens."""
+    (ids_a, ids_b), (size_a, size_b) = part.ids, part.sizes
+    before_a, before_b = (np.concatenate(([0], np.cumsum(s))) for s in (size_a, size_b))
+    of_a, of_b = (np.repeat(np.arange(len(s)), s) for s in (size_a, size_b))
+    place_a = np.arange(len(ids_a)) + before_b[of_a]
+    place_b = np.arange(len(ids_b)) + before_a[of_b + 1]
+    numbers, behind = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    numbers[place_a], numbers[place_b] = ids_a, ids_b
+    behind[place_a[before_a[1:] - 1]], behind[place_b[before_b[1:] - 1]] = ord("|"), ord(";")
+    digits = np.ones(len(numbers), np.int64)
+    while (wider := numbers >= 10**digits).any():
+        digits += wider
+    ends = np.cumsum(digits + 1)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[ends - 1] = behind
+    for k in range(int(digits.max(initial=0))):
+        own = np.flatnonzero(digits > k)
+        data[ends[own] - 2 - k] = 48 + numbers[own] // 10**k % 10
+    borders = np.concatenate(([0], ends))[part.borders[0] + part.borders[1]]
+    some = np.diff(borders) > 0
+    data = np.delete(data, borders[1:][some] - 1)
+    offsets = borders - np.concatenate(([0], np.cumsum(some)))
+    return pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))
+
 
+def _aligned(a: ByteLevel, b: Pieces, lane_bytes: int, digest: bool):
+    kind = _link_type(a, b)
 
-def _aligned(a: ByteLevel, b: Pieces, lane_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_a, bytes_b = a.token_bytes(), b.token_bytes()
         size_a, size_b = (np.array([len(x) for x in own], np.int64) for own in (bytes_a, bytes_b))
@@ -164,25 +209,36 @@ def _aligned(a: ByteLevel, b: Pieces, lane_bytes: int):
                 ends_a, ends_b = np.cumsum(size_a[flat_a]), np.cumsum(size_b[flat_b])
                 edges = np.concatenate(([0], ends_a))[borders_a]
                 last_a, last_b = lockstep(ends_a, ends_b, edges, lane_bytes)
-                groups = np.searchsorted(last_a, borders_a)
-                columns = [part.column("doc_id"), _listed(flat_a, borders_a), _listed(flat_b, borders_b)]
-                columns += [_listed(np.diff(last, prepend=-1), groups) for last in (last_a, last_b)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
+                sizes = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+                found = Groups((flat_a, flat_b), (borders_a, borders_b), sizes, np.searchsorted(last_a, borders_a))
+                spelled = group_texts(found)
+                if digest:
+                    spelled = pa.array([hashlib.sha256(t.as_buffer()).hexdigest() if n else "" for t, n in zip(spelled, np.diff(found.groups))], pa.string())
+                links = found.links(len(bytes_b)).astype(kind)
+                listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer((found.groups * links.itemsize).astype(np.int64).tobytes()), pa.py_buffer(links.tobytes())])
+                numbers = [pa.array(np.diff(borders).astype(np.int64)) for borders in (borders_a, borders_b, found.groups)]
+                columns = [part.column("doc_id"), *numbers, spelled.cast(pa.string()), listed.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
     return run
 
 
-def align(documents: DataFrame, a: ByteLevel, b: Pieces, lane_bytes: int = LANE_BYTES) -> DataFrame:
-    """``(doc_id, a_ids, b_ids, a_sizes, b_sizes)`` for each row, written once: ids of both tokenizers and the groups' sizes.
+def _link_type(a: ByteLevel, b: Pieces) -> str:
+    return "<u4" if len(a.token_bytes()) * len(b.token_bytes()) < 2**32 else "<u8"
+
+
+def align(documents: DataFrame, a: ByteLevel, b: Pieces, digest: bool = False, lane_bytes: int = LANE_BYTES) -> DataFrame:
+    """``(doc_id, n_a, n_b, n_groups, groups, links)`` for each row, written once.
 
-    Group ``k`` of a document takes the next ``a_sizes[k]`` ids of A and ``b_sizes[k]`` ids of B; both end at the same byte, and
-    nowhere inside a group do two tokens end together. The last ids of a group are linked. A null or empty text, and one that
-    the tokens of A or B do not spell byte by byte (a blank before it included), has no tokens. Repeated rows are aligned again,
-    a null doc_id stays, other columns are ignored, an empty table gives an empty result. A text is held whole by one
-    task; lanes, not texts, bound the steps.
+    Tokens of both sides up to a byte where tokens of both end are a group, and the last two of a group are linked; nowhere
+    inside a group do two tokens end together. ``groups`` spells them out, ``a1,a2|b1;a3|b2,b3``, or with ``digest`` is the
+    SHA-256 of that text in hexadecimal; without tokens it is empty. ``links`` holds ``a * size of B's vocabulary + b``
+    of every link in order, see pair_counts. A null or empty text, and one that the tokens of A or B do not spell byte by
+    byte (a blank before it included), has no tokens. Repeated rows are aligned again, a null doc_id stays, other columns are
+    ignored, an empty table gives an empty result. A text is held whole by one task; lanes, not texts, bound the steps.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(rows.mapInArrow(_aligned(a, b, lane_bytes), ALIGNED), "aligned")
+    return stage(rows.mapInArrow(_aligned(a, b, lane_bytes, digest), f"{COUNTED}, groups string, links binary"), "aligned")
 
 
 def possible_pairs(a: ByteLevel, b: Pieces) -> int:
@@ -196,102 +252,60 @@ def possible_pairs(a: ByteLevel, b: Pieces) -> int:
     return shorter_b + shorter_a
 
 
-@dataclass
-class _Part:
-    """Some rows of an aligned batch as flat arrays."""
-
-    ids: tuple[np.ndarray, np.ndarray]
-    borders: tuple[np.ndarray, np.ndarray]
-    sizes: tuple[np.ndarray, np.ndarray]
-    groups: np.ndarray
-
-    @property
-    def keys(self) -> np.ndarray:
-        """The linked ids of each group in one number."""
-        last = [ids[np.cumsum(sizes) - 1].astype(np.int64) for ids, sizes in zip(self.ids, self.sizes)]
-        return last[0] << 32 | last[1]
-
-
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, _Part]]:
-    tokens = np.asarray(batch.column("a_ids").value_lengths()).astype(np.int64)
-    cut = (np.cumsum(tokens) - tokens) // SLICE_TOKENS
-    edges = [0, *(np.flatnonzero(np.diff(cut)) + 1), batch.num_rows]
+def _read_links(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first row, last row, links, borders)`` over rows of a batch, about SLICE_LINKS links at a time."""
+    column = batch.column("links").cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // np.dtype(kind).itemsize
+    links = np.frombuffer(data, kind) if data else np.zeros(0, kind)
+    part = (offsets[1:] - 1 - offsets[0]) // SLICE_LINKS
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(column)]
     for low, high in zip(edges, edges[1:]):
-        rows = batch.slice(int(low), int(high - low))
-        flat = [np.asarray(rows.column(c).flatten()) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
-        border = [np.concatenate(([0], np.cumsum(np.asarray(rows.column(c).value_lengths())))).astype(np.int64) for c in ("a_ids", "b_ids", "a_sizes")]
-        yield rows, _Part((flat[0], flat[1]), (border[0], border[1]), (flat[2], flat[3]), border[2])
+        yield int(low), int(high), links[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, n = np.unique(np.concatenate([part.keys for _, part in _parts(batch)]), return_counts=True)
-        columns = [keys >> 32, keys & 0xFFFFFFFF, n]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["a_id", "b_id", "n"])
+def pair_counts(aligned: DataFrame, a: ByteLevel, b: Pieces) -> DataFrame:
+    """``(a_id, b_id, n, best)``: how many links of all documents hold a pair, and whether no other pair of that B id has more."""
+    kind, width = _link_type(a, b), len(b.token_bytes())
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, links, _ in _read_links(batch, kind):
+                keys, n = np.unique(links, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["link", "n"])
 
-def pair_counts(aligned: DataFrame) -> DataFrame:
-    """``(a_id, b_id, n, best)``: how many links of all documents hold a pair, and whether no other pair of that B id has more."""
-    links = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(_counted, "a_id long, b_id long, n long")
-    counts = links.groupBy("a_id", "b_id").agg(F.sum("n").alias("n"))
+    counts = aligned.select("links").mapInArrow(run, "link long, n long").groupBy("link").agg(F.sum("n").alias("n"))
+    counts = counts.select(F.expr(f"link div {width}").alias("a_id"), (F.col("link") % width).alias("b_id"), "n")
     top = counts.groupBy("b_id").agg(F.max("n").alias("most"))
     return counts.join(top, "b_id").select("a_id", "b_id", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def group_texts(part: _Part) -> pa.Array:
-    """``a1,a2|b1;a3|b2,b3`` for each row: decimal ids, groups behind each other; empty without tokens."""
-    (ids_a, ids_b), (size_a, size_b) = part.ids, part.sizes
-    before_a, before_b = (np.concatenate(([0], np.cumsum(s))) for s in (size_a, size_b))
-    of_a, of_b = (np.repeat(np.arange(len(s)), s) for s in (size_a, size_b))
-    place_a = np.arange(len(ids_a)) + before_b[of_a]
-    place_b = np.arange(len(ids_b)) + before_a[of_b + 1]
-    numbers, behind = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
-    numbers[place_a], numbers[place_b] = ids_a, ids_b
-    behind[place_a[before_a[1:] - 1]], behind[place_b[before_b[1:] - 1]] = ord("|"), ord(";")
-    digits = np.ones(len(numbers), np.int64)
-    while (wider := numbers >= 10**digits).any():
-        digits += wider
-    ends = np.cumsum(digits + 1)
-    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    data[ends - 1] = behind
-    for k in range(int(digits.max(initial=0))):
-        own = np.flatnonzero(digits > k)
-        data[ends[own] - 2 - k] = 48 + numbers[own] // 10**k % 10
-    borders = part.borders[0] + part.borders[1]
-    borders_in_bytes = np.concatenate(([0], ends))[borders]
-    some = np.diff(borders) > 0
-    data = np.delete(data, borders_in_bytes[1:][some] - 1)
-    offsets = borders_in_bytes - np.concatenate(([0], np.cumsum(some)))
-    return pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))
-
-
-def link_scores(aligned: DataFrame, counts: DataFrame, most_pairs: int) -> DataFrame:
-    """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` for each aligned row.
+def link_scores(aligned: DataFrame, a: ByteLevel, b: Pieces) -> DataFrame:
+    """``aligned`` without links, but with ``n_links``, ``n_best`` and ``count_sum``.
 
-    ``n_best`` counts the links whose pair is among the most frequent of its B id, ``count_sum`` adds the counts of the
-    linked pairs, ``groups`` spells the groups out. ``counts`` goes to every task: the vocabularies alone bound it
-    (``most_pairs``, see possible_pairs), and more is refused.
+    ``n_best`` counts a document's links whose pair is among the most frequent of its B id, ``count_sum`` adds the counts of
+    its linked pairs, over all documents. The counts go to every task: the vocabularies alone bound their number,
+    see possible_pairs, and more is refused.
     """
     spark = aligned.sparkSession
-    counts = stage(counts, "pair-counts")
-    if counts.count() > most_pairs:
-        raise ValueError(f"more than {most_pairs} linked pairs: not the counts of these vocabularies")
+    counts = stage(pair_counts(aligned, a, b), "pair-counts")
+    if counts.count() > (most := possible_pairs(a, b)):
+        raise ValueError(f"more than {most} linked pairs: not the links of these vocabularies")
     found = counts.toArrow()
-    key = np.asarray(found["a_id"]).astype(np.int64) << 32 | np.asarray(found["b_id"]).astype(np.int64)
+    kind, width = _link_type(a, b), len(b.token_bytes())
+    key = np.asarray(found["a_id"]).astype(np.int64) * width + np.asarray(found["b_id"]).astype(np.int64)
     order = np.argsort(key)
-    sent = spark.sparkContext.broadcast((key[order], np.asarray(found["n"]).astype(np.int64)[order], np.asarray(found["best"]).astype(np.int64)[order]))
+    sent = spark.sparkContext.broadcast((key[order].astype(kind), np.asarray(found["best"]).astype(np.int64)[order], np.asarray(found["n"]).astype(np.int64)[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n, best = sent.value
-        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+        keys, *values = sent.value
+        kept = ["doc_id", "n_a", "n_b", "n_groups", "groups"]
         for batch in batches:
-            for rows, part in _parts(batch):
-                at = np.searchsorted(keys, part.keys)
-                sums = [np.diff(np.concatenate(([0], np.cumsum(values[at])))[part.groups]) for values in (best, n)]
-                groups = np.diff(part.groups)
-                numbers = [np.diff(part.borders[0]), np.diff(part.borders[1]), groups, groups, *sums]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in numbers), group_texts(part).cast(pa.string())], names=names)
-
-    return aligned.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+            for low, high, links, borders in _read_links(batch, kind):
+                at = np.searchsorted(keys, links)
+                sums = [np.diff(np.concatenate(([0], np.cumsum(own[at])))[borders]) for own in values]
+                rows = batch.slice(low, high - low)
+                columns = [*(rows.column(c) for c in kept), *(pa.array(x.astype(np.int64)) for x in (np.diff(borders), *sums))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "n_links", "n_best", "count_sum"])
+
+    return aligned.mapInArrow(run, f"{COUNTED}, groups string, n_links long, n_best long, count_sum long")

@@ -198,7 +198,5 @@ QUALIFY rank <= 3"""
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     a, b = alignment.byte_bpe_50k(), alignment.piece_bpe_32k()
-    aligned = alignment.align(table(spark, sf, "documents"), a, b)
-    found = alignment.link_scores(aligned, alignment.pair_counts(aligned), alignment.possible_pairs(a, b))
-    digest = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
-    return found.withColumn("groups_sha256", digest).drop("groups")
+    aligned = alignment.align(table(spark, sf, "documents"), a, b, digest=True)
+    return alignment.link_scores(aligned, a, b).withColumnRenamed("groups", "groups_sha256")

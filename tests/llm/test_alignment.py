@@ -105,8 +105,11 @@ def test_links_are_possible_pairs():
     assert 32_000 < bound < 1_000_000
 
 
-def test_group_texts():
-    part = alignment._Part((np.array([7, 123, 50256]), np.array([0, 10, 99])), (np.array([0, 0, 2, 3]), np.array([0, 0, 1, 3])), (np.array([2, 1]), np.array([1, 2])), np.array([0, 0, 1, 2]))
+def test_group_texts(spark):
+    part = alignment.Groups((np.array([7, 123, 50256]), np.array([0, 10, 99])), (np.array([0, 0, 2, 3]), np.array([0, 0, 1, 3])), (np.array([2, 1]), np.array([1, 2])), np.array([0, 0, 1, 2]))
     assert alignment.group_texts(part).to_pylist() == ["", "7,123|0", "50256|10,99"]
-    none = alignment._Part((np.zeros(0, int),) * 2, (np.zeros(2, int),) * 2, (np.zeros(0, int),) * 2, np.zeros(2, int))
+    assert part.links(1000).tolist() == [123_000, 50_256_099]
+    none = alignment.Groups((np.zeros(0, int),) * 2, (np.zeros(2, int),) * 2, (np.zeros(0, int),) * 2, np.zeros(2, int))
     assert alignment.group_texts(none).cast(pa.string()).to_pylist() == [""]
+    rows = alignment.align(spark.createDataFrame([(1, "legroom")], "doc_id long, text string"), alignment.byte_bpe_50k(), alignment.piece_bpe_32k()).collect()
+    assert rows[0]["n_groups"] == rows[0]["groups"].count("|") and len(rows[0]["links"]) == 4 * rows[0]["n_groups"]
