@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,8 @@ MAX_TOPICS = 10_000
 HOT_SHARE = 1_000
 # Partitions-to-be of one hot key.
 SALTS = 4_096
+# Stages made within temporary_stages, by the innermost one.
+_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
 
 
 def build_session(cores: str = "*", app: str = "review_topics", **conf: str) -> SparkSession:
@@ -74,6 +79,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
+    if (made := _made.get()) is not None:
+        made.append(staged)
     return staged
 
 
@@ -85,6 +92,30 @@ def unstage(*staged: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def temporary_stages() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the stages made inside once the block has ended well, all but those that it passes to the given function.
+
+    What leaves the block must be written by then: a stage that was kept, or nothing that reads a stage.
+    """
+    outer, made, kept = _made.get(), [], []
+    mark = _made.set(made)
+
+    def keep(staged: DataFrame) -> DataFrame:
+        kept.append(staged._staged_at)
+        return staged
+
+    try:
+        yield keep
+    finally:
+        _made.reset(mark)
+    for staged in made:
+        if staged._staged_at not in kept:
+            unstage(staged)
+        elif outer is not None:
+            outer.append(staged)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     found = context._jvm.org.apache.hadoop.fs.Path(path)
