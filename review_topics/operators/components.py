@@ -5,57 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_topics.session import cut_lineage, hot_lookup, unstage
+from review_topics.session import cut_lineage, hot_lookup, stage_counted, unstage
 
 
-def _lowest(edges: DataFrame, smallest: Column) -> DataFrame:
-    """Smallest node around each ``u`` and its number of edges; kept, because a hot lookup reads it several times."""
-    return cut_lineage(edges.groupBy("u").agg(smallest.alias("m"), F.count("*").alias("matches")))
+def _lowest(edges: DataFrame, smallest: Column) -> tuple[DataFrame, dict]:
+    """Smallest node around each ``u`` and its number of edges, kept for the lookup, and what its write has seen.
 
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest node around it."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = _lowest(both, F.least(F.min("v"), F.col("u")))
-    linked = hot_lookup(both, lowest, ["u"], "matches").where(F.col("v") > F.col("u"))
-    out = cut_lineage(linked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-    unstage(lowest)
-    return out
+    ``open`` counts nodes of several edges that are not the smallest around: where both ends of every edge are listed,
+    there is none exactly if the edges are stars.
+    """
+    lowest = edges.groupBy("u").agg(smallest.alias("m"), F.count("*").alias("matches"))
+    return stage_counted(lowest, "matches", open=F.count_if((F.col("matches") > 1) & (F.col("m") != F.col("u"))))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them. Edges run from larger ``u`` to smaller ``v``."""
-    lowest = _lowest(edges, F.min("v"))
-    linked = hot_lookup(edges, lowest, ["u"], "matches")
+    lowest, seen = _lowest(edges, F.min("v"))
+    linked = hot_lookup(edges, lowest, ["u"], "matches", seen)
     moved = linked.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     out = cut_lineage(moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
     unstage(lowest)
     return out
 
 
-def _are_stars(edges: DataFrame) -> bool:
-    """Every ``u`` has one edge, to a node that has none. Counted by node with partial sums, so a hub costs nothing."""
-    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
-        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
-    )
-    per_node = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
-    return per_node.where((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("in") == 1))).isEmpty()
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``, named by the smallest node it reaches.
 
-    The number of rounds grows with the logarithm of the graph; edges that are stars already take none. Each step is
-    written, the last one deleted, and a hub with very many edges is split off by ``hot_lookup``, whatever the size of the graph.
+    A large-star step links every larger neighbour of a node to the smallest node around it, a small-star step a node and its
+    smaller neighbours to the smallest of them. The number of rounds grows with the logarithm of the graph; edges that are
+    stars already take none, which the first write of a round tells. Each step is written, the last one deleted, and a hub
+    with very many edges is split off by ``hot_lookup``, whatever the size of the graph.
     """
     big, small = F.greatest("u", "v"), F.least("u", "v")
     current = cut_lineage(edges.where(F.col("u") != F.col("v")).select(big.alias("u"), small.alias("v")).distinct())
     for _ in range(max_rounds + 1):
-        if _are_stars(current):
-            roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-        linked = _large_star(current)
-        following = _small_star(linked)
-        unstage(current, linked)
+        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lowest, seen = _lowest(both, F.least(F.min("v"), F.col("u")))
+        if not seen["open"]:
+            return lowest.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        linked = hot_lookup(both, lowest, ["u"], "matches", seen).where(F.col("v") > F.col("u"))
+        large = cut_lineage(linked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        following = _small_star(large)
+        unstage(current, lowest, large)
         current = following
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

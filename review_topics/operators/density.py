@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.operators import neighbours as N
 from review_topics.operators.components import components
+from review_topics.operators.spanning import condense, forest_members, member_parts, most_stable, spanning_forest
 from review_topics.session import cut_lineage, hot_lookup
 
 
@@ -53,112 +54,50 @@ def cluster_density(
     return measured.join(large.select("cell_id", F.col("component").alias("cluster")), "cell_id", "left")
 
 
-def _excess_of_mass(parts: DataFrame, top: int, mass_per_document: list[float], open_root: bool = False) -> DataFrame:
-    """``(leaf, born)`` of the clusters kept from ``parts(level, component, size, parent)``; levels run from fine, 0, to ``top``.
-
-    Between levels a cluster goes on (one large part is left), splits (several) or ends; it is named by the part it was
-    born as, its ``leaf``. It is kept unless the clusters it splits into hold more mass together. With ``open_root`` a
-    single part that everything at the top belongs to is a cluster only if it never splits.
-    """
-    sole = open_root and parts.where(F.col("level") == top).limit(2).count() == 1
-    rooted = F.col("parent_leaf").isNull() & F.lit(sole) & (F.col("inner") > 0)
-    # From coarse to fine: a part goes on with its parent's name when it is the parent's only large part.
-    named = parts.where(F.col("level") == top).select("level", "component", "size", F.col("component").alias("leaf"), F.lit(top).alias("born"))
-    named = named.withColumn("parent_leaf", F.lit(None).cast(named.schema["leaf"].dataType)).withColumn("parent_born", F.lit(None).cast("int"))
-    layer = named
-    for level in range(top - 1, -1, -1):
-        here = parts.where(F.col("level") == level)
-        rivals = here.groupBy("parent").agg(F.count("*").alias("rivals"))
-        up = layer.select(
-            F.col("component").alias("parent"),
-            F.col("leaf").alias("up_leaf"), F.col("born").alias("up_born"),
-            F.col("parent_leaf").alias("up_parent_leaf"), F.col("parent_born").alias("up_parent_born"),
-        )
-        goes_on = (F.col("rivals") == 1) & F.col("up_leaf").isNotNull()
-        layer = here.join(rivals, "parent").join(up, "parent", "left").select(
-            "level", "component", "size",
-            F.when(goes_on, F.col("up_leaf")).otherwise(F.col("component")).alias("leaf"),
-            F.when(goes_on, F.col("up_born")).otherwise(F.lit(level)).alias("born"),
-            F.when(goes_on, F.col("up_parent_leaf")).otherwise(F.col("up_leaf")).alias("parent_leaf"),
-            F.when(goes_on, F.col("up_parent_born")).otherwise(F.col("up_born")).alias("parent_born"),
-        )
-        layer = cut_lineage(layer)
-        named = named.unionByName(layer)
-    named = cut_lineage(named)
-    gains = F.element_at(F.array(*[F.lit(g) for g in mass_per_document]), F.col("level") + 1)
-    clusters = named.groupBy("leaf", "born", "parent_leaf", "parent_born").agg(
-        F.sum(F.col("size") * gains).alias("mass"), F.min("level").alias("last")
+def mutual_reachability(measured: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(u, v, w)`` between core cells: the largest of their distance and both core distances, squared."""
+    ends = measured.where(F.col("core_d2").isNotNull()).select("cell_id", "core_d2")
+    return (
+        edges.join(ends.select(F.col("cell_id").alias("src"), F.col("core_d2").alias("core_a")), "src")
+        .join(ends.select(F.col("cell_id").alias("dst"), F.col("core_d2").alias("core_b")), "dst")
+        .select(F.col("src").alias("u"), F.col("dst").alias("v"), F.greatest("d2", "core_a", "core_b").alias("w"))
     )
-    clusters = cut_lineage(clusters)
-    # From fine to coarse: the better of a cluster's own mass and that of its parts.
-    decided = None
-    for level in range(top + 1):
-        own = clusters.where(F.col("last") == level)
-        if decided is None:
-            scored = own.withColumn("inner", F.lit(0.0))
-        else:
-            inner = decided.groupBy(F.col("parent_leaf").alias("leaf"), F.col("parent_born").alias("born")).agg(F.sum("best").alias("inner"))
-            scored = own.join(inner, ["leaf", "born"], "left").withColumn("inner", F.coalesce("inner", F.lit(0.0)))
-        scored = scored.select(
-            "leaf", "born", "parent_leaf", "parent_born",
-            F.greatest("mass", "inner").alias("best"), ((F.col("mass") >= F.col("inner")) & ~rooted).alias("kept"),
-        )
-        decided = cut_lineage(scored if decided is None else decided.unionByName(scored))
-    # From coarse to fine: a kept cluster silences everything below it.
-    live = decided.where(F.col("parent_leaf").isNull())
-    chosen = live.where("kept")
-    for _ in range(top):
-        opened = live.where(~F.col("kept")).select(F.col("leaf").alias("parent_leaf"), F.col("born").alias("parent_born"))
-        live = decided.join(opened, ["parent_leaf", "parent_born"], "left_semi")
-        chosen = chosen.unionByName(live.where("kept").select(chosen.columns))
-    return cut_lineage(chosen.select("leaf", "born"))
-
 
-def cluster_hierarchical(
-    cells: DataFrame, edges: DataFrame, min_pts: int, reach2: int, min_size: int = V.MIN_TOPIC_SIZE
-) -> DataFrame:
-    """``(cell_id, weight, core_d2, cluster)``: clusters of varying density, chosen by excess of mass.
 
-    The hierarchy is cut at the grid's own distances 0..reach2 instead of at every single distance, an
-    approximation that makes it one components job over all levels at once. A level's lambda is
-    1 / (1 + distance). Between levels a cluster either goes on (one large part is left), splits (several) or ends.
-    A cluster is kept unless the clusters it splits into hold more mass together.
-    """
+def reach_forest(cells: DataFrame, edges: DataFrame, min_pts: int, reach2: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(measured, nodes, forest)``: core distances, core cells as forest nodes, and their lightest spanning forest."""
     measured = cut_lineage(core_distances(cells, edges, min_pts, reach2))
+    return measured, forest_nodes(measured), spanning_forest(mutual_reachability(measured, edges))
+
+
+def forest_nodes(measured: DataFrame) -> DataFrame:
     core = measured.where(F.col("core_d2").isNotNull())
-    levels = F.sequence(F.col("from_d2"), F.lit(reach2))
-    ends = core.select("cell_id", "core_d2")
-    linked = (
-        edges.join(ends.select(F.col("cell_id").alias("src"), F.col("core_d2").alias("core_a")), "src")
-        .join(ends.select(F.col("cell_id").alias("dst"), F.col("core_d2").alias("core_b")), "dst")
-        .withColumn("from_d2", F.greatest("d2", "core_a", "core_b"))
-    )
+    return core.select(F.col("cell_id").alias("node"), "weight", F.col("core_d2").alias("born"))
 
-    def node(cell: str) -> Column:
-        return F.struct("level", F.col(cell).alias("cell_id"))
 
-    per_level = linked.select("src", "dst", F.explode(levels).alias("level"))
-    found = components(per_level.select(node("src").alias("u"), node("dst").alias("v")))
-    members = core.select("cell_id", "weight", F.explode(F.sequence("core_d2", F.lit(reach2))).alias("level"))
-    members = members.withColumn("node", node("cell_id")).join(found, "node", "left")
-    members = cut_lineage(
-        members.select("cell_id", "weight", "level", F.coalesce(F.col("component.cell_id"), "cell_id").alias("component"))
-    )
-    parts = members.groupBy("level", "component").agg(F.sum("weight").alias("size")).where(F.col("size") >= min_size)
-    # The part one level coarser that holds the same cell; parts are named by a cell of their own.
-    above = members.select((F.col("level") - 1).alias("level"), F.col("cell_id").alias("component"), F.col("component").alias("parent"))
-    parts = cut_lineage(parts.join(above, ["level", "component"], "left"))
+def level_masses(reach2: int) -> list[float]:
+    """Mass of a document at each squared distance: by how much 1 / (1 + distance) falls until the next one."""
+    heights = [1 / (1 + d**0.5) for d in range(reach2 + 1)] + [0.0]
+    return [a - b for a, b in zip(heights, heights[1:])]
 
-    def gain(level: int) -> float:
-        finer, coarser = 1 / (1 + level**0.5), 1 / (1 + (level + 1) ** 0.5)
-        return finer - coarser if level < reach2 else finer
 
-    chosen = _excess_of_mass(parts, reach2, [gain(d) for d in range(reach2 + 1)])
-    # A cluster's cells are those of the part it was born as.
-    birth = chosen.select(F.col("born").alias("level"), F.col("leaf").alias("component"))
+def cluster_hierarchical(
+    cells: DataFrame, edges: DataFrame, min_pts: int, reach2: int, min_size: int = V.MIN_TOPIC_SIZE
+) -> DataFrame:
+    """``(cell_id, weight, core_d2, cluster)``: clusters of varying density, chosen by excess of mass.
+
+    The spanning forest of mutual reachability holds the whole hierarchy: cut at any distance of the grid it gives the flat
+    clusters there. Its parts condense to a tree of clusters, and a cluster is kept unless those that it splits into
+    are more stable together. A cluster is named by the smallest cell of the part that it was born as.
+    """
+    measured, nodes, forest = reach_forest(cells, edges, min_pts, reach2)
+    members = forest_members(nodes, forest, reach2)
+    chosen = most_stable(condense(member_parts(members, min_size), reach2, level_masses(reach2)))
+    # A cluster's cells are those of the part it was born as. No cell is in two clusters, but one may lead several parts.
+    birth = chosen.select(F.col("born").alias("level"), F.col("leader").alias("component"))
     sizes = members.groupBy("level", "component").agg(F.count("*").alias("matches"))
     cells_of = hot_lookup(members, birth.join(sizes, ["level", "component"]), ["level", "component"], "matches")
-    return measured.join(cells_of.select("cell_id", F.col("component").alias("cluster")), "cell_id", "left")
+    return measured.join(cells_of.select(F.col("node").alias("cell_id"), F.col("component").alias("cluster")), "cell_id", "left")
 
 
 def cluster_pyramid(
@@ -197,10 +136,10 @@ def cluster_pyramid(
     parts = named.select("level", "component", "size", *upper).join(above, ["level", *[f"up_{c}" for c in columns]], "left")
     parts = cut_lineage(parts.select("level", "component", "size", "parent"))
     lambdas = [4.0**-d for d in range(levels)] + [0.0]
-    chosen = _excess_of_mass(parts, levels - 1, [a - b for a, b in zip(lambdas, lambdas[1:])], open_root=True)
+    chosen = most_stable(condense(parts, levels - 1, [a - b for a, b in zip(lambdas, lambdas[1:])]), open_root=True)
 
     sizes = members.groupBy("component").agg(F.count("*").alias("matches"))
-    birth = chosen.select(F.col("leaf").alias("component")).join(sizes, "component")
+    birth = chosen.select(F.col("leader").alias("component")).join(sizes, "component")
     kept = hot_lookup(members, birth, ["component"], "matches").select("level", *columns, "core_d2", F.col("component.doc").alias("cluster"))
     keys = ["level", *columns]
     placed = spread.select("cell_id", "level", *shifted).join(kept, keys).select("cell_id", "core_d2", "cluster")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.functions import vectors as X
-from review_topics.operators import density, distribution, embedding, neighbours, reduction, relations, represent, terms, topics, zeroshot
+from review_topics.operators import density, distribution, embedding, neighbours, reduction, relations, represent, spanning, terms, topics, zeroshot
 from review_topics.operators.components import components
 from review_topics.plans import fit, predict
 from review_topics.plans.model import FitParams
 from review_topics.queries import common as C
 from review_topics.queries.common import query, shared
-from review_topics.session import scratch_path, stage
+from review_topics.session import hot_lookup, scratch_path, stage
 from review_topics.sources import model_store, tables, vector_store
 
 # ---------------------------------------------------------------------------------------------- terms and weights
@@ -264,7 +264,11 @@ def e2_zero_shot_given_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------------------------------- clusters
-K, WIDTH, REACH2, MIN_PTS, MIN_SIZE = 3, 0.15, 2, 10, 10
+# Settings that give seven clusters, two of them of one size, on the data that results are compared on.
+K, WIDTH, REACH2, MIN_PTS, MIN_SIZE = 2, 0.05, 1, 4, 10
+# A finer grid on which clusters split at several of its distances.
+FINE_WIDTH, FINE_REACH2 = 0.03, 5
+
 
 def _low_sql(vectors: str) -> str:
     return f"""
@@ -274,11 +278,18 @@ lw AS (SELECT doc_id, c, sum(x * s) AS v FROM {vectors} JOIN sg USING (b) GROUP
 
 
 _LOW = _low_sql("cv")
-_GRID = f"""
-gp AS (SELECT doc_id, {", ".join(f"max(CASE WHEN c = {i} THEN CAST(floor(round(v, 6) / {WIDTH}) AS INT) END) AS c{i}" for i in range(K))} FROM lw GROUP BY doc_id),
-ce AS (SELECT c0, c1, c2, min(doc_id) AS cell_id, count(*) AS weight FROM gp GROUP BY c0, c1, c2),
-al AS (SELECT a.cell_id AS src, b.cell_id AS dst, CAST((a.c0-b.c0)*(a.c0-b.c0) + (a.c1-b.c1)*(a.c1-b.c1) + (a.c2-b.c2)*(a.c2-b.c2) AS INT) AS d2, b.weight
-       FROM ce a JOIN ce b ON (a.c0-b.c0)*(a.c0-b.c0) + (a.c1-b.c1)*(a.c1-b.c1) + (a.c2-b.c2)*(a.c2-b.c2) <= {REACH2})"""
+_AXES = ", ".join(neighbours.cell_columns(K))
+_D2 = " + ".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in neighbours.cell_columns(K))
+
+
+def _grid_sql(width: float, reach2: int) -> str:
+    return f"""
+gp AS (SELECT doc_id, {", ".join(f"max(CASE WHEN c = {i} THEN CAST(floor(round(v, 6) / {width}) AS INT) END) AS c{i}" for i in range(K))} FROM lw GROUP BY doc_id),
+ce AS (SELECT {_AXES}, min(doc_id) AS cell_id, count(*) AS weight FROM gp GROUP BY {_AXES}),
+al AS (SELECT a.cell_id AS src, b.cell_id AS dst, CAST({_D2} AS INT) AS d2, b.weight FROM ce a JOIN ce b ON {_D2} <= {reach2})"""
+
+
+_GRID = _grid_sql(WIDTH, REACH2)
 
 _DENSE = f"""
 cu AS (SELECT src, d2, sum(sum(weight)) OVER (PARTITION BY src ORDER BY d2) AS seen FROM al GROUP BY src, d2),
@@ -290,7 +301,7 @@ sz AS (SELECT component, sum(weight) AS size FROM cc JOIN ce USING (cell_id) GRO
 cl AS (SELECT ce.cell_id, CAST(ce.weight AS BIGINT) AS weight, co.core_d2, CASE WHEN sz.size >= {MIN_SIZE} THEN cc.component END AS cluster
        FROM ce LEFT JOIN co USING (cell_id) LEFT JOIN cc USING (cell_id) LEFT JOIN sz USING (component)),
 pl AS (SELECT doc_id, cluster, CASE WHEN cluster IS NULL THEN 0 ELSE greatest(0, 1 - sqrt(core_d2) / sqrt({REACH2})) END AS probability
-       FROM gp JOIN ce USING (c0, c1, c2) JOIN cl USING (cell_id))"""
+       FROM gp JOIN ce USING ({_AXES}) JOIN cl USING (cell_id))"""
 
 
 _CELLS = f"{C.CENTRED}, {_LOW}, {_GRID}"
@@ -331,9 +342,98 @@ def e5_density_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return dense_cells(spark, sf).select("cell_id", "weight", F.coalesce("core_d2", none).alias("core_d2"), F.coalesce("cluster", none).alias("cluster"))
 
 
-@query()
+fine_points = shared(
+    "fine-points",
+    lambda spark, sf: neighbours.grid_points(reduction.reduce_dims(C.centred_vectors(spark, sf), K, "projection", 256), FINE_WIDTH, K),
+)
+fine_cells = shared("fine-cells", lambda spark, sf: neighbours.grid_cells(fine_points(spark, sf), K))
+fine_edges = shared("fine-edges", lambda spark, sf: neighbours.neighbour_edges(fine_cells(spark, sf), K, FINE_REACH2))
+
+# Links between core cells in the order of the forest; a link belongs to it unless lighter ones join its ends already.
+_FINE = f"""{C.CENTRED}, {_LOW}, {_grid_sql(FINE_WIDTH, FINE_REACH2)},
+cu AS (SELECT src, d2, sum(sum(weight)) OVER (PARTITION BY src ORDER BY d2) AS seen FROM al GROUP BY src, d2),
+co AS (SELECT src AS cell_id, min(d2) AS core_d2 FROM cu WHERE seen >= {MIN_PTS} GROUP BY src),
+mr AS (SELECT al.src, al.dst, greatest(d2, a.core_d2, b.core_d2) AS w FROM al JOIN co a ON a.cell_id = src JOIN co b ON b.cell_id = dst WHERE src <> dst)"""
+
+_FOREST = f"""{_FINE},
+fo AS (SELECT src AS u, dst AS v, w, row_number() OVER (ORDER BY w, src, dst) AS e FROM mr WHERE src < dst),
+fb AS (SELECT e, u AS a, v AS b FROM fo UNION ALL SELECT e, v, u FROM fo),
+fw AS (SELECT e, u AS node FROM fo UNION SELECT fw.e, fb.b FROM fw JOIN fb ON fb.a = fw.node AND fb.e < fw.e)"""
+
+
+@query(f"WITH RECURSIVE {_FOREST} SELECT u, v, w FROM fo WHERE NOT EXISTS (SELECT 1 FROM fw WHERE fw.e = fo.e AND fw.node = fo.v)")
+def e5h_spanning_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return density.reach_forest(fine_cells(spark, sf), fine_edges(spark, sf), MIN_PTS, FINE_REACH2)[2]
+
+
+fine_measured = shared("fine-measured", lambda spark, sf: density.core_distances(fine_cells(spark, sf), fine_edges(spark, sf), MIN_PTS, FINE_REACH2))
+fine_forest = shared("fine-forest", lambda spark, sf: spanning.spanning_forest(density.mutual_reachability(fine_measured(spark, sf), fine_edges(spark, sf))))
+
+
+def fine_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return density.forest_nodes(fine_measured(spark, sf))
+
+
+# Parts at every distance, and what each holds: the mass of its line, that of the clusters it splits into, and what it hangs on.
+_PARTS = f"""{_FINE},
+lv AS (SELECT unnest(range({FINE_REACH2 + 1})) AS level),
+rc AS (SELECT level, cell_id AS node, cell_id AS reached FROM co JOIN lv ON core_d2 <= level
+       UNION SELECT rc.level, rc.node, mr.dst FROM rc JOIN mr ON mr.src = rc.reached AND mr.w <= rc.level),
+hk AS (SELECT level, node, min(reached) AS component FROM rc GROUP BY level, node),
+hs AS (SELECT level, component, sum(weight) AS size FROM hk JOIN ce ON ce.cell_id = node GROUP BY ALL HAVING sum(weight) >= {MIN_SIZE}),
+hp AS (SELECT hs.*, hk.component AS parent FROM hs LEFT JOIN hk ON hk.level = hs.level + 1 AND hk.node = hs.component),
+hr AS (SELECT hp.*, count(*) OVER (PARTITION BY hp.level, parent) AS rivals FROM hp)"""
+_MASSES = density.level_masses(FINE_REACH2)
+for _l in range(FINE_REACH2 + 1):
+    _below = f"""LEFT JOIN (SELECT parent, count(*) AS n, sum(own) AS own, sum(inside) AS inside, sum(greatest(own, inside)) AS best
+          FROM v{_l - 1} JOIN hr USING (component) WHERE hr.level = {_l - 1} GROUP BY parent) k ON k.parent = hr.component"""
+    _PARTS += f""",
+v{_l} AS (SELECT component, size * CAST({_MASSES[_l]} AS DOUBLE) {"+ CASE WHEN n = 1 THEN own ELSE 0 END" if _l else ""} AS own,
+        {"CASE WHEN n = 1 THEN inside WHEN n > 1 THEN best ELSE 0 END" if _l else "0"} AS inside FROM hr {_below if _l else ""} WHERE hr.level = {_l})"""
+for _l in range(FINE_REACH2, -1, -1):
+    _goes, _up = ("rivals = 1", f"LEFT JOIN t{_l + 1} t ON t.component = hr.parent") if _l < FINE_REACH2 else ("false", "")
+    _from = (lambda name: f"t.{name}") if _l < FINE_REACH2 else (lambda name: "NULL")
+    _PARTS += f""",
+t{_l} AS (SELECT {_l} AS level, hr.component, hr.size, CASE WHEN {_goes} THEN {_from("leader")} ELSE hr.component END AS leader, CASE WHEN {_goes} THEN {_from("born")} ELSE {_l} END AS born,
+        CAST(CASE WHEN {_goes} THEN {_from("parent_leader")} ELSE {_from("leader")} END AS BIGINT) AS parent_leader,
+        CAST(CASE WHEN {_goes} THEN {_from("parent_born")} ELSE {_from("born")} END AS INT) AS parent_born,
+        CASE WHEN {_goes} THEN {_from("stability")} ELSE own END AS stability,
+        CASE WHEN {_goes} THEN {_from("kept")} ELSE round(own, 9) >= round(inside, 9) END AS kept,
+        CASE WHEN {_goes} THEN {_from("free")} ELSE {"coalesce(t.free AND NOT t.kept, true)" if _l < FINE_REACH2 else "true"} END AS free
+        FROM hr JOIN v{_l} USING (component) {_up} WHERE hr.level = {_l})"""
+_PARTS += ",\nta AS (" + " UNION ALL ".join(f"SELECT * FROM t{_l}" for _l in range(FINE_REACH2 + 1)) + ")"
+
+
+@query(
+    f"""WITH RECURSIVE {_PARTS} SELECT leader, CAST(born AS INT) AS born, min(level) AS last, CAST(max(size) AS BIGINT) AS size, round(any_value(stability), 6) AS stability,
+coalesce(any_value(parent_leader), -1) AS parent_leader, coalesce(any_value(parent_born), -1) AS parent_born FROM ta GROUP BY leader, born"""
+)
+def e5h_condensed_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cluster of the hierarchy with the distances it lives at and its stability."""
+    members = spanning.forest_members(fine_nodes(spark, sf), fine_forest(spark, sf), FINE_REACH2)
+    parts = spanning.member_parts(members, MIN_SIZE)
+    tree = spanning.condense(parts, FINE_REACH2, _MASSES)
+    none = F.lit(-1)
+    return tree.withColumns({"stability": F.round("stability", 6), "parent_leader": F.coalesce("parent_leader", none), "parent_born": F.coalesce("parent_born", none)})
+
+
+@query(
+    f"""WITH RECURSIVE {_PARTS}, ch AS (SELECT DISTINCT leader, born FROM ta WHERE kept AND free)
+SELECT ce.cell_id, CAST(ce.weight AS BIGINT) AS weight, coalesce(core_d2, -1) AS core_d2, coalesce(leader, -1) AS cluster FROM ce LEFT JOIN co USING (cell_id)
+LEFT JOIN (SELECT node AS cell_id, leader FROM hk JOIN ch ON ch.born = hk.level AND ch.leader = hk.component) USING (cell_id)"""
+)
 def e5h_hierarchical_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    return density.cluster_hierarchical(grid_cells(spark, sf), grid_edges(spark, sf), MIN_PTS, REACH2, MIN_SIZE)
+    found = density.cluster_hierarchical(fine_cells(spark, sf), fine_edges(spark, sf), MIN_PTS, FINE_REACH2, MIN_SIZE)
+    none = F.lit(-1)
+    return found.select("cell_id", "weight", F.coalesce("core_d2", none).alias("core_d2"), F.coalesce("cluster", none).alias("cluster"))
+
+
+@query(f"WITH RECURSIVE {_PARTS} SELECT node, hk.component FROM hk JOIN hs USING (level, component) WHERE level = 2")
+def e5h_cut_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """The forest cut at one distance: the flat clusters there, without a look at the links that are not in it."""
+    members = stage(spanning.cut_forest(fine_nodes(spark, sf), fine_forest(spark, sf), 2), "cut")
+    large = members.groupBy("component").agg(F.sum("weight").alias("size"), F.count("*").alias("matches")).where(F.col("size") >= MIN_SIZE)
+    return hot_lookup(members, large, ["component"], "matches").select("node", "component")
 
 
 @query(

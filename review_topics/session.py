@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A topic table larger than this is never collected or broadcast.
@@ -84,6 +84,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged
 
 
+def stage_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """A stage and aggregates over its rows, gathered while it is written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[value.alias(key) for key, value in metrics.items()]), name)
+    return staged, seen.get
+
+
+def stage_counted(df: DataFrame, matches: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """A stage for ``hot_lookup`` with what it must know of the column ``matches``."""
+    return stage_observed(df, "step", most=F.max(matches), total=F.sum(matches), **metrics)
+
+
 def unstage(*staged: DataFrame) -> None:
     """Delete stages that nothing reads any more."""
     for df in staged:
@@ -140,14 +152,18 @@ def collect_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> list:
     return rows
 
 
-def hot_lookup(left: DataFrame, right: DataFrame, on: list[str], matches: str) -> DataFrame:
+def hot_lookup(left: DataFrame, right: DataFrame, on: list[str], matches: str, known: dict | None = None) -> DataFrame:
     """Inner equi join of ``left`` with a unique-key ``right`` that survives hot keys.
 
     ``right[matches]`` says how many ``left`` rows carry the key, so the keys holding more than
     1/HOT_SHARE of all rows are known without another pass over ``left`` and number at most HOT_SHARE.
     Their rows pass the shuffled join under a salt that spreads them over many partitions and matches nothing
-    there, and get their values from a broadcast of the few hot keys instead. ``left`` is read once.
+    there, and get their values from a broadcast of the few hot keys instead. ``left`` is read once. Where ``known``, see
+    stage_counted, says that no key is hot, what is left of all this is the shuffled join.
     """
+    if known is not None and (known["most"] or 0) * HOT_SHARE <= (known["total"] or 0):
+        values = [c for c in right.columns if c not in on and c != matches]
+        return left.join(right.drop(matches), on).select(*left.columns, *values)
     total = right.agg(F.sum(matches)).scalar()
     is_hot: Column = F.col(matches) * F.lit(HOT_SHARE) > total
     values = [c for c in right.columns if c not in on and c != matches]

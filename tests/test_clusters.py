@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from review_topics import session
 from review_topics.operators import components as CC
-from review_topics.operators import density, neighbours
+from review_topics.operators import density, neighbours, spanning
 from review_topics.plans import fit
 from review_topics.plans.model import FitParams
 from review_topics.queries import common
@@ -120,6 +120,49 @@ def test_everything_is_an_outlier_when_groups_are_small(spark):
     assert {r["cluster"] for r in density.label_points(points, cells, clustered, 3, 2).collect()} == {None}
 
 
+def brute_forest(links):
+    """Links in order of weight and ends, each kept if its ends are not joined yet."""
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    kept = set()
+    for w, u, v in sorted({(w, min(u, v), max(u, v)) for u, v, w in links if u != v}):
+        if root(u) != root(v):
+            parent[root(u)] = root(v)
+            kept.add((u, v, w))
+    return kept
+
+
+@pytest.mark.parametrize("name, hot", [("random", 1000), ("ties", 1000), ("hub", 4), ("chain", 1000), ("none", 1000)])
+def test_spanning_forest_is_that_of_sorted_links(spark, monkeypatch, name, hot):
+    monkeypatch.setattr(session, "HOT_SHARE", hot)
+    rng = random.Random(len(name))
+    links = {
+        "random": [(rng.randrange(60), rng.randrange(60), rng.randrange(30)) for _ in range(240)],
+        "ties": [(rng.randrange(25), rng.randrange(25), rng.randrange(2)) for _ in range(120)],
+        "hub": [(99, i, i % 3) for i in range(60)] + [(i, i + 1, 1) for i in range(0, 60, 2)] + [(200, 201, 0)],
+        "chain": [(i, i + 1, (i * 7) % 5) for i in range(50)] + [(3, 3, 0), (4, 5, 9), (5, 4, 0)],
+        "none": [],
+    }[name]
+    out = spanning.spanning_forest(spark.createDataFrame(links, "u long, v long, w int")).collect()
+    assert {tuple(r) for r in out} == brute_forest(links) and len(out) == len(brute_forest(links))
+
+
+def test_cut_forest_gives_the_flat_clusters_of_every_distance(spark):
+    rows = random_cells(4, n=200)
+    _, cells, edges = graph_of(spark, rows, 4)
+    _, nodes, forest = density.reach_forest(cells, edges, 6, 4)
+    for level in (0, 2, 3, 4):
+        cut = {r["node"]: r["component"] for r in spanning.cut_forest(nodes, forest, level).collect()}
+        flat = density.cluster_density(cells, edges.where(F.col("d2") <= level), 6, level, 1).where("cluster is not null")
+        assert cut == {r["cell_id"]: r["cluster"] for r in flat.collect()}
+
+
 def brute_hierarchy(rows, min_pts, reach2, min_size):
     """Excess of mass over the same levels, cluster by cluster in plain Python."""
     levels = {d: brute_clusters(rows, min_pts, d, min_size) for d in range(reach2 + 1)}
