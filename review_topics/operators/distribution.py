@@ -1,7 +1,9 @@
 """Soft topic distribution of documents and tokens over sliding windows of words.
 
-Spark brings each document together with the weights of its own terms; the windows of one document are then a few
-numpy additions on a words x topics matrix. Nothing is exploded to token x topic x window rows.
+Documents are turned into numbers where they are read: blocks of a quarter of a million words, each with a list of its different
+words. Only these lists meet the weights, a word at most once a block, and what comes back to a block are the postings of its
+words: which topics they weigh in, and how much. A window adds up the postings of its words in an accumulator over a bounded
+tile of windows and topics. Topics are dealt over tiles, so memory depends neither on how many there are nor on the vocabulary.
 """
 
 from __future__ import annotations
@@ -11,107 +13,144 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_topics.functions import text as T
 from review_topics.operators.represent import topic_norms
-from review_topics.session import broadcast_checked, collect_checked, hot_lookup
+from review_topics.session import broadcast_checked, hot_lookup, stage, stage_counted
+
+# Words of a block, topics of a tile, and cells (windows times topics) of an accumulator.
+BLOCK_WORDS = 1 << 18
+TILE_TOPICS = 512
+CELLS = 1 << 18
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document with its words as numbers, and before those of a block a row with the block's words."""
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.asarray(batch.column("tokens").value_lengths().fill_null(0)).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // BLOCK_WORDS
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            rows = batch.slice(low, high - low)
+            encoded = rows.column("tokens").flatten().dictionary_encode()
+            ends = pa.array(np.concatenate(([0, 0], np.cumsum(sizes[low:high]))).astype(np.int32))
+            codes = pa.ListArray.from_arrays(ends, encoded.indices.cast(pa.int32()))
+            listed = np.full(high - low + 2, len(encoded.dictionary), np.int32)
+            listed[0] = 0
+            words = pa.ListArray.from_arrays(pa.array(listed), encoded.dictionary, mask=pa.array(np.arange(high - low + 1) > 0))
+            ids = pa.concat_arrays([pa.nulls(1, rows.column("doc_id").type), rows.column("doc_id")])
+            nth = pa.array(np.arange(-1, high - low), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(high - low + 1, block)), nth, ids, codes, words], names=["block", "nth", "doc_id", "codes", "words"])
+            block += 1
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """``(block, nth, doc_id, codes, words)``, written once. Rows with ``nth`` -1 hold a block's different words by number."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    tokens = docs.select("doc_id", T.tokens(F.col("document")).alias("tokens"))
+    return stage(tokens.mapInArrow(_blocked, f"block long, nth int, doc_id {kind}, codes array<int>, words array<string>"), "blocks")
 
 
-def _windows(tokens: np.ndarray, weights: np.ndarray, window: int, stride: int, minimum: float) -> np.ndarray:
-    """Cosine of every window start with every topic, zero below ``minimum``. ``weights`` has one row per token.
+def _postings(blocks: DataFrame, weights: DataFrame) -> DataFrame:
+    """``(block, tile, code, topics, weights)``: what the words of each block weigh, by tiles of topics.
 
-    The length of a window is the root of its squared term counts: its size plus two for each equal pair in it.
+    Weights are divided by the topic's length. How many blocks hold a word is counted on the blocks at hand, whatever the
+    word's use in the model; no word meets the weights more often than that.
     """
-    size = min(window, len(tokens))
-    starts = np.arange(0, len(tokens) - size + 1, stride)
-    dots = sum(weights[starts + k] for k in range(size))
-    pairs = sum((tokens[starts + a] == tokens[starts + b]).astype(int) for a, b in combinations(range(size), 2))
-    scores = dots / np.sqrt(size + 2 * pairs)[:, None] if size > 1 else dots
-    return np.where(np.round(scores, 9) >= minimum, scores, 0.0)
+    words = blocks.where("nth = -1").select("block", F.posexplode("words").alias("code", "term"))
+    lengths = broadcast_checked(topic_norms(weights).where("topic_norm > 0"))
+    scaled = weights.where(F.col("topic_id") >= 0).join(lengths, "topic_id")
+    tile = F.floor(F.col("topic_id") / TILE_TOPICS).cast("int").alias("tile")
+    in_tile = scaled.groupBy("term", tile).agg(
+        F.collect_list(F.struct((F.col("topic_id") % TILE_TOPICS).cast("int").alias("topic"), (F.col("weight") / F.col("topic_norm")).alias("w"))).alias("list")
+    )
+    by_term = in_tile.groupBy("term").agg(F.collect_list(F.struct("tile", "list")).alias("tiles"))
+    used, seen = stage_counted(by_term.join(words.groupBy("term").agg(F.count("*").alias("matches")), "term"), "matches")
+    met = hot_lookup(words, used, ["term"], "matches", seen).select("block", "code", F.inline("tiles"))
+    return met.select("block", "tile", "code", F.col("list.topic").alias("topics"), F.col("list.w").alias("weights"))
 
 
-def _per_document(window: int, stride: int, minimum: float, topics: list[int], rows_of: Callable) -> Callable:
-    """Task function: rebuild a document's words x topics matrix, score its windows, let ``rows_of`` shape the rows.
+def _window_scores(tokens: np.ndarray, edges: np.ndarray, starts: np.ndarray, topics: np.ndarray, weights: np.ndarray, window: int, stride: int, minimum: float):
+    """``(document, first word, words, topic, score)`` of the windows and topics whose cosine reaches ``minimum``, piece by piece.
 
-    ``rows_of(scores, document's tokens)`` gives equally long arrays by output column. Words are numbered once per
-    Arrow batch, so the work per document is on integers.
+    ``tokens`` of all documents with their ``edges``; word ``c`` has the postings ``starts[c]`` to ``starts[c + 1]`` of ``topics`` and
+    ``weights``. The length of a window is the root of its squared word counts: its size plus two for each equal pair in it.
     """
-    ids = np.array(topics, dtype=np.int32)
-    place = np.full(max(topics, default=0) + 1, -1)
-    place[ids] = np.arange(len(ids))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {name: batch.column(name) for name in batch.schema.names}
-            words = pa.concat_arrays([column["tokens"].flatten(), column["terms"].flatten()])
-            codes = np.asarray(words.dictionary_encode().indices)
-            at = {name: np.asarray(column[name].offsets) - column[name].offsets[0].as_py() for name in column if name != "doc_id"}
-            flat = {name: np.asarray(column[name].flatten()) for name in ("sizes", "topics", "weights")}
-            term_codes = codes[at["tokens"][-1] :]
-            row_of = np.full(codes.max(initial=0) + 1, -1)
-            out: list[tuple] = []
-            for i in range(len(batch)):
-                tokens = codes[at["tokens"][i] : at["tokens"][i + 1]]
-                terms = slice(at["terms"][i], at["terms"][i + 1])
-                entries = slice(at["topics"][i], at["topics"][i + 1])
-                known = term_codes[terms]
-                lookup = np.zeros((len(known) + 1, len(ids)))  # the last row stands for words without a weight
-                lookup[np.repeat(np.arange(len(known)), flat["sizes"][terms]), place[flat["topics"][entries]]] = flat["weights"][entries]
-                row_of[known] = np.arange(len(known))
-                scores = _windows(tokens, lookup[row_of[tokens]], window, stride, minimum)
-                row_of[known] = -1
-                rows = rows_of(scores, tokens)
-                out.append((np.full(len(rows["topic"]), i), at["tokens"][i], rows))
-            yield from _batch(column, words, ids, out)
-
-    def _batch(column: dict, words: pa.Array, ids: np.ndarray, out: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if not out:
-            return
-        joined = {name: np.concatenate([rows[name] for _, _, rows in out]) for name in out[0][2]}
-        arrays = {
-            "doc_id": column["doc_id"].take(pa.array(np.concatenate([doc for doc, _, _ in out]))),
-            "topic_id": pa.array(ids[joined["topic"]]),
-            "p": pa.array(joined["p"]),
-        }
-        if "pos" in joined:
-            first = np.concatenate([start + rows["pos"] for _, start, rows in out])
-            arrays |= {"pos": pa.array(joined["pos"].astype(np.int32)), "term": words.take(pa.array(first))}
-        yield pa.RecordBatch.from_pydict(arrays)
-
-    return run
-
-
-def _documents_with_weights(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """``(doc_id, tokens, terms, sizes, topics, weights)``: each document and what its terms weigh in each topic.
-
-    Distinct terms meet the weights once and come back by document. Weights are divided by the topic's length here,
-    and terms that very many documents use are broadcast rather than shuffled into one task.
-    """
-    scaled = (
-        weights.where(F.col("topic_id") >= 0)
-        .join(broadcast_checked(topic_norms(weights)), "topic_id")
-        .select("topic_id", "term", "doc_freq", (F.col("weight") / F.col("topic_norm")).alias("w"))
-    )
-    by_term = scaled.groupBy("term").agg(
-        F.collect_list("topic_id").alias("topics"), F.collect_list("w").alias("weights"), F.sum("doc_freq").alias("matches")
-    )
-    by_doc = docs.select("doc_id", "document").repartition("doc_id")
-    tokens = by_doc.select("doc_id", T.tokens(F.col("document")).alias("tokens"))
-    terms = tokens.select("doc_id", F.explode(F.array_distinct("tokens")).alias("term"))
-    met = hot_lookup(terms, by_term, ["term"], "matches")
-    listed = met.groupBy("doc_id").agg(
-        F.collect_list("term").alias("terms"),
-        F.collect_list(F.size("topics")).alias("sizes"),
-        F.flatten(F.collect_list("topics")).alias("topics"),
-        F.flatten(F.collect_list("weights")).alias("weights"),
-    )
-    return tokens.join(listed, "doc_id")
-
-
-def _topic_ids(weights: DataFrame) -> list[int]:
-    return sorted(r["topic_id"] for r in collect_checked(weights.where(F.col("topic_id") >= 0).select("topic_id").distinct()))
+    lengths = np.diff(edges)
+    size = np.minimum(lengths, window)
+    count = np.where(lengths > 0, (lengths - size) // stride + 1, 0)
+    doc = np.repeat(np.arange(len(lengths)), count)
+    first = edges[:-1][doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * stride
+    size = size[doc]
+    width = int(topics.max(initial=0)) + 1
+    at_once = max(1, CELLS // width)
+    for low in range(0, len(doc), at_once):
+        own, begin, words = (x[low : low + at_once] for x in (doc, first, size))
+        inside = [np.flatnonzero(words > k) for k in range(window)]
+        pairs = np.zeros(len(own))
+        for a, b in combinations(range(window), 2):
+            pairs[inside[b]] += tokens[begin[inside[b]] + a] == tokens[begin[inside[b]] + b]
+        cells, values = [], []
+        for k in range(window):  # the words that enter k places behind the first
+            word = tokens[begin[inside[k]] + k]
+            n = starts[word + 1] - starts[word]
+            at = np.arange(int(n.sum())) + np.repeat(starts[word] - (np.cumsum(n) - n), n)
+            cells.append(np.repeat(inside[k], n) * width + topics[at])
+            values.append(weights[at])
+        dots = np.bincount(np.concatenate(cells), np.concatenate(values), len(own) * width)
+        some = np.flatnonzero(dots)
+        row, topic = np.divmod(some, width)
+        score = dots[some] / np.sqrt(words + 2 * pairs)[row]
+        high = np.round(score, 9) >= minimum
+        row = row[high]
+        yield own[row], begin[row], words[row], topic[high], score[high]
+
+
+def _added(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different cells of all parts and the sum of their values."""
+    held = [(np.zeros(0, np.int64), np.zeros(0))]
+    for cells, values in parts:
+        cell, place = np.unique(cells, return_inverse=True)
+        held.append((cell, np.bincount(place, values, len(cell))))
+    cells, values = (np.concatenate(x) for x in zip(*held))
+    cell, place = np.unique(cells, return_inverse=True)
+    return cell, np.bincount(place, values, len(cell)).astype(float)
+
+
+def _scored(blocks: DataFrame, weights: DataFrame, rows_of: Callable, schema: str, with_words: bool, window: int, stride: int, minimum: float) -> DataFrame:
+    """Blocks meet their postings, tile by tile; ``rows_of(pieces, rows, words, first topic)`` makes the result's columns."""
+    postings = stage(_postings(blocks, weights), "postings")
+    pairs = postings.select(F.col("block").alias("own_block"), F.col("tile").alias("own_tile")).distinct()
+    wanted = blocks if with_words else blocks.where("nth >= 0").withColumn("words", F.lit(None).cast("array<string>"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.combine_chunks().sort_by("nth")
+        words = None
+        if with_words:
+            words = rows.column("words").chunk(0)[0].values
+            rows = rows.slice(1).combine_chunks()
+        codes = rows.column("codes").chunk(0) if rows.num_rows else pa.array([], pa.list_(pa.int32()))
+        tokens = np.asarray(codes.flatten()).astype(np.int64)
+        edges = np.concatenate(([0], np.cumsum(np.asarray(codes.value_lengths()).astype(np.int64))))
+        order = np.argsort(np.asarray(right.column("code")), kind="stable")
+        right = right.take(pa.array(order)).combine_chunks()
+        code = np.asarray(right.column("code"))
+        lists = right.column("topics").chunk(0), right.column("weights").chunk(0)
+        n = np.zeros(int(max(tokens.max(initial=-1), code.max(initial=-1))) + 2, np.int64)
+        n[code + 1] = np.asarray(lists[0].value_lengths())
+        topics, values = (np.asarray(x.flatten()) for x in lists)
+        pieces = _window_scores(tokens, edges, np.cumsum(n), topics.astype(np.int64), values, window, stride, minimum)
+        tile = right.column("tile")[0].as_py()
+        return pa.table(rows_of(pieces, rows, tokens, edges, words, tile * TILE_TOPICS))
+
+    left = wanted.join(pairs, F.col("block") == F.col("own_block")).select("nth", "doc_id", "codes", "words", F.col("own_block").alias("block"), F.col("own_tile").alias("tile"))
+    return left.groupBy("block", "tile").cogroup(postings.groupBy("block", "tile")).applyInArrow(run, schema)
 
 
 def approximate_distribution(
@@ -119,37 +158,47 @@ def approximate_distribution(
 ) -> DataFrame:
     """``(doc_id, topic_id, p)``: window scores summed per topic, as shares of the document's total.
 
-    A document none of whose windows reaches the minimum has no row.
+    A document none of whose windows reaches the minimum has no row. Rows that share a doc_id are documents each.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def shares(scores: np.ndarray, tokens: np.ndarray) -> dict[str, np.ndarray]:
-        mass = scores.sum(axis=0)
-        topic = np.flatnonzero(mass)
-        return {"topic": topic, "p": mass[topic] / mass.sum()}
+    def masses(pieces: Iterator[tuple], rows: pa.Table, tokens: np.ndarray, edges: np.ndarray, words, base: int) -> dict:
+        cell, mass = _added((doc * TILE_TOPICS + topic, score) for doc, _, _, topic, score in pieces)
+        at = pa.array(cell // TILE_TOPICS)
+        return {
+            "block": rows.column("block").take(at), "nth": rows.column("nth").take(at), "doc_id": rows.column("doc_id").take(at),
+            "topic_id": pa.array((base + cell % TILE_TOPICS).astype(np.int32)), "mass": pa.array(mass),
+        }
 
-    run = _per_document(window, stride, min_similarity, _topic_ids(weights), shares)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return _documents_with_weights(docs, weights).mapInArrow(run, f"doc_id {kind}, topic_id int, p double")
+    found = _scored(blocks_of(docs), weights, masses, f"block long, nth int, doc_id {kind}, topic_id int, mass double", False, window, stride, min_similarity)
+    total = F.sum("mass").over(Window.partitionBy("block", "nth"))
+    return found.select("doc_id", "topic_id", (F.col("mass") / total).alias("p"))
 
 
 def token_distribution(
     docs: DataFrame, weights: DataFrame, window: int = 4, stride: int = 1, min_similarity: float = 0.1
 ) -> DataFrame:
-    """``(doc_id, pos, term, topic_id, p)``: each window's score credited to every token in it."""
-
-    def credit(scores: np.ndarray, tokens: np.ndarray) -> dict[str, np.ndarray]:
-        credited = np.zeros((len(tokens), scores.shape[1]))
-        starts = np.arange(len(scores)) * stride
-        for k in range(min(window, len(tokens))):
-            credited[starts + k] += scores
-        pos, topic = np.nonzero(credited)
-        return {"topic": topic, "p": credited[pos, topic], "pos": pos}
-
-    run = _per_document(window, stride, min_similarity, _topic_ids(weights), credit)
+    """``(doc_id, topic_id, p, pos, term)``: each window's score credited to every token in it."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _documents_with_weights(docs, weights).mapInArrow(
-        run, f"doc_id {kind}, topic_id int, p double, pos int, term string"
-    )
+
+    def credits(pieces: Iterator[tuple], rows: pa.Table, tokens: np.ndarray, edges: np.ndarray, words, base: int) -> dict:
+        def credited() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for _, begin, size, topic, score in pieces:
+                inside = [size > k for k in range(int(size.max(initial=0)))]
+                cells = [(begin[own] + k) * TILE_TOPICS + topic[own] for k, own in enumerate(inside)]
+                yield np.concatenate([np.zeros(0, np.int64), *cells]), np.concatenate([np.zeros(0), *(score[own] for own in inside)])
+
+        cell, p = _added(credited())
+        at = cell // TILE_TOPICS
+        doc = np.searchsorted(edges, at, "right") - 1
+        return {
+            "doc_id": rows.column("doc_id").take(pa.array(doc)), "topic_id": pa.array((base + cell % TILE_TOPICS).astype(np.int32)),
+            "p": pa.array(p),
+            "pos": pa.array((at - edges[doc]).astype(np.int32)), "term": words.take(pa.array(tokens[at])),
+        }
+
+    schema = f"doc_id {kind}, topic_id int, p double, pos int, term string"
+    return _scored(blocks_of(docs), weights, credits, schema, True, window, stride, min_similarity)
 
 
 def shown_distribution(distribution: DataFrame, labels: DataFrame, doc_id, min_p: float = 0.0) -> DataFrame:
