@@ -8,15 +8,22 @@ higher-order functions took 1.6 s and an exploded join 1.3 s, and the gap grows
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Vectors of a table that are compared at a time, and documents that they are compared with.
+TILE_VECTORS = 4_096
+BLOCK_ROWS = 1_024
+
+
 def _matrix(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Batch as a matrix and the mask of its known rows; a missing vector is a row of zeros."""
     known = np.asarray(vectors.is_valid())
@@ -61,22 +68,46 @@ def projected(vec: Column, matrix: np.ndarray) -> Column:
     return project(vec)
 
 
-def best_match(vec: Column, ids: list[int], matrix: np.ndarray) -> Column:
-    """Struct ``(id, score)`` of the row of ``matrix`` with the highest cosine; ties go to the first row.
+def vector_tiles(vecs: DataFrame, id_col: str) -> list[Broadcast]:
+    """``(ids, unit vectors)`` of a table of any size in the order of its ids, TILE_VECTORS a broadcast. Null vectors are left out.
+
+    The driver holds one tile at a time.
+    """
+    rows = vecs.where(F.col("vec").isNotNull()).select(id_col, "vec").orderBy(id_col).toLocalIterator()
+    tiles = []
+    while held := list(islice(rows, TILE_VECTORS)):
+        ids, matrix = np.array([r[id_col] for r in held], np.int64), np.array([r["vec"] for r in held], float)
+        tiles.append(vecs.sparkSession.sparkContext.broadcast((ids, _unit(matrix))))
+    return tiles
+
+
+def best_match(vec: Column, tiles: list[Broadcast]) -> Column:
+    """Struct ``(id, score)`` of the vector with the highest cosine; ties go to the smaller id. Without vectors the id is null.
 
-    Scores are rounded to 12 places before comparing, so that a tie stays a tie whatever the summing order.
-    Rows of zeros (documents without a vector) score 0 everywhere.
+    Tiles pass by the documents of a batch one after the other, and each document keeps its best so far. Scores are rounded to 12
+    places before comparing, so that a tie stays a tie whatever the summing order. Rows of zeros (documents without a
+    vector) score 0 everywhere.
     """
-    ids = np.asarray(ids, dtype=np.int64)
-    topics = _unit(matrix)
 
     @F.arrow_udf("struct<id: long, score: double>")
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
-            rows, _ = _matrix(vectors, topics.shape[1])
-            scores = np.round(_unit(rows) @ topics.T, 12)
-            best = scores.argmax(axis=1)
-            yield pa.StructArray.from_arrays([pa.array(ids[best]), pa.array(scores[np.arange(len(rows)), best])], ["id", "score"])
+            n = len(vectors)
+            best, score = np.zeros(n, np.int64), np.full(n, -np.inf)
+            for tile in tiles:
+                ids, topics = tile.value
+                rows = _unit(_matrix(vectors, topics.shape[1])[0])
+                for low in range(0, n, BLOCK_ROWS):
+                    block = slice(low, low + BLOCK_ROWS)
+                    scores = np.round(rows[block] @ topics.T, 12)
+                    first = scores.argmax(axis=1)
+                    found = scores[np.arange(len(scores)), first]
+                    better = found > score[block]
+                    best[block][better], score[block][better] = ids[first[better]], found[better]
+                if len(tiles) > 1:
+                    tile.__dict__.pop("_value", None)  # one tile in memory; the next batch reads it from the worker's file
+            known = pa.array(best, mask=np.isneginf(score))
+            yield pa.StructArray.from_arrays([known, pa.array(np.where(np.isneginf(score), 0.0, score))], ["id", "score"])
 
     return match(vec)
 

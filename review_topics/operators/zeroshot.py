@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.functions import vectors as X
-from review_topics.session import collect_checked
-
-
-def prototype_matrix(prototypes: DataFrame, id_col: str) -> tuple[list[int], np.ndarray]:
-    """Ids and vectors of the topic table, in id order; its size is checked before it is collected."""
-    rows = collect_checked(prototypes.where(F.col("vec").isNotNull()).select(id_col, "vec"))
-    rows = sorted(rows, key=lambda r: r[id_col])
-    return [r[id_col] for r in rows], np.array([r["vec"] for r in rows], dtype=float)
 
 
 def assign_zero_shot(
@@ -23,10 +14,10 @@ def assign_zero_shot(
 ) -> DataFrame:
     """``(doc_id, <id_col>, similarity)``: best topic by cosine, null below ``min_similarity``.
 
-    The topic vectors travel with the task, so the pass over the documents is narrow: no join, no shuffle.
+    The topic vectors pass by the documents tile by tile, so the pass over the documents is narrow whatever the number of
+    topics: no join, no shuffle.
     """
-    ids, matrix = prototype_matrix(prototypes, id_col)
-    scored = vecs.select("doc_id", X.best_match(F.col("vec"), ids, matrix).alias("best"))
+    scored = vecs.select("doc_id", X.best_match(F.col("vec"), X.vector_tiles(prototypes, id_col)).alias("best"))
     enough = F.round("best.score", 6) >= min_similarity
     return scored.select(
         "doc_id", F.when(enough, F.col("best.id")).cast("int").alias(id_col), F.col("best.score").alias("similarity")

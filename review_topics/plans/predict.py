@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from review_topics.functions import vectors as X
 from review_topics.operators import embedding, represent
-from review_topics.operators.zeroshot import prototype_matrix
 from review_topics.plans.model import TopicModel
 from review_topics.session import broadcast_checked
 
@@ -21,13 +20,13 @@ def predict_vectors(
     close enough; otherwise the document is an outlier with probability 0. One narrow pass.
     """
     other_similarity = min_similarity if other_similarity is None else other_similarity
-    predefined_ids, predefined = prototype_matrix(prototypes, "topic_id")
-    ids, others = prototype_matrix(centroids.where(F.col("topic_id") >= 0).join(prototypes, "topic_id", "left_anti"), "topic_id")
+    predefined = X.vector_tiles(prototypes, "topic_id")
+    others = X.vector_tiles(centroids.where(F.col("topic_id") >= 0).join(prototypes, "topic_id", "left_anti"), "topic_id")
     topic, probability = F.lit(-1), F.lit(0.0)
     columns = ["doc_id"]
-    for name, found, matrix, least in (("o", ids, others, other_similarity), ("p", predefined_ids, predefined, min_similarity)):
-        if found:
-            columns.append(X.best_match(F.col("vec"), found, matrix).alias(name))
+    for name, tiles, least in (("o", others, other_similarity), ("p", predefined, min_similarity)):
+        if tiles:
+            columns.append(X.best_match(F.col("vec"), tiles).alias(name))
             enough = F.round(F.col(f"{name}.score"), 6) >= least
             topic = F.when(enough, F.col(f"{name}.id")).otherwise(topic)
             probability = F.when(enough, F.col(f"{name}.score")).otherwise(probability)

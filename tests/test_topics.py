@@ -67,6 +67,39 @@ def test_distribution_matches_definition(spark, minimum):
     assert all(abs(s - 1) < 1e-9 for s in sums.values())
 
 
+def test_topics_beyond_a_tile_and_words_of_no_topic(spark, monkeypatch):
+    monkeypatch.setattr(distribution, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(distribution, "CELLS", 64)
+    rng = random.Random(9)
+    rows = [(t, f"w{i}", 3, 2, rng.random()) for i in range(30) for t in rng.sample(range(1400), 25 if i else 600)] + [(-1, "only", 3, 2, 0.5), (1399, "w3", 1, 1, 0.0)]
+    rows = list({r[:2]: r for r in rows}.values())
+    weights = spark.createDataFrame(rows, "topic_id int, term string, tf long, doc_freq long, weight double")
+    docs = {i: " ".join(rng.choice(["w0", "only", "none", *(f"w{j}" for j in range(30))]) for _ in range(rng.randint(0, 60))) for i in range(12)}
+    docs |= {50: "only only only", 51: None, 52: "w0 " * 100}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, document string")
+    for window, stride in ((4, 1), (3, 2), (1, 1)):
+        got = {(r["doc_id"], r["topic_id"]): r["p"] for r in distribution.approximate_distribution(frame, weights, window, stride, 0.02).collect()}
+        pieces = {(r["doc_id"], r["pos"], r["topic_id"]): (r["p"], r["term"]) for r in distribution.token_distribution(frame, weights, window, stride, 0.02).collect()}
+        want, credited = {}, {}
+        for doc, text in docs.items():
+            tokens = (text or "").split()
+            scores = {k: v for k, v in brute_scores(tokens, rows, window, 0.02).items() if k[0] % stride == 0} if tokens else {}
+            total = sum(scores.values())
+            for (start, topic), score in scores.items():
+                want[doc, topic] = want.get((doc, topic), 0) + score / total
+                for pos in range(start, min(start + window, len(tokens))):
+                    credited[doc, pos, topic] = (credited.get((doc, pos, topic), (0,))[0] + score, tokens[pos])
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        assert pieces.keys() == credited.keys() and all(abs(pieces[k][0] - credited[k][0]) < 1e-9 and pieces[k][1] == credited[k][1] for k in credited)
+
+
+def test_texts_do_not_move_for_a_distribution(spark, sf):
+    from review_topics.queries import topic_queries
+
+    plan = topic_queries.h1_distribution(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "document" not in plan and "regexp_extract" not in plan
+
+
 def test_outliers_move_and_others_stay(spark):
     before = spark.createDataFrame([(1, -1, 0.0), (2, -1, 0.0), (3, 2, 0.7), (4, -1, 0.0)], "doc_id long, topic_id int, probability double")
     soft = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.5), (3, 0, 0.9), (4, 3, 0.3)], "doc_id long, topic_id int, p double")
@@ -83,6 +116,28 @@ def test_ties_go_to_the_first_topic_and_missing_vectors_to_none(spark):
     assert rows == {1: (0, 1.0), 2: (0, 0.707107), 3: (None, 0.0), 4: (None, 0.0)}
 
 
+def test_twelve_thousand_topics_predict_like_one_product(spark):
+    from review_topics.plans import predict
+
+    rng = np.random.default_rng(12)
+    topics, docs = rng.integers(-3, 4, (12_000, 6)).astype(float), rng.normal(size=(300, 6))
+    docs[0], docs[1] = topics[11_999] * 2, 0
+    table = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(12_000), topics)], "topic_id int, vec array<double>")
+    vecs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(docs)] + [(300, None)], "doc_id long, vec array<double>")
+    none = table.limit(0)
+    got = {r["doc_id"]: (r["topic_id"], r["probability"]) for r in predict.predict_vectors(vecs, none, table, 0.5).collect()}
+    listed = sorted((r["topic_id"], r["vec"]) for r in table.collect())
+    matrix = np.array([v for _, v in listed])
+    unit = np.divide(matrix, np.linalg.norm(matrix, axis=1, keepdims=True), out=np.zeros_like(matrix), where=matrix.any(1, keepdims=True))
+    lengths = np.linalg.norm(docs, axis=1, keepdims=True)
+    scores = np.round(np.divide(docs, lengths, out=np.zeros_like(docs), where=lengths > 0) @ unit.T, 12)
+    best = scores.argmax(1)
+    want = {i: (listed[b][0], scores[i, b]) if round(scores[i, b], 6) >= 0.5 else (-1, 0.0) for i, b in enumerate(best)} | {300: (-1, 0.0)}
+    assert got.keys() == want.keys() and all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 1e-9 for i in want)
+    assigned = zeroshot.assign_zero_shot(vecs, none, 0.5, "topic_id").collect()
+    assert len(assigned) == 301 and {(r["topic_id"], r["similarity"]) for r in assigned} == {(None, 0.0)}
+
+
 def test_threshold_is_inclusive(spark):
     vecs = spark.createDataFrame([(1, [0.6, 0.8])], "doc_id long, vec array<double>")
     prototypes = spark.createDataFrame([(0, [1.0, 0.0])], "idx int, vec array<double>")
