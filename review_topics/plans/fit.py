@@ -139,7 +139,7 @@ def reduce_topics(model: TopicModel, docs: DataFrame, encoder, n: int) -> TopicM
 
     A merged topic keeps the smallest of its ids. Its centroid is the mean of the old ones weighted by their sizes.
     """
-    merges = stage(relations.merge_steps(relations.topic_similarity(model.ctfidf)), "merges")
+    merges = stage(relations.topic_tree(model.ctfidf), "merges")
     merged = broadcast_checked(stage(topics.merge_map(merges, model.topics, n), "merged"))
     weighted = model.centroids.join(model.topics.select("topic_id", F.col("size").cast("double").alias("size")), "topic_id")
     centroids = (

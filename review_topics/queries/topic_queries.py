@@ -499,13 +499,13 @@ ms AS (SELECT CAST(row_number() OVER (ORDER BY e) AS INT) AS step, l, r, distanc
        WHERE NOT EXISTS (SELECT 1 FROM mw WHERE mw.e = me.e AND mw.node = me.r))"""
 
 
-@query(f"WITH {_SIMILARITY} SELECT topic_a, topic_b, round(similarity, 6) AS similarity FROM sm")
+@query(f"WITH {_SIMILARITY} SELECT topic_a, topic_b, round(similarity, 6) AS similarity FROM sm WHERE similarity > 0")
 def g3_topic_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return relations.topic_similarity(C.source_weights(spark, sf)).withColumn("similarity", F.round("similarity", 6))
 
 
 def source_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return relations.merge_steps(relations.topic_similarity(C.source_weights(spark, sf)))
+    return relations.topic_tree(C.source_weights(spark, sf))
 
 
 @query(f"""WITH RECURSIVE {_MERGES} SELECT step, l AS "left", r AS "right", round(distance, 6) AS distance FROM ms""")
@@ -513,6 +513,28 @@ def g4_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     return source_merges(spark, sf).withColumn("distance", F.round("distance", 6))
 
 
+# What a merge joins: the last merge before it that holds its left end, and its right end, or the topic itself.
+_DENDROGRAM = f"""{_MERGES},
+nd AS (SELECT topic_id, count(*) AS n_docs FROM st GROUP BY topic_id),
+dr AS (SELECT step, 0 AS side, l AS reached FROM ms UNION ALL SELECT step, 1, r FROM ms
+       UNION SELECT dr.step, dr.side, CASE WHEN ms.l = dr.reached THEN ms.r ELSE ms.l END FROM dr JOIN ms ON ms.step < dr.step AND (ms.l = dr.reached OR ms.r = dr.reached)),
+dc AS (SELECT dr.step, side, coalesce((SELECT max(topic_id) FROM st) + max(ms.step), min(reached)) AS child
+       FROM dr LEFT JOIN ms ON ms.step < dr.step AND ms.l = dr.reached GROUP BY dr.step, side),
+ds AS (SELECT step, min(reached) AS topic_id, sum(n_docs) AS size FROM dr JOIN nd ON nd.topic_id = reached GROUP BY step)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_DENDROGRAM}, {_LABELS}, {_FIXED}, nm AS (SELECT gl.topic_id, coalesce(fx.label, gl.label) AS label FROM gl LEFT JOIN fx USING (topic_id))
+SELECT CAST((SELECT max(topic_id) FROM st) + step AS INT) AS node, CAST(least(a.child, b.child) AS INT) AS "left", CAST(greatest(a.child, b.child) AS INT) AS "right",
+       ds.topic_id, round(distance, 6) AS distance, CAST(size AS BIGINT) AS size, label
+FROM ms JOIN (SELECT * FROM dc WHERE side = 0) a USING (step) JOIN (SELECT * FROM dc WHERE side = 1) b USING (step) JOIN ds USING (step) LEFT JOIN nm ON nm.topic_id = ds.topic_id"""
+)
+def g4_dendrogram(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = C.source_topics(spark, sf).groupBy("topic_id").agg(F.count("*").alias("size"))
+    leaves = sizes.join(_names(spark, sf), "topic_id", "left")
+    return relations.dendrogram(source_merges(spark, sf), leaves).withColumn("distance", F.round("distance", 6))
+
+
 @query(
     f"""WITH RECURSIVE {_MERGES},
 kp AS (SELECT l, r FROM ms WHERE step <= (SELECT count(*) FROM sn) - 12),

@@ -223,3 +223,66 @@ def test_topics_are_numbered_in_order(spark):
     ids = {r["doc_id"]: (r["topic_id"], r["probability"]) for r in assigned.collect()}
     assert ids == {1: (0, 0.9), 0: (1, 0.9), 3: (2, 0.5), 4: (2, 0.5), 2: (3, 0.5), 5: (4, 0.5), 6: (-1, 0.0), 7: (-1, 0.0)}
     assert sum(r["size"] for r in table.collect()) == 8
+
+
+def sparse_topics(spark, n, seed=3, shared=0.6):
+    rng = random.Random(seed)
+    rows = [(t, f"w{rng.randrange(400)}" if rng.random() < shared else f"own{t}", rng.random() + 0.1) for t in range(-1, n) for _ in range(12)]
+    rows = list({r[:2]: r for r in rows}.values()) + [(n, "nobody else", 0.4), (n + 1, "nothing", 0.0)]
+    return spark.createDataFrame([(t, w, 1, 1, x) for t, w, x in rows], "topic_id int, term string, tf long, doc_freq long, weight double"), rows
+
+
+def cosines_of(rows):
+    by_topic = defaultdict(dict)
+    for topic, term, weight in rows:
+        if weight:
+            by_topic[topic][term] = weight
+    length = {t: math.sqrt(sum(x * x for x in row.values())) for t, row in by_topic.items()}
+    ids = sorted(by_topic)
+    return {(a, b): sum(x * by_topic[b].get(w, 0) for w, x in by_topic[a].items()) / (length[a] * length[b]) for i, a in enumerate(ids) for b in ids[i + 1 :]}
+
+
+def test_pairs_of_blocks_give_every_pair_and_its_tree(spark, monkeypatch):
+    from review_topics.operators import relations
+
+    monkeypatch.setattr(relations, "BLOCK_TOPICS", 16)
+    monkeypatch.setattr(relations, "PART_TERMS", 150)
+    monkeypatch.setattr(relations, "CHUNK_TERMS", 64)
+    weights, rows = sparse_topics(spark, 50)
+    want = cosines_of(rows)
+    for minimum in (0.0, 0.2):
+        got = {(r["topic_a"], r["topic_b"]): r["similarity"] for r in relations.topic_similarity(weights, minimum).collect()}
+        expected = {k for k, v in want.items() if v > 0 and round(v, 9) >= minimum}
+        assert got.keys() == expected and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    tree = [tuple(r) for r in relations.topic_tree(weights).orderBy("step").collect()]
+    parent = list(range(60))
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    merges = []
+    for d, a, b in sorted((round(1 - v, 9), a, b) for (a, b), v in want.items() if a >= 0):
+        if root(a) != root(b):
+            parent[root(a)] = root(b)
+            merges.append((a, b, d))
+    assert [t[1:3] for t in tree] == [m[:2] for m in merges] and all(abs(t[3] - m[2]) < 2e-9 for t, m in zip(tree, merges))
+    leaves = spark.createDataFrame([(t, t + 1, f"name{t}") for t in range(51)], "topic_id int, size long, label string")
+    nodes = relations.dendrogram(relations.topic_tree(weights), leaves).collect()
+    inside = {t: {t} for t in range(51)}
+    for r, (_, a, b, _) in zip(sorted(nodes, key=lambda r: r["node"]), tree):
+        assert a in inside[r["left"]] | inside[r["right"]] and b in inside[r["left"]] | inside[r["right"]] and r["left"] < r["right"]
+        inside[r["node"]] = inside.pop(r["left"]) | inside.pop(r["right"])
+        assert r["size"] == sum(t + 1 for t in inside[r["node"]]) and r["topic_id"] == min(inside[r["node"]]) and r["label"] == f"name{r['topic_id']}"
+    assert len(nodes) == 50 and [r["node"] for r in sorted(nodes, key=lambda r: r["node"])] == list(range(51, 101))
+
+
+def test_twelve_thousand_topics_have_a_tree(spark):
+    from review_topics.operators import relations
+
+    rng = np.random.default_rng(1)
+    rows = [(t, f"w{w}", 1, 1, float(x)) for t in range(12_000) for w, x in zip(rng.integers(0, 3000, 4), rng.random(4))]
+    weights = spark.createDataFrame(list({r[:2]: r for r in rows}.values()), "topic_id int, term string, tf long, doc_freq long, weight double")
+    tree = relations.topic_tree(weights).collect()
+    assert len(tree) == 11_999 and all(0 <= r["distance"] <= 1 for r in tree)
+    merged = topics.merge_map(spark.createDataFrame(tree, "step int, left int, right int, distance double"), spark.range(12_000).select(F.col("id").cast("int").alias("topic_id")), 40)
+    assert merged.select("merged_id").distinct().count() == 40
