@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_topics.llm import words
-from review_topics.session import stage
+from review_topics.session import broadcast_checked, stage
 
 CAPACITY = 2048
 END_ID = 0
+# Bases that are broadcast, one for each task and length; about 120 bytes each.
+MAX_BASES = 500_000
 # Beyond these characters, and where a special token is spelled out, the slower reference tokenizer is asked.
 _UNUSUAL = re.compile("[^\x00-ɏ‐-‧]|<\\|endoftext\\|>")
 
@@ -42,16 +44,18 @@ class Tokenizer:
     _fast: object = None
 
     def encode(self, text: str) -> list[int]:
+        if _UNUSUAL.search(text):
+            if self._exact is None:
+                from tokenizers import Tokenizer as Exact
+
+                self._exact = Exact.from_file(self.json_path)
+            return self._exact.encode(text, add_special_tokens=False).ids
         if self._fast is None:
             import tiktoken
-            from tokenizers import Tokenizer as Exact
 
             with open(self.ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
-            self._exact = Exact.from_file(self.json_path)
-        if _UNUSUAL.search(text):
-            return self._exact.encode(text, add_special_tokens=False).ids
         return self._fast.encode_ordinary(text)
 
 
@@ -150,22 +154,6 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, in
     return table, bins
 
 
-def _place(slots: np.ndarray):
-    keys = slots[:, 0] << 44 | slots[:, 1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length = np.asarray(batch.column("length")).astype(np.int64)
-            rank = np.asarray(batch.column("rank")).astype(np.int64)
-            slot = slots[np.searchsorted(keys, length << 44 | rank, "right") - 1]
-            within = rank - slot[:, 1]
-            kept = [c for c in batch.schema.names if c != "rank"]
-            new = [pa.array(slot[:, 2] + within // slot[:, 3]), pa.array(slot[:, 4] + within % slot[:, 3] * length)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names=[*kept, "sequence_id", "offset"])
-
-    return run
-
-
 def token_pieces(documents: DataFrame, tokenizer: Tokenizer, capacity: int = CAPACITY) -> DataFrame:
     """``(doc_id, piece, start, length, task, nth, ids)``, written once: ids of each document, an end id behind them.
 
@@ -179,16 +167,22 @@ def token_pieces(documents: DataFrame, tokenizer: Tokenizer, capacity: int = CAP
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` without ids, with ``sequence_id`` and ``offset``; ``(length, task, nth)`` leads back to the ids.
+    """``pieces`` with ``sequence_id`` and ``offset``; whatever other columns they have, such as ids, stay.
 
-    Only lengths pass the driver: one count for each of at most ``capacity`` lengths.
+    Only lengths pass the driver: one count for each of at most ``capacity`` lengths. A piece's rank is its number in its
+    task behind the pieces of that length of earlier tasks. These bases are one number for a task and length; up to
+    MAX_BASES of them go to every task, so that no piece moves, and more meet the pieces in a shuffled join.
     """
-    slim = pieces.drop("ids")
-    counts = slim.groupBy("length", "task").agg(F.count("*").alias("n"))
+    counts = stage(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "lengths")
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    histogram = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    bases = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots, _ = plan_slots(histogram, capacity)
-    ranked = slim.join(ranks, ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth")).drop("base")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != "rank")
-    return ranked.mapInArrow(_place(slots), f"{fields}, sequence_id long, offset long")
+    rows = pieces.sparkSession.createDataFrame(slots.tolist(), "length long, first long, bin long, each long, offset long")
+    by_length = rows.groupBy(F.col("length").cast("int").alias("length")).agg(F.sort_array(F.collect_list(F.struct("first", "bin", "each", "offset"))).alias("_slots"))
+    ranked = pieces.join(broadcast_checked(bases, MAX_BASES), ["length", "task"]).withColumn("_rank", F.col("_base") + F.col("nth"))
+    slot = F.element_at(F.filter("_slots", lambda s: s["first"] <= F.col("_rank")), -1)
+    placed = ranked.join(F.broadcast(by_length), "length").withColumn("_slot", slot).withColumn("_within", F.col("_rank") - F.col("_slot.first"))
+    sequence = F.col("_slot.bin") + F.floor(F.col("_within") / F.col("_slot.each"))
+    offset = F.col("_slot.offset") + F.col("_within") % F.col("_slot.each") * F.col("length")
+    return placed.select(*pieces.columns, sequence.alias("sequence_id"), offset.alias("offset"))

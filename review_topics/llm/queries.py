@@ -92,15 +92,15 @@ def _id_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("ids")
         flat, ends = np.asarray(ids.flatten()).astype("<u4"), np.concatenate(([0], np.cumsum(np.asarray(ids.value_lengths()))))
         digests = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("length", "task", "nth")), pa.array(digests, pa.int64())], names=["length", "task", "nth", "ids_crc32"])
+        kept = [c for c in batch.schema.names if c != "ids"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(digests, pa.int64())], names=[*kept, "ids_crc32"])
 
 
 @query
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf, "documents"), packing.byte_bpe_50k())
-    digests = pieces.select("length", "task", "nth", "ids").mapInArrow(_id_digests, "length int, task int, nth long, ids_crc32 long")
-    placed = packing.best_fit(pieces).join(digests, ["length", "task", "nth"])
-    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    placed = packing.best_fit(pieces).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "sequence_id", "offset", "ids")
+    return placed.mapInArrow(_id_digests, "doc_id long, piece int, start long, length long, sequence_id long, offset long, ids_crc32 long")
 
 
 @query
