@@ -223,17 +223,69 @@ def brute_phrases(train, text):
 
 
 def test_automaton_accepts_the_substrings():
-    rng = random.Random(2)
-    for _ in range(20):
-        line = [rng.randrange(3) for _ in range(40)]
-        table = cross_parsing.suffix_automaton(line, 3)
-        inside = {tuple(line[a:b]) for a in range(40) for b in range(a + 1, 41)}
-        for n in (1, 2, 3, 5):
-            for s in itertools.product(range(3), repeat=n):
-                state = 0
-                for c in s:
-                    state = table[state, c] if state >= 0 else -1
-                assert (state >= 0) == (s in inside)
+    rng = random.Random(8)
+    for _ in range(60):
+        size = rng.choice([3, 5, 900])
+        line = [rng.randrange(size) for _ in range(rng.randint(0, 90))]
+        own = cross_parsing.build_automaton(line, size)
+        inside = {tuple(line[i:j]) for i in range(len(line)) for j in range(i + 1, len(line) + 1)}
+        tries = [tuple(line[i : i + n]) for i in range(0, len(line), 3) for n in (1, 2, 4, 7)] + [tuple(rng.choices(line or [0], k=rng.randint(1, 6))) for _ in range(80)]
+        for word in filter(None, tries):
+            state, phrases = np.zeros(1, np.int64), 0
+            for c in word:
+                state, begins = own.step(state, np.array([c]))
+                phrases += int(begins[0])
+            assert (phrases == 1 and state[0] > 0) == (word in inside)
+
+
+def greedy_phrases(train, line):
+    count, at = 0, 0
+    while at < len(line):
+        end = at + 1
+        while end < len(line) and line[at : end + 1] in train:
+            end += 1
+        count, at = count + 1, end
+    return count
+
+
+@pytest.mark.parametrize("segment", [3, 16, 256])
+def test_borders_of_segments_change_nothing(monkeypatch, segment):
+    monkeypatch.setattr(cross_parsing, "SEGMENT", segment)
+    rng = random.Random(segment)
+    word = lambda: "".join(rng.choices("abcde", k=rng.randint(1, 6)))
+    train = " ".join(word() for _ in range(300))
+    model = cross_parsing.fit_model({"x": [train], "y": [" ".join(word() for _ in range(40))]})
+    texts = [train[9:1100], " ".join(word() for _ in range(700)), "", None, train[:5] * 300, "q" * 700, train[3:500] + "zz" + train[40:900], "a"]
+    texts += ["".join(rng.choices("ab ", k=rng.randint(0, 90))).strip() for _ in range(60)]
+    bits, _ = cross_parsing.entropies(model, pa.array(texts))
+    for text, row in zip(texts, bits):
+        line = re.sub(" +", " ", text or "").lstrip()
+        assert row[0] * max(1, len(line)) == pytest.approx(greedy_phrases(" " + train, line) * np.log2(len(" " + train) + 2))
+
+
+def test_as_many_languages_and_letters_as_there_are(spark):
+    rng = random.Random(1)
+    letters = [chr(c) for c in (*range(0x4E00, 0x5A00), *range(0x32000 - 4, 0x32010), *range(0x400, 0x4FF)) if chr(c).isalpha()]
+    assert len(letters) > 3_000 and max(letters) >= chr(0x31FFF)
+    rows = []
+    for k in range(300):
+        own = rng.sample(letters, 60)
+        rows += [(1000 * k + i, "".join(rng.choices(own, k=40)), f"l{k:03}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = cross_parsing.train(docs)
+    assert len(model.languages) == 300 and len(model.blocks) == 10
+    assert sum(own.base.nbytes + own.owner.nbytes + own.target.nbytes + own.first.nbytes for block in model.blocks for own in block) < 300 * 200_000
+    asked = spark.createDataFrame([(1000 * k, rows[4 * k + 2][1][5:30]) for k in range(0, 300, 7)] + [(-1, "𲀀"), (-2, "12")], "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in cross_parsing.identify(asked, model).collect()}
+    assert all(found[1000 * k] == f"l{k:03}" for k in range(0, 300, 7))
+    assert found[-2] == "und" and (found[-1] == "und") == (not "𲀀".isalpha())
+
+
+def test_every_chosen_text_is_learnt_from(spark):
+    letters = [chr(0x4E00 + i) for i in range(60)]
+    docs = spark.createDataFrame([(i, letters[i] * 5000, "x") for i in range(48)] * 3, "doc_id long, text string, lang string")
+    model = cross_parsing.train(docs)
+    assert len(model.alphabet) == 48 and model.blocks[0][0].trained == 48 * (cross_parsing.TRAIN_CHARS // cross_parsing.TRAIN_TEXTS)
 
 
 def test_phrases_match_brute_force():
