@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_topics.llm import cross_parsing, decontaminate, ngram_jaccard, packing, pii
-from review_topics.session import local_scratch, stage
+from review_topics.session import local_scratch, stage, temporary_stages, unstage
 
 # More bits a character than this is not running text of a known language: phrases of under two characters.
 MAX_BITS = 7.0
@@ -26,12 +26,12 @@ def _with_scratch(function: Callable[[SparkSession, DataFrame, str], DataFrame])
     return run_stage
 
 
-def _with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a key of their own, written so that it stays, and the key's name: doc_ids may repeat or be missing."""
-    key = "_row"
+def _with_key(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
+    """The rows with a 64-bit key made of ``columns``, which needs no copy of them to stay the same; and the key's name."""
+    key = "_key"
     while key in (name.lower() for name in docs.columns):
         key += "_"
-    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+    return docs.withColumn(key, F.xxhash64(*columns)), key
 
 
 @_with_scratch
@@ -46,20 +46,32 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_with_scratch
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, of those with the smallest doc_id, of each group of near duplicates; rows without doc_id count as the last."""
-    rows, key = _with_row_key(docs)
-    groups = ngram_jaccard.jaccard_links(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "class_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first")
-    kept = rows.select(key, "doc_id").join(groups, key).groupBy("class_id").agg(first).select(f"first.{key}")
-    return rows.join(kept, key, "left_semi").select(docs.columns)
+    """One row, of those with the smallest doc_id, of each group of near duplicates; rows without doc_id count as the last.
+
+    Rows alike in doc_id and text are one document of the join; where such a document is the one that stays, one of its rows
+    does. The document's key has 64 bits: among 10 billion documents about three pairs of strangers share one and go or
+    stay together.
+    """
+    rows, key = _with_key(docs, "doc_id", "text")
+    with temporary_stages() as keep:
+        links = ngram_jaccard.jaccard_links(rows.select(F.col(key).alias("doc_id"), "text"))
+        groups = links.groupBy(F.col("doc_id").alias(key)).agg(F.min("class_id").alias("class_id"))
+        own = rows.groupBy(key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key, "n")).alias("first")
+        kept = keep(stage(own.join(groups, key).groupBy("class_id").agg(first).select(f"first.{key}", "first.n"), "kept"))
+    alone = rows.join(kept.where("n = 1"), key, "left_semi")
+    repeated = rows.join(kept.where("n > 1"), key, "left_semi")
+    return alone.unionByName(repeated.dropDuplicates([key, "doc_id", "text"])).select(docs.columns)
 
 
 @_with_scratch
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark, row by row: also those without doc_id or with another's."""
-    rows, key = _with_row_key(docs)
-    hits = decontaminate.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return rows.join(hits.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(docs.columns)
+    """Documents that hold no passage of the benchmark, by their text alone: also those without doc_id or with another's."""
+    rows, key = _with_key(docs, "text")
+    with temporary_stages() as keep:
+        hits = decontaminate.contaminated(rows.select(F.col(key).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+        found = keep(stage(hits.select(F.col("doc_id").alias(key)).distinct(), "hits"))
+    return rows.join(found, key, "left_anti").select(docs.columns)
 
 
 @_with_scratch
@@ -72,8 +84,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with the sequence each goes to and its place there."""
     pieces = packing.token_pieces(docs, packing.byte_bpe_50k())
-    placed = packing.best_fit(pieces).join(pieces.select("length", "task", "nth", "ids"), ["length", "task", "nth"])
-    return placed.select("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
+    return packing.best_fit(pieces).select("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
 
 
 STAGES = [
@@ -91,5 +102,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     local_scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        with temporary_stages() as keep:
+            done = keep(stage(function(spark, docs, sf_dir), name))
+        if hasattr(docs, "_staged_at"):
+            unstage(docs)
+        docs = done
     return docs
