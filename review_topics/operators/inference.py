@@ -20,6 +20,8 @@ from review_topics.session import path_exists, scratch_path, stage, unstage
 
 # Requests of one slice: what a run that was cut off may have to ask again.
 SLICE_ROWS = 10_000
+# Share of limited calls from which fewer are sent.
+LIMITED_SHARE = 0.1
 
 
 class RateLimited(Exception):
@@ -81,6 +83,13 @@ def infer(
     return requests.select("id", "request").repartition(max_in_flight // calls_per_task).mapInPandas(call, schema)
 
 
+def next_window(window: int, asked: int, limited: int, most: int, step: int = 1) -> int:
+    """Calls to keep in flight next: half of the window where more than LIMITED_SHARE of its calls were limited, else ``step`` more."""
+    if asked and limited > LIMITED_SHARE * asked:
+        return max(1, window // 2)
+    return min(most, window + step)
+
+
 def infer_with_retries(
     requests: DataFrame,
     provider: Provider,
@@ -97,6 +106,10 @@ def infer_with_retries(
     follow each other, so the number of tasks grows with the data while the calls in flight stay bounded. Every attempt
     of a slice is committed to a folder of its own before anything reads it, because a model call is neither free nor
     repeatable: a run that was cut off is started again with the same ledger and repeats one attempt of one slice.
+
+    The calls in flight follow the provider's limit: they start at ``max_in_flight``, and what share of a committed attempt was
+    limited decides about the next one (next_window). They never pass ``max_in_flight``, in as many tasks as ``calls_per_task``
+    allows.
     """
     spark = requests.sparkSession
     ledger = ledger or scratch_path(spark, "ledger")
@@ -117,6 +130,7 @@ def infer_with_retries(
     numbered = wanted.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
     numbered.repartition(slices, "slice").write.partitionBy("slice").parquet(sliced)
     unstage(wanted)
+    window = max_in_flight
     for part in range(slices):
         folder = f"{sliced}/slice={part}"
         if not path_exists(spark, folder):
@@ -128,7 +142,11 @@ def infer_with_retries(
             if again is not None:
                 due = due.unionByName(own.join(again, "id", "left_semi"))
             path = f"{ledger}/round={uuid.uuid4().hex}"
-            infer(due, provider, attempt, max_in_flight, backoff, calls_per_task).write.parquet(path)
+            infer(due, provider, attempt, window, backoff, min(calls_per_task, window)).write.parquet(path)
+            asked, limited = read(path).agg(F.count("*"), F.count_if(F.col("status") == "rate_limited")).first()
+            if not asked:
+                break
+            window = next_window(window, asked, limited, max_in_flight, calls_per_task)
             again = read(path).where("status = 'rate_limited'").select("id")
     return read(ledger)
 

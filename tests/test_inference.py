@@ -87,6 +87,42 @@ def test_calls_in_flight_stay_bounded_while_slices_grow(spark, tmp_path):
     assert len(with_replies) >= 6
 
 
+def test_windows_halve_and_grow():
+    assert [inference.next_window(8, 100, n, 8) for n in (0, 10, 11, 100)] == [8, 8, 4, 4]
+    assert inference.next_window(1, 5, 5, 8) == 1 and inference.next_window(3, 5, 0, 8, 2) == 5 and inference.next_window(7, 5, 0, 8, 2) == 8
+    assert inference.next_window(4, 0, 0, 8) == 5
+
+
+class Falling:
+    """Takes as many calls at a time as a file says, lowers that to 2 after 40 calls, and notes how many it saw at once."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def complete(self, request_id, request, attempt):
+        own = os.path.join(self.folder, f"open-{os.urandom(8).hex()}")
+        open(own, "w").close()
+        names = os.listdir(self.folder)
+        at_once = sum(n.startswith("open-") for n in names)
+        open(os.path.join(self.folder, f"seen-{at_once}-{os.urandom(8).hex()}"), "w").close()
+        time.sleep(0.02)
+        os.remove(own)
+        if at_once > (8 if sum(n.startswith("seen-") for n in names) < 40 else 2):
+            raise inference.RateLimited()
+        return ["{}"], None
+
+
+def test_calls_follow_a_falling_limit(spark, tmp_path, monkeypatch):
+    windows = []
+    infer = inference.infer
+    monkeypatch.setattr(inference, "infer", lambda due, provider, attempt, most, *rest: windows.append(most) or infer(due, provider, attempt, most, *rest))
+    out = inference.infer_with_retries(requests(spark, 200), Falling(str(tmp_path)), attempts=4, max_in_flight=8, backoff=None, slice_rows=25)
+    seen = [int(n.split("-")[1]) for n in os.listdir(tmp_path) if n.startswith("seen-")]
+    assert max(seen) <= 8 and max(windows) == windows[0] == 8 and min(windows) <= 2
+    last = [r["status"] for r in inference.latest_replies(out).collect()]
+    assert len(last) == 200 and last.count("ok") > 150
+
+
 def test_later_attempts_wait_once_a_task(spark, tmp_path):
     began = time.time()
     inference.infer(requests(spark, 60), Flaky(str(tmp_path)), attempt=2, max_in_flight=3, backoff=(0.5, 0.6)).collect()
