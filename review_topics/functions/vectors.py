@@ -38,7 +38,7 @@ def _lists(matrix: np.ndarray, known: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(~known))
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; a row of zeros stays zero."""
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 1e-12)
@@ -51,7 +51,7 @@ def centred(vec: Column, mean: np.ndarray) -> Column:
     def shift(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
             rows, known = _matrix(vectors, len(mean))
-            yield _lists(_unit(rows - mean), known)
+            yield _lists(unit_rows(rows - mean), known)
 
     return shift(vec)
 
@@ -77,7 +77,7 @@ def vector_tiles(vecs: DataFrame, id_col: str) -> list[Broadcast]:
     tiles = []
     while held := list(islice(rows, TILE_VECTORS)):
         ids, matrix = np.array([r[id_col] for r in held], np.int64), np.array([r["vec"] for r in held], float)
-        tiles.append(vecs.sparkSession.sparkContext.broadcast((ids, _unit(matrix))))
+        tiles.append(vecs.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix))))
     return tiles
 
 
@@ -96,7 +96,7 @@ def best_match(vec: Column, tiles: list[Broadcast]) -> Column:
             best, score = np.zeros(n, np.int64), np.full(n, -np.inf)
             for tile in tiles:
                 ids, topics = tile.value
-                rows = _unit(_matrix(vectors, topics.shape[1])[0])
+                rows = unit_rows(_matrix(vectors, topics.shape[1])[0])
                 for low in range(0, n, BLOCK_ROWS):
                     block = slice(low, low + BLOCK_ROWS)
                     scores = np.round(rows[block] @ topics.T, 12)

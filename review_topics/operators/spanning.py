@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_topics import session
 from review_topics.operators.components import components
-from review_topics.session import cut_lineage, hot_lookup, stage_counted, unstage
+from review_topics.session import cut_lineage, hot_lookup, stage_counted, stage_observed, unstage
+
+# Links that one task takes in order.
+LOCAL_LINKS = 200_000
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of links in order those whose ends no earlier one joins."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    for batch in batches:
+        kept = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            kept.append(a != b)
+            parent[a] = b
+        yield batch.filter(pa.array(kept, pa.bool_()))
 
 
 def spanning_forest(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -18,18 +41,22 @@ def spanning_forest(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     Of equal weights the link with the smaller ends comes first, so there is one such forest. Every round each group takes
     its lightest link to another group, found by a partial minimum in every task; groups that took links to each other
     merge, links within a group go, and of several between two groups the lightest stays. Groups at least halve in a
-    round. The group that owns most links is split off by ``hot_lookup``.
+    round. The group that owns most links is split off by ``hot_lookup``. The last LOCAL_LINKS links are taken in order by
+    one task. Nodes are whole numbers.
     """
     ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
     lightest = links.where(F.col("u") != F.col("v")).groupBy(*ends).agg(F.min("w").alias("w"))
-    current = cut_lineage(lightest.select("a", "b", F.struct("w", F.col("a").alias("u"), F.col("b").alias("v")).alias("edge")))
+    first = lightest.select("a", "b", F.struct("w", F.col("a").alias("u"), F.col("b").alias("v")).alias("edge"))
+    current, left = stage_observed(first, "step", links=F.count(F.lit(1)))
     taken: list[DataFrame] = []
     for _ in range(max_rounds):
+        if left["links"] <= LOCAL_LINKS:
+            last = current.repartition(1).sortWithinPartitions("edge").mapInArrow(_in_order, current.schema)
+            taken.append(cut_lineage(last.select("edge", "a", "b")))
+            unstage(current)
+            break
         around = current.select(F.explode(F.array("a", "b")).alias("node"), F.struct("edge", "a", "b").alias("first"))
         nearest, seen = stage_counted(around.groupBy("node").agg(F.min("first").alias("first"), F.count("*").alias("matches")), "matches")
-        if not seen["total"]:
-            unstage(current, nearest)
-            break
         picked = cut_lineage(nearest.select("first.*").distinct())
         taken.append(picked)
         merged = components(picked.select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -39,13 +66,10 @@ def spanning_forest(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         moved = hot_lookup(moved, to.select(F.col("node").alias("b"), F.col("component").alias("to_b"), "matches"), ["b"], "matches", seen)
         across = moved.where(F.col("to_a") != F.col("to_b"))
         following = across.groupBy(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).agg(F.min("edge").alias("edge"))
-        following = cut_lineage(following)
-        unstage(current, nearest)
-        current = following
+        unused, (current, left) = current, stage_observed(following, "step", links=F.count(F.lit(1)))
+        unstage(unused, nearest)
     else:
         raise RuntimeError(f"the forest did not settle in {max_rounds} rounds")
-    if not taken:
-        return links.select("u", "v", "w").limit(0)
     forest = cut_lineage(reduce(DataFrame.unionByName, taken).select("edge.u", "edge.v", "edge.w"))
     unstage(*taken)
     return forest

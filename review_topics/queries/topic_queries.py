@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.functions import vectors as X
-from review_topics.operators import density, distribution, embedding, neighbours, reduction, relations, represent, spanning, terms, topics, zeroshot
+from review_topics.operators import density, distribution, document_neighbours, embedding, neighbours, reduction, relations, represent, spanning, terms, topics, zeroshot
 from review_topics.operators.components import components
 from review_topics.plans import fit, predict
 from review_topics.plans.model import FitParams
@@ -38,9 +38,30 @@ def f2_ctfidf(spark: SparkSession, sf: str) -> DataFrame:
     return terms.top_terms(C.source_weights(spark, sf), 10).withColumn("weight", F.round("weight", 9))
 
 
-@query()
+# Candidates' letter trigrams as hashed vectors, their likeness, and one more chosen term a step.
+_MMR = rf"""{SOURCE_RANKED},
+mc AS (SELECT topic_id, CAST(rank AS INT) AS place, term, weight, weight / max(weight) OVER (PARTITION BY topic_id) AS relevance FROM rk WHERE rank <= {represent.CANDIDATES}),
+mg AS (SELECT DISTINCT term, '_' || term || '_' AS padded FROM mc),
+mk AS (SELECT term, unnest(regexp_extract_all(lower(array_to_string(list_transform(range(1, greatest(len(padded) - 2, 1) + 1), lambda i: substr(padded, i, 3)), ' ')), '[\p{{L}}\p{{N}}_]{{2,}}')) AS g FROM mg),
+mf AS (SELECT term, g, count(*) AS tf FROM mk GROUP BY ALL),
+mb AS (SELECT term, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % 256 AS b, sum(1 + ln(tf)) AS w FROM mf GROUP BY ALL),
+mv AS (SELECT term, b, w / sqrt(sum(w * w) OVER (PARTITION BY term)) AS w FROM mb),
+mp AS (SELECT x.topic_id, x.place AS a, y.place AS b, sum(p.w * q.w) AS s FROM mc x JOIN mc y USING (topic_id) JOIN mv p ON p.term = x.term JOIN mv q ON q.term = y.term AND q.b = p.b GROUP BY ALL),
+ml AS (SELECT x.topic_id, x.place AS a, y.place AS b, round(coalesce(s, 0), 9) AS s FROM mc x JOIN mc y USING (topic_id) LEFT JOIN mp ON mp.topic_id = x.topic_id AND mp.a = x.place AND mp.b = y.place),
+mr AS (SELECT topic_id, 1 AS step, [place] AS chosen FROM mc WHERE place = 1
+       UNION ALL SELECT topic_id, step + 1, list_append(chosen, place) FROM (
+         SELECT r.topic_id, r.step, r.chosen, c.place, row_number() OVER (PARTITION BY r.topic_id
+                ORDER BY round((1 - CAST({V.MMR_DIVERSITY} AS DOUBLE)) * c.relevance - CAST({V.MMR_DIVERSITY} AS DOUBLE) * max(l.s), 9) DESC, c.place) AS best
+         FROM mr r JOIN mc c ON c.topic_id = r.topic_id AND NOT list_contains(r.chosen, c.place)
+         JOIN ml l ON l.topic_id = c.topic_id AND l.a = c.place AND list_contains(r.chosen, l.b)
+         WHERE r.step < 10 GROUP BY r.topic_id, r.step, r.chosen, c.place, c.relevance) WHERE best = 1),
+mo AS (SELECT topic_id, unnest(chosen) AS place, generate_subscripts(chosen, 1) AS rank FROM mr QUALIFY step = max(step) OVER (PARTITION BY topic_id)),
+dv AS (SELECT topic_id, CAST(mo.rank AS INT) AS rank, term, weight FROM mo JOIN mc USING (topic_id, place))"""
+
+
+@query(f"WITH RECURSIVE {_MMR} SELECT topic_id, 'MMR' AS aspect, rank, term, round(weight, 9) AS weight FROM dv")
 def f3_mmr(spark: SparkSession, sf: str) -> DataFrame:
-    return represent.mmr(source_candidates(spark, sf), C.ENCODER)
+    return represent.mmr(source_candidates(spark, sf), C.ENCODER).withColumn("weight", F.round("weight", 9))
 
 
 _REPRESENTATIVE = """
@@ -118,7 +139,21 @@ def f9_count(spark: SparkSession, sf: str) -> DataFrame:
     return C.documents(spark, sf).agg(F.count("*").alias("n_docs"), F.countDistinct("source").alias("n_topics"))
 
 
-@query()
+_PROMPT_HEAD, _PROMPT_REST = V.LABEL_PROMPT.split("[DOCUMENTS]")
+_PROMPT_MIDDLE, _PROMPT_TAIL = _PROMPT_REST.split("[KEYWORDS]")
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(
+    f"""WITH RECURSIVE {_MMR}, {_REPRESENTATIVE},
+kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS words FROM dv GROUP BY topic_id),
+dl AS (SELECT topic_id, string_agg('- ' || text, chr(10) ORDER BY rank) AS docs FROM rd JOIN documents USING (doc_id) WHERE rank <= 5 GROUP BY topic_id)
+SELECT topic_id, 'Diverse' AS aspect, rank, term, round(weight, 9) AS weight FROM dv UNION ALL
+SELECT topic_id, 'AI_Generated', 1, md5({_sql_text(_PROMPT_HEAD)} || docs || {_sql_text(_PROMPT_MIDDLE)} || words || {_sql_text(_PROMPT_TAIL)}), 1.0 FROM kw JOIN dl USING (topic_id)"""
+)
 def f10_aspect_chain(spark: SparkSession, sf: str) -> DataFrame:
     start = source_candidates(spark, sf)
     chosen = source_representative(spark, sf)
@@ -131,7 +166,7 @@ def f10_aspect_chain(spark: SparkSession, sf: str) -> DataFrame:
         start,
         {"Diverse": [lambda t: represent.mmr(t, C.ENCODER)], "AI_Generated": [lambda t: represent.mmr(t, C.ENCODER), label]},
     )
-    return rows.where(F.col("aspect") != "Main")
+    return rows.where(F.col("aspect") != "Main").withColumn("weight", F.round("weight", 9))
 
 
 @query(f"WITH {SOURCE_RANKED} SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS words FROM rk WHERE rank <= 10 GROUP BY topic_id")
@@ -332,6 +367,19 @@ def e4_neighbour_graph(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.knn_edges(grid_edges(spark, sf), 15)
 
 
+@query(
+    f"""WITH {C.CENTRED},
+vl AS (SELECT doc_id, list(x ORDER BY b) AS v, md5(string_agg(CAST(round(x, 9) + 0.0 AS VARCHAR), ',' ORDER BY b)) AS k FROM cv GROUP BY doc_id),
+vr AS (SELECT min(doc_id) AS doc_id, count(*) AS weight, arg_min(v, doc_id) AS v FROM vl GROUP BY k),
+vs AS (SELECT a.doc_id AS src, b.doc_id AS dst, b.weight, round(list_inner_product(a.v, b.v), 9) AS similarity FROM vr a JOIN vr b ON a.doc_id <> b.doc_id)
+SELECT src, CAST(row_number() OVER (PARTITION BY src ORDER BY similarity DESC, dst) AS INT) AS rank, dst, round(similarity, 6) AS similarity, weight
+FROM vs QUALIFY rank <= 5"""
+)
+def e4_document_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest documents by their whole vectors; with as many documents as SQL compares pair by pair, one cell holds them."""
+    return document_neighbours.document_neighbours(C.centred_vectors(spark, sf), 5).withColumn("similarity", F.round("similarity", 6))
+
+
 def dense_cells(spark: SparkSession, sf: str) -> DataFrame:
     return density.cluster_density(grid_cells(spark, sf), grid_edges(spark, sf), MIN_PTS, REACH2, MIN_SIZE)
 
@@ -524,7 +572,7 @@ ds AS (SELECT step, min(reached) AS topic_id, sum(n_docs) AS size FROM dr JOIN n
 
 
 @query(
-    f"""WITH RECURSIVE {_DENDROGRAM}, {_LABELS}, {_FIXED}, nm AS (SELECT gl.topic_id, coalesce(fx.label, gl.label) AS label FROM gl LEFT JOIN fx USING (topic_id))
+    f"""WITH RECURSIVE {_DENDROGRAM}, {C.RANKED}, {_LABELS}, {_FIXED}, nm AS (SELECT gl.topic_id, coalesce(fx.label, gl.label) AS label FROM gl LEFT JOIN fx USING (topic_id))
 SELECT CAST((SELECT max(topic_id) FROM st) + step AS INT) AS node, CAST(least(a.child, b.child) AS INT) AS "left", CAST(greatest(a.child, b.child) AS INT) AS "right",
        ds.topic_id, round(distance, 6) AS distance, CAST(size AS BIGINT) AS size, label
 FROM ms JOIN (SELECT * FROM dc WHERE side = 0) a USING (step) JOIN (SELECT * FROM dc WHERE side = 1) b USING (step) JOIN ds USING (step) LEFT JOIN nm ON nm.topic_id = ds.topic_id"""
@@ -650,7 +698,7 @@ def e11_reduce_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return _reassign(spark, sf).withColumn("probability", F.round("probability", 6))
 
 
-@query(
+_UPDATED = (
     f"""WITH {_REASSIGNED},
 ut AS (SELECT topic_id, term, sum(tf) AS tf FROM dt JOIN na USING (doc_id) GROUP BY topic_id, term),
 ul AS (SELECT topic_id, sum(tf) AS topic_tf FROM ut GROUP BY topic_id),
@@ -659,11 +707,22 @@ uw AS (SELECT topic_id, term, tf / topic_tf * ln(1 + (SELECT avg(topic_tf) FROM
 ur AS (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(weight, 9) DESC, term) AS rank FROM uw)
 SELECT topic_id, 'Main' AS aspect, CAST(rank AS INT) AS rank, term, round(weight, 9) AS weight FROM ur WHERE rank <= 10"""
 )
+
+
+@query(_UPDATED)
 def e12_update_topics(spark: SparkSession, sf: str) -> DataFrame:
     weights = terms.ctfidf(terms.topic_terms(C.term_lists(spark, sf), reassigned(spark, sf)))
     return terms.top_terms(weights, 10).withColumn("weight", F.round("weight", 9))
 
 
+@query(_UPDATED)
+def e12_update_by_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the earlier counts and the documents that moved."""
+    counts = C.language_weights(spark, sf).drop("weight")
+    changed = terms.moved_terms(counts, C.term_lists(spark, sf), C.language_topics(spark, sf), reassigned(spark, sf))
+    return terms.top_terms(terms.ctfidf(changed), 10).withColumn("weight", F.round("weight", 9))
+
+
 # ------------------------------------------------------------------------------------------------ whole models
 @query(
     f"""WITH {C.CENTRED}, {C.PROTOTYPES}, {C.SOURCE_TOPICS},
@@ -690,14 +749,6 @@ def e13_predict(spark: SparkSession, sf: str) -> DataFrame:
     return predict.predict_vectors(vecs, predefined, others, C.SCALE, 0.1).withColumn("probability", F.round("probability", 6))
 
 
-_PROMPT_HEAD, _PROMPT_REST = V.LABEL_PROMPT.split("[DOCUMENTS]")
-_PROMPT_MIDDLE, _PROMPT_TAIL = _PROMPT_REST.split("[KEYWORDS]")
-
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 _PROMPTS = f"""{SOURCE_RANKED}, {_REPRESENTATIVE},
 kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS words FROM rk WHERE rank <= 10 GROUP BY topic_id),
 dl AS (SELECT topic_id, string_agg('- ' || text, chr(10) ORDER BY rank) AS docs FROM rd JOIN documents USING (doc_id) WHERE rank <= 5 GROUP BY topic_id),

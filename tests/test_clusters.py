@@ -2,12 +2,13 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from review_topics import session
 from review_topics.operators import components as CC
-from review_topics.operators import density, neighbours, spanning
+from review_topics.operators import density, document_neighbours, neighbours, spanning
 from review_topics.plans import fit
 from review_topics.plans.model import FitParams
 from review_topics.queries import common
@@ -138,9 +139,10 @@ def brute_forest(links):
     return kept
 
 
-@pytest.mark.parametrize("name, hot", [("random", 1000), ("ties", 1000), ("hub", 4), ("chain", 1000), ("none", 1000)])
-def test_spanning_forest_is_that_of_sorted_links(spark, monkeypatch, name, hot):
+@pytest.mark.parametrize("name, hot, local", [("random", 1000, 0), ("ties", 1000, 30), ("ties", 1000, 10**6), ("hub", 4, 0), ("chain", 1000, 9), ("none", 1000, 10)])
+def test_spanning_forest_is_that_of_sorted_links(spark, monkeypatch, name, hot, local):
     monkeypatch.setattr(session, "HOT_SHARE", hot)
+    monkeypatch.setattr(spanning, "LOCAL_LINKS", local)
     rng = random.Random(len(name))
     links = {
         "random": [(rng.randrange(60), rng.randrange(60), rng.randrange(30)) for _ in range(240)],
@@ -157,7 +159,7 @@ def test_cut_forest_gives_the_flat_clusters_of_every_distance(spark):
     rows = random_cells(4, n=200)
     _, cells, edges = graph_of(spark, rows, 4)
     _, nodes, forest = density.reach_forest(cells, edges, 6, 4)
-    for level in (0, 2, 3, 4):
+    for level in (1, 4):
         cut = {r["node"]: r["component"] for r in spanning.cut_forest(nodes, forest, level).collect()}
         flat = density.cluster_density(cells, edges.where(F.col("d2") <= level), 6, level, 1).where("cluster is not null")
         assert cut == {r["cell_id"]: r["cluster"] for r in flat.collect()}
@@ -279,3 +281,43 @@ def test_default_clusters_are_the_languages_at_any_size(spark, size):
     large = [c for c in clusters.values() if sum(c.values()) >= 30]
     assert len(large) >= 4 and {c.most_common(1)[0][0] for c in large} == {"en", "fr", "de", "es"}
     assert all(c.most_common(1)[0][1] >= 0.95 * sum(c.values()) for c in large)
+
+
+def exact_neighbours(rows, k):
+    """``{src: [dst, ...]}`` over different vectors, by full comparison."""
+    ids, matrix = zip(*sorted(rows.items()))
+    matrix = np.array(matrix)
+    scores = np.round(matrix @ matrix.T, 9)
+    np.fill_diagonal(scores, -np.inf)
+    return {i: [ids[j] for j in np.lexsort((ids, -scores[r]))[:k]] for r, i in enumerate(ids)}
+
+
+@pytest.mark.parametrize("cell_rows", [64, 1024])
+def test_document_neighbours_reach_the_recall(spark, cell_rows):
+    vecs = common.centred_vectors(spark, "/root/testdata/sf0.01")
+    out = document_neighbours.document_neighbours(vecs, 10, cell_rows).collect()
+    rows, members = document_neighbours.fold_copies(vecs)
+    want = exact_neighbours({r["doc_id"]: r["vec"] for r in rows.collect()}, 10)
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: (r["src"], r["rank"])):
+        got[r["src"]].append(r["dst"])
+    recall = sum(len({*got[i]} & {*w}) for i, w in want.items()) / sum(map(len, want.values()))
+    assert recall >= 0.95 and (cell_rows < 1000 or got == want)
+    assert members.groupBy("leader").count().count() == len(want)
+
+
+def test_copies_are_folded_and_crowded_cells_split(spark):
+    rng = np.random.default_rng(2)
+    crowd = rng.normal(size=(1, 8)) + 0.05 * rng.normal(size=(900, 8))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(crowd)] + [(5000 + i, [1.0] * 8) for i in range(400)] + [(9000, None)]
+    vecs = spark.createDataFrame(rows, "doc_id long, vec array<double>")
+    out = document_neighbours.document_neighbours(vecs, 5, cell_rows=32).collect()
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows[:901]}
+    want = exact_neighbours(unit, 5)
+    got = defaultdict(set)
+    for r in out:
+        got[r["src"]].add(r["dst"])
+        assert (r["weight"] == 400) == (r["dst"] == 5000)
+    assert got.keys() == want.keys()
+    assert sum(len(got[i] & {*w}) for i, w in want.items()) / (5 * len(want)) > 0.5
+    assert document_neighbours.document_neighbours(vecs.limit(0), 5).count() == 0
