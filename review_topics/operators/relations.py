@@ -163,8 +163,7 @@ def topic_tree(weights: DataFrame) -> DataFrame:
         u, v, w = local_tree(a, b, np.round(1 - cosines, 9))
         return pa.table({"u": pa.array(u.astype(np.int32)), "v": pa.array(v.astype(np.int32)), "w": pa.array(w)})
 
-    links = _block_products(weights.where(F.col("topic_id") >= 0), forest, "u int, v int, w double")
-    tree = spanning_forest(links)
+    tree = spanning_forest(_block_products(weights.where(F.col("topic_id") >= 0), forest, "u int, v int, w double"))
     step = F.row_number().over(Window.orderBy("w", "u", "v"))
     return tree.select(step.alias("step"), F.col("u").alias("left"), F.col("v").alias("right"), F.col("w").alias("distance"))
 

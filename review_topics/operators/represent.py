@@ -26,8 +26,10 @@ def representative_docs(
 
     ``lists`` holds the documents' term counts; a word that a large topic uses everywhere is a hot key of the join.
     """
-    placed = lists.join(assignments.select("doc_id", "topic_id"), "doc_id").select("doc_id", "topic_id", F.inline("terms"))
-    pairs = hot_lookup(placed, weights.select("topic_id", "term", "weight", "doc_freq"), ["topic_id", "term"], "doc_freq")
+    topics = broadcast_checked(assignments.select("doc_id", "topic_id"), terms.MAX_BROADCAST)
+    placed = lists.join(topics, "doc_id").select("doc_id", "topic_id", F.inline("terms"))
+    known = weights.agg(F.max("doc_freq").alias("most"), F.sum("doc_freq").alias("total")).first().asDict()
+    pairs = hot_lookup(placed, weights.select("topic_id", "term", "weight", "doc_freq"), ["topic_id", "term"], "doc_freq", known)
     sums = pairs.groupBy("doc_id", "topic_id").agg(
         F.sum(F.col("tf") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("doc_norm")
     )

@@ -9,16 +9,19 @@ from review_topics.session import broadcast_checked, stage
 
 # Scores are compared at this many places, then by name, so that equal scores rank the same everywhere.
 PLACES = 9
+# Documents whose topics are broadcast, about 20 MB.
+MAX_BROADCAST = 1_000_000
 
 
 def topic_terms(lists: DataFrame, assignments: DataFrame) -> DataFrame:
     """``(topic_id, term, tf, doc_freq)`` from the documents' term lists and ``(doc_id, topic_id)``.
 
-    Each task adds up its own documents before the shuffle. Written once: topic totals, hot keys and weights all
+    Topics of up to MAX_BROADCAST documents go to where the lists are read; those of more meet them in a shuffle. Each task
+    adds up its own documents before the shuffle. Written once: topic totals, hot keys and weights all
     read it, and it is far smaller than the text.
     """
     counts = (
-        lists.join(assignments.select("doc_id", "topic_id"), "doc_id")
+        lists.join(broadcast_checked(assignments.select("doc_id", "topic_id"), MAX_BROADCAST), "doc_id")
         .select("topic_id", F.inline("terms"))
         .groupBy("topic_id", "term")
         .agg(F.sum("tf").alias("tf"), F.count("*").alias("doc_freq"))
@@ -26,6 +29,23 @@ def topic_terms(lists: DataFrame, assignments: DataFrame) -> DataFrame:
     return stage(counts, "topic-terms")
 
 
+def moved_terms(counts: DataFrame, lists: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """``counts`` of the assignments ``before`` as they are with those of ``after``, from the documents that moved alone.
+
+    A moved document takes its counts off its old topic and adds them to the new one; a document that is only in one of the
+    two assignments comes or goes. Changes are added up before they meet the counts. Terms that no document of a topic has any
+    more are left out, so the result is that of topic_terms.
+    """
+    moves = before.select("doc_id", F.col("topic_id").alias("old")).join(after.select("doc_id", F.col("topic_id").alias("new")), "doc_id", "full")
+    moves = moves.where(~F.col("old").eqNullSafe(F.col("new")))
+    sides = F.array(F.struct(F.col("old").alias("topic_id"), F.lit(-1).alias("sign")), F.struct(F.col("new").alias("topic_id"), F.lit(1).alias("sign")))
+    signed = lists.join(broadcast_checked(stage(moves, "moves"), MAX_BROADCAST), "doc_id").select(F.explode(sides).alias("side"), "terms").where("side.topic_id is not null")
+    changes = signed.select("side.topic_id", "side.sign", F.inline("terms")).groupBy("topic_id", "term")
+    changes = changes.agg(F.sum(F.col("sign") * F.col("tf")).alias("tf"), F.sum("sign").cast("long").alias("doc_freq"))
+    whole = counts.select("topic_id", "term", "tf", "doc_freq").unionByName(changes).groupBy("topic_id", "term")
+    return stage(whole.agg(F.sum("tf").alias("tf"), F.sum("doc_freq").alias("doc_freq")).where("doc_freq > 0"), "topic-terms")
+
+
 def ctfidf(counts: DataFrame) -> DataFrame:
     """``counts`` with ``weight``: share of the topic's words times ln(1 + mean topic length / term total)."""
     totals = counts.groupBy("topic_id").agg(F.sum("tf").alias("topic_tf"))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from review_topics import fixed_values as V
 from review_topics.operators.components import components
-from review_topics.session import broadcast_checked, hot_lookup
+from review_topics.session import broadcast_checked, hot_lookup, stage_counted
+
+# Topics whose names or numbers are broadcast, about 100 MB.
+MAX_NAMED = 500_000
 
 
 def unite_assignments(zero_shot: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -49,12 +52,12 @@ def number_topics(united: DataFrame, labels: DataFrame | None = None) -> DataFra
 
 
 def combine_topics(zero_shot: DataFrame, clusters: DataFrame, labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(assignments, topics)`` with final topic ids."""
+    """``(assignments, topics)`` with final topic ids; outliers and other large topics are hot keys of the lookup."""
     united = unite_assignments(zero_shot, clusters)
-    topics = number_topics(united, labels)
-    ids = broadcast_checked(topics.select("kind", "source", "topic_id"))
-    match = (united["kind"] == ids["kind"]) & united["source"].eqNullSafe(ids["source"])
-    return united.join(ids, match).select("doc_id", "topic_id", "probability"), topics
+    topics, known = stage_counted(number_topics(united, labels), "size")
+    ids = topics.select("kind", F.coalesce("source", F.lit("")).alias("key"), "topic_id", "size")
+    keyed = united.select("doc_id", "probability", "kind", F.coalesce("source", F.lit("")).alias("key"))
+    return hot_lookup(keyed, ids, ["kind", "key"], "size", known).select("doc_id", "topic_id", "probability"), topics
 
 
 def topic_labels(generated: DataFrame, topics: DataFrame) -> DataFrame:
@@ -97,8 +100,8 @@ def topic_info(assignments: DataFrame, labels: DataFrame, terms: DataFrame, repr
 
 
 def label_documents(assignments: DataFrame, labels: DataFrame) -> DataFrame:
-    """Topic columns beside every document; the topic table is checked to be small and broadcast."""
-    return assignments.join(broadcast_checked(labels), "topic_id", "left")
+    """Topic columns beside every document; names of up to MAX_NAMED topics are broadcast."""
+    return assignments.join(broadcast_checked(labels, MAX_NAMED), "topic_id", "left")
 
 
 def labelled_result(assignments: DataFrame, docs: DataFrame, names: DataFrame, ai_names: DataFrame) -> DataFrame:

@@ -105,13 +105,15 @@ def update_topics(
 ) -> TopicModel:
     """Describe the topics of ``assignments`` anew: term weights, keywords, representative documents, labels.
 
-    ``term_lists`` passes the terms of ``docs``; they are kept for the next call with the same frame. Predefined labels stay. Generated aspects of the earlier model are kept unless ``aspects`` makes them again.
+    ``term_lists`` passes the terms of ``docs``; they are kept for the next call with the same frame, which then counts only the documents
+    that moved. Predefined labels stay. Generated aspects of the earlier model are kept unless ``aspects`` makes them again.
     """
+    same = term_lists is None and model.extra.get("described") is docs
     if term_lists is None:
-        same = model.extra.get("described") is docs
         term_lists = model.extra["term_lists"] if same else stage(embedding.term_lists(docs), "term-lists")
     lists = term_lists
-    weights = stage(terms.ctfidf(terms.topic_terms(lists, assignments)), "ctfidf")
+    counts = terms.moved_terms(model.ctfidf, lists, model.assignments, assignments) if same else terms.topic_terms(lists, assignments)
+    weights = stage(terms.ctfidf(counts), "ctfidf")
     candidates = stage(terms.top_terms(weights, max(represent.CANDIDATES, model.params.top_n)), "candidates")
     main = candidates.where(F.col("rank") <= model.params.top_n)
     chosen = stage(represent.representative_docs(lists, assignments, weights, model.params.label_docs), "chosen")

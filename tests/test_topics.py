@@ -286,3 +286,38 @@ def test_twelve_thousand_topics_have_a_tree(spark):
     assert len(tree) == 11_999 and all(0 <= r["distance"] <= 1 for r in tree)
     merged = topics.merge_map(spark.createDataFrame(tree, "step int, left int, right int, distance double"), spark.range(12_000).select(F.col("id").cast("int").alias("topic_id")), 40)
     assert merged.select("merged_id").distinct().count() == 40
+
+
+def test_changes_give_the_counts_of_a_recount(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(12)}x" for _ in range(rng.randint(1, 9)))) for i in range(60)], "doc_id long, document string")
+    lists = embedding.term_lists(docs)
+    before = spark.createDataFrame([(i, rng.randrange(-1, 4)) for i in range(55)], "doc_id long, topic_id int")
+    after = spark.createDataFrame([(i, r[1] if i % 3 else rng.randrange(-1, 5)) for i, r in enumerate(before.collect())][3:] + [(58, 7)], "doc_id long, topic_id int")
+    got = terms.moved_terms(terms.topic_terms(lists, before), lists, before, after)
+    columns = ["topic_id", "term", "tf", "doc_freq"]
+    assert sorted(got.select(columns).collect()) == sorted(terms.topic_terms(lists, after).select(columns).collect())
+
+
+def test_wide_vectors_are_reduced_to_their_axes(spark):
+    rng = np.random.default_rng(4)
+    axes = np.linalg.qr(rng.normal(size=(8192, 3)))[0]
+    x = rng.normal(size=(200, 3)) * [9, 4, 2] @ axes.T + 0.002 * rng.normal(size=(200, 8192)) + 0.3
+    vecs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, vec array<double>").repartition(6)
+    low = {r["doc_id"]: r["low"] for r in reduction.reduce_dims(vecs, 3).collect()}
+    got = np.array([low[i] for i in range(200)])
+    _, sizes, exact = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    want = x @ exact[:3].T
+    assert np.allclose(got.var(0), want.var(0), rtol=1e-3)
+    apart = lambda m: np.linalg.norm(m[:, None] - m[None], axis=2)
+    assert np.allclose(apart(got), apart(want), atol=0.05)
+
+
+def test_axes_of_a_flat_spectrum_capture_nearly_as_much(spark):
+    x = np.random.default_rng(6).normal(size=(500, 60)) * np.linspace(2, 1, 60)
+    vecs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, vec array<double>")
+    axes = reduction.principal_axes(vecs, 5)
+    assert np.allclose(axes.T @ axes, np.eye(5))
+    centred = x - x.mean(0)
+    sizes = np.linalg.svd(centred, compute_uv=False)
+    assert ((centred @ axes) ** 2).sum() > 0.97 * (sizes[:5] ** 2).sum()
