@@ -122,7 +122,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shards: int | None =
     the same number of components; ties go to the smaller vec_id; with fewer candidates there are fewer ranks. Rows whose
     vec_id or vector is null, or whose vector holds null or non-finite values, take no part. Vectors without components
     score 0 with each other. Repeated rows are a
-    candidate each, and one query, with the vector of one of them. Scores beyond 64 bits are cut to the range of
+    candidate each, and one query, with the smallest of their usable vectors. Scores beyond 64 bits are cut to the range of
     a long. Other columns are ignored; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
@@ -130,8 +130,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shards: int | None =
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     schema = "dim int, ids binary, data binary"
     tiles = rows.mapInArrow(_packed(TILE_ROWS), schema).withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int"))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * SCALE) < float("inf")))
     asked = vectors.where(is_query).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    blocks = asked.dropDuplicates(["vec_id"]).mapInArrow(_packed(BLOCK_ROWS), schema)
+    usable = asked.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
+    blocks = usable.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).mapInArrow(_packed(BLOCK_ROWS), schema)
     visits = blocks.select("dim", F.col("ids").alias("query_ids"), F.col("data").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     lists = tiles.join(visits, ["shard", "dim"]).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -51,3 +51,11 @@ def test_repeated_rows_and_nothing(spark):
     out = exact_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 5).collect()
     assert sorted((r["rank"], r["vec_id"]) for r in out) == [(1, 1), (2, 1), (3, 2)]
     assert exact_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_the_smallest_usable_vector_of_a_query_counts_in_any_order(spark, turn):
+    rows = [(0, None), (0, [1.0]), (0, [0.5]), (0, [float("nan")]), (1, [0.5]), (2, None), (2, [-1.0])][::turn]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    out = sorted(tuple(r) for r in exact_search.top_k(vectors, F.col("vec_id") == 0, 5).collect())
+    assert out == [(0, 1, 1, 128 * 128), (0, 2, 2, -128 * 256)]
