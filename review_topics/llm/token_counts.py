@@ -3,7 +3,7 @@
 An Aho-Corasick automaton of the vocabulary lists the pieces that end at each character; a dynamic program carries the best
 score and its number of pieces. Ties follow the tokenizer: of equal scores at one place, the piece that starts first stays.
 A character that is no piece of its own may be an unknown, scored UNKNOWN_PENALTY below the worst piece, and counts as its
-UTF-8 bytes. Where no piece holds a blank behind another character, every best path passes between words, so words are
+UTF-8 bytes, or without byte fallback as one token together with the unknowns next to it. Where no piece holds a blank behind another character, every best path passes between words, so words are
 counted one by one and remembered.
 """
 
@@ -30,7 +30,7 @@ MAX_PIECES = 1_000_000
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Pieces with their scores; ``byte_fallback`` counts an unknown character as its bytes, else as one."""
+    """Pieces with their scores; ``byte_fallback`` counts an unknown character as its bytes, else a run of them is one token."""
 
     scores: dict[str, float]
     byte_fallback: bool = True
@@ -64,13 +64,14 @@ class Counter(dict):
             self.automaton.add_word(piece, (len(piece), score))
         if vocabulary.scores:
             self.automaton.make_automaton()
-        inner = any(BLANK in p.lstrip(BLANK) for p in vocabulary.scores)
+        # A run of unknowns may go on into the next word where a blank can be one of them and the run counts once.
+        inner = any(BLANK in p.lstrip(BLANK) for p in vocabulary.scores) or (not self.fallback and BLANK not in self.single)
         self.cut = re.compile("(?s:.+)" if inner else f"{BLANK}+[^{BLANK}]*")
 
     def best(self, word: str) -> int:
         """Number of pieces on the best path through ``word``."""
         n = len(word)
-        score, count = [0.0] * (n + 1), [0] * (n + 1)
+        score, count, unknown = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
         ends: list = [None] * n
         if len(self.automaton):
             for end, found in self.automaton.iter(word):
@@ -78,7 +79,7 @@ class Counter(dict):
                     ends[end] = []
                 ends[end].append(found)
         for end in range(n):
-            best, pieces = None, 0
+            best, pieces, lost = None, 0, False
             for length, own in ends[end] or ():  # the longest, which starts first, comes first
                 total = score[end + 1 - length] + own
                 if best is None or total > best:
@@ -86,8 +87,9 @@ class Counter(dict):
             if word[end] not in self.single:
                 total = score[end] + self.unknown
                 if best is None or total > best:
-                    best, pieces = total, count[end] + (len(word[end].encode("utf-8", "replace")) if self.fallback else 1)
-            score[end + 1], count[end + 1] = best, pieces
+                    own = len(word[end].encode("utf-8", "replace")) if self.fallback else not unknown[end]
+                    best, pieces, lost = total, count[end] + own, True
+            score[end + 1], count[end + 1], unknown[end + 1] = best, pieces, lost
         return count[n]
 
     def __missing__(self, word: str) -> int:
