@@ -9,8 +9,10 @@ lies between islands need not be searched. Weights are learnt from what the fixe
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
 _ATOM = re.compile(r"[0-9]+|[A-Za-z]+|\s+|.", re.S)
 # An island: digits and at-signs with what joins them; at most two joining characters or a name lie between.
-_ISLAND = re.compile(r"[A-Za-z0-9._%+@()-]*[0-9@](?:[A-Za-z0-9._%+@()/:,-]|[ \t](?=[0-9+(.-]))*")
+_BEFORE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+@()-"
+_BEHIND = re.compile(r"(?:[A-Za-z0-9._%+@()/:,-]|[ \t](?=[0-9+(.-]))*+")
 
 
 def luhn(digits: str) -> bool:
@@ -109,8 +112,12 @@ def span_features(text: str, start: int, end: int) -> list[str]:
 
 
 def islands(text: str) -> Iterator[tuple[int, int]]:
-    for m in _ISLAND.finditer(text):
-        yield m.span()
+    """From one digit or at-sign to the next outside the island before, outwards; every character is looked at once or twice."""
+    floor = 0
+    while found := _ANY.search(text, floor):
+        start = floor + len(text[floor : found.start()].rstrip(_BEFORE))
+        floor = _BEHIND.match(text, found.end()).end()
+        yield start, floor
 
 
 @dataclass
@@ -128,14 +135,21 @@ def candidates(text: str, start: int, end: int, taken: list[tuple[int, int]] = (
     """All spans of at most MAX_ATOMS atoms that hold a digit or at-sign, touch no blank end and no taken range."""
     atoms = [(m.start() + start, m.end() + start) for m in _ATOM.finditer(text[start:end])]
     blank = [text[a].isspace() for a, _ in atoms]
-    key = np.cumsum([0, *("0" <= text[a] <= "9" or text[a] == "@" for a, _ in atoms)])
+    key = np.cumsum([0, *("0" <= text[a] <= "9" or text[a] == "@" for a, _ in atoms)]).tolist()
+    # Atoms that taken ranges touch: of the ranges that begin before an atom's end, one reaches behind its start.
+    ranges = sorted(taken)
+    begins, reach = [s for s, _ in ranges], list(accumulate((e for _, e in ranges), max))
+    touched = [0]
+    for a, b in atoms:
+        before = bisect_left(begins, b)
+        touched.append(touched[-1] + (before > 0 and reach[before - 1] > a))
     spans = []
     for i, (a, _) in enumerate(atoms):
         if blank[i]:
             continue
         for j in range(i + 1, min(len(atoms), i + MAX_ATOMS) + 1):
             b = atoms[j - 1][1]
-            if not blank[j - 1] and key[j] > key[i] and not any(s < b and a < e for s, e in taken):
+            if not blank[j - 1] and key[j] > key[i] and touched[j] == touched[i]:
                 spans.append((i, j, a, b))
     return Island(text, start, end, atoms, spans)
 
@@ -268,8 +282,9 @@ def train(documents: DataFrame, limit: int = TRAIN_ISLANDS) -> SemiMarkovField:
     """Field fitted on the islands of at most ``limit`` documents, the first with a digit or at-sign by their hash."""
     shown = documents.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
     around = F.expr("regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,60}', 0)")
-    # The executors merge their first rows; only ``limit`` of them reach the driver.
-    rows = stage(shown.select("h", F.slice(around, 1, 4).alias("parts")).orderBy("h").limit(limit), "pii-sample").collect()
+    # The executors merge their first rows; only ``limit`` of them are cut and reach the driver.
+    first = shown.orderBy("h", "text").limit(limit).select("h", F.slice(around, 1, 4).alias("parts"))
+    rows = stage(first, "pii-sample").orderBy("h").collect()
     samples = []
     for row in rows:
         for part in row["parts"]:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -124,3 +125,28 @@ def test_odd_rows(spark):
     assert sorted(len(r["base"]) for r in found) == [0, 0, 1, 1, 1]
     assert sorted((r["text"] or "-", r["n_chars"]) for r in pii.masked(docs, model).collect() if r["doc_id"] != 1) == [("-", 0), ("[EMAIL]", 7), ("[EMAIL]", 7), ("[IP]", 4)]
     assert pii.personal_data(docs.limit(0), pii.train(docs.limit(0))).count() == 0
+
+
+def test_islands_are_those_of_one_pattern():
+    pattern = re.compile(r"[A-Za-z0-9._%+@()-]*[0-9@](?:[A-Za-z0-9._%+@()/:,-]|[ \t](?=[0-9+(.-]))*")
+    rng = random.Random(12)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab1@ .,/(+-\té", k=rng.randint(0, 25)))
+        assert list(pii.islands(text)) == [m.span() for m in pattern.finditer(text)], text
+
+
+def test_candidates_leave_taken_ranges_alone():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choices("ab1@ .-", k=rng.randint(1, 25)))
+        taken = sorted((a, a + rng.randint(1, 6)) for a in rng.choices(range(25), k=rng.randint(0, 4)))
+        free = {s for s in pii.candidates(text, 0, len(text)).spans if not any(x < s[3] and s[2] < y for x, y in taken)}
+        assert set(pii.candidates(text, 0, len(text), taken).spans) == free
+
+
+def test_very_long_texts_take_linear_time():
+    model = pii.SemiMarkovField()
+    for text in ("x" * 1_000_000 + "1", "a" * 400_000 + " " + "1" * 400_000, ",".join(f"user{i}@host{i}.example.org" for i in range(20_000)), "@" * 5_000):
+        begun = time.perf_counter()
+        pii.find_spans(text, model)
+        assert time.perf_counter() - begun < 10
