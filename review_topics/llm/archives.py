@@ -31,6 +31,8 @@ V1_FIELDS = "URL IP-address Archive-date Content-type Archive-length"
 V2_FIELDS = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BATCH = 256
+# Payload bytes of a converted file.
+FILE_BYTES = 64 << 20
 
 
 def sha1_base32(data: bytes) -> str:
@@ -183,20 +185,21 @@ def _timestamp(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def _warc_id(url: str, date: str, record: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {record} {digest}')}>"
+def _warc_id(place: str) -> str:
+    """Identifier of the record at a place, ``file#number`` of the archive that it is converted from; no two are alike."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>"
 
 
 def _read_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int64()]
-    names = ["record", "url", "ip", "date", "kind", "head", "payload", "digest", "same", "size"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int64()]
+    names = ["record", "place", "url", "ip", "date", "kind", "head", "payload", "digest", "same", "size"]
     for batch in batches:
-        for data in batch.column("content"):
-            rows = []
-            for r in parse_arc(data.as_py()):
+        for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
+            rows, file = [], path.rstrip("/").rsplit("/", 1)[-1]
+            for k, r in enumerate(parse_arc(data.as_py())):
                 head, payload = split_http(r.content)
                 same = hashlib.sha256(payload).digest()
-                rows.append((_record_number(head), r.url, r.ip, r.date, r.kind, head, payload, sha1_base32(payload), same, len(payload)))
+                rows.append((_record_number(head), f"{file}#{k}", r.url, r.ip, r.date, r.kind, head, payload, sha1_base32(payload), same, len(payload)))
                 if len(rows) >= _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                     rows = []
@@ -205,12 +208,12 @@ def _read_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _files(spark, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("content")
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def read_arc(spark, path: str) -> DataFrame:
-    """``(record, url, ip, date, kind, head, payload, digest, same, size)`` for each record of the ARC files in a folder."""
-    schema = "record long, url string, ip string, date string, kind string, head binary, payload binary, digest string, same binary, size long"
+    """``(record, place, url, ip, date, kind, head, payload, digest, same, size)`` for each record of the ARC files in a folder."""
+    schema = "record long, place string, url string, ip string, date string, kind string, head binary, payload binary, digest string, same binary, size long"
     return _files(spark, path).mapInArrow(_read_arc, schema)
 
 
@@ -228,12 +231,12 @@ def _payloads(packed: bool):
 
 
 def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = ("record", "url", "ip", "date", "kind", "head", "payload", "digest", "first", "first_url", "first_date")
+    columns = ("place", "url", "ip", "date", "kind", "head", "payload", "digest", "first", "first_place", "first_url", "first_date")
     for batch in batches:
         lines = []
-        for record, url, ip, date, kind, head, payload, digest, first, first_url, first_date in zip(*(batch.column(c).to_pylist() for c in columns)):
+        for place, url, ip, date, kind, head, payload, digest, first, first_place, first_url, first_date in zip(*(batch.column(c).to_pylist() for c in columns)):
             fields = [
-                f"WARC-Record-ID: {_warc_id(url, date, record, digest)}",
+                f"WARC-Record-ID: {_warc_id(place)}",
                 f"WARC-Date: {_timestamp(date)}",
                 f"WARC-Target-URI: {url}",
                 f"WARC-IP-Address: {ip}",
@@ -245,7 +248,7 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 kind_of, block = "revisit", head
                 fields += [
                     f"WARC-Profile: {REVISIT_PROFILE}",
-                    f"WARC-Refers-To: {_warc_id(first_url, first_date, first, digest)}",
+                    f"WARC-Refers-To: {_warc_id(first_place)}",
                     f"WARC-Refers-To-Target-URI: {first_url}",
                     f"WARC-Refers-To-Date: {_timestamp(first_date)}",
                 ]
@@ -262,18 +265,22 @@ def convert(spark, arc_path: str, warc_path: str, revisit_from: int = 0) -> None
     """WARC files with a record for each record of the ARC files.
 
     Of records with equal payloads of at least ``revisit_from`` bytes, that with the largest record number keeps its
-    payload; the others become revisits of it. Records without a number never become or receive a revisit.
+    payload; the others become revisits of it. A repeated record is kept each time, and revisits point to one of these.
+    Records without a number never become or receive a revisit. Files hold about FILE_BYTES of payloads each, however many
+    there are, so that each can be read as one value.
     """
     records = read_arc(spark, arc_path)
     # Decisions need no payload: numbers and digests are read first, payloads once, when they are written.
-    slim = stage(records.where("record is not null").select("record", "url", "date", "same", "size"), "arc-records")
-    newest = slim.where(F.col("size") >= revisit_from).groupBy("same").agg(F.max(F.struct("record", "url", "date")).alias("kept"), F.count("*").alias("matches"))
-    shared = newest.where("matches > 1").select("same", "matches", F.col("kept.record").alias("first"), F.col("kept.url").alias("first_url"), F.col("kept.date").alias("first_date"))
+    slim = stage(records.where("record is not null").select("record", "place", "url", "date", "same", "size"), "arc-records")
+    newest = slim.where(F.col("size") >= revisit_from).groupBy("same").agg(F.max(F.struct("record", "place", "url", "date")).alias("kept"), F.count("*").alias("matches"))
+    named = [F.col("kept.record").alias("first"), *(F.col(f"kept.{c}").alias(f"first_{c}") for c in ("place", "url", "date"))]
+    shared = newest.where("matches > 1").select("same", "matches", *named)
     revisits = hot_lookup(slim.select("record", "same"), shared, ["same"], "matches").where("record <> first")
     marks = revisits.dropDuplicates(["record", "same"]).withColumnRenamed("record", "number")
     # Records without a number match nothing; the digest spreads them.
     number = F.coalesce(F.col("record"), F.xxhash64("same", "url", "date"))
-    moved = records.mapInArrow(_payloads(True), records.schema).withColumn("number", number)
+    files = 1 + (slim.agg(F.sum("size")).first()[0] or 0) // FILE_BYTES
+    moved = records.mapInArrow(_payloads(True), records.schema).withColumn("number", number).repartition(files, "number", "record", "same")
     decided = moved.join(marks.withColumn("record", F.col("number")), ["number", "record", "same"], "left")
     whole = decided.mapInArrow(_payloads(False), decided.schema)
     _write(whole.mapInArrow(_warc_records, "value binary"), warc_path, WARC_END)

@@ -117,7 +117,6 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     found = stage(archives.read_warc(spark, modern).drop("payload"), "warc-records")
     # Identifiers lead from a revisit to its response.
     responses = found.where("warc_type = 'response'").select(F.col("warc_id").alias("refers_to"), F.col("record").alias("response"))
-    responses = responses.dropDuplicates(["refers_to"])  # a repeated row is the same record
     pointing = found.where("warc_type = 'revisit'").groupBy("refers_to").agg(F.count("*").alias("matches"))
     named = responses.join(pointing, "refers_to")
     columns = [F.col("record").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type")]
