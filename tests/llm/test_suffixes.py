@@ -114,3 +114,15 @@ def test_odd_rows(spark):
     kept = sorted((r["doc_id"] or -1, len(r["kept"])) for r in suffix_dedup.without_repeats(docs).collect())
     assert kept[0] == (-1, len(line)) and kept[1] == kept[2] == (1, 31) and kept[3] == (2, 0)
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_filter_grows_with_its_values(spark):
+    from review_topics.llm import bloom
+
+    assert bloom.size_for(0) == bloom.LEAST_BITS and bloom.size_for(10**6) >= 16 * 10**6 and bloom.size_for(10**12) == bloom.MOST_BITS
+    values = spark.range(200_000).selectExpr("xxhash64(id) as h")
+    table = bloom.build(values)
+    inside = np.array([r["h"] for r in values.collect()], np.int64).view(np.uint64)
+    assert len(bloom.passing(table, inside)) == 200_000
+    others = np.random.default_rng(3).integers(0, 2**63, 200_000, dtype=np.uint64)
+    assert len(bloom.passing(table, others)) < 6_000
