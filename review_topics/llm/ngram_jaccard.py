@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from review_topics.llm import words
 from review_topics.operators.components import components
-from review_topics.session import hot_lookup, stage, unstage
+from review_topics.session import hot_lookup, stage, stage_counted, unstage
 
 BLOCK_ROWS = 256
 BLOCK_GRAMS = 2_000_000
@@ -186,7 +186,8 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
     signed = classes.join(own_key, ["node", "set_key"]).select("node", "text_key", "copies", "n_grams", "bands")
     banded = stage(signed.select("node", "text_key", F.posexplode("bands").alias("band", "bucket")), "bands")
     buckets = banded.groupBy("band", "bucket").agg(F.min("node").alias("lead"), F.count("*").alias("members"))
-    met = stage(hot_lookup(banded, buckets.where("members > 1"), ["band", "bucket"], "members"), "met")
+    buckets, heaviest = stage_counted(buckets.where("members > 1"), "members")
+    met = stage(hot_lookup(banded, buckets, ["band", "bucket"], "members", heaviest), "met")
 
     # Blocks of bounded rows and n-grams. A class goes with the smallest lead of its buckets, so copies of one text share
     # a block; where a bucket spans blocks, each pair of these is verified too. No pair that meets in a bucket is left out.
@@ -194,7 +195,8 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
     sized = homes.join(classes.select("node", "text_key", "copies", "n_grams"), ["node", "text_key"])
     per_home = sized.groupBy("home").agg(F.count("*").alias("members"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("long")
-    placed = hot_lookup(sized, per_home.select("home", "members", blocks.alias("blocks")), ["home"], "members")
+    per_home, largest = stage_counted(per_home.select("home", "members", blocks.alias("blocks")), "members")
+    placed = hot_lookup(sized, per_home, ["home"], "members", largest)
     block = F.struct("home", F.pmod(F.xxhash64("node", "text_key"), F.col("blocks")).alias("part")).alias("block")
     placed = stage(placed.select("node", "text_key", "copies", block), "blocks")
     seen = met.join(placed.select("node", "text_key", "block"), ["node", "text_key"]).groupBy("band", "bucket").agg(F.collect_set("block").alias("blocks"))
@@ -217,7 +219,7 @@ def jaccard_links(documents: DataFrame, threshold: float = 0.8, n: int = 5, reca
         work.groupBy("block", "other").applyInArrow(_verify(threshold), "node long, text_key long, root long, links long, documents long"),
         "links",
     )
-    unstage(banded, met, placed)
+    unstage(banded, met, placed, buckets, per_home)
     grouped = components(found.where("root <> node").select(F.col("node").alias("u"), F.col("root").alias("v")))
     linked = found.groupBy("node", "text_key").agg(F.sum("links").alias("links"), F.sum("documents").alias("documents"))
 
