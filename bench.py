@@ -21,6 +21,7 @@ HEADLINE = [
     "d4_extract_lexicon", "d6_embed", "e2_zero_shot", "e3_pca", "e4_neighbour_graph", "e5_density_clusters", "e6_components",
     "e7_combine_topics", "f1_term_counts", "f2_ctfidf", "f5_representative_docs", "f8_topic_info", "g3_topic_similarity",
     "g4_hierarchy", "h1_distribution", "h2_token_distribution", "e11_reduce_outliers", "e13_predict", "e10_fit_topics",
+    "e10_fit_topics_pca", "e4_document_neighbours", "e5h_hierarchical_clusters",
 ]
 
 

@@ -111,10 +111,6 @@ zero_shot = shared(
 )
 
 
-def no_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame([], "doc_id long, cluster long, probability double")
-
-
 def _language_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Zero-shot topics only: everything below the threshold is an outlier."""
     assigned = zero_shot(spark, sf)

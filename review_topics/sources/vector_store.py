@@ -9,8 +9,11 @@ from review_topics.session import path_exists
 
 
 def save_vectors(vecs: DataFrame, path: str, encoder_id: str) -> None:
-    """Add ``(doc_id, vec)`` as floats, one folder per encoder; an id that the encoder has a vector for keeps it."""
-    rows = vecs.dropDuplicates(["doc_id"])
+    """Add ``(doc_id, vec)`` as floats, one folder per encoder; an id that the encoder has a vector for keeps it.
+
+    Of several vectors of a document the smallest is saved, whatever their order; null ones are not.
+    """
+    rows = vecs.where(F.col("vec").isNotNull()).groupBy("doc_id").agg(F.min("vec").alias("vec"))
     if path_exists(vecs.sparkSession, path):
         saved = load_vectors(vecs.sparkSession, path, encoder_id)
         rows = rows.join(saved.select("doc_id"), "doc_id", "left_anti")
