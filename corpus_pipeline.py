@@ -59,7 +59,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         own = rows.groupBy(key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key, "n")).alias("first")
         kept = keep(stage(own.join(groups, key).groupBy("class_id").agg(first).select(f"first.{key}", "first.n"), "kept"))
-    alone = rows.join(kept.where("n = 1"), key, "left_semi")
+    # As many keys as documents stay: a shuffled join whatever the size, so that small runs tell what large ones need.
+    alone = rows.join(kept.where("n = 1").hint("merge"), key, "left_semi")
     repeated = rows.join(kept.where("n > 1"), key, "left_semi")
     return alone.unionByName(repeated.dropDuplicates([key, "doc_id", "text"])).select(docs.columns)
 
