@@ -70,7 +70,7 @@ def principal_axes(vecs: DataFrame, k: int, passes: int = PASSES, seed: int = 42
     mean = X.mean_vector(known)
     width = min(len(mean), k + OVERSAMPLE)
     directions = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(mean), width)))[0]
-    schema = "task int, r binary, g binary"
+    schema = "task long, r binary, g binary"
     for _ in range(passes):
         parts = known.mapInArrow(_sketch(mean, directions), schema)
         for groups in TREE:
