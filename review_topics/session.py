@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +16,8 @@ MAX_TOPICS = 10_000
 HOT_SHARE = 1_000
 # Partitions-to-be of one hot key.
 SALTS = 4_096
-# Stages made within temporary_stages, by the innermost one.
-_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
+# Where a session keeps the stages of its open temporary_stages; modules hold nothing that cannot be sent to a task.
+_SCOPES = "_open_stage_scopes"
 
 
 def build_session(cores: str = "*", app: str = "review_topics", **conf: str) -> SparkSession:
@@ -79,8 +78,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
-    if (made := _made.get()) is not None:
-        made.append(staged)
+    if scopes := getattr(df.sparkSession, _SCOPES, None):
+        scopes[-1].append(staged)
     return staged
 
 
@@ -105,13 +104,17 @@ def unstage(*staged: DataFrame) -> None:
 
 
 @contextmanager
-def temporary_stages() -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Delete the stages made inside once the block has ended well, all but those that it passes to the given function.
+def temporary_stages(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the stages that the session makes inside once the block has ended well, all but those passed to the given function.
 
     What leaves the block must be written by then: a stage that was kept, or nothing that reads a stage.
     """
-    outer, made, kept = _made.get(), [], []
-    mark = _made.set(made)
+    if not hasattr(spark, _SCOPES):
+        setattr(spark, _SCOPES, [])
+    scopes: list[list[DataFrame]] = getattr(spark, _SCOPES)
+    made: list[DataFrame] = []
+    kept: list[str] = []
+    scopes.append(made)
 
     def keep(staged: DataFrame) -> DataFrame:
         kept.append(staged._staged_at)
@@ -120,12 +123,12 @@ def temporary_stages() -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield keep
     finally:
-        _made.reset(mark)
+        scopes.pop()
     for staged in made:
         if staged._staged_at not in kept:
             unstage(staged)
-        elif outer is not None:
-            outer.append(staged)
+        elif scopes:
+            scopes[-1].append(staged)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -59,3 +59,15 @@ def test_no_cross_join(spark, sf, name):
     module = topic_queries if hasattr(topic_queries, name) else review_queries
     text = plan(getattr(module, name)(spark, sf))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_temporary_stages_go_and_kept_ones_stay(spark):
+    from review_topics.session import path_exists, stage, temporary_stages
+
+    with temporary_stages(spark) as outer:
+        with temporary_stages(spark) as keep:
+            gone, kept = stage(spark.range(3), "a"), keep(stage(spark.range(4), "b"))
+        assert not path_exists(spark, gone._staged_at) and kept.count() == 4
+        last = outer(stage(kept, "c"))
+    assert not path_exists(spark, kept._staged_at) and last.count() == 4
+    assert path_exists(spark, stage(spark.range(1), "d")._staged_at)
