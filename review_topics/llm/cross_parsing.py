@@ -25,6 +25,7 @@ from review_topics.session import broadcast_checked, stage, unstage
 TRAIN_CHARS = 16_384
 TRAIN_TEXTS = 48
 SEGMENT = 256
+SLICE_BYTES = 1 << 19
 # Languages whose automata are in memory together.
 BLOCK_LANGUAGES = 32
 # Chosen texts, 48 a language, whose hashes go to every task; more are joined.
@@ -138,7 +139,7 @@ class LanguageModel:
         """0 for what is no letter, the letter's symbol, or one behind all letters for a letter that the sample lacks."""
         place = np.searchsorted(self.alphabet, code_points)
         known = np.append(self.alphabet, 0)[place] == code_points
-        return np.where(known, place + 1, len(self.alphabet) + 1) * _is_letter()[code_points]
+        return (np.where(known, place + 1, len(self.alphabet) + 1) * _is_letter()[code_points]).astype(np.int32)
 
 
 def fit_model(samples: dict[str, list[str]]) -> LanguageModel:
@@ -178,7 +179,7 @@ def cut_segments(symbols: np.ndarray, length: np.ndarray) -> Segments:
     before = np.where(nth > 0, np.append(place, 0)[np.arange(len(owner)) - 1], -1)[order]
     text = np.repeat(np.arange(len(length)), length)
     at = np.arange(len(symbols)) - np.repeat(np.cumsum(length) - length, length)
-    matrix = np.zeros((SEGMENT, len(owner)), np.int64)
+    matrix = np.zeros((SEGMENT, len(owner)), np.int32)
     matrix[at % SEGMENT, place[first[text] + at // SEGMENT]] = symbols
     live = np.searchsorted(-size[order], -np.arange(SEGMENT), "left")
     return Segments(matrix, live, owner[order], before, length)
@@ -232,7 +233,7 @@ def _lines(model: LanguageModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
     sizes = np.array([len(t) for t in lowered], np.int64)
     symbols = model.symbols(_code_points(lowered))
     text = np.repeat(np.arange(len(lowered)), sizes)
-    before = np.concatenate(([0], symbols[:-1])) if len(symbols) else symbols
+    before = np.concatenate((np.zeros(1, np.int32), symbols[:-1])) if len(symbols) else symbols
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
     keep = (symbols > 0) | (before > 0)
     return symbols[keep], np.bincount(text[keep], minlength=len(lowered))
@@ -290,7 +291,7 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
                     block.__dict__.pop("_value", None)  # one block in memory; it is read again from the worker's file
 
         for batch in batches:
-            for part in words.sub_batches(batch, "text", 2 << 20):
+            for part in words.sub_batches(batch, "text", SLICE_BYTES):
                 bits, spoken = entropies(own, part.column("text"), blocks())
                 if own.languages:
                     best = bits.argmin(1)
