@@ -28,33 +28,38 @@ TILE = "dim int, ids binary, labels binary, data binary"
 VISIT = "dim int, anchor_ids binary, anchor_labels binary, anchor_data binary, positive_ids binary, positive_scores binary"
 
 
-def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
-    """``a @ b`` by seven products of halves instead of eight; sides up to ``leaf`` are multiplied plainly."""
+def by_doubles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` of whole numbers whose products and sums stay below 2**53, where doubles are exact."""
+    return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
+
+
+def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF, multiply=np.matmul) -> np.ndarray:
+    """``a @ b`` by seven products of halves instead of eight; with a side of up to ``leaf``, ``multiply`` does it."""
     (m, k), n = a.shape, b.shape[1]
     if min(m, k, n) <= leaf:
-        return a @ b
+        return multiply(a, b)
     if m % 2 or k % 2 or n % 2:
-        wide_a, wide_b = np.zeros((m + m % 2, k + k % 2), a.dtype), np.zeros((k + k % 2, n + n % 2), b.dtype)
+        wide_a, wide_b = np.zeros((m + m % 2, k + k % 2), a.dtype), np.zeros((n + n % 2, k + k % 2), b.dtype).T
         wide_a[:m, :k], wide_b[:k, :n] = a, b
-        return strassen(wide_a, wide_b, leaf)[:m, :n]
+        return strassen(wide_a, wide_b, leaf, multiply)[:m, :n]
     i, j, h = m // 2, k // 2, n // 2
     a11, a12, a21, a22 = a[:i, :j], a[:i, j:], a[i:, :j], a[i:, j:]
     b11, b12, b21, b22 = b[:j, :h], b[:j, h:], b[j:, :h], b[j:, h:]
     out = np.empty((m, n), a.dtype)
     c11, c12, c21, c22 = out[:i, :h], out[:i, h:], out[i:, :h], out[i:, h:]
-    c11[:] = c22[:] = strassen(a11 + a22, b11 + b22, leaf)
-    c21[:] = step = strassen(a21 + a22, b11, leaf)
+    c11[:] = c22[:] = strassen(a11 + a22, b11 + b22, leaf, multiply)
+    c21[:] = step = strassen(a21 + a22, b11, leaf, multiply)
     c22 -= step
-    c12[:] = step = strassen(a11, b12 - b22, leaf)
+    c12[:] = step = strassen(a11, b12 - b22, leaf, multiply)
     c22 += step
-    step = strassen(a22, b21 - b11, leaf)
+    step = strassen(a22, b21 - b11, leaf, multiply)
     c11 += step
     c21 += step
-    step = strassen(a11 + a12, b22, leaf)
+    step = strassen(a11 + a12, b22, leaf, multiply)
     c11 -= step
     c12 += step
-    c22 += strassen(a21 - a11, b11 + b12, leaf)
-    c11 += strassen(a12 - a22, b21 + b22, leaf)
+    c22 += strassen(a21 - a11, b11 + b12, leaf, multiply)
+    c11 += strassen(a12 - a22, b21 + b22, leaf, multiply)
     return out
 
 
@@ -62,7 +67,9 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of the rows of ``a`` and ``b`` (whole numbers as doubles) as longs, cut to the range of a long."""
     reach = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if reach < 2.0**62:
-        return strassen(a.astype(np.int64), np.ascontiguousarray(b.astype(np.int64).T))
+        halvings = max(0, min(*a.shape, len(b)) // LEAF).bit_length()  # each at most doubles the entries of both sides
+        multiply = by_doubles if reach * 4.0**halvings < 2.0**53 else np.matmul
+        return strassen(a.astype(np.int64), b.astype(np.int64).T, LEAF, multiply)
     whole = [np.array([[int(x) for x in row] for row in side], object).reshape(side.shape) for side in (a, b)]
     return np.clip(strassen(whole[0], whole[1].T), int(_LOW), int(_HIGH)).astype(np.int64)
 

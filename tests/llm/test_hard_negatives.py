@@ -56,6 +56,10 @@ def test_strassen_is_the_plain_product(shape):
     rng = np.random.default_rng(sum(shape))
     a, b = rng.integers(-(2**62), 2**62, shape[:2]), rng.integers(-(2**62), 2**62, shape[1:])
     assert np.array_equal(hard_negatives.strassen(a, b, 4), a @ b)  # modulo 2**64
+    near, far = (rng.integers(-(2**bits), 2**bits, shape[:2]).astype(float) for bits in (16, 29))
+    for left in (near, far):  # leaves in doubles, leaves in longs
+        right = rng.integers(-(2**16), 2**16, shape[1:][::-1]).astype(float)
+        assert np.array_equal(hard_negatives.products(left, right), left.astype(np.int64) @ right.astype(np.int64).T)
     small = rng.integers(-(2**20), 2**20, shape[:2]).astype(object)
     assert np.array_equal(hard_negatives.strassen(small, b.astype(object), 4), small @ b.astype(object))
 
