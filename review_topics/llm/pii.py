@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_topics.llm import words
-from review_topics.session import stage
+from review_topics.session import stage, unstage
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
@@ -279,12 +279,14 @@ def disguised(text: str, kind: str, start: int, end: int) -> tuple[str, tuple[st
 
 
 def train(documents: DataFrame, limit: int = TRAIN_ISLANDS) -> SemiMarkovField:
-    """Field fitted on the islands of at most ``limit`` documents, the first with a digit or at-sign by their hash."""
+    """Field fitted on the islands of at most ``limit`` different texts, the first with a digit or at-sign by their hash."""
     shown = documents.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
     around = F.expr("regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,60}', 0)")
-    # The executors merge their first rows; only ``limit`` of them are cut and reach the driver.
-    first = shown.orderBy("h", "text").limit(limit).select("h", F.slice(around, 1, 4).alias("parts"))
-    rows = stage(first, "pii-sample").orderBy("h").collect()
+    # Hashes are ranked, not texts; only ``limit`` of them reach the driver, and the pieces of as many texts.
+    first = stage(shown.select("h").distinct().orderBy("h").limit(limit), "pii-sample")
+    pieces = shown.join(F.broadcast(first), "h").groupBy("h").agg(F.min(F.slice(around, 1, 4)).alias("parts"))
+    rows = sorted(pieces.collect(), key=lambda row: row["h"])
+    unstage(first)
     samples = []
     for row in rows:
         for part in row["parts"]:
