@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A topic table larger than this is never collected or broadcast.
+# A topic table larger than this is not broadcast.
 MAX_TOPICS = 10_000
 # Keys that own more than 1/HOT_SHARE of all rows are "hot"; there can be at most HOT_SHARE of them.
 HOT_SHARE = 1_000
@@ -147,14 +147,6 @@ def broadcast_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def collect_checked(df: DataFrame, max_rows: int = MAX_TOPICS) -> list:
-    """Collect a dimension whose row count is checked first; refuse anything larger."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows: not a small dimension")
-    return rows
-
-
 def hot_lookup(left: DataFrame, right: DataFrame, on: list[str], matches: str, known: dict | None = None) -> DataFrame:
     """Inner equi join of ``left`` with a unique-key ``right`` that survives hot keys.
 
