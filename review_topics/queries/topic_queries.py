@@ -365,9 +365,14 @@ grid_cells = shared("grid-cells", lambda spark, sf: neighbours.grid_cells(grid_p
 grid_edges = shared("grid-edges", lambda spark, sf: neighbours.neighbour_edges(grid_cells(spark, sf), K, REACH2))
 
 
-@query(f"WITH {_CELLS}, r AS (SELECT src, dst, d2, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS rank FROM al WHERE src <> dst) SELECT src, dst, d2, CAST(rank AS INT) AS rank FROM r WHERE rank <= 15")
+_GRAPH = f"{C.CENTRED}, {_low_sql('cv', GRAPH_K)}, {_grid_sql(GRAPH_WIDTH, GRAPH_REACH2, GRAPH_K)}"
+
+
+@query(f"WITH {_GRAPH}, r AS (SELECT src, dst, d2, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS rank FROM al WHERE src <> dst) SELECT src, dst, d2, CAST(rank AS INT) AS rank FROM r WHERE rank <= 15")
 def e4_neighbour_graph(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbours.knn_edges(grid_edges(spark, sf), 15)
+    low = reduction.reduce_dims(C.centred_vectors(spark, sf), GRAPH_K, "projection", 256)
+    cells = stage(neighbours.grid_cells(neighbours.grid_points(low, GRAPH_WIDTH, GRAPH_K), GRAPH_K), "graph-cells")
+    return neighbours.knn_edges(neighbours.neighbour_edges(cells, GRAPH_K, GRAPH_REACH2), 15)
 
 
 @query(

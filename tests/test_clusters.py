@@ -326,3 +326,17 @@ def test_copies_are_folded_and_crowded_cells_split(spark):
 def test_projection_query_has_three_coordinates(spark, sf):
     rows = topic_queries.e3_random_projection(spark, sf).groupBy("doc_id").agg(F.collect_set("component").alias("c")).collect()
     assert rows and all(sorted(row["c"]) == [0, 1, 2] for row in rows)
+
+
+def test_neighbour_graph_query_compares_three_coordinates(spark, sf):
+    found = {(row["src"], row["dst"]): row["d2"] for row in topic_queries.e4_neighbour_graph(spark, sf).collect()}
+    cells = {}
+    for row in topic_queries.e3_random_projection(spark, sf).collect():
+        cells.setdefault(row["doc_id"], [0, 0, 0])[row["component"]] = int(np.floor(row["value"] / topic_queries.GRAPH_WIDTH))
+    first = {}
+    for doc, cell in sorted(cells.items()):
+        first.setdefault(tuple(cell), doc)
+    apart = {(a, b): sum((x - y) ** 2 for x, y in zip(c, d)) for c, a in first.items() for d, b in first.items() if a != b}
+    near = {pair: d2 for pair, d2 in apart.items() if d2 <= 2}
+    assert 2 in found.values() and found.items() <= near.items()
+    assert all(sum(pair[0] == a for pair in found) == min(15, sum(pair[0] == a for pair in near)) for a in first.values())
