@@ -38,6 +38,13 @@ def _lists(matrix: np.ndarray, known: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(~known))
 
 
+def _blocks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The vectors of all batches, BLOCK_ROWS at a time, so that the copies of a step are small whatever the batch."""
+    for vectors in batches:
+        for low in range(0, len(vectors), BLOCK_ROWS):
+            yield vectors.slice(low, BLOCK_ROWS)
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; a row of zeros stays zero."""
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -49,7 +56,7 @@ def centred(vec: Column, mean: np.ndarray) -> Column:
 
     @F.arrow_udf("array<double>")
     def shift(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for vectors in batches:
+        for vectors in _blocks(batches):
             rows, known = _matrix(vectors, len(mean))
             yield _lists(unit_rows(rows - mean), known)
 
@@ -61,7 +68,7 @@ def projected(vec: Column, matrix: np.ndarray) -> Column:
 
     @F.arrow_udf("array<double>")
     def project(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for vectors in batches:
+        for vectors in _blocks(batches):
             rows, known = _matrix(vectors, matrix.shape[0])
             yield _lists(rows @ matrix, known)
 
@@ -96,10 +103,10 @@ def best_match(vec: Column, tiles: list[Broadcast]) -> Column:
             best, score = np.zeros(n, np.int64), np.full(n, -np.inf)
             for tile in tiles:
                 ids, topics = tile.value
-                rows = unit_rows(_matrix(vectors, topics.shape[1])[0])
                 for low in range(0, n, BLOCK_ROWS):
                     block = slice(low, low + BLOCK_ROWS)
-                    scores = np.round(rows[block] @ topics.T, 12)
+                    rows = unit_rows(_matrix(vectors[block], topics.shape[1])[0])
+                    scores = np.round(rows @ topics.T, 12)
                     first = scores.argmax(axis=1)
                     found = scores[np.arange(len(scores)), first]
                     better = found > score[block]

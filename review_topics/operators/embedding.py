@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,23 @@ from review_topics.functions import text as T
 from review_topics.functions import vectors as X
 
 
+# Words and documents that are counted at a time, whatever the size of an Arrow batch; a longer document is a slice alone.
+SLICE_WORDS = 1 << 16
+SLICE_ROWS = 512
+# Terms whose hash a task remembers from slice to slice.
+KNOWN_TERMS = 1 << 16
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, few enough at a time for the arrays of their words to stay small."""
+    for batch in batches:
+        sizes = np.asarray(batch.column("tokens").value_lengths().fill_null(0)).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // SLICE_WORDS
+        cuts = np.union1d(np.flatnonzero(np.diff(part)) + 1, np.arange(0, batch.num_rows, SLICE_ROWS)).tolist()
+        for low, high in zip(cuts, [*cuts[1:], batch.num_rows]):
+            yield batch.slice(low, high - low)
+
+
 def _batch_counts(tokens: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """``(distinct terms, row, term number, tf)`` of a batch of token lists; by row, then by first use of the term."""
     encoded = tokens.flatten().dictionary_encode()
@@ -46,7 +64,7 @@ def term_lists(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             counted = _batch_counts(batch.column("tokens"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _term_column(*counted, batch.num_rows)], names=["doc_id", "terms"])
 
@@ -66,10 +84,11 @@ class HashedEncoder:
         dims = self.dims
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            bucket = lru_cache(KNOWN_TERMS)(lambda term: int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % dims)
+            for batch in _slices(batches):
                 names, row, term, tf = _batch_counts(batch.column("tokens"))
                 n = batch.num_rows
-                digests = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims for t in names.to_pylist()]
+                digests = [bucket(t) for t in names.to_pylist()]
                 place = row * dims + np.array(digests, np.int64)[term] if len(row) else row
                 matrix = np.bincount(place, 1 + np.log(tf), n * dims).reshape(n, dims)
                 length = np.sqrt((matrix * matrix).sum(1))

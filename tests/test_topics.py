@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,3 +322,32 @@ def test_axes_of_a_flat_spectrum_capture_nearly_as_much(spark):
     centred = x - x.mean(0)
     sizes = np.linalg.svd(centred, compute_uv=False)
     assert ((centred @ axes) ** 2).sum() > 0.97 * (sizes[:5] ** 2).sum()
+
+
+def test_words_are_counted_in_small_slices_of_a_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, document string")
+    caught = {}
+
+    class Caught:
+        def mapInArrow(self, run, schema):
+            caught["run"] = run
+            return self
+
+        def where(self, condition):
+            return self
+
+        def select(self, *columns):
+            return self
+
+    monkeypatch.setattr(embedding, "_tokens", lambda _: Caught())
+    rng = random.Random(3)
+    lists = [None, [], ["long"] * (3 << 17)] + [[f"w{rng.randrange(999)}" for _ in range(rng.randrange(90))] for _ in range(6_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(lists)), pa.int64()), "tokens": pa.array(lists, pa.list_(pa.string()))})
+    for start in (embedding.term_lists, ENCODER.terms_and_vectors):
+        start(docs)
+        out = list(caught["run"](iter([batch])))
+        words = [sum(len(lists[i] or []) for i in part.column("doc_id").to_pylist()) for part in out]
+        assert all(part.num_rows == 1 or (part.num_rows <= 512 and n <= 2 << 16) or 3 << 17 <= n for part, n in zip(out, words)) and len(out) > 5
+        rows = [row for part in out for row in part.to_pylist()]
+        assert [row["doc_id"] for row in rows] == list(range(len(lists)))
+        assert all({x["term"]: x["tf"] for x in row["terms"] or []} == Counter(words or []) for row, words in zip(rows, lists))
