@@ -142,7 +142,7 @@ def cluster_pyramid(
     birth = chosen.select(F.col("leader").alias("component")).join(sizes, "component")
     kept = hot_lookup(members, birth, ["component"], "matches").select("level", *columns, "core_d2", F.col("component.doc").alias("cluster"))
     keys = ["level", *columns]
-    placed = spread.select("cell_id", "level", *shifted).join(kept, keys).select("cell_id", "core_d2", "cluster")
+    placed = spread.select("cell_id", "level", *shifted).join(kept.hint("merge"), keys).select("cell_id", "core_d2", "cluster")
     return fine.join(placed, "cell_id", "left").select(*columns, "core_d2", "cluster", "weight")
 
 

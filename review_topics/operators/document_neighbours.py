@@ -38,9 +38,17 @@ def fold_copies(vecs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return folded.select("first.doc_id", "first.vec", "weight"), members.select("doc_id", "leader")
 
 
+def sampled(rows: DataFrame) -> DataFrame:
+    """The first SAMPLE rows by the hash of their documents. Documents are chosen without their vectors, of which every task would send
+    SAMPLE to the one that merges them."""
+    order = F.xxhash64("doc_id"), "doc_id"
+    chosen = rows.select("doc_id").orderBy(*order).limit(SAMPLE).select(F.col("doc_id").alias("chosen"))
+    return rows.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi").orderBy(*order).limit(SAMPLE)
+
+
 def fit_centres(rows: DataFrame, cells: int, seed: int = 7) -> np.ndarray:
     """Unit centres of ``cells`` cells, by rounds of assignment and averaging on at most SAMPLE rows, the first by their hash."""
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("vec").toArrow()["vec"].combine_chunks()
+    sample = sampled(rows).select("vec").toArrow()["vec"].combine_chunks()
     if not len(sample):
         return np.zeros((0, 0))
     matrix = X.unit_rows(np.asarray(sample.flatten()).reshape(len(sample), -1))
@@ -79,21 +87,21 @@ def _in_parts(centres, seed: int = 11):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors, cells = batch.column("vec"), np.asarray(batch.column("cell"))
-            bits = np.asarray(batch.column("bits"))
-            matrix = X.unit_rows(np.asarray(vectors.flatten()).reshape(len(vectors), -1)) - centres.value[cells]
-            axes = np.random.default_rng(seed).normal(size=(int(bits.max(initial=0)), matrix.shape[1]))
-            sides = matrix @ axes.T
-            used = np.arange(sides.shape[1])[None, :] < bits[:, None]
-            own = ((sides > 0) & used) @ (1 << np.arange(sides.shape[1], dtype=np.int64))
-            split = np.flatnonzero(bits > 0)
-            border = np.where(used, np.abs(sides), np.inf)[split].argmin(1) if len(split) else split
-            rows = np.concatenate([np.arange(len(own)), split])
-            parts = np.concatenate([own, own[split] ^ (1 << border.astype(np.int64))])
-            taken = batch.take(pa.array(rows)).drop_columns(["bits"])
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(parts)], names=[*taken.schema.names, "part"])
+            for low in range(0, batch.num_rows, 1024):
+                piece = batch.slice(low, 1024)
+                vectors, cells = piece.column("vec"), np.asarray(piece.column("cell"))
+                bits = np.asarray(piece.column("bits"))
+                matrix = X.unit_rows(np.asarray(vectors.flatten()).reshape(len(vectors), -1)) - centres.value[cells]
+                axes = np.random.default_rng(seed).normal(size=(int(bits.max(initial=0)), matrix.shape[1]))
+                sides = matrix @ axes.T
+                used = np.arange(sides.shape[1])[None, :] < bits[:, None]
+                own = ((sides > 0) & used) @ (1 << np.arange(sides.shape[1], dtype=np.int64))
+                split = np.flatnonzero(bits > 0)
+                border = np.where(used, np.abs(sides), np.inf)[split].argmin(1) if len(split) else split
+                rows = np.concatenate([np.arange(len(own)), split])
+                parts = np.concatenate([own, own[split] ^ (1 << border.astype(np.int64))])
+                taken = piece.take(pa.array(rows)).drop_columns(["bits"])
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(parts)], names=[*taken.schema.names, "part"])
 
     return run
 

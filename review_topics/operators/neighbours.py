@@ -43,7 +43,8 @@ def half_offsets(k: int, reach2: int) -> list[tuple[int, ...]]:
 def neighbour_edges(cells: DataFrame, k: int, reach2: int, within: list[str] | None = None) -> DataFrame:
     """``(src, dst, d2)``: each pair of occupied cells within reach once, with its squared distance in cell widths.
 
-    Cells that differ in a column of ``within`` are no neighbours.
+    Cells that differ in a column of ``within`` are no neighbours. Probes are many times the cells that they are estimated as, so
+    neither side is broadcast.
     """
     columns, within = cell_columns(k), within or []
     steps = F.array(
@@ -56,7 +57,7 @@ def neighbour_edges(cells: DataFrame, k: int, reach2: int, within: list[str] | N
     probes = probes.select(
         "src", F.col("o.d2").alias("d2"), *within, *[(F.col(c) + F.col(f"o.o{i}")).alias(c) for i, c in enumerate(columns)]
     )
-    found = cells.select(*within, *columns, F.col("cell_id").alias("dst"))
+    found = cells.select(*within, *columns, F.col("cell_id").alias("dst")).hint("merge")
     return probes.join(found, [*within, *columns]).select("src", "dst", "d2")
 
 

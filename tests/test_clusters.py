@@ -340,3 +340,20 @@ def test_neighbour_graph_query_compares_three_coordinates(spark, sf):
     near = {pair: d2 for pair, d2 in apart.items() if d2 <= 2}
     assert 2 in found.values() and found.items() <= near.items()
     assert all(sum(pair[0] == a for pair in found) == min(15, sum(pair[0] == a for pair in near)) for a in first.values())
+
+
+def test_probes_of_neighbours_are_not_broadcast(spark):
+    cells = spark.createDataFrame([(0, 0, 1, 1), (0, 1, 2, 1)], "c0 int, c1 int, cell_id long, weight long")
+    edges = neighbours.neighbour_edges(cells, 2, 2)
+    assert "Broadcast" not in edges._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(row) for row in edges.collect()] == [(1, 2, 1)]
+
+
+def test_sample_for_centres_merges_documents_without_their_vectors(spark, monkeypatch):
+    monkeypatch.setattr(document_neighbours, "SAMPLE", 3)
+    rows = spark.createDataFrame([(i, [float(i)], 1) for i in range(9)] + [(None, [9.0], 1)], "doc_id long, vec array<double>, weight long")
+    order = F.xxhash64("doc_id"), "doc_id"
+    sample = document_neighbours.sampled(rows)
+    text = sample._jdf.queryExecution().executedPlan().toString()  # the inner one, listed last, has no vectors
+    assert text.count("TakeOrderedAndProject(limit=3") == 2 and "BroadcastExchange" in text
+    assert sample.collect() == rows.orderBy(*order).limit(3).collect()
