@@ -25,6 +25,10 @@ from review_topics.session import broadcast_checked, hot_lookup, stage, stage_co
 BLOCK_WORDS = 1 << 18
 TILE_TOPICS = 512
 CELLS = 1 << 18
+# Entries of a table of words by topics that windows add up row by row; larger ones, and those with fewer postings than one in
+# SPARSE entries, are left as postings.
+TABLE = 1 << 22
+SPARSE = 8
 
 
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,6 +80,15 @@ def _postings(blocks: DataFrame, weights: DataFrame) -> DataFrame:
     return met.select("block", "tile", "code", F.col("list.topic").alias("topics"), F.col("list.w").alias("weights"))
 
 
+def _table(starts: np.ndarray, topics: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray | None:
+    """Weights by word and topic, where most words weigh in many topics and the table is small."""
+    entries = (len(starts) - 1) * width
+    if entries > TABLE or len(topics) * SPARSE < entries:
+        return None
+    words = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    return np.bincount(words * width + topics, weights, entries).reshape(-1, width)
+
+
 def _window_scores(tokens: np.ndarray, edges: np.ndarray, starts: np.ndarray, topics: np.ndarray, weights: np.ndarray, window: int, stride: int, minimum: float):
     """``(document, first word, words, topic, score)`` of the windows and topics whose cosine reaches ``minimum``, piece by piece.
 
@@ -90,23 +103,29 @@ def _window_scores(tokens: np.ndarray, edges: np.ndarray, starts: np.ndarray, to
     size = size[doc]
     width = int(topics.max(initial=0)) + 1
     at_once = max(1, CELLS // width)
+    table = _table(starts, topics, weights, width)
     for low in range(0, len(doc), at_once):
         own, begin, words = (x[low : low + at_once] for x in (doc, first, size))
         inside = [np.flatnonzero(words > k) for k in range(window)]
         pairs = np.zeros(len(own))
         for a, b in combinations(range(window), 2):
             pairs[inside[b]] += tokens[begin[inside[b]] + a] == tokens[begin[inside[b]] + b]
+        norms = np.sqrt(words + 2 * pairs)
         cells, values = [], []
+        dots = np.zeros((len(own), width))
         for k in range(window):  # the words that enter k places behind the first
             word = tokens[begin[inside[k]] + k]
+            if table is not None:
+                dots[slice(None) if len(word) == len(own) else inside[k]] += table[word]
+                continue
             n = starts[word + 1] - starts[word]
             at = np.arange(int(n.sum())) + np.repeat(starts[word] - (np.cumsum(n) - n), n)
             cells.append(np.repeat(inside[k], n) * width + topics[at])
             values.append(weights[at])
-        dots = np.bincount(np.concatenate(cells), np.concatenate(values), len(own) * width)
-        some = np.flatnonzero(dots)
-        row, topic = np.divmod(some, width)
-        score = dots[some] / np.sqrt(words + 2 * pairs)[row]
+        if table is None:
+            dots = np.bincount(np.concatenate(cells), np.concatenate(values), len(own) * width).reshape(-1, width)
+        row, topic = np.nonzero((dots != 0) & (dots >= ((minimum - 1e-8) * norms)[:, None]))  # all that may reach it after rounding
+        score = dots[row, topic] / norms[row]
         high = np.round(score, 9) >= minimum
         row = row[high]
         yield own[row], begin[row], words[row], topic[high], score[high]

@@ -351,3 +351,21 @@ def test_words_are_counted_in_small_slices_of_a_batch(spark, monkeypatch):
         rows = [row for part in out for row in part.to_pylist()]
         assert [row["doc_id"] for row in rows] == list(range(len(lists)))
         assert all({x["term"]: x["tf"] for x in row["terms"] or []} == Counter(words or []) for row, words in zip(rows, lists))
+
+
+def test_windows_score_the_same_by_table_and_by_postings(monkeypatch):
+    rng = np.random.default_rng(5)
+    edges = np.cumsum([0, 0, 1, 2, 3, 4, 5, 400, 2_000])
+    tokens = rng.integers(0, 60, edges[-1])
+    held = rng.random((60, 7)) < 0.4
+    starts = np.concatenate(([0], np.cumsum(held.sum(1))))
+    weights = rng.random(starts[-1])
+    arguments = (tokens, edges, starts, np.nonzero(held)[1], weights, 4, 1, 0.4)
+
+    def scores():
+        return [np.concatenate(column).tolist() for column in zip(*distribution._window_scores(*arguments))]
+
+    assert distribution._table(starts, np.nonzero(held)[1], weights, 7) is not None
+    by_table = scores()
+    monkeypatch.setattr(distribution, "TABLE", 0)
+    assert by_table == scores() and len(by_table[0]) > 100
