@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,28 +18,26 @@ from review_topics.functions import vectors as X
 # Words and documents that are counted at a time, whatever the size of an Arrow batch; a longer document is a slice alone.
 SLICE_WORDS = 1 << 16
 SLICE_ROWS = 512
-# Terms whose hash a task remembers from slice to slice.
-KNOWN_TERMS = 1 << 16
+# Terms that are Python objects at a time.
+SLICE_TERMS = 1 << 16
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches, few enough at a time for the arrays of their words to stay small."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(doc_id, distinct terms, row, term number, tf)`` of slices of batches of token lists; by row, then by first use of the term.
+
+    Terms are numbered once a batch, but words are counted in slices, so that the arrays of their places stay small.
+    """
     for batch in batches:
+        encoded = batch.column("tokens").flatten().dictionary_encode()
+        codes = np.asarray(encoded.indices)
+        width = max(1, len(encoded.dictionary))
         sizes = np.asarray(batch.column("tokens").value_lengths().fill_null(0)).astype(np.int64)
-        part = (np.cumsum(sizes) - sizes) // SLICE_WORDS
-        cuts = np.union1d(np.flatnonzero(np.diff(part)) + 1, np.arange(0, batch.num_rows, SLICE_ROWS)).tolist()
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        cuts = np.union1d(np.flatnonzero(np.diff(edges[:-1] // SLICE_WORDS)) + 1, np.arange(0, batch.num_rows, SLICE_ROWS)).tolist()
         for low, high in zip(cuts, [*cuts[1:], batch.num_rows]):
-            yield batch.slice(low, high - low)
-
-
-def _batch_counts(tokens: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """``(distinct terms, row, term number, tf)`` of a batch of token lists; by row, then by first use of the term."""
-    encoded = tokens.flatten().dictionary_encode()
-    lengths = np.asarray(tokens.value_lengths().fill_null(0))
-    row = np.repeat(np.arange(len(tokens)), lengths)
-    width = max(1, len(encoded.dictionary))
-    key, tf = np.unique(row * width + np.asarray(encoded.indices), return_counts=True)
-    return encoded.dictionary, key // width, key % width, tf
+            row = np.repeat(np.arange(high - low), sizes[low:high])
+            key, tf = np.unique(row * width + codes[edges[low] : edges[high]], return_counts=True)
+            yield batch.column("doc_id").slice(low, high - low), encoded.dictionary, key // width, key % width, tf
 
 
 def _term_column(names: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, rows: int) -> pa.ListArray:
@@ -64,9 +61,8 @@ def term_lists(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            counted = _batch_counts(batch.column("tokens"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _term_column(*counted, batch.num_rows)], names=["doc_id", "terms"])
+        for ids, *counted in _counted(batches):
+            yield pa.RecordBatch.from_arrays([ids, _term_column(*counted, len(ids))], names=["doc_id", "terms"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _tokens(docs).mapInArrow(run, f"doc_id {kind}, terms {_TERMS}").where(F.size("terms") > 0)
@@ -84,12 +80,14 @@ class HashedEncoder:
         dims = self.dims
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bucket = lru_cache(KNOWN_TERMS)(lambda term: int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % dims)
-            for batch in _slices(batches):
-                names, row, term, tf = _batch_counts(batch.column("tokens"))
-                n = batch.num_rows
-                digests = [bucket(t) for t in names.to_pylist()]
-                place = row * dims + np.array(digests, np.int64)[term] if len(row) else row
+            known = buckets = None
+            for ids, names, row, term, tf in _counted(batches):
+                if names is not known:
+                    listed = (t for low in range(0, len(names), SLICE_TERMS) for t in names.slice(low, SLICE_TERMS).to_pylist())
+                    hashed = (int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims for t in listed)
+                    known, buckets = names, np.fromiter(hashed, np.int64, len(names))
+                n = len(ids)
+                place = row * dims + buckets[term] if len(row) else row
                 matrix = np.bincount(place, 1 + np.log(tf), n * dims).reshape(n, dims)
                 length = np.sqrt((matrix * matrix).sum(1))
                 empty = length == 0
@@ -97,7 +95,7 @@ class HashedEncoder:
                 ends = pa.array(np.arange(0, n * dims + 1, dims, dtype=np.int32))
                 vecs = pa.ListArray.from_arrays(ends, pa.array(matrix.reshape(-1)), mask=pa.array(empty))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), _term_column(names, row, term, tf, n), vecs], names=["doc_id", "terms", "vec"]
+                    [ids, _term_column(names, row, term, tf, n), vecs], names=["doc_id", "terms", "vec"]
                 )
 
         kind = docs.schema["doc_id"].dataType.simpleString()
