@@ -18,26 +18,35 @@ from review_topics.functions import vectors as X
 # Words and documents that are counted at a time, whatever the size of an Arrow batch; a longer document is a slice alone.
 SLICE_WORDS = 1 << 16
 SLICE_ROWS = 512
-# Terms that are Python objects at a time.
+# Words whose terms are numbered at a time, and terms that are Python objects at a time.
+NUMBERED_WORDS = 1 << 20
 SLICE_TERMS = 1 << 16
 
 
+def _cuts(sizes: np.ndarray, words: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of ``sizes`` words: about ``words`` words and at most ``rows`` documents."""
+    part = (np.cumsum(sizes) - sizes) // words
+    cuts = np.union1d(np.flatnonzero(np.diff(part)) + 1, np.arange(0, len(sizes), rows)).tolist()
+    return zip(cuts, [*cuts[1:], len(sizes)])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
     """``(doc_id, distinct terms, row, term number, tf)`` of slices of batches of token lists; by row, then by first use of the term.
 
-    Terms are numbered once a batch, but words are counted in slices, so that the arrays of their places stay small.
+    Terms are numbered for many slices at once, so that each is hashed seldom; the arrays of the words' places are those of a slice.
     """
     for batch in batches:
-        encoded = batch.column("tokens").flatten().dictionary_encode()
-        codes = np.asarray(encoded.indices)
-        width = max(1, len(encoded.dictionary))
         sizes = np.asarray(batch.column("tokens").value_lengths().fill_null(0)).astype(np.int64)
-        edges = np.concatenate(([0], np.cumsum(sizes)))
-        cuts = np.union1d(np.flatnonzero(np.diff(edges[:-1] // SLICE_WORDS)) + 1, np.arange(0, batch.num_rows, SLICE_ROWS)).tolist()
-        for low, high in zip(cuts, [*cuts[1:], batch.num_rows]):
-            row = np.repeat(np.arange(high - low), sizes[low:high])
-            key, tf = np.unique(row * width + codes[edges[low] : edges[high]], return_counts=True)
-            yield batch.column("doc_id").slice(low, high - low), encoded.dictionary, key // width, key % width, tf
+        for first, last in _cuts(sizes, NUMBERED_WORDS, len(sizes) or 1):
+            encoded = batch.column("tokens").slice(first, last - first).flatten().dictionary_encode()
+            codes = np.asarray(encoded.indices)
+            width = max(1, len(encoded.dictionary))
+            own = sizes[first:last]
+            edges = np.concatenate(([0], np.cumsum(own)))
+            for low, high in _cuts(own, SLICE_WORDS, SLICE_ROWS):
+                row = np.repeat(np.arange(high - low), own[low:high])
+                key, tf = np.unique(row * width + codes[edges[low] : edges[high]], return_counts=True)
+                yield batch.column("doc_id").slice(first + low, high - low), encoded.dictionary, key // width, key % width, tf
 
 
 def _term_column(names: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, rows: int) -> pa.ListArray:
