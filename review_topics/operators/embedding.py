@@ -15,6 +15,8 @@ from review_topics.functions import text as T
 from review_topics.functions import vectors as X
 
 
+# Words that a row takes to Python: Arrow batches are cut by rows, so this bounds them whatever the documents are long.
+ROW_WORDS = 32
 # Words and documents that are counted at a time, whatever the size of an Arrow batch; a longer document is a slice alone.
 SLICE_WORDS = 1 << 16
 SLICE_ROWS = 512
@@ -49,6 +51,36 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.A
                 yield batch.column("doc_id").slice(first + low, high - low), encoded.dictionary, key // width, key % width, tf
 
 
+def _documents(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """``(doc_id, tokens)`` of the documents that ``rows`` of ``_tokens`` hold, which begin with one and hold the last whole."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    ids, nth, tokens = (table.column(name).chunk(0) for name in ("doc_id", "nth", "tokens"))
+    starts = np.flatnonzero(np.asarray(nth) == 0)
+    sizes = np.add.reduceat(np.asarray(tokens.value_lengths().fill_null(0)), starts)
+    ends = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(starts)), pa.ListArray.from_arrays(ends, tokens.flatten())], names=["doc_id", "tokens"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_tokens`` with a document a row. The last document of a batch waits for its rows in the next; rows without ``nth``
+    are documents already."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if "nth" not in batch.schema.names:
+            yield batch
+            continue
+        starts = np.flatnonzero(np.asarray(batch.column("nth")) == 0)
+        if not len(starts):
+            held.append(batch)
+            continue
+        last = int(starts[-1])
+        if held or last:
+            yield _documents([*held, batch.slice(0, last)])
+        held = [batch.slice(last)]
+    if held:
+        yield _documents(held)
+
+
 def _term_column(names: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndarray, rows: int) -> pa.ListArray:
     entries = pa.StructArray.from_arrays([names.take(pa.array(term)), pa.array(tf.astype(np.int64))], ["term", "tf"])
     ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int32)
@@ -56,7 +88,11 @@ def _term_column(names: pa.Array, row: np.ndarray, term: np.ndarray, tf: np.ndar
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", T.tokens(F.col("document")).alias("tokens"))
+    """``(doc_id, nth, tokens)``: the words of a document in rows of ROW_WORDS, one after the other; one row where it has none."""
+    listed = docs.select("doc_id", T.tokens(F.col("document")).alias("words"))
+    firsts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(ROW_WORDS))
+    rows = F.transform(firsts, lambda first: F.slice("words", first + 1, F.lit(ROW_WORDS)))
+    return listed.select("doc_id", F.posexplode(rows).alias("nth", "tokens"))
 
 
 _TERMS = "array<struct<term:string,tf:long>>"
@@ -70,7 +106,7 @@ def term_lists(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, *counted in _counted(batches):
+        for ids, *counted in _counted(_whole(batches)):
             yield pa.RecordBatch.from_arrays([ids, _term_column(*counted, len(ids))], names=["doc_id", "terms"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -90,7 +126,7 @@ class HashedEncoder:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = buckets = None
-            for ids, names, row, term, tf in _counted(batches):
+            for ids, names, row, term, tf in _counted(_whole(batches)):
                 if names is not known:
                     listed = (t for low in range(0, len(names), SLICE_TERMS) for t in names.slice(low, SLICE_TERMS).to_pylist())
                     hashed = (int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims for t in listed)

@@ -353,6 +353,27 @@ def test_words_are_counted_in_small_slices_of_a_batch(spark, monkeypatch):
         assert all({x["term"]: x["tf"] for x in row["terms"] or []} == Counter(words or []) for row, words in zip(rows, lists))
 
 
+def test_long_documents_reach_python_in_rows_of_few_words(spark):
+    rng = random.Random(4)
+    lengths = [0, 1, 63, 64, 65, 128, 5_000, 3, 20_000, 0, *(rng.randrange(900) for _ in range(60)), 9_000]
+    texts = [" ".join(f"w{rng.randrange(99)}" for _ in range(n)) for n in lengths]
+    rows = [(i // 2 if i % 3 else None, text) for i, text in enumerate(texts)] + [(7, None), (None, None)]  # ids repeat or are null
+    docs = spark.createDataFrame(rows, "doc_id long, document string").coalesce(1)
+    seen = [len(row["tokens"] or []) for row in embedding._tokens(docs).select("tokens").collect()]
+    assert max(seen) == embedding.ROW_WORDS
+    want = [(i, Counter((text or "").split())) for i, text in rows]
+    for size in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            both = ENCODER.terms_and_vectors(docs).collect()
+            lists = embedding.term_lists(docs).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert [(r["doc_id"], {x["term"]: x["tf"] for x in r["terms"]}) for r in both] == want
+        assert [r["vec"] is None for r in both] == [not words for _, words in want]
+        assert [(r["doc_id"], {x["term"]: x["tf"] for x in r["terms"]}) for r in lists] == [x for x in want if x[1]]
+
+
 def test_windows_score_the_same_by_table_and_by_postings(monkeypatch):
     rng = np.random.default_rng(5)
     edges = np.cumsum([0, 0, 1, 2, 3, 4, 5, 400, 2_000])
