@@ -135,7 +135,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shards: int | None =
     usable = asked.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
     blocks = usable.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).mapInArrow(_packed(BLOCK_ROWS), schema)
     visits = blocks.select("dim", F.col("ids").alias("query_ids"), F.col("data").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    lists = tiles.join(visits, ["shard", "dim"]).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
+    # A block is there once a shard, many times the size that Spark takes the visits for: they are merged, never broadcast. The tiles of a
+    # shard are what a task holds while its blocks pass by.
+    lists = visits.hint("merge").join(tiles, ["shard", "dim"]).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

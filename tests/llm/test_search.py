@@ -59,3 +59,12 @@ def test_the_smallest_usable_vector_of_a_query_counts_in_any_order(spark, turn):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
     out = sorted(tuple(r) for r in exact_search.top_k(vectors, F.col("vec_id") == 0, 5).collect())
     assert out == [(0, 1, 1, 128 * 128), (0, 2, 2, -128 * 256)]
+
+
+def test_visits_are_not_broadcast(spark):
+    vectors = spark.range(20).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    out = exact_search.top_k(vectors, F.col("vec_id") % 10 == 0, 2)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    found = sorted(tuple(r) for r in out.collect())
+    assert found == [(0, 1, 1, 65536), (0, 2, 2, 65536), (10, 1, 19, 191 * 65536), (10, 2, 18, 181 * 65536)]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()  # also of the sizes seen meanwhile
