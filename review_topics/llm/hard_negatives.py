@@ -243,7 +243,9 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     def met(asked: DataFrame, k: int, second: bool) -> DataFrame:
         visits = asked.mapInArrow(_visits, VISIT).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         run, schema = _mined(k, second, low, high)
-        return tiles.join(visits, ["shard", "dim"]).drop("shard").mapInArrow(run, schema)
+        # A block is there once a shard, many times the size that Spark takes the visits for: they are merged, never broadcast. The tiles
+        # of a shard are what a task holds while its blocks pass by.
+        return visits.hint("merge").join(tiles, ["shard", "dim"]).drop("shard").mapInArrow(run, schema)
 
     def ranked(lists: DataFrame, by: list[str], k: int) -> DataFrame:
         order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id")

@@ -85,3 +85,14 @@ def test_windows_are_exact():
     for score in (0, 1, 3, 99, 100, 101, 2**62, 2**63 - 1, -1, -7, -(2**63)):
         low, high = hard_negatives.window(np.array([score]), 50, 95)
         assert (int(low[0]), int(high[0])) == (-((-50 * score) // 100), 95 * score // 100)
+
+
+def test_visits_are_not_broadcast(spark):
+    label = (F.col("id") % 2).cast("int").alias("label")
+    vectors = spark.range(20).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("embedding"), label)
+    out = hard_negatives.hard_negatives(vectors, F.col("vec_id") % 10 == 0)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = [(i, [float(i), 1.0], i % 2) for i in range(20)]
+    found = sorted(map(tuple, out.collect()))
+    assert found == brute(rows, {0, 10}) and found
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()  # also of the sizes seen meanwhile
