@@ -4,11 +4,15 @@ Copies are folded to one weighted row first. Centres are fitted on a bounded sam
 cells, so two neighbours meet if they share any of these. A cell with too many rows is split by the signs of projections
 around its centre, and again every row goes to two of its parts: that of its signs, and the one across the nearest border. What meets is
 compared in a task of bounded size, which keeps the best of each row; the lists of a row's cells are merged by rank.
+
+On disk a vector is kept once, with the numbers of its cells. Cells are compared in rounds, and a round's shuffle, of about a copy of
+each vector, is gone before the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_topics.functions import vectors as X
-from review_topics.session import broadcast_checked, hot_lookup, stage
+from review_topics.session import hot_lookup, shuffles_dropped, stage, temporary_stages
 
 # Rows that a cell should hold, vectors that centres are fitted on, centres at most, cells of a vector, rounds of the fit.
 CELL_ROWS = 1_024
@@ -25,6 +29,8 @@ MAX_CENTRES = 4_096
 PROBES = 3
 ROUNDS = 8
 PLACES = 9
+# Rows that are sent to parts at a time though there are fewer different vectors.
+ROUND_ROWS = 50_000
 
 
 def fold_copies(vecs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,8 +70,19 @@ def fit_centres(rows: DataFrame, cells: int, seed: int = 7) -> np.ndarray:
     return centres
 
 
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(values, columns)`` of the ``k`` highest of each row, of equal ones the first. Holds no NaN; what is taken is overwritten."""
+    row, k = np.arange(len(scores)), min(k, scores.shape[1])
+    values, columns = np.empty((len(scores), k)), np.empty((len(scores), k), np.int64)
+    for i in range(k):
+        columns[:, i] = scores.argmax(1)
+        values[:, i] = scores[row, columns[:, i]]
+        scores[row, columns[:, i]] = -np.inf
+    return values, columns
+
+
 def _in_cells(centres):
-    """A row for each of the PROBES nearest cells of every vector."""
+    """The PROBES nearest cells of every vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,10 +91,11 @@ def _in_cells(centres):
                 vectors = part.column("vec")
                 matrix = X.unit_rows(np.asarray(vectors.flatten()).reshape(len(vectors), -1))
                 probes = min(PROBES, len(centres.value))
-                cells = np.argsort(-(matrix @ centres.value.T), axis=1, kind="stable")[:, :probes]
-                rows = np.repeat(np.arange(len(part)), probes)
-                taken = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells.reshape(-1).astype(np.int32))], names=[*part.schema.names, "cell"])
+                scores = matrix @ centres.value.T
+                scores[np.isnan(scores)] = np.finfo(float).min
+                cells = _best(scores, probes)[1].astype(np.int32)
+                ends = pa.array(np.arange(0, cells.size + 1, probes, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, pa.array(cells.reshape(-1)))], names=[*part.schema.names, "cells"])
 
     return run
 
@@ -121,10 +139,10 @@ def _nearest(k: int, tile: int = 1024):
             for start in range(0, len(ids), tile):  # a running list of the best over tiles
                 scores = np.round(matrix[mine] @ matrix[start : start + tile].T, PLACES)
                 other = np.arange(start, start + scores.shape[1])
-                scores[mine[:, None] == other[None, :]] = -np.inf
+                scores[(mine[:, None] == other[None, :]) | np.isnan(scores)] = -np.inf
                 scores, names = np.hstack([held[0], scores]), np.hstack([held[1], np.broadcast_to(other, scores.shape)])
-                best = np.lexsort((names, -scores), axis=1)[:, :k]
-                held = np.take_along_axis(scores, best, 1), np.take_along_axis(names, best, 1)
+                best, columns = _best(scores, k)  # names rise from left to right among equal scores
+                held = best, np.take_along_axis(names, columns, 1)
             row, column = np.nonzero(np.isfinite(held[0]))
             out.append((ids[mine[row]], ids[held[1][row, column]], held[0][row, column], weights[held[1][row, column]]))
         src, dst, score, weight = (np.concatenate(x) for x in zip(*out))
@@ -133,24 +151,46 @@ def _nearest(k: int, tile: int = 1024):
     return run
 
 
+def _rounds(sizes: list[tuple[int, int, int]], most: int) -> list[list[tuple[int, int]]]:
+    """``(cell, bits)`` of ``(cell, rows, bits)`` in rounds of at most ``most`` rows sent to parts, or of one larger cell; one round at least."""
+    rounds, held = [[]], 0
+    for cell, n, bits in sizes:
+        sent = 2 * n if bits else n
+        if rounds[-1] and held + sent > most:
+            rounds.append([])
+            held = 0
+        rounds[-1].append((cell, bits))
+        held += sent
+    return rounds
+
+
 def document_neighbours(vecs: DataFrame, k: int = 15, cell_rows: int | None = None) -> DataFrame:
     """``(src, rank, dst, similarity, weight)``: about the ``k`` nearest other vectors of each different vector of ``(doc_id, vec)``.
 
     ``src`` and ``dst`` lead their copies (see fold_copies), ``weight`` counts those of ``dst``. Ties go to the smaller dst.
     Exact among the rows that share a cell or part with ``src``, which is all rows where one cell holds them; with two cells a
     row instead of PROBES the recall of ten neighbours was 0.87 on 16 cells of 64, with three 0.97. Documents without a
-    vector have no neighbours. Work is rows times ``cell_rows`` times the parts of a row, six at most.
+    vector have no neighbours. Work is rows times ``cell_rows`` times the parts of a row, six at most. Disk beside the
+    vectors given is twice the different ones and the lists; a cell with most of the rows takes up to a copy more.
     """
-    cell_rows = cell_rows or CELL_ROWS
-    rows = stage(fold_copies(vecs)[0], "different")
-    cells = max(1, min(MAX_CENTRES, -(-rows.count() // cell_rows)))
-    centres = rows.sparkSession.sparkContext.broadcast(fit_centres(rows, cells))
+    cell_rows, spark = cell_rows or CELL_ROWS, vecs.sparkSession
     kind = vecs.schema["doc_id"].dataType.simpleString()
-    placed = stage(rows.mapInArrow(_in_cells(centres), f"doc_id {kind}, vec array<double>, weight long, cell int"), "in-cells")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"))
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (4 * cell_rows)))).cast("int").alias("bits")
-    split = placed.join(broadcast_checked(sizes.select("cell", bits)), "cell").select("doc_id", "vec", "weight", "cell", "bits")
-    parts = split.mapInArrow(_in_parts(centres), f"doc_id {kind}, vec array<double>, weight long, cell int, part long")
-    lists = parts.groupBy("cell", "part").applyInArrow(_nearest(k), f"src {kind}, dst {kind}, similarity double, weight long")
+    with shuffles_dropped(spark), temporary_stages(spark) as keep:
+        with temporary_stages(spark) as keep_placed:
+            rows = fold_copies(vecs)[0]
+            total = rows.count()
+            cells = max(1, min(MAX_CENTRES, -(-total // cell_rows)))
+            centres = spark.sparkContext.broadcast(fit_centres(rows, cells))
+            placed = keep_placed(stage(rows.mapInArrow(_in_cells(centres), f"doc_id {kind}, vec array<double>, weight long, cells array<int>"), "in-cells"))
+        sizes = placed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+        bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (4 * cell_rows)))).cast("int").alias("bits")
+        lists = []
+        for dealt in _rounds(sizes.select("cell", "n", bits).orderBy("cell").collect(), max(total, ROUND_ROWS)):
+            here = F.broadcast(spark.createDataFrame(dealt, "cell int, bits int"))
+            split = placed.withColumn("cell", F.explode("cells")).join(here, "cell").select("doc_id", "vec", "weight", "cell", "bits")
+            parts = split.mapInArrow(_in_parts(centres), f"doc_id {kind}, vec array<double>, weight long, cell int, part long")
+            met = parts.groupBy("cell", "part").applyInArrow(_nearest(k), f"src {kind}, dst {kind}, similarity double, weight long")
+            lists.append(keep(stage(met, "lists")))
     order = Window.partitionBy("src").orderBy(F.desc("similarity"), "dst")
-    return lists.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "rank", "dst", "similarity", "weight")
+    ranked = reduce(DataFrame.unionByName, lists).distinct().withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("src", "rank", "dst", "similarity", "weight")

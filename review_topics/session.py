@@ -131,6 +131,18 @@ def temporary_stages(spark: SparkSession) -> Iterator[Callable[[DataFrame], Data
             scopes[-1].append(staged)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go when their job has ended, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     found = context._jvm.org.apache.hadoop.fs.Path(path)

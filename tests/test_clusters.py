@@ -1,6 +1,8 @@
 import random
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -357,3 +359,62 @@ def test_sample_for_centres_merges_documents_without_their_vectors(spark, monkey
     text = sample._jdf.queryExecution().executedPlan().toString()  # the inner one, listed last, has no vectors
     assert text.count("TakeOrderedAndProject(limit=3") == 2 and "BroadcastExchange" in text
     assert sample.collect() == rows.orderBy(*order).limit(3).collect()
+
+
+def test_the_best_are_those_of_a_full_sort():
+    rng = np.random.default_rng(5)
+    for n, k in ((1, 3), (3, 3), (40, 5), (40, 60)):
+        scores = np.round(rng.normal(size=(30, n)), 1)  # many ties
+        want = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        values, columns = document_neighbours._best(scores.copy(), k)
+        assert np.array_equal(columns, want) and np.array_equal(values, np.take_along_axis(scores, want, 1))
+
+
+def test_rounds_hold_all_cells_and_no_more_rows_than_asked():
+    sizes = [(c, 10 + c % 7, c % 2) for c in range(50)] + [(50, 400, 1), (51, 3, 0)]
+    rounds = document_neighbours._rounds(sizes, 100)
+    assert [cell for dealt in rounds for cell in dealt] == [(c, bits) for c, _, bits in sizes]
+    sent = {c: n * (1 + (bits > 0)) for c, n, bits in sizes}
+    assert len(rounds) > 5 and all(sum(sent[c] for c, _ in dealt) <= 100 or dealt == [(50, 1)] for dealt in rounds)
+    assert document_neighbours._rounds([], 100) == [[]]
+
+
+def test_neighbours_keep_a_vector_once_on_disk(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(1500, 6)))]
+    vecs = spark.createDataFrame(rows, "doc_id long, vec array<double>")
+    whole = document_neighbours.document_neighbours(vecs, 5, cell_rows=64).collect()
+    folder, written = Path(session.shared_folder(spark).removeprefix("file:")), {}
+    before = {p.name for p in folder.iterdir()}
+
+    def stages():
+        return [p.name.rpartition("-")[0] for p in folder.iterdir() if p.name not in before]
+
+    def stage(df, name):
+        written.setdefault(name, []).append(df.count())
+        assert sum(held != "lists" for held in stages()) <= 1  # beside the one that is written
+        return session.stage(df, name)
+
+    monkeypatch.setattr(document_neighbours, "stage", stage)
+    monkeypatch.setattr(document_neighbours, "ROUND_ROWS", 1)
+    out = document_neighbours.document_neighbours(vecs, 5, cell_rows=64)
+    assert written.pop("folded") == written.pop("in-cells") == [1500]
+    assert written.keys() == {"lists"} and len(written["lists"]) > 2  # rounds
+    assert set(stages()) == {"lists"} and sorted(out.collect()) == sorted(whole)
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("n")).count()
+    held = files()
+    with session.shuffles_dropped(spark):
+        session.unstage(session.stage(counted, "counted"))
+    for _ in range(50):
+        if files() <= held:
+            break
+        time.sleep(0.2)
+    assert files() <= held and spark.conf.get(name) == before
